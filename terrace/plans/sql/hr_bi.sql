@@ -1,0 +1,12 @@
+-- Gold HR facts -> the snapshot of one business date, in the snapshot's column order.
+-- Bound by the caller: {source} (gold, partitioned by year/month/day), :year, :month, :day.
+-- The equalities on the partition columns prune every other date's folder.
+SELECT
+  employee_id, ingestion_date, year, month, day,
+  department, job_role, job_level, attrition, monthly_income,
+  percent_salary_hike, years_at_company, years_since_last_promotion, total_working_years, over_time,
+  job_satisfaction_score, environment_satisfaction_score, relationship_satisfaction_score, work_life_balance_score,
+  job_satisfaction_label, environment_satisfaction_label, relationship_satisfaction_label, work_life_balance_label,
+  source_file, run_id, processed_at_utc
+FROM {source}
+WHERE year = :year AND month = :month AND day = :day

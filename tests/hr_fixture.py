@@ -1,0 +1,53 @@
+"""Generated HR landing CSV files (the shape the HR plan reads)."""
+
+from __future__ import annotations
+
+import csv
+from pathlib import Path
+
+# Landing header of the HR file, plus one column the plan ignores.
+HEADER = [
+    "Age", "Attrition", "Department", "EmployeeNumber", "EnvironmentSatisfaction", "JobLevel", "JobRole",
+    "JobSatisfaction", "MonthlyIncome", "OverTime", "PercentSalaryHike", "RelationshipSatisfaction",
+    "TotalWorkingYears", "WorkLifeBalance", "YearsAtCompany", "YearsSinceLastPromotion",
+]
+
+DEPARTMENTS = ["Sales", " Research & Development ", "Human Resources"]
+ROLES = ["Sales Executive", "Research Scientist", "Laboratory Technician", "Manager"]
+FLAGS = ["Yes", "No", "true", "false"]
+
+
+def rows(n: int = 200) -> list[dict[str, str]]:
+    out = []
+    for i in range(n):
+        out.append({
+            "Age": str(20 + i % 40),
+            "Attrition": FLAGS[i % 4],
+            "Department": DEPARTMENTS[i % 3],
+            "EmployeeNumber": str(1000 + i),
+            "EnvironmentSatisfaction": str(1 + i % 4),
+            "JobLevel": str(1 + i % 5),
+            "JobRole": ROLES[i % 4],
+            "JobSatisfaction": str(1 + (i // 2) % 4),
+            "MonthlyIncome": f"{2000 + i * 37.5:.3f}",
+            "OverTime": FLAGS[(i + 1) % 4],
+            "PercentSalaryHike": str(10 + i % 15),
+            "RelationshipSatisfaction": str(1 + (i // 3) % 4),
+            "TotalWorkingYears": str(i % 30),
+            "WorkLifeBalance": str(1 + (i // 5) % 4),
+            "YearsAtCompany": str(i % 20),
+            "YearsSinceLastPromotion": str(i % 7),
+        })
+    out[0]["Department"] = "Sales"
+    out[0]["JobRole"] = "Sales Executive"
+    return out
+
+
+def write(path: str | Path, data: list[dict[str, str]], header: list[str] = HEADER) -> str:
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with path.open("w", newline="", encoding="utf-8") as handle:
+        writer = csv.DictWriter(handle, fieldnames=header, extrasaction="ignore")
+        writer.writeheader()
+        writer.writerows(data)
+    return str(path)

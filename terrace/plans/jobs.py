@@ -1,9 +1,11 @@
 """Table jobs: transform -> contract gate -> publish -> read-back.
 
 A job never publishes a result that failed its contract. Two gate
-strategies:
+strategies; ``auto`` (the default) takes ``cache`` when the optimizer's size
+estimate of the result is within ``terrace.gate.cacheMaxBytes`` and
+``observe`` otherwise (or when there is no estimate):
 
-``cache`` (default)
+``cache``
     The result is persisted (memory, spilling to disk), every rule runs in one
     action over it, and the write reuses the cached rows. The source is read
     once. If an executor is lost, its cached blocks are recomputed from the
@@ -50,7 +52,7 @@ class TableSpec:
     partition_style: str = "hive"  # hive | numeric
     compression: str | None = "snappy"
     check_run_date: bool = True
-    gate: str = "cache"  # cache | observe
+    gate: str = "auto"  # auto | cache | observe
     max_records_per_file: int | None = None
     rebalance: bool = False
 
@@ -63,7 +65,7 @@ class TableSpec:
             raise ValueError("A single-file target cannot be partitioned.")
         if self.write_mode == "overwrite_partition" and not self.partition_by:
             raise ValueError("overwrite_partition needs partition columns.")
-        if self.gate not in ("cache", "observe"):
+        if self.gate not in ("auto", "cache", "observe"):
             raise ValueError(f"Unsupported gate '{self.gate}'.")
 
 
@@ -102,7 +104,7 @@ def publish(
     sinks.guard_not_input(inputs, spec.path)
     Q.check_columns(df, spec.contract)
     quality_run = run if spec.check_run_date else None
-    if spec.gate == "observe":
+    if choose_gate(df, spec) == "observe":
         gate = _publish_observed(df, spec, quality_run)
     else:
         cached = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -126,6 +128,31 @@ def publish(
     )
 
 
+# Results whose estimated size is above this many bytes are gated while they
+# are written (``observe``) instead of being cached first. Set per session with
+# ``spark.conf.set(CACHE_LIMIT_CONF, ...)``.
+CACHE_LIMIT_CONF = "terrace.gate.cacheMaxBytes"
+DEFAULT_CACHE_LIMIT = 32 * 1024**3
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df`` (from file sizes and projections)."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return int(size if isinstance(size, int) else size.toString())
+    except Exception:  # noqa: BLE001 - estimates are advisory
+        return None
+
+
+def choose_gate(df: DataFrame, spec: TableSpec) -> str:
+    """``cache`` when the result is known to fit the cache bound, otherwise ``observe``."""
+    if spec.gate != "auto":
+        return spec.gate
+    limit = int(df.sparkSession.conf.get(CACHE_LIMIT_CONF, str(DEFAULT_CACHE_LIMIT)))
+    size = estimated_bytes(df)
+    return "cache" if size is not None and size <= limit else "observe"
+
+
 def _write(df: DataFrame, spec: TableSpec, rows: int) -> None:
     if spec.layout == "file":
         sinks.write_single_file(df, spec.path, fmt=spec.fmt, compression=spec.compression, rows=rows)

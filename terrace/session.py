@@ -24,6 +24,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Lets a small stage (e.g. a history write to thousands of day folders)
+    # keep several writer tasks instead of being coalesced into one; at large
+    # sizes the per-task share is far above this floor, so it has no effect.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
 }
@@ -47,6 +51,7 @@ def apply_runtime_defaults(spark: SparkSession) -> None:
         "spark.sql.session.timeZone",
         "spark.sql.parquet.outputTimestampType",
         "spark.sql.adaptive.enabled",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize",
     ):
         spark.conf.set(key, DEFAULT_CONF[key])
 

@@ -59,13 +59,29 @@ def run_bi(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, run:
     return publish(plan.to_bi(gold, run), plan.bi_spec(paths.bi), run, name=f"{plan.name}_bi", inputs=[paths.gold])
 
 
-def run_chain(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, run: RunContext) -> dict[str, Any]:
-    """E3: silver, gold and (when a BI target is given) the snapshot, in order."""
+def run_chain(
+    spark: SparkSession,
+    plan: MedallionPlan,
+    paths: MedallionPaths,
+    run: RunContext,
+    *,
+    audit_root: str | None = None,
+) -> dict[str, Any]:
+    """E3: silver, gold and (when a BI target is given) the snapshot, in order.
+
+    With ``audit_root``, every step's rule counts and the gold rows per
+    partition are appended to audit tables there (E5).
+    """
     if run.source_file is None:
         run = run.with_source(file_name_of(paths.landing))
     results = {"silver": run_silver(spark, plan, paths, run), "gold": run_gold(spark, plan, paths, run)}
     if paths.bi:
         results["bi_export"] = run_bi(spark, plan, paths, run)
+    if audit_root:
+        for result in results.values():
+            append_audit(quality_audit(spark, result), f"{audit_root}/quality")
+        partitions = run_partition_summary(spark, plan.gold_spec(paths.gold), run, results["gold"].name)
+        append_audit(partitions, f"{audit_root}/partitions")
     return {
         "pipeline": plan.name,
         "run_id": run.run_id,
@@ -105,6 +121,11 @@ def run_partition_summary(spark: SparkSession, spec: TableSpec, run: RunContext,
     """
     target = sources.read_partitioned(spark, spec.path)
     parts = list(spec.partition_by)
+    if spec.check_run_date:
+        # A one-day run wrote only its own folder: prune to it.
+        for name, value in run.partition_values.items():
+            if name in parts:
+                target = target.where(F.col(name) == F.lit(value))
     return (
         target.where(F.col("run_id") == F.lit(run.run_id))
         .groupBy(*parts)

@@ -184,8 +184,9 @@ def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext |
         rebalance=spec.rebalance,
     )
     try:
-        source = observed.repartition(1) if spec.layout == "file" else observed
-        _write(source, stage_spec, rows=-1)
+        # Staged in parallel whatever the final layout; a single-file target is
+        # rendered from the staged copy only once every rule has passed.
+        _write(observed, stage_spec, rows=-1)
         key_violations = 0
         if spec.contract.primary_key:
             staged_keys = spark.read.parquet(stage).select(*spec.contract.primary_key)
@@ -193,15 +194,11 @@ def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext |
         gate = Q.evaluate(Q.observed_report(observation, rules, key_violations), rules)
         if gate.rows == 0:
             raise sinks.EmptyResultError(f"Nothing to write to {spec.path}: the result is empty.")
-        if spec.layout == "file" and spec.fmt == "csv":
-            # The staged copy is Parquet (for the key read); render the file from it.
-            sinks.write_single_file(spark.read.parquet(stage), spec.path, fmt="csv", rows=gate.rows)
-        elif spec.layout == "file":
-            staged = S.data_files(spark, stage, "parquet")
-            S.delete_path(spark, spec.path)
-            S.rename_path(spark, staged[0], spec.path)
-        elif spec.fmt != "parquet":
-            _write(spark.read.parquet(stage), spec, gate.rows)
+        if spec.layout == "file":
+            staged = spark.read.parquet(stage).select(*spec.contract.names)
+            sinks.write_single_file(staged, spec.path, fmt=spec.fmt, compression=spec.compression, rows=gate.rows)
+        elif spec.fmt != "parquet" or spec.partition_style != "hive":
+            _write(sources_reader(spark, stage, spec), spec, gate.rows)
         else:
             _move_staged(spark, stage, spec)
         return gate
@@ -209,6 +206,11 @@ def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext |
         S.delete_path(spark, stage)
 
 
+def sources_reader(spark: SparkSession, stage: str, spec: TableSpec) -> DataFrame:
+    """The staged copy in the contract's column order (partition columns restored)."""
+    return spark.read.option("basePath", stage).parquet(stage).select(*spec.contract.names)
+
+
 def _move_staged(spark: SparkSession, stage: str, spec: TableSpec) -> None:
     """Publish a staged Parquet dataset: whole target, or only the staged partitions."""
     if spec.write_mode == "overwrite_full" or not spec.partition_by:

@@ -211,3 +211,39 @@ def test_observe_gate_publishes_same_result(spark, workdir, landing):
         publish(dup, hr.silver_spec(f"{workdir}/observed", gate="observe"), run)
     assert sources.read_parquet(spark, f"{workdir}/observed").count() == 200
     assert [d for d in os.listdir(workdir) if "_stage_" in d] == []
+
+
+def test_chain_with_staged_observed_gates(spark, workdir, landing):
+    """With a tiny cache bound every step is gated while writing to staging."""
+    from terrace.plans import jobs
+
+    p = paths(workdir, landing)
+    spark.conf.set(jobs.CACHE_LIMIT_CONF, "1")
+    try:
+        chain.run_chain(spark, PLAN, p, run_for("2026-04-02", "a"))
+        chain.run_chain(spark, PLAN, p, run_for("2026-04-03", "b"), audit_root=f"{workdir}/audit")
+    finally:
+        spark.conf.unset(jobs.CACHE_LIMIT_CONF)
+    gold = sources.read_partitioned(spark, p.gold)
+    assert {(r.day, r.run_id) for r in gold.select("day", "run_id").distinct().collect()} == {(2, "a"), (3, "b")}
+    with open(p.bi, newline="", encoding="utf-8") as handle:
+        rows = list(csv.DictReader(handle))
+    assert len(rows) == 200 and list(rows[0].keys()) == hr.BI.names
+    audit = spark.read.parquet(f"{workdir}/audit/partitions").collect()
+    assert [(r.run_id, r.day, r.rows_written) for r in audit] == [("b", 3, 200)]
+    rules = spark.read.parquet(f"{workdir}/audit/quality")
+    assert rules.where("violations > 0 AND rule <> 'rows'").count() == 0
+    assert rules.select("pipeline").distinct().count() == 3
+    leftovers = [d for root, dirs, _ in os.walk(workdir) for d in dirs if "_stage_" in d]
+    assert leftovers == []
+
+
+def test_numeric_gold_layout(spark, workdir, landing):
+    p = paths(workdir, landing)
+    run = run_for("2026-04-03").with_source("hr_attrition.csv")
+    chain.run_silver(spark, PLAN, p, run)
+    gold = hr.to_gold(sources.read_parquet(spark, p.silver), run)
+    publish(gold, hr.gold_spec(p.gold, partition_style="numeric"), run)
+    assert os.path.isdir(f"{p.gold}/2026/4/3")
+    back = sources.read_numeric_partitions(spark, p.gold, ("year", "month", "day"))
+    assert back.count() == 200 and back.select("day").distinct().first().day == 3

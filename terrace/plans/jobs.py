@@ -55,6 +55,7 @@ class TableSpec:
     gate: str = "auto"  # auto | cache | observe
     max_records_per_file: int | None = None
     rebalance: bool = False
+    catalog_table: str | None = None  # register/refresh this external table after publishing
 
     def __post_init__(self):
         if self.layout not in ("dataset", "file"):
@@ -116,6 +117,8 @@ def publish(
         finally:
             cached.unpersist()
     _verify_written(df.sparkSession, spec, run, gate.rows)
+    if spec.catalog_table:
+        _register(df.sparkSession, spec, run)
     return JobResult(
         name=name or spec.contract.name,
         target=spec.path,
@@ -227,6 +230,29 @@ def _move_staged(spark: SparkSession, stage: str, spec: TableSpec) -> None:
         S.rename_path(spark, leaf, target)
 
 
+def _register(spark: SparkSession, spec: TableSpec, run: RunContext) -> None:
+    """C1/C2 after a publish: create the external table once, then make the new data visible.
+
+    A one-day run registers just its own partition; a multi-day write rescans
+    the table's folders.
+    """
+    from terrace import catalog
+
+    if not spark.catalog.tableExists(spec.catalog_table):
+        if "." in spec.catalog_table:
+            catalog.ensure_database(spark, spec.catalog_table.rsplit(".", 1)[0])
+        catalog.register_external_table(
+            spark, spec.catalog_table, spec.contract, spec.path, fmt=spec.fmt, partitioned=bool(spec.partition_by), replace=False
+        )
+    if not spec.partition_by:
+        spark.catalog.refreshTable(spec.catalog_table)
+    elif spec.write_mode == "overwrite_partition" and spec.check_run_date:
+        catalog.add_partition(spark, spec.catalog_table, {k: run.partition_values[k] for k in spec.partition_by})
+        spark.catalog.refreshTable(spec.catalog_table)
+    else:
+        catalog.repair(spark, spec.catalog_table)
+
+
 def _verify_written(spark: SparkSession, spec: TableSpec, run: RunContext, rows: int) -> None:
     """K7: the target (or the run's partition) now holds the rows that were checked."""
     if spec.layout == "file":

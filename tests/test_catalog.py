@@ -39,3 +39,17 @@ def test_unpartitioned_external_table(spark, workdir):
     table = catalog.register_external_table(spark, f"{db}.silver_orders", orders.SILVER, f"{workdir}/silver")
     assert spark.table(table).columns == orders.SILVER.names
     assert spark.table(table).count() == 1500
+
+
+def test_jobs_register_their_tables(spark, workdir):
+    db = f"terrace_test_{uuid.uuid4().hex[:8]}"
+    run = _run()
+    silver = orders.to_silver(_orders_as_text(spark, SF), run)
+    publish(silver, orders.silver_spec(f"{workdir}/silver", catalog_table=f"{db}.silver_orders"), run)
+    assert spark.table(f"{db}.silver_orders").count() == 1500
+    gold_spec = lambda: orders.gold_spec(f"{workdir}/gold", catalog_table=f"{db}.gold_orders")
+    for day in ("2026-04-02", "2026-04-03"):
+        r = _run(day)
+        publish(orders.to_gold(silver, r), gold_spec(), r)
+    assert catalog.row_count(spark, f"{db}.gold_orders").first().row_count == 3000
+    assert spark.sql(f"SELECT count(*) AS n FROM {db}.gold_orders WHERE day = 3").first().n == 1500

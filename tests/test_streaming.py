@@ -25,6 +25,9 @@ def test_landing_ingest_runs_once_per_file(spark, workdir):
 
     results = events.ingest_landing(spark, landing, silver, ckpt)
     assert len(results) == 2
+    # Oldest file first, one file per run.
+    first_batch = sources.read_partitioned(spark, silver).where(f"run_id = '{results[0].run_id}'")
+    assert {r.source_file for r in first_batch.select("source_file").distinct().collect()} == {"a.csv"}
     assert len({r.run_id for r in results}) == 2
     df = sources.read_partitioned(spark, silver)
     assert sorted(r.event_id for r in df.collect()) == [1, 2, 3]

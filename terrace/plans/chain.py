@@ -8,8 +8,9 @@ processing time. A failing step raises and the later steps do not run.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +20,8 @@ from terrace import sources
 from terrace.plans.jobs import JobResult, TableSpec, Transform, publish
 from terrace.run import RunContext, file_name_of
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class MedallionPlan:
@@ -153,3 +156,49 @@ def quality_audit(spark: SparkSession, result: JobResult) -> DataFrame:
 def append_audit(df: DataFrame, path: str) -> None:
     """Append audit rows (small: one per partition or per rule) to a Parquet table."""
     df.write.mode("append").parquet(path)
+
+
+def arrival_handler(
+    plan: MedallionPlan,
+    silver: str,
+    gold: str,
+    bi: str | None = None,
+    *,
+    bronze_columns: list[str],
+    audit_root: str | None = None,
+) -> Callable[[DataFrame, RunContext], dict[str, Any] | None]:
+    """E1 + E3: a ``streaming.ingest`` handler that runs the whole chain for each arrival.
+
+    The micro-batch (one landed file) is the bronze input. The run's business
+    date is the arrival date of the file and its source file is the file's
+    name, both read from the arrival columns in one small aggregate. A batch
+    with no data rows (a header-only file) is logged and leaves every table
+    as it was.
+    """
+
+    def handle(batch: DataFrame, run: RunContext) -> dict[str, Any] | None:
+        spark = batch.sparkSession
+        arrival = batch.agg(
+            F.min("event_time").alias("arrived"),
+            F.min("source_filename").alias("first_file"),
+            F.max("source_filename").alias("last_file"),
+        ).first()
+        if arrival.arrived is None:
+            log.warning("Run %s: the landed file holds no rows; tables left untouched.", run.run_id)
+            return None
+        source = arrival.first_file if arrival.first_file == arrival.last_file else f"{arrival.first_file}..{arrival.last_file}"
+        run = replace(run, business_date=arrival.arrived.date(), source_file=source)
+        bronze = batch.select(*bronze_columns)
+        results = {
+            "silver": publish(plan.to_silver(bronze, run), plan.silver_spec(silver), run, name=f"{plan.name}_silver"),
+        }
+        paths = MedallionPaths(landing=source, silver=silver, gold=gold, bi=bi)
+        results["gold"] = run_gold(spark, plan, paths, run)
+        if bi:
+            results["bi_export"] = run_bi(spark, plan, paths, run)
+        if audit_root:
+            for result in results.values():
+                append_audit(quality_audit(spark, result), f"{audit_root}/quality")
+        return {step: result.summary() for step, result in results.items()}
+
+    return handle

@@ -48,3 +48,39 @@ def test_landing_ingest_runs_once_per_file(spark, workdir):
 def test_replayed_batch_gets_the_same_run_id():
     assert batch_run_id("/ckpt", 3) == batch_run_id("/ckpt/", 3)
     assert batch_run_id("/ckpt", 3) != batch_run_id("/ckpt", 4)
+
+
+def test_each_arrival_runs_the_whole_chain(spark, workdir):
+    import datetime as dt
+
+    from terrace.plans import chain, orders
+    from terrace.streaming import ingest
+
+    landing = f"{workdir}/landing"
+    header = ",".join(orders.BRONZE_COLUMNS)
+
+    def land(name, keys):
+        os.makedirs(landing, exist_ok=True)
+        lines = [f"{k},{k % 7},F,{100 + k}.50,1998-10-0{1 + k % 5}T00:00:00,{1 + k % 5}-X" for k in keys]
+        with open(f"{landing}/{name}", "w", encoding="utf-8") as handle:
+            handle.write("\n".join([header, *lines]) + "\n")
+
+    land("orders-a.csv", range(10))
+    time.sleep(0.05)
+    land("orders-b.csv", range(100, 104))
+    land("orders-empty.csv", [])
+    summaries = []
+    handler = chain.arrival_handler(
+        orders.plan(), f"{workdir}/silver", f"{workdir}/gold", f"{workdir}/bi/orders.csv",
+        bronze_columns=orders.BRONZE_COLUMNS, audit_root=f"{workdir}/audit",
+    )
+    ingest(spark, landing, orders.BRONZE_COLUMNS, f"{workdir}/_ck", lambda df, run: summaries.append(handler(df, run)))
+    done = [s for s in summaries if s]
+    assert [s["silver"]["rows"] for s in done] == [10, 4]
+    assert len(summaries) == 3 and summaries.count(None) == 1
+    today = dt.datetime.now(dt.timezone.utc).date()
+    gold = sources.read_partitioned(spark, f"{workdir}/gold")
+    # Both arrivals fall on today's business date; the later file replaced the day.
+    assert gold.count() == 4 and {r.source_file for r in gold.collect()} == {"orders-b.csv"}
+    assert done[-1]["gold"]["business_date"] == today.isoformat()
+    assert spark.read.parquet(f"{workdir}/audit/quality").select("run_id").distinct().count() == 2

@@ -56,6 +56,7 @@ class TableSpec:
     max_records_per_file: int | None = None
     rebalance: bool = False
     catalog_table: str | None = None  # register/refresh this external table after publishing
+    staged: bool = True  # full overwrites swap in a staged copy (False on object stores)
 
     def __post_init__(self):
         if self.layout not in ("dataset", "file"):
@@ -169,7 +170,7 @@ def _write(df: DataFrame, spec: TableSpec, rows: int) -> None:
     if spec.write_mode == "overwrite_partition":
         sinks.overwrite_partitions(df, spec.path, spec.partition_by, rows=rows, **common)
     else:
-        sinks.overwrite_full(df, spec.path, partition_by=spec.partition_by, **common)
+        sinks.overwrite_full(df, spec.path, partition_by=spec.partition_by, staged=spec.staged, **common)
 
 
 def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext | None) -> Q.GateResult:
@@ -185,6 +186,7 @@ def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext |
         compression=spec.compression,
         max_records_per_file=spec.max_records_per_file,
         rebalance=spec.rebalance,
+        staged=False,
     )
     try:
         # Staged in parallel whatever the final layout; a single-file target is

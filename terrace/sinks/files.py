@@ -77,20 +77,40 @@ def overwrite_full(
     compression: str | None = "snappy",
     max_records_per_file: int | None = None,
     rebalance: bool = False,
+    staged: bool = True,
 ) -> str:
     """K1/K2/K6: replace the whole target; stale partitions disappear.
 
     ``rebalance`` hash-distributes rows by the partition columns before the
     write (AQE splits a hot partition and merges small ones), so each folder
     gets few files instead of one per task.
+
+    ``staged`` (default) writes into a sibling folder and swaps it in after
+    the job has committed, so a job that fails part-way (lost executors beyond
+    the retry limit, a killed driver) leaves the previous table in place; a
+    plain overwrite deletes the target when the job starts. On object stores,
+    where a folder move is a copy, pass ``staged=False``.
     """
     parts = list(partition_by)
     if rebalance and parts:
         df = df.hint("rebalance", *parts)
+    target = path
+    if staged:
+        parent, leaf = path.rstrip("/").rsplit("/", 1)
+        target = f"{parent}/_{leaf}_stage_{uuid.uuid4().hex[:8]}"
     writer = _writer(df, fmt, compression, max_records_per_file, "static")
     if parts:
         writer = writer.partitionBy(*parts)
-    writer.format(fmt).save(path)
+    spark = df.sparkSession
+    try:
+        writer.format(fmt).save(target)
+    except Exception:
+        if staged:
+            S.delete_path(spark, target)
+        raise
+    if staged:
+        S.delete_path(spark, path)
+        S.rename_path(spark, target, path)
     return path
 
 
@@ -198,7 +218,7 @@ def overwrite_numeric_partitions(
     spark = df.sparkSession
     parts = list(partition_by)
     stage = f"{root.rstrip('/')}_stage_{uuid.uuid4().hex[:8]}"
-    overwrite_full(df, stage, partition_by=parts, compression=compression, rebalance=rebalance)
+    overwrite_full(df, stage, partition_by=parts, compression=compression, rebalance=rebalance, staged=False)
     written = []
     try:
         leaves = [stage]

@@ -128,3 +128,13 @@ def test_shared_root_comes_from_session(spark):
     root = S.shared_root(spark)
     assert root == spark.sparkContext.getCheckpointDir().rstrip("/")
     assert S.scratch_path(spark, "x").startswith(root)
+
+
+def test_failed_full_overwrite_keeps_previous_table(spark, workdir):
+    path = f"{workdir}/t"
+    sinks.overwrite_full(spark.range(7), path)
+    failing = spark.range(5).selectExpr("id", "CAST(IF(id = 3, raise_error('boom'), id) AS BIGINT) AS v")
+    with pytest.raises(Exception):
+        sinks.overwrite_full(failing, path)
+    assert sources.read_parquet(spark, path).count() == 7
+    assert [d for d in os.listdir(workdir) if "_stage_" in d] == []

@@ -111,7 +111,7 @@ def publish(
     else:
         cached = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            gate = Q.enforce(cached, spec.contract, quality_run)
+            gate = Q.enforce(cached, spec.contract, quality_run, fuse_key=fuse_key_rule(df))
             if gate.rows == 0:
                 raise sinks.EmptyResultError(f"Nothing to write to {spec.path}: the result is empty.")
             _write(cached, spec, gate.rows)
@@ -148,6 +148,18 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
+# Below this estimated size the key rule shares the single pass of the other
+# rules (one action); above it the key rule is a separate key-only shuffle.
+FUSE_LIMIT_CONF = "terrace.gate.fuseKeyMaxBytes"
+DEFAULT_FUSE_LIMIT = 256 * 1024**2
+
+
+def fuse_key_rule(df: DataFrame) -> bool:
+    limit = int(df.sparkSession.conf.get(FUSE_LIMIT_CONF, str(DEFAULT_FUSE_LIMIT)))
+    size = estimated_bytes(df)
+    return size is not None and size <= limit
+
+
 def choose_gate(df: DataFrame, spec: TableSpec) -> str:
     """``cache`` when the result is known to fit the cache bound, otherwise ``observe``."""
     if spec.gate != "auto":

@@ -174,9 +174,10 @@ def _write(df: DataFrame, spec: TableSpec, rows: int) -> None:
         sinks.write_single_file(df, spec.path, fmt=spec.fmt, compression=spec.compression, rows=rows)
         return
     if spec.partition_by and spec.partition_style == "numeric":
-        if spec.write_mode == "overwrite_full":
-            S.delete_path(df.sparkSession, spec.path)
-        sinks.overwrite_numeric_partitions(df, spec.path, spec.partition_by, compression=spec.compression, rows=rows)
+        sinks.overwrite_numeric_partitions(
+            df, spec.path, spec.partition_by, compression=spec.compression, rows=rows,
+            replace_all=spec.write_mode == "overwrite_full",
+        )
         return
     common = dict(fmt=spec.fmt, compression=spec.compression, max_records_per_file=spec.max_records_per_file, rebalance=spec.rebalance)
     if spec.write_mode == "overwrite_partition":
@@ -204,18 +205,18 @@ def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext |
         # Staged in parallel whatever the final layout; a single-file target is
         # rendered from the staged copy only once every rule has passed.
         _write(observed, stage_spec, rows=-1)
+        if int(observation.get["_rows"]) == 0:
+            raise sinks.EmptyResultError(f"Nothing to write to {spec.path}: the result is empty.")
         key_violations = 0
         if spec.contract.primary_key:
             staged_keys = spark.read.parquet(stage).select(*spec.contract.primary_key)
             key_violations = Q.duplicate_key_groups(staged_keys, spec.contract.primary_key).first()["violations"]
         gate = Q.evaluate(Q.observed_report(observation, rules, key_violations), rules)
-        if gate.rows == 0:
-            raise sinks.EmptyResultError(f"Nothing to write to {spec.path}: the result is empty.")
         if spec.layout == "file":
             staged = spark.read.parquet(stage).select(*spec.contract.names)
             sinks.write_single_file(staged, spec.path, fmt=spec.fmt, compression=spec.compression, rows=gate.rows)
         elif spec.fmt != "parquet" or spec.partition_style != "hive":
-            _write(sources_reader(spark, stage, spec), spec, gate.rows)
+            _write(_staged_frame(spark, stage, spec), spec, gate.rows)
         else:
             _move_staged(spark, stage, spec)
         return gate
@@ -223,7 +224,7 @@ def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext |
         S.delete_path(spark, stage)
 
 
-def sources_reader(spark: SparkSession, stage: str, spec: TableSpec) -> DataFrame:
+def _staged_frame(spark: SparkSession, stage: str, spec: TableSpec) -> DataFrame:
     """The staged copy in the contract's column order (partition columns restored)."""
     return spark.read.option("basePath", stage).parquet(stage).select(*spec.contract.names)
 

@@ -204,6 +204,7 @@ def overwrite_numeric_partitions(
     compression: str | None = "snappy",
     rebalance: bool = True,
     rows: int | None = None,
+    replace_all: bool = False,
 ) -> list[str]:
     """K8: write ``root/2026/4/3/`` folders (values only, no ``name=``).
 
@@ -221,6 +222,9 @@ def overwrite_numeric_partitions(
     overwrite_full(df, stage, partition_by=parts, compression=compression, rebalance=rebalance, staged=False)
     written = []
     try:
+        if replace_all:
+            # Full overwrite: drop every old folder, but only once the new data is staged.
+            S.delete_path(spark, root)
         leaves = [stage]
         for _ in parts:
             leaves = [p for leaf in leaves for p, is_dir in S.list_dir(spark, leaf) if is_dir and "=" in p.rsplit("/", 1)[-1]]

@@ -247,3 +247,16 @@ def test_numeric_gold_layout(spark, workdir, landing):
     assert os.path.isdir(f"{p.gold}/2026/4/3")
     back = sources.read_numeric_partitions(spark, p.gold, ("year", "month", "day"))
     assert back.count() == 200 and back.select("day").distinct().first().day == 3
+
+
+def test_observed_gate_refuses_empty_result(spark, workdir, landing):
+    from pyspark.sql import functions as F
+
+    p = paths(workdir, landing)
+    run = run_for("2026-04-03").with_source("hr_attrition.csv")
+    chain.run_silver(spark, PLAN, p, run)
+    gold = hr.to_gold(sources.read_parquet(spark, p.silver), run)
+    publish(gold, hr.gold_spec(p.gold, gate="observe"), run)
+    with pytest.raises(sinks.EmptyResultError):
+        publish(gold.where(F.lit(False)), hr.gold_spec(p.gold, gate="observe"), run)
+    assert sources.read_partitioned(spark, p.gold).count() == 200

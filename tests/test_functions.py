@@ -80,3 +80,16 @@ def test_parse_business_date_forms():
 def test_file_name_of_uri():
     assert file_name_of("s3://lake/bronze/landing/HR-3.csv") == "HR-3.csv"
     assert file_name_of("s3://lake/bronze/landing/") == "landing"
+
+
+def test_arrival_from_uri_or_bucket_and_key():
+    from terrace.run import Arrival
+
+    a = Arrival.of("s3a://lake/bronze/landing/HR-3.csv", business_date="2026-04-03T09:00:00Z", run_id="r")
+    assert (a.bucket_name, a.object_key, a.source_filename) == ("lake", "bronze/landing/HR-3.csv", "HR-3.csv")
+    assert a.business_date == dt.date(2026, 4, 3)
+    b = Arrival.of(bucket_name="lake", object_key="/bronze/landing/HR-3.csv")
+    assert b.source_uri == "s3a://lake/bronze/landing/HR-3.csv" and b.run_id and b.event_time.endswith("Z")
+    assert b.run().source_file == "HR-3.csv"
+    with pytest.raises(ValueError):
+        Arrival.of()

@@ -164,7 +164,7 @@ def arrival_handler(
     gold: str,
     bi: str | None = None,
     *,
-    bronze_columns: list[str],
+    bronze_columns: list[str] | None = None,
     audit_root: str | None = None,
 ) -> Callable[[DataFrame, RunContext], dict[str, Any] | None]:
     """E1 + E3: a ``streaming.ingest`` handler that runs the whole chain for each arrival.
@@ -188,7 +188,8 @@ def arrival_handler(
             return None
         source = arrival.first_file if arrival.first_file == arrival.last_file else f"{arrival.first_file}..{arrival.last_file}"
         run = replace(run, business_date=arrival.arrived.date(), source_file=source)
-        bronze = batch.select(*bronze_columns)
+        arrival_columns = ("source_uri", "bucket_name", "object_key", "source_filename", "event_time", "business_date")
+        bronze = batch.select(*bronze_columns) if bronze_columns else batch.drop(*arrival_columns)
         results = {
             "silver": publish(plan.to_silver(bronze, run), plan.silver_spec(silver), run, name=f"{plan.name}_silver"),
         }

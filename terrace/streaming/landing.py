@@ -44,15 +44,29 @@ def event_columns() -> dict[str, Column]:
     }
 
 
+def landing_header(spark: SparkSession, landing_dir: str, glob: str = "*.csv") -> list[str]:
+    """Column names from the header of the files already landed (first line only)."""
+    columns = spark.read.option("header", True).option("pathGlobFilter", glob).csv(landing_dir).columns
+    if not columns:
+        raise ValueError(f"No landed file under {landing_dir} to take the header from; pass the columns.")
+    return columns
+
+
 def landing_stream(
     spark: SparkSession,
     landing_dir: str,
-    columns: list[str],
+    columns: list[str] | None,
     *,
     glob: str = "*.csv",
     max_files_per_trigger: int = 1,
 ) -> DataFrame:
-    """E1: a stream of landing CSV rows (all text) plus the arrival columns."""
+    """E1: a stream of landing CSV rows (all text) plus the arrival columns.
+
+    ``columns=None`` takes the header of the files already landed; every
+    later file must carry the same header (it is checked per file).
+    """
+    if columns is None:
+        columns = landing_header(spark, landing_dir, glob)
     raw = (
         spark.readStream.schema(string_schema(columns))
         .option("header", True)
@@ -73,7 +87,7 @@ def batch_run_id(checkpoint: str, batch_id: int) -> str:
 def ingest(
     spark: SparkSession,
     landing_dir: str,
-    columns: list[str],
+    columns: list[str] | None,
     checkpoint: str,
     handler: BatchHandler,
     *,

@@ -84,3 +84,18 @@ def test_each_arrival_runs_the_whole_chain(spark, workdir):
     assert gold.count() == 4 and {r.source_file for r in gold.collect()} == {"orders-b.csv"}
     assert done[-1]["gold"]["business_date"] == today.isoformat()
     assert spark.read.parquet(f"{workdir}/audit/quality").select("run_id").distinct().count() == 2
+
+
+def test_hr_files_arriving_run_the_sql_chain(spark, workdir):
+    import hr_fixture
+    from terrace.plans import chain, hr
+    from terrace.streaming import ingest
+
+    landing = f"{workdir}/landing"
+    hr_fixture.write(f"{landing}/HR-1.csv", hr_fixture.rows(50))
+    handler = chain.arrival_handler(hr.plan(), f"{workdir}/silver", f"{workdir}/gold", f"{workdir}/bi/hr.csv")
+    out = []
+    ingest(spark, landing, None, f"{workdir}/_ck", lambda df, run: out.append(handler(df, run)))
+    assert out[0]["silver"]["rows"] == 50 and out[0]["bi_export"]["rows"] == 50
+    silver = sources.read_parquet(spark, f"{workdir}/silver")
+    assert silver.columns == hr.SILVER.names and silver.select("source_file").distinct().first().source_file == "HR-1.csv"

@@ -21,6 +21,7 @@ estimate of the result is within ``terrace.gate.cacheMaxBytes`` and
 
 from __future__ import annotations
 
+import logging
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -38,6 +39,8 @@ from terrace.run import RunContext
 
 Transform = Callable[[DataFrame, RunContext], DataFrame]
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -120,6 +123,7 @@ def publish(
     _verify_written(df.sparkSession, spec, run, gate.rows)
     if spec.catalog_table:
         _register(df.sparkSession, spec, run)
+    log.info("Run %s published %d rows to %s (%s)", run.run_id, gate.rows, spec.path, spec.contract.name)
     return JobResult(
         name=name or spec.contract.name,
         target=spec.path,

@@ -154,8 +154,18 @@ def quality_audit(spark: SparkSession, result: JobResult) -> DataFrame:
 
 
 def append_audit(df: DataFrame, path: str) -> None:
-    """Append audit rows (small: one per partition or per rule) to a Parquet table."""
-    df.write.mode("append").parquet(path)
+    """Add audit rows (small: one per partition or per rule) to a Parquet table.
+
+    The table is partitioned by ``run_id`` and ``pipeline`` (the step), and
+    each write replaces only its own run-and-step folder, so a replayed run (a
+    re-delivered micro-batch, a retry) does not duplicate its rows.
+    """
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id", "pipeline")
+        .parquet(path)
+    )
 
 
 def arrival_handler(

@@ -260,3 +260,13 @@ def test_observed_gate_refuses_empty_result(spark, workdir, landing):
     with pytest.raises(sinks.EmptyResultError):
         publish(gold.where(F.lit(False)), hr.gold_spec(p.gold, gate="observe"), run)
     assert sources.read_partitioned(spark, p.gold).count() == 200
+
+
+def test_replayed_run_does_not_duplicate_audit_rows(spark, workdir, landing):
+    p = paths(workdir, landing)
+    run = run_for("2026-04-03", "replayed")
+    chain.run_chain(spark, PLAN, p, run, audit_root=f"{workdir}/audit")
+    once = spark.read.parquet(f"{workdir}/audit/quality").count()
+    chain.run_chain(spark, PLAN, p, run, audit_root=f"{workdir}/audit")
+    assert spark.read.parquet(f"{workdir}/audit/quality").count() == once
+    assert spark.read.parquet(f"{workdir}/audit/partitions").count() == 1

@@ -290,6 +290,51 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chain.run_partition_summary(spark, spec, run, "orders_gold_history")
 
 
+def silver_normalize_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders silver step written as a SQL file (typed parameters, bound source)."""
+    from pathlib import Path
+
+    from terrace.plans.jobs import sql_transform
+
+    root = S.scratch_path(spark, "silver_normalize_sql")
+    landing = _land_orders(spark, sf_dir, root)
+    text = (Path(orders.__file__).parent / "sql" / "orders_silver.sql").read_text(encoding="utf-8")
+    run = _run()
+    publish(sql_transform(text)(orders.read_bronze(spark, landing), run), orders.silver_spec(f"{root}/silver"), run, inputs=[landing])
+    return sources.read_parquet(spark, f"{root}/silver")
+
+
+def silver_gate_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver published through the observe-while-staging gate (the large-result path)."""
+    root = S.scratch_path(spark, "silver_gate_observed")
+    landing = _land_orders(spark, sf_dir, root)
+    run = _run()
+    silver = orders.to_silver(orders.read_bronze(spark, landing), run)
+    publish(silver, orders.silver_spec(f"{root}/silver", gate="observe"), run, inputs=[landing])
+    return sources.read_parquet(spark, f"{root}/silver")
+
+
+def gold_gate_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two gold days published through the observe gate (staged day folders moved into place)."""
+    root = S.scratch_path(spark, "gold_gate_observed")
+    silver = orders.to_silver(_orders_as_text(spark, sf_dir), _run())
+    for business_date, run_id in ((PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, RUN_ID)):
+        run = _run(business_date, run_id)
+        publish(orders.to_gold(silver, run), orders.gold_spec(f"{root}/gold", gate="observe"), run)
+    return sources.read_partitioned(spark, f"{root}/gold")
+
+
+def catalog_registered_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold days published with catalog registration wired into the job (C1/C2 + K3)."""
+    root = S.scratch_path(spark, "catalog_registered_publish")
+    table_name = f"{_database(spark, 'registered')}.gold_orders"
+    silver = orders.to_silver(_orders_as_text(spark, sf_dir), _run())
+    for business_date, run_id in ((PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, RUN_ID)):
+        run = _run(business_date, run_id)
+        publish(orders.to_gold(silver, run), orders.gold_spec(f"{root}/gold", catalog_table=table_name), run)
+    return spark.table(table_name)
+
+
 # ---------------------------------------------------------------------------
 # Column functions
 # ---------------------------------------------------------------------------
@@ -566,6 +611,10 @@ QUERIES: dict[str, Query] = {
     "medallion_chain": medallion_chain,
     "backfill_business_date": backfill_business_date,
     "run_summary": run_summary,
+    "silver_normalize_sql": silver_normalize_sql,
+    "silver_gate_observed": silver_gate_observed,
+    "gold_gate_observed": gold_gate_observed,
+    "catalog_registered_publish": catalog_registered_publish,
     "cast_integer": cast_integer,
     "cast_decimal": cast_decimal,
     "flag_yes_no": flag_yes_no,

@@ -174,6 +174,7 @@ FROM ({_gold_history()}) g GROUP BY year, month, day""",
     "silver_normalize_sql": _SILVER,
     "silver_gate_observed": _SILVER,
     "gold_gate_observed": _union(_gold(QS.PREVIOUS_DATE, QS.PREVIOUS_RUN_ID), _gold(QS.BUSINESS_DATE, QS.RUN_ID)),
+    "gold_numeric_publish": _union(_gold(QS.PREVIOUS_DATE, QS.PREVIOUS_RUN_ID), _gold(QS.BUSINESS_DATE, QS.RUN_ID)),
     "catalog_registered_publish": _union(_gold(QS.PREVIOUS_DATE, QS.PREVIOUS_RUN_ID), _gold(QS.BUSINESS_DATE, QS.RUN_ID)),
     "cast_integer": """
 SELECT l_orderkey, l_linenumber, l_linenumber AS padded_linenumber, TRY_CAST(l_returnflag AS INTEGER) AS returnflag_as_int

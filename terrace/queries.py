@@ -324,6 +324,17 @@ def gold_gate_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_partitioned(spark, f"{root}/gold")
 
 
+def gold_numeric_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two gold days published in the numeric layout (``root/2026/4/3``), values read back from the paths."""
+    root = S.scratch_path(spark, "gold_numeric_publish")
+    silver = orders.to_silver(_orders_as_text(spark, sf_dir), _run())
+    for business_date, run_id in ((PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, RUN_ID)):
+        run = _run(business_date, run_id)
+        publish(orders.to_gold(silver, run), orders.gold_spec(f"{root}/gold", partition_style="numeric"), run)
+    back = sources.read_numeric_partitions(spark, f"{root}/gold", orders.GOLD.partition_columns)
+    return back.select(*orders.GOLD.names)
+
+
 def catalog_registered_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold days published with catalog registration wired into the job (C1/C2 + K3)."""
     root = S.scratch_path(spark, "catalog_registered_publish")
@@ -615,6 +626,7 @@ QUERIES: dict[str, Query] = {
     "silver_gate_observed": silver_gate_observed,
     "gold_gate_observed": gold_gate_observed,
     "catalog_registered_publish": catalog_registered_publish,
+    "gold_numeric_publish": gold_numeric_publish,
     "cast_integer": cast_integer,
     "cast_decimal": cast_decimal,
     "flag_yes_no": flag_yes_no,

@@ -36,6 +36,7 @@ from terrace.session import build_session  # noqa: E402
 
 HEADLINE = [
     "silver_normalize",
+    "silver_gate_observed",
     "gold_enrich",
     "bi_snapshot",
     "medallion_chain",

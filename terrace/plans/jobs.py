@@ -138,11 +138,33 @@ def publish(
 
 # Results whose estimated size is above this many bytes are gated while they
 # are written (``observe``) instead of being cached first. Set per session with
-# ``spark.conf.set(CACHE_LIMIT_CONF, ...)``.
+# ``spark.conf.set(CACHE_LIMIT_CONF, ...)``; unset, it is half of the storage
+# memory of the executors currently registered (DEFAULT_CACHE_LIMIT when that
+# is unknown).
 CACHE_LIMIT_CONF = "terrace.gate.cacheMaxBytes"
 DEFAULT_CACHE_LIMIT = 32 * 1024**3
 
 
+def cluster_storage_bytes(spark: SparkSession) -> int | None:
+    """Total storage memory of the registered executors (block managers)."""
+    try:
+        values = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().valuesIterator()
+        total = 0
+        while values.hasNext():
+            total += int(values.next()._1())
+        return total or None
+    except Exception:  # noqa: BLE001 - advisory
+        return None
+
+
+def cache_limit(spark: SparkSession) -> int:
+    configured = spark.conf.get(CACHE_LIMIT_CONF, None)
+    if configured:
+        return int(configured)
+    storage = cluster_storage_bytes(spark)
+    return storage // 2 if storage else DEFAULT_CACHE_LIMIT
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
     """The optimizer's size estimate of ``df`` (from file sizes and projections)."""
     try:
@@ -168,9 +190,8 @@ def choose_gate(df: DataFrame, spec: TableSpec) -> str:
     """``cache`` when the result is known to fit the cache bound, otherwise ``observe``."""
     if spec.gate != "auto":
         return spec.gate
-    limit = int(df.sparkSession.conf.get(CACHE_LIMIT_CONF, str(DEFAULT_CACHE_LIMIT)))
     size = estimated_bytes(df)
-    return "cache" if size is not None and size <= limit else "observe"
+    return "cache" if size is not None and size <= cache_limit(df.sparkSession) else "observe"
 
 
 def _write(df: DataFrame, spec: TableSpec, rows: int) -> None:

@@ -83,3 +83,14 @@ def test_one_day_gold_write_has_no_shuffle(spark, workdir):
     finally:
         jobs.sinks.overwrite_partitions = original
     assert "Exchange" not in captured["plan"]
+
+
+def test_cache_bound_defaults_to_cluster_storage(spark):
+    storage = jobs.cluster_storage_bytes(spark)
+    assert storage and storage > 0
+    assert jobs.cache_limit(spark) == storage // 2
+    spark.conf.set(jobs.CACHE_LIMIT_CONF, "123")
+    try:
+        assert jobs.cache_limit(spark) == 123
+    finally:
+        spark.conf.unset(jobs.CACHE_LIMIT_CONF)

@@ -6,8 +6,9 @@ estimate of the result is within ``terrace.gate.cacheMaxBytes`` and
 ``observe`` otherwise (or when there is no estimate):
 
 ``cache``
-    The result is persisted (memory, spilling to disk), every rule runs in one
-    action over it, and the write reuses the cached rows. The source is read
+    The result is persisted (memory, spilling to disk), every rule runs over
+    it in one action (small results, single pass) or two (scalar rules, then
+    the key-only shuffle), and the write reuses the cached rows. The source is read
     once. If an executor is lost, its cached blocks are recomputed from the
     plan.
 

@@ -516,8 +516,9 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _database(spark: SparkSession, name: str) -> str:
+    """A fresh database whose folder is under the shared root (not the local warehouse)."""
     database = f"terrace_{name}_{uuid.uuid4().hex[:10]}"
-    catalog.ensure_database(spark, database)
+    catalog.ensure_database(spark, database, location=f"{S.shared_root(spark)}/terrace/warehouse/{database}.db")
     return database
 
 

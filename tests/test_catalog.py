@@ -16,7 +16,7 @@ def test_partitioned_external_table_sees_registered_days(spark, workdir):
         r = _run(day)
         publish(orders.to_gold(silver, r), orders.gold_spec(gold), r)
     db = f"terrace_test_{uuid.uuid4().hex[:8]}"
-    catalog.ensure_database(spark, db)
+    catalog.ensure_database(spark, db, location=f"{workdir}/warehouse/{db}.db")
     table = catalog.register_external_table(spark, f"{db}.gold_orders", orders.GOLD, gold)
     # Declared schema, partition columns last.
     assert spark.table(table).columns[-3:] == ["year", "month", "day"]
@@ -35,7 +35,7 @@ def test_unpartitioned_external_table(spark, workdir):
     run = _run()
     publish(orders.to_silver(_orders_as_text(spark, SF), run), orders.silver_spec(f"{workdir}/silver"), run)
     db = f"terrace_test_{uuid.uuid4().hex[:8]}"
-    catalog.ensure_database(spark, db)
+    catalog.ensure_database(spark, db, location=f"{workdir}/warehouse/{db}.db")
     table = catalog.register_external_table(spark, f"{db}.silver_orders", orders.SILVER, f"{workdir}/silver")
     assert spark.table(table).columns == orders.SILVER.names
     assert spark.table(table).count() == 1500
@@ -43,6 +43,7 @@ def test_unpartitioned_external_table(spark, workdir):
 
 def test_jobs_register_their_tables(spark, workdir):
     db = f"terrace_test_{uuid.uuid4().hex[:8]}"
+    catalog.ensure_database(spark, db, location=f"{workdir}/warehouse/{db}.db")
     run = _run()
     silver = orders.to_silver(_orders_as_text(spark, SF), run)
     publish(silver, orders.silver_spec(f"{workdir}/silver", catalog_table=f"{db}.silver_orders"), run)

@@ -579,6 +579,7 @@ def stream_event_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     arrivals = (
         spark.readStream.schema(stream)
         .option("header", True)
+        .option("escape", '"')
         .option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", 1)
         .csv(f"{root}/landing")

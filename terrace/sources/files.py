@@ -30,12 +30,20 @@ def read_csv_strings(
 ) -> DataFrame:
     """S1: CSV with a header row, every column read as text.
 
+    Quotes inside a quoted field are doubled (RFC 4180, as spreadsheet and
+    database exports write them); a backslash is an ordinary character.
     Without ``columns`` the names come from the header. With ``columns`` the
     header must carry exactly those names (``enforceSchema=false``), so a file
     with reordered columns fails instead of shifting values.
     ``with_file_name`` adds ``_source_file`` from the file metadata.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+    reader = (
+        spark.read.option("header", True)
+        .option("inferSchema", False)
+        .option("mode", "PERMISSIVE")
+        .option("quote", '"')
+        .option("escape", '"')
+    )
     if columns is not None:
         reader = reader.schema(string_schema(columns)).option("enforceSchema", False)
     if isinstance(path, str) and not glob:
@@ -141,6 +149,8 @@ def land_files(
     if fmt == "csv":
         writer = writer.options(
             header=True,
+            quote='"',
+            escape='"',
             timestampFormat=LANDING_TIMESTAMP_FORMAT,
             timestampNTZFormat=LANDING_TIMESTAMP_FORMAT,
         )

@@ -46,7 +46,8 @@ def event_columns() -> dict[str, Column]:
 
 def landing_header(spark: SparkSession, landing_dir: str, glob: str = "*.csv") -> list[str]:
     """Column names from the header of the files already landed (first line only)."""
-    columns = spark.read.option("header", True).option("pathGlobFilter", glob).csv(landing_dir).columns
+    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("pathGlobFilter", glob)
+    columns = reader.csv(landing_dir).columns
     if not columns:
         raise ValueError(f"No landed file under {landing_dir} to take the header from; pass the columns.")
     return columns
@@ -70,6 +71,8 @@ def landing_stream(
     raw = (
         spark.readStream.schema(string_schema(columns))
         .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
         .option("enforceSchema", False)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files_per_trigger)

@@ -270,3 +270,16 @@ def test_replayed_run_does_not_duplicate_audit_rows(spark, workdir, landing):
     chain.run_chain(spark, PLAN, p, run, audit_root=f"{workdir}/audit")
     assert spark.read.parquet(f"{workdir}/audit/quality").count() == once
     assert spark.read.parquet(f"{workdir}/audit/partitions").count() == 1
+
+
+def test_quotes_and_commas_survive_landing_to_snapshot(spark, workdir):
+    """hr_quotes: a department with a comma and double quotes, written the RFC 4180 way."""
+    data = hr_fixture.rows(3)
+    data[1]["Department"] = 'Sales, "EMEA"'
+    data[2]["Department"] = "back\\slash"
+    landing = hr_fixture.write(f"{workdir}/landing/hr_quotes.csv", data)
+    p = paths(workdir, landing)
+    chain.run_chain(spark, PLAN, p, run_for("2026-04-03"))
+    with open(p.bi, newline="", encoding="utf-8") as handle:
+        departments = sorted(r["department"] for r in csv.DictReader(handle))
+    assert departments == ["back\\slash", "sales", 'sales, "emea"']

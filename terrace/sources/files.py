@@ -27,6 +27,7 @@ def read_csv_strings(
     *,
     glob: str | None = None,
     with_file_name: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """S1: CSV with a header row, every column read as text.
 
@@ -36,6 +37,8 @@ def read_csv_strings(
     header must carry exactly those names (``enforceSchema=false``), so a file
     with reordered columns fails instead of shifting values.
     ``with_file_name`` adds ``_source_file`` from the file metadata.
+    ``multiline`` accepts line breaks inside quoted fields; each file is then
+    parsed by one task (it cannot be split), so it is off by default.
     """
     reader = (
         spark.read.option("header", True)
@@ -43,6 +46,7 @@ def read_csv_strings(
         .option("mode", "PERMISSIVE")
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", multiline)
     )
     if columns is not None:
         reader = reader.schema(string_schema(columns)).option("enforceSchema", False)

@@ -64,3 +64,11 @@ def test_self_overwrite_is_refused(spark, workdir):
     with pytest.raises(SelfOverwriteError):
         chain.run_silver(spark, hr.plan(), p, RunContext.create("2026-04-03", source_file="hr.csv"))
     assert os.path.isfile(landing)
+
+
+def test_multiline_fields_are_opt_in(spark, workdir):
+    path = f"{workdir}/ml.csv"
+    with open(path, "w", encoding="utf-8") as handle:
+        handle.write('id,note\n1,"line one\nline two"\n2,plain\n')
+    rows = sources.read_csv_strings(spark, path, multiline=True).orderBy("id").collect()
+    assert [r.note for r in rows] == ["line one\nline two", "plain"]

@@ -3,8 +3,8 @@
 Every query reads whole tables from ``sf_dir`` (or data Spark derives from
 them), runs the library operator, and returns a DataFrame. Queries that
 exercise sinks write under the session's shared folder and return the
-read-back of what they published. ``ORACLES`` holds, for each query, SQL that
-computes the same result directly from the tables.
+read-back of what they published. :mod:`terrace.oracles` holds, for each
+query, SQL that computes the same result directly from the tables.
 """
 
 from __future__ import annotations

@@ -568,7 +568,7 @@ def stream_landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "stream_landing_ingest")
     _land_events(spark, sf_dir, f"{root}/landing")
     events.ingest_landing(spark, f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint", max_files_per_trigger=1)
-    silver = sources.read_partitioned(spark, f"{root}/silver")
+    silver = sources.read_table(spark, f"{root}/silver", events.SILVER.schema)
     return silver.select("event_id", "ts", "user_id", "event_type", "value", "props", "event_date")
 
 

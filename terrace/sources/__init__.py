@@ -4,6 +4,7 @@ from terrace.sources.files import (
     read_numeric_partitions,
     read_parquet,
     read_partitioned,
+    read_table,
     resolve_landing_source,
     sql_over,
     string_schema,
@@ -15,6 +16,7 @@ __all__ = [
     "read_numeric_partitions",
     "read_parquet",
     "read_partitioned",
+    "read_table",
     "resolve_landing_source",
     "sql_over",
     "string_schema",

@@ -111,6 +111,16 @@ def read_partitioned(spark: SparkSession, root: str, fmt: str = "parquet", schem
         raise
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """A published table read with its declared schema (contract types, partition columns included).
+
+    Partition values are then typed by the contract instead of by inference, so
+    a ``source_file=20240103`` folder stays a string. Columns come back in the
+    declared order.
+    """
+    return spark.read.schema(schema).option("basePath", path).format(fmt).load(path).select(*schema.names)
+
+
 def read_numeric_partitions(spark: SparkSession, root: str, partition_by: list[str] | tuple[str, ...]) -> DataFrame:
     """K8 read side: ``root/2026/4/3/part.parquet`` with the values taken from the path."""
     df = spark.read.option("recursiveFileLookup", True).parquet(root)

@@ -99,3 +99,13 @@ def test_hr_files_arriving_run_the_sql_chain(spark, workdir):
     assert out[0]["silver"]["rows"] == 50 and out[0]["bi_export"]["rows"] == 50
     silver = sources.read_parquet(spark, f"{workdir}/silver")
     assert silver.columns == hr.SILVER.names and silver.select("source_file").distinct().first().source_file == "HR-1.csv"
+
+
+def test_numeric_looking_file_names_stay_strings(spark, workdir):
+    landing, silver = f"{workdir}/landing", f"{workdir}/silver"
+    _write(f"{landing}/20240103", ["7,2024-01-03 00:00:00,1,view,1.0,"])
+    events.ingest_landing(spark, landing, silver, f"{workdir}/_ck", glob="*")
+    df = sources.read_table(spark, silver, events.SILVER.schema)
+    assert dict(df.dtypes)["source_file"] == "string"
+    assert df.first().source_file == "20240103"
+    assert df.columns == events.SILVER.names

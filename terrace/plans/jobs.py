@@ -239,7 +239,7 @@ def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext |
             key_violations = Q.duplicate_key_groups(staged_keys, spec.contract.primary_key).first()["violations"]
         gate = Q.evaluate(Q.observed_report(observation, rules, key_violations), rules)
         if spec.layout == "file":
-            staged = spark.read.parquet(stage).select(*spec.contract.names)
+            staged = _staged_frame(spark, stage, spec)
             sinks.write_single_file(staged, spec.path, fmt=spec.fmt, compression=spec.compression, rows=gate.rows)
         elif spec.fmt != "parquet" or spec.partition_style != "hive":
             _write(_staged_frame(spark, stage, spec), spec, gate.rows)
@@ -251,8 +251,10 @@ def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext |
 
 
 def _staged_frame(spark: SparkSession, stage: str, spec: TableSpec) -> DataFrame:
-    """The staged copy in the contract's column order (partition columns restored)."""
-    return spark.read.option("basePath", stage).parquet(stage).select(*spec.contract.names)
+    """The staged copy with the contract's types and column order (partition columns restored)."""
+    from terrace.sources import read_table
+
+    return read_table(spark, stage, spec.contract.schema)
 
 
 def _move_staged(spark: SparkSession, stage: str, spec: TableSpec) -> None:

@@ -367,5 +367,4 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
         F.size("found.items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("found.items"), ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("found.n_words"))).alias("contaminated"),
-        F.col("found.longest").alias("longest_match"),
     )

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontamination, mixing, simhash
+from terrace.llm import decontamination, language, mixing, simhash
 from terrace.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, from its text alone."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that the mix takes, beside its source's size and target."""
     return mixing.mixture(table(spark, sf_dir, "documents"))
@@ -44,6 +49,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op2_benchmark_decontamination,
         op4_simhash_near_dedup,
+        op5_language_id,
         op6_mixing_sources,
     )
 }

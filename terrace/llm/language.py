@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.llm.common import id_remainder, text_chunks
+from terrace.llm.words import SEPARATOR, letters
 
 UNDETERMINED = "und"
 SAMPLE_BYTES = 96_000  # of all languages together
@@ -44,24 +45,6 @@ WINDOW = 256
 HELD_OUT = 5
 HAS_LETTER = r"\p{L}"
 
-_SEPARATOR = 0x20
-
-
-def _normalise(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Letters in lower case with one separator for each run of other bytes; offsets of the rows."""
-    if not len(data):
-        return data, offsets
-    low = data.copy()
-    low[(low >= 65) & (low <= 90)] += 32
-    before = np.r_[np.uint8(0), data[:-1]]
-    low[(before == 0xC3) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)] += 0x20
-    other = (low < 0x80) & ((low < 97) | (low > 122))
-    low[other] = _SEPARATOR
-    keep = np.ones(len(low), bool)
-    keep[1:] = ~(other[1:] & other[:-1])
-    return low[keep], np.r_[0, np.cumsum(keep)][offsets]
-
-
 def _automaton(text: bytes) -> list[dict[int, int]]:
     """Transitions of the suffix automaton of ``text``; state 0 is the start."""
     nxt: list[dict[int, int]] = [{}]
@@ -132,7 +115,7 @@ class Parser(NamedTuple):
         """Bits a byte for each text (rows) and language (columns); infinite for texts without bytes."""
         out = np.full((len(array), len(self.languages)), np.inf)
         for at, data, offsets in text_chunks(array):
-            text, offsets = _normalise(data, offsets)
+            text, offsets = letters(data, offsets)
             size = np.diff(offsets)
             windows = -(-size // WINDOW)
             if not windows.sum():
@@ -215,8 +198,8 @@ def _samples(lines: dict[str, list[list[str]]]) -> dict[str, bytes]:
     out = {}
     for name, texts in lines.items():
         raw = "".join(line + "\n" for text in texts for line in text).encode()
-        sample = _normalise(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0].tobytes()
-        if sample.strip(bytes([_SEPARATOR])):
+        sample = letters(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0].tobytes()
+        if sample.strip(bytes([SEPARATOR])):
             out[name] = sample
     return out
 
@@ -249,8 +232,8 @@ def predict(docs: DataFrame, parser: Parser, text: str = "text", keep: tuple[Col
     def run(batches):
         for batch in batches:
             names, score = shared.value.predict(batch.column(batch.num_columns - 1))
-            for row, letters in enumerate(batch.column(batch.num_columns - 2).to_pylist()):
-                if not letters:
+            for row, known in enumerate(batch.column(batch.num_columns - 2).to_pylist()):
+                if not known:
                     names[row], score[row] = UNDETERMINED, 0.0
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(names, pa.string()), pa.array(score)], names=schema.fieldNames())
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontamination, language, mixing, simhash
+from terrace.llm import decontamination, language, mixing, simhash, toxicity
 from terrace.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,11 @@ def op6_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document, from its text alone."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -51,6 +56,7 @@ QUERIES: dict[str, Query] = {
         op4_simhash_near_dedup,
         op5_language_id,
         op6_mixing_sources,
+        op10_toxicity,
     )
 }
 

@@ -23,6 +23,8 @@ NOT_SPACE[[0x20, *range(0x09, 0x0E)]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[0x30:0x3A] = ALNUM[0x61:0x7B] = ALNUM[0x80:] = True
 
+SEPARATOR = 0x20
+
 HASH_BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2^64
 
@@ -142,3 +144,22 @@ class HashIndex:
             out[other] = self.place[slot[other]]
             other = other[(out[other] >= 0) & (self.key[slot[other]] != queries[other])]
         return out
+
+
+def letters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Letters in lower case, with one separator for each run of other bytes; and the rows' new offsets.
+
+    A-Z and Latin-1 capitals become lower case, bytes beyond ASCII otherwise
+    stay as they are, and all other ASCII bytes separate.
+    """
+    if not len(data):
+        return data, offsets
+    low = data.copy()
+    low[(low >= 65) & (low <= 90)] += 32
+    before = np.r_[np.uint8(0), data[:-1]]
+    low[(before == 0xC3) & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)] += 0x20
+    other = (low < 0x80) & ((low < 97) | (low > 122))
+    low[other] = SEPARATOR
+    keep = np.ones(len(low), bool)
+    keep[1:] = ~(other[1:] & other[:-1])
+    return low[keep], np.r_[0, np.cumsum(keep)][offsets]

@@ -5,9 +5,9 @@ with the same common words of ordinary text; before them each holds the words
 that its own class uses significantly more often, so a window of text
 compresses to different lengths only where it holds something typical of one
 class. A text is cut into windows of about ``WINDOW`` bytes at word ends, each
-is compressed with either dictionary, and the differences in length (largest,
-mean, and the mean of the largest three) give the score through a logistic
-threshold calibrated on the labelled sample.
+is compressed with either dictionary, and the differences in length (their
+mean and the share of telling ones, beside the number of windows) give the
+score through a logistic threshold calibrated on the labelled sample.
 
 How often a word is used is counted over its different contexts (the words
 beside it), so that copies of one text count once.
@@ -37,7 +37,8 @@ from pyspark.sql import types as T
 from terrace.llm.common import id_remainder, text_chunks
 from terrace.llm.words import SEPARATOR, Words, hashes, letters, mix
 
-WINDOW = 32
+WINDOW = 48
+TELLING = 2  # bytes of difference that few ordinary windows show
 WINDOW_SLACK = 24  # a window ends at a word end if one comes within so many bytes
 LEVEL = 9
 SHORTEST_MATCH = 4
@@ -47,7 +48,7 @@ SAMPLE_TEXT_BYTES = 16_000
 COMMON_WORDS = 300
 TYPICAL_BYTES = 2_048
 LEAST_EVIDENCE = 4.0  # standard deviations from the classes' common rate
-LEAST_SHARE = 0.25  # of the strongest word's evidence: weaker words are mostly traces of near copies
+LEAST_SHARE = 0.4  # of the strongest word's evidence: weaker words are mostly traces of near copies
 LEAST_CONTEXTS = 5
 LEAST_LETTERS = 3
 HELD_OUT = 5
@@ -150,16 +151,13 @@ class Model(NamedTuple):
         return out
 
     def features(self, texts) -> np.ndarray:
-        """Largest, mean and largest-three mean difference of the windows of each (normalised) text."""
+        """Mean difference, share of telling differences and log number of windows of each (normalised) text."""
         toxic, ordinary = self._compressors()
         out = []
         for text in texts:
             far = [len(ordinary(w)) - len(toxic(w)) for w in _windows(text)]
-            if far:
-                most = sorted(far)[-3:]
-                out.append((most[-1], sum(far) / len(far), sum(most) / 3))
-            else:
-                out.append((0.0, 0.0, 0.0))
+            n = max(1, len(far))
+            out.append((sum(far) / n, sum(x >= TELLING for x in far) / n, np.log(n)))
         return np.array(out, float).reshape(-1, 3)
 
     def scores(self, array: pa.Array) -> np.ndarray:

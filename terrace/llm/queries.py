@@ -9,12 +9,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontamination, language, mixing, simhash, toxicity
+from terrace.llm import decontamination, html_extraction, language, mixing, multiset_hash, simhash, toxicity
 from terrace.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of each document and of its edited text, and how alike they are."""
+    return multiset_hash.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document inside benchmark windows, the items found, and the verdict."""
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -35,6 +40,11 @@ def op6_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of each page."""
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of each document, from its text alone."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -52,10 +62,12 @@ def _shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
     for query in (
+        op1_document_fingerprints,
         op2_benchmark_decontamination,
         op4_simhash_near_dedup,
         op5_language_id,
         op6_mixing_sources,
+        op9_html_extraction,
         op10_toxicity,
     )
 }

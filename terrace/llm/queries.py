@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontamination, html_extraction, language, mixing, multiset_hash, simhash, toxicity
+from terrace.llm import decontamination, html_extraction, language, mixing, multiset_hash, secrets_scan, simhash, toxicity
 from terrace.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op6_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in each document, told apart by how many sources own them."""
+    return secrets_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of each page."""
     return html_extraction.extract(table(spark, sf_dir, "pages"))
@@ -67,6 +72,7 @@ QUERIES: dict[str, Query] = {
         op4_simhash_near_dedup,
         op5_language_id,
         op6_mixing_sources,
+        op8_secret_scans,
         op9_html_extraction,
         op10_toxicity,
     )
@@ -96,5 +102,41 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(listed, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
+""",
+    "op8_secret_scans": r"""
+WITH found AS (
+  SELECT doc_id, row, source, rank, gaps, wholes, vals FROM (
+    SELECT doc_id, row_number() OVER () AS row, source, coalesce(text, '') AS t FROM documents
+  ), LATERAL (
+    SELECT 0 AS rank, string_split_regex(t, '(?i:password|passwd|secret|token|api_?key)["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)') AS gaps,
+           regexp_extract_all(t, '(?i:password|passwd|secret|token|api_?key)["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)') AS wholes,
+           regexp_extract_all(t, '(?i:password|passwd|secret|token|api_?key)["'']? *[:=] *["'']?([A-Za-z0-9+/_.=-]+)', 1) AS vals
+    UNION ALL SELECT 1, string_split_regex(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+'), regexp_extract_all(t, 'AKIA[A-Z0-9]+')
+    UNION ALL SELECT 2, string_split_regex(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+'), regexp_extract_all(t, '[0-9a-f]+')
+    UNION ALL SELECT 3, string_split_regex(t, '[A-Za-z0-9+/_-]+'), regexp_extract_all(t, '[A-Za-z0-9+/_-]+'), regexp_extract_all(t, '[A-Za-z0-9+/_-]+')
+  )
+), each AS (
+  SELECT doc_id, row, source, rank, place, length(gaps[place]) AS gap, length(wholes[place]) AS size, vals[place] AS val
+  FROM (SELECT *, unnest(range(1, len(wholes) + 1)) AS place FROM found)
+), placed AS (
+  SELECT doc_id, row, source, rank, size, val, sum(gap + size) OVER (PARTITION BY row, rank ORDER BY place) AS fin FROM each
+), fit AS (
+  SELECT doc_id, row, source, rank, val, (fin - size)::BIGINT AS beg, fin::BIGINT AS fin FROM placed
+  WHERE length(val) >= CASE rank WHEN 0 THEN 8 WHEN 1 THEN 16 WHEN 2 THEN 32 ELSE 20 END
+    AND (rank < 3 OR (regexp_matches(val, '[0-9].*[0-9]') AND regexp_matches(val, '[a-z]') AND regexp_matches(val, '[A-Z]')))
+), kept AS (
+  SELECT * FROM fit a WHERE rank < 3 OR NOT EXISTS (
+    SELECT 1 FROM fit b WHERE b.rank < 3 AND b.row = a.row AND b.beg < a.fin AND a.beg < b.fin)
+), owned AS (SELECT val, count(DISTINCT coalesce('s' || source, '')) AS n_owners FROM kept GROUP BY val),
+told AS (SELECT kept.*, n_owners < 2 AS live, ['assign', 'access', 'hex', 'random'][rank + 1] || ':' || beg || ':' || fin AS label
+         FROM kept JOIN owned USING (val) WHERE rank < 3 OR n_owners < 2),
+spans AS (
+  SELECT row, count(*) FILTER (rank = 0) AS a, count(*) FILTER (rank = 1) AS b, count(*) FILTER (rank = 2) AS c, count(*) FILTER (rank = 3) AS d,
+         count(*) FILTER (live) AS l, string_agg(label, ',' ORDER BY beg, rank) FILTER (rank < 3) AS based, string_agg(label, ',' ORDER BY beg, rank) AS every
+  FROM told GROUP BY row
+)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+       sha256(coalesce(based, '')) AS base_sha256, coalesce(every, '') AS spans, coalesce(d, 0)::BIGINT AS n_random, coalesce(l, 0)::BIGINT AS n_live
+FROM (SELECT doc_id, row_number() OVER () AS row FROM documents) LEFT JOIN spans USING (row)
 """,
 }

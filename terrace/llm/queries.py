@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontamination, html_extraction, language, mixing, multiset_hash, secrets_scan, simhash, toxicity
+from terrace.llm import decontamination, html_extraction, language, language_model, mixing, multiset_hash, secrets_scan, simhash, toxicity
 from terrace.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and maximum-entropy scores of each document."""
+    return language_model.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of each document and its component of near copies."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -69,6 +74,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_document_fingerprints,
         op2_benchmark_decontamination,
+        op3_lm_scoring,
         op4_simhash_near_dedup,
         op5_language_id,
         op6_mixing_sources,

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontamination, html_extraction, language, language_model, mixing, multiset_hash, secrets_scan, simhash, toxicity
+from terrace.llm import decontamination, html_extraction, language, language_model, mixing, multiset_hash, packing, secrets_scan, simhash, toxicity
 from terrace.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,11 @@ def op6_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op7_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents, packed into rows of equal length."""
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in each document, told apart by how many sources own them."""
     return secrets_scan.scan(table(spark, sf_dir, "documents"))
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op4_simhash_near_dedup,
         op5_language_id,
         op6_mixing_sources,
+        op7_token_packing,
         op8_secret_scans,
         op9_html_extraction,
         op10_toxicity,

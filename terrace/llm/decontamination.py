@@ -56,6 +56,7 @@ class ItemAutomaton:
         self.shortest = min((min(len(c), window) for c in coded if c), default=0)
         self.items: list[list[str]] = [[] for _ in self.next]
         self.whole: dict[int, int] = {}  # state of a short item -> its words
+        self.whole_items: dict[int, list[str]] = {}
         self._mark(items, coded)
         # Nearest state up the suffix links, itself included, that is a short item.
         self.short = [-1] * len(self.next)
@@ -112,6 +113,7 @@ class ItemAutomaton:
                     at = self.link[at]
             if 0 < len(codes) < self.window:
                 self.whole[state] = len(codes)
+                self.whole_items.setdefault(state, []).extend([] if item_id is None else [item_id])
 
     def walk(self, words: Iterable[bytes]) -> tuple[list[tuple[int, int]], set[str], int]:
         """Hit spans (word places, end exclusive) of a word sequence, their items and the longest match."""
@@ -144,7 +146,7 @@ class ItemAutomaton:
             if at == state and length < self.whole[at]:
                 at = self.short[self.link[at]]
             while at > 0:  # every short item that ends here
-                items.update(self.items[at])
+                items.update(self.whole_items[at])
                 reach = max(reach, self.whole[at])
                 at = self.short[self.link[at]]
             if reach:
@@ -173,8 +175,8 @@ class Matcher:
         self.gram = min(GRAM, self.automaton.shortest)
         vocabulary = sorted(self.automaton.vocabulary, key=self.automaton.vocabulary.__getitem__)
         self.index = HashIndex(np.array([hash_of(w) for w in vocabulary], np.uint64))
-        grams = {tuple(words[i : i + self.gram]) for _, words in items for i in range(len(words) - self.gram + 1)}
-        codes = np.array([[self.automaton.vocabulary[w] for w in g] for g in grams], np.int64).reshape(-1, self.gram)
+        grams = {tuple(words[i : i + self.gram]) for _, words in items for i in range(len(words) - self.gram + 1)} if self.gram else set()
+        codes = np.array([[self.automaton.vocabulary[w] for w in g] for g in grams], np.int64).reshape(len(grams), self.gram)
         self.grams = HashIndex(np.unique(self._keys(codes)))
 
     @staticmethod
@@ -187,7 +189,7 @@ class Matcher:
     def runs(self, words) -> Iterator[tuple[int, int, int]]:
         """(row, first word, last word + 1) of the runs that are long enough to hold a hit."""
         count = len(words.start) - self.gram + 1
-        if count <= 0:
+        if count <= 0 or not self.gram:
             return
         codes = self.index.find(hashes(words))
         known = codes >= 0

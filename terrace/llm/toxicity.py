@@ -42,8 +42,8 @@ TELLING = 2  # bytes of difference that few ordinary windows show
 WINDOW_SLACK = 24  # a window ends at a word end if one comes within so many bytes
 LEVEL = 9
 SHORTEST_MATCH = 4
-SAMPLE_TOXIC = 2_500
-SAMPLE_ORDINARY = 5_000
+SAMPLE_TOXIC = 2_000
+SAMPLE_ORDINARY = 3_500
 SAMPLE_TEXT_BYTES = 16_000
 COMMON_WORDS = 300
 TYPICAL_BYTES = 2_048

@@ -1,5 +1,7 @@
 from terrace.catalog.tables import (
     add_partition,
+    add_partitions,
+    drop_other_partitions,
     ensure_database,
     projected_view,
     register_external_table,
@@ -7,4 +9,4 @@ from terrace.catalog.tables import (
     row_count,
 )
 
-__all__ = ["add_partition", "ensure_database", "projected_view", "register_external_table", "repair", "row_count"]
+__all__ = ["add_partition", "add_partitions", "drop_other_partitions", "ensure_database", "projected_view", "register_external_table", "repair", "row_count"]

@@ -10,7 +10,7 @@ location and is meant for bulk loads.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +18,23 @@ from pyspark.sql import functions as F
 from terrace.contract import Contract
 
 
+def _text(value: object) -> str:
+    """An SQL string literal."""
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _quote(name: str) -> str:
-    return ".".join(f"`{part}`" for part in name.split("."))
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
 
 
 def _ddl_columns(contract: Contract) -> str:
     ordered = contract.with_partitions_last() if contract.partition_columns else contract
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields)
+    return ", ".join(f"{_quote(f.name)} {f.dataType.simpleString()}" for f in ordered.schema.fields)
 
 
 def ensure_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    clause = f" LOCATION '{location}'" if location else ""
+    clause = f" LOCATION {_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(database)}{clause}")
 
 
@@ -47,23 +53,47 @@ def register_external_table(
         spark.sql(f"DROP TABLE IF EXISTS {_quote(table)}")
     partition_clause = ""
     if partitioned and contract.partition_columns:
-        partition_clause = " PARTITIONED BY (" + ", ".join(f"`{p}`" for p in contract.partition_columns) + ")"
+        partition_clause = " PARTITIONED BY (" + ", ".join(f"{_quote(p)}" for p in contract.partition_columns) + ")"
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {_quote(table)} ({_ddl_columns(contract)}) "
-        f"USING {fmt}{partition_clause} LOCATION '{location}'"
+        f"USING {fmt}{partition_clause} LOCATION {_text(location)}"
     )
     return table
 
 
-def add_partition(spark: SparkSession, table: str, values: Mapping[str, int | str]) -> None:
-    """Register one written partition (the run's business date)."""
-    spec = ", ".join(f"`{k}` = {int(v) if isinstance(v, int) else repr(str(v))}" for k, v in values.items())
-    spark.sql(f"ALTER TABLE {_quote(table)} ADD IF NOT EXISTS PARTITION ({spec})")
+def _partition(values: Mapping[str, int | str]) -> str:
+    return "PARTITION (" + ", ".join(f"{_quote(k)} = {v if isinstance(v, int) else _text(v)}" for k, v in values.items()) + ")"
+
+
+def add_partition(spark: SparkSession, table: str, values: Mapping[str, int | str], location: str | None = None) -> None:
+    """Register one written partition (the run's business date), at ``location`` if that isn't the Hive-style folder."""
+    add_partitions(spark, table, [(values, location)])
+
+
+def add_partitions(spark: SparkSession, table: str, partitions: Iterable[tuple[Mapping[str, int | str], str | None]]) -> None:
+    """Register several partitions in one statement; a known partition is pointed to its new location."""
+    partitions = list(partitions)
+    if not partitions:
+        return
+    added = " ".join(_partition(v) + (f" LOCATION {_text(at)}" if at else "") for v, at in partitions)
+    spark.sql(f"ALTER TABLE {_quote(table)} ADD IF NOT EXISTS {added}")
+    for values, at in partitions:
+        if at:
+            spark.sql(f"ALTER TABLE {_quote(table)} {_partition(values)} SET LOCATION {_text(at)}")
+
+
+def drop_other_partitions(spark: SparkSession, table: str, keep: Iterable[Mapping[str, int | str]]) -> None:
+    """Drop the registered partitions whose values aren't among ``keep`` (all others of a replaced table)."""
+    kept = {tuple(sorted((k, str(v)) for k, v in values.items())) for values in keep}
+    for row in spark.sql(f"SHOW PARTITIONS {_quote(table)}").collect():
+        values = dict(segment.split("=", 1) for segment in row[0].split("/"))
+        if tuple(sorted(values.items())) not in kept:
+            spark.sql(f"ALTER TABLE {_quote(table)} DROP IF EXISTS {_partition(values)}")
 
 
 def repair(spark: SparkSession, table: str) -> None:
-    """Register every partition folder found under the table's location."""
-    spark.sql(f"MSCK REPAIR TABLE {_quote(table)}")
+    """Make the registered partitions equal to the folders under the table's location: new ones are added, lost ones dropped."""
+    spark.sql(f"MSCK REPAIR TABLE {_quote(table)} SYNC PARTITIONS")
 
 
 def projected_view(

@@ -1,5 +1,6 @@
 from terrace.functions.columns import (
     SCORE_LABELS,
+    SOURCE_COLUMN,
     YES_NO_TRUE,
     business_date_columns,
     file_name,
@@ -15,6 +16,7 @@ from terrace.functions.columns import (
 
 __all__ = [
     "SCORE_LABELS",
+    "SOURCE_COLUMN",
     "YES_NO_TRUE",
     "business_date_columns",
     "file_name",

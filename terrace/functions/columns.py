@@ -16,6 +16,9 @@ from terrace.run import RunContext
 # Text accepted as TRUE by the yes/no flag (after trim + lower).
 YES_NO_TRUE = ("yes", "true")
 
+# Column in which a landing read keeps each row's file name.
+SOURCE_COLUMN = "_source_file"
+
 # Labels for a 1..4 score.
 SCORE_LABELS = {1: "low", 2: "medium", 3: "high", 4: "very_high"}
 
@@ -62,11 +65,18 @@ def score_label(c: str | Column, labels: Mapping[int, str] = SCORE_LABELS) -> Co
     return expr
 
 
-def iso_date_text(c: str | Column) -> Column:
-    """DATE from date or timestamp text: the text is cut at ``T`` or at the first space."""
+def iso_date_text(c: str | Column, when_empty: Column | None = None) -> Column:
+    """DATE from date or timestamp text: the text is cut at ``T`` or at the first space.
+
+    Empty or NULL text gives ``when_empty``, NULL by default (a run's date uses
+    ``current_date()``, as :func:`terrace.run.parse_business_date` does); text
+    that is no date gives NULL.
+    """
     text = F.trim(_col(c).cast("string"))
-    head = F.regexp_extract(text, r"^([^T ]*)", 1)
-    return F.try_to_date(head, "yyyy-MM-dd")
+    parsed = F.try_to_date(F.regexp_extract(text, r"^([^T ]*)", 1), "yyyy-MM-dd")
+    if when_empty is None:
+        return parsed
+    return F.when(F.coalesce(text, F.lit("")) == "", when_empty.cast("date")).otherwise(parsed)
 
 
 def file_name(c: str | Column) -> Column:
@@ -82,9 +92,8 @@ def lineage_columns(run: RunContext, source_file: Column | None = None) -> dict[
     landing file name, or a per-row column such as ``_metadata.file_name``.
     """
     if source_file is None:
-        if run.source_file is None:
-            raise ValueError("The run has no source file and no per-row source column was given.")
-        source_file = F.lit(run.source_file)
+        # The run's own file name if one was given, else the file each row was read from.
+        source_file = F.col(SOURCE_COLUMN) if run.source_file is None else F.lit(run.source_file)
     return {
         "source_file": source_file.cast("string"),
         "run_id": F.lit(run.run_id).cast("string"),

@@ -16,9 +16,10 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace import sources
-from terrace.plans.jobs import JobResult, TableSpec, Transform, publish
-from terrace.run import RunContext, file_name_of
+from terrace import catalog
+from terrace import functions as TF
+from terrace.plans.jobs import JobResult, TableSpec, Transform, publish, read_published
+from terrace.run import Arrival, RunContext
 
 log = logging.getLogger(__name__)
 
@@ -43,6 +44,7 @@ class MedallionPaths:
     silver: str
     gold: str
     bi: str | None = None
+    table: str | None = None  # catalog table over gold, counted as the chain's last step
 
 
 def run_silver(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, run: RunContext) -> JobResult:
@@ -51,17 +53,36 @@ def run_silver(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths,
 
 
 def run_gold(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, run: RunContext) -> JobResult:
-    silver = sources.read_parquet(spark, paths.silver)
-    return publish(plan.to_gold(silver, run), plan.gold_spec(paths.gold), run, name=f"{plan.name}_gold", inputs=[paths.silver])
+    silver = read_published(spark, plan.silver_spec(paths.silver))
+    spec = plan.gold_spec(paths.gold)
+    if paths.table:
+        spec = replace(spec, catalog_table=paths.table)
+    return publish(plan.to_gold(silver, run), spec, run, name=f"{plan.name}_gold", inputs=[paths.silver])
 
 
 def run_bi(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, run: RunContext) -> JobResult:
     if not paths.bi:
         raise ValueError("No BI target was given.")
-    gold = sources.read_partitioned(spark, paths.gold)
+    gold = read_published(spark, plan.gold_spec(paths.gold))
     return publish(plan.to_bi(gold, run), plan.bi_spec(paths.bi), run, name=f"{plan.name}_bi", inputs=[paths.gold])
 
 
+def _after_silver(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, run: RunContext, silver: JobResult, audit_root: str | None) -> dict[str, Any]:
+    """The steps that every form of the chain shares once silver is published."""
+    results = {"silver": silver, "gold": run_gold(spark, plan, paths, run)}
+    if paths.bi:
+        results["bi_export"] = run_bi(spark, plan, paths, run)
+    steps: dict[str, Any] = {step: result.summary() for step, result in results.items()}
+    if audit_root:
+        for result in results.values():
+            append_audit(quality_audit(spark, result), f"{audit_root}/quality")
+        partitions = run_partition_summary(spark, plan.gold_spec(paths.gold), run, results["gold"].name)
+        append_audit(partitions, f"{audit_root}/partitions")
+    if paths.table:
+        steps["catalog"] = {"table": paths.table, "row_count": catalog.row_count(spark, paths.table).first()["row_count"]}
+    return {"pipeline": plan.name, "run_id": run.run_id, "business_date": run.business_date.isoformat(), **steps}
+
+
 def run_chain(
     spark: SparkSession,
     plan: MedallionPlan,
@@ -70,49 +91,36 @@ def run_chain(
     *,
     audit_root: str | None = None,
 ) -> dict[str, Any]:
-    """E3: silver, gold and (when a BI target is given) the snapshot, in order.
+    """E3: silver, gold, the snapshot (when a BI target is given) and the catalog count (when a table is), in order.
 
-    With ``audit_root``, every step's rule counts and the gold rows per
-    partition are appended to audit tables there (E5).
+    Without a source file in ``run`` each row keeps the name of its own
+    landing file. With ``audit_root``, every step's rule counts and the gold
+    rows per partition are appended to audit tables there (E5).
     """
-    if run.source_file is None:
-        run = run.with_source(file_name_of(paths.landing))
-    results = {"silver": run_silver(spark, plan, paths, run), "gold": run_gold(spark, plan, paths, run)}
-    if paths.bi:
-        results["bi_export"] = run_bi(spark, plan, paths, run)
-    if audit_root:
-        for result in results.values():
-            append_audit(quality_audit(spark, result), f"{audit_root}/quality")
-        partitions = run_partition_summary(spark, plan.gold_spec(paths.gold), run, results["gold"].name)
-        append_audit(partitions, f"{audit_root}/partitions")
-    return {
-        "pipeline": plan.name,
-        "run_id": run.run_id,
-        "business_date": run.business_date.isoformat(),
-        **{step: result.summary() for step, result in results.items()},
-    }
+    return _after_silver(spark, plan, paths, run, run_silver(spark, plan, paths, run), audit_root)
 
 
 def backfill(
     spark: SparkSession,
     plan: MedallionPlan,
     paths: MedallionPaths,
-    business_date: str | dt.date | None,
+    business_date: str | dt.date | None = None,
     *,
     run_id: str | None = None,
     processed_at_utc: str | None = None,
     source_file: str | None = None,
+    arrival: Arrival | None = None,
 ) -> dict[str, Any]:
     """E4: re-run the chain for an existing landing file and an explicit business date.
 
     Silver is replaced by that file; in gold only that date's folder changes.
+    An ``arrival`` gives the landing file, the date and the run id at once.
     """
-    run = RunContext.create(
-        business_date,
-        run_id=run_id,
-        processed_at_utc=processed_at_utc,
-        source_file=source_file or file_name_of(paths.landing),
-    )
+    if arrival is not None:
+        paths = replace(paths, landing=arrival.source_uri)
+        run = arrival.run(processed_at_utc)
+    else:
+        run = RunContext.create(business_date, run_id=run_id, processed_at_utc=processed_at_utc, source_file=source_file)
     return run_chain(spark, plan, paths, run)
 
 
@@ -122,13 +130,13 @@ def run_partition_summary(spark: SparkSession, spec: TableSpec, run: RunContext,
     Rows carry their ``run_id``, so the count reads just that column and the
     partition columns (taken from the folder names).
     """
-    target = sources.read_partitioned(spark, spec.path)
+    target = read_published(spark, spec)
     parts = list(spec.partition_by)
     if spec.check_run_date:
         # A one-day run wrote only its own folder: prune to it.
-        for name, value in run.partition_values.items():
-            if name in parts:
-                target = target.where(F.col(name) == F.lit(value))
+        for part, value in run.partition_values.items():
+            if part in parts:
+                target = target.where(F.col(part) == F.lit(value))
     return (
         target.where(F.col("run_id") == F.lit(run.run_id))
         .groupBy(*parts)
@@ -176,40 +184,30 @@ def arrival_handler(
     *,
     bronze_columns: list[str] | None = None,
     audit_root: str | None = None,
+    table: str | None = None,
 ) -> Callable[[DataFrame, RunContext], dict[str, Any] | None]:
-    """E1 + E3: a ``streaming.ingest`` handler that runs the whole chain for each arrival.
+    """E1 + E3: a ``streaming.ingest`` handler that runs the whole chain for each landed file.
 
-    The micro-batch (one landed file) is the bronze input. The run's business
-    date is the arrival date of the file and its source file is the file's
-    name, both read from the arrival columns in one small aggregate. A batch
-    with no data rows (a header-only file) is logged and leaves every table
-    as it was.
+    The micro-batch is the bronze input, one file (``max_files_per_trigger=1``,
+    as files of different days are different runs). The business date is the
+    one given to the ingest or else the arrival date of the file, taken from
+    its first row; each row's source file is its own. A file without data rows
+    is logged and leaves every table as it was.
     """
 
     def handle(batch: DataFrame, run: RunContext) -> dict[str, Any] | None:
         spark = batch.sparkSession
-        arrival = batch.agg(
-            F.min("event_time").alias("arrived"),
-            F.min("source_filename").alias("first_file"),
-            F.max("source_filename").alias("last_file"),
-        ).first()
-        if arrival.arrived is None:
+        first = batch.select("event_time").first()
+        if first is None:
             log.warning("Run %s: the landed file holds no rows; tables left untouched.", run.run_id)
             return None
-        source = arrival.first_file if arrival.first_file == arrival.last_file else f"{arrival.first_file}..{arrival.last_file}"
-        run = replace(run, business_date=arrival.arrived.date(), source_file=source)
-        arrival_columns = ("source_uri", "bucket_name", "object_key", "source_filename", "event_time", "business_date")
-        bronze = batch.select(*bronze_columns) if bronze_columns else batch.drop(*arrival_columns)
-        results = {
-            "silver": publish(plan.to_silver(bronze, run), plan.silver_spec(silver), run, name=f"{plan.name}_silver"),
-        }
-        paths = MedallionPaths(landing=source, silver=silver, gold=gold, bi=bi)
-        results["gold"] = run_gold(spark, plan, paths, run)
-        if bi:
-            results["bi_export"] = run_bi(spark, plan, paths, run)
-        if audit_root:
-            for result in results.values():
-                append_audit(quality_audit(spark, result), f"{audit_root}/quality")
-        return {step: result.summary() for step, result in results.items()}
+        if not run.date_given:
+            run = replace(run, business_date=first.event_time.date())
+        arrival_columns = ("source_uri", "bucket_name", "object_key", "event_time", "business_date")
+        bronze = batch.withColumnRenamed("source_filename", TF.SOURCE_COLUMN)
+        bronze = bronze.select(*bronze_columns, TF.SOURCE_COLUMN) if bronze_columns else bronze.drop(*arrival_columns)
+        published = publish(plan.to_silver(bronze, run), plan.silver_spec(silver), run, name=f"{plan.name}_silver")
+        paths = MedallionPaths(landing="", silver=silver, gold=gold, bi=bi, table=table)
+        return _after_silver(spark, plan, paths, run, published, audit_root)
 
     return handle

@@ -1,9 +1,10 @@
 """Events landing ingest: CSV files arriving in a folder -> silver events.
 
-Each landed file is one run (one micro-batch). Silver keeps one folder per
-landed file (``source_file=...``) and each run replaces only its own folder,
-so a replayed batch rewrites the same rows and two files of the same day
-never overwrite each other.
+A micro-batch takes many landed files and is one run. Silver has a folder for
+each event date and run, and a run replaces only its own folders: a replayed
+batch rewrites the same rows, and files of the same day that came in different
+batches never overwrite each other. A day's folders follow the number of
+batches, not of files.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from terrace import functions as TF
 from terrace.contract import Contract, load_contracts
-from terrace.plans.jobs import JobResult, TableSpec, publish
+from terrace.plans.jobs import TableSpec, publish
 from terrace.run import RunContext
 from terrace.sinks import EmptyResultError
 from terrace.streaming import ingest
@@ -26,6 +27,8 @@ log = logging.getLogger(__name__)
 CONTRACTS: dict[str, Contract] = load_contracts(Path(__file__).parent / "contracts" / "events.yaml")
 SILVER = CONTRACTS["silver_events"]
 
+FILES_PER_BATCH = 1000
+
 # The landing columns of an events file.
 BRONZE_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
@@ -48,7 +51,7 @@ def to_silver(bronze: DataFrame, run: RunContext) -> DataFrame:
 
 
 def silver_spec(path: str, **overrides) -> TableSpec:
-    options = dict(write_mode="overwrite_partition", partition_by=("source_file",), check_run_date=False)
+    options = dict(write_mode="overwrite_partition", partition_by=("event_date", "run_id"), check_run_date=False)
     options.update(overrides)
     return TableSpec(contract=SILVER, path=path, **options)
 
@@ -60,26 +63,15 @@ def ingest_landing(
     checkpoint: str,
     *,
     glob: str = "*.csv",
-    max_files_per_trigger: int = 1,
-    timeout_seconds: int | None = 1800,
-) -> list[JobResult]:
-    """E1: every waiting events file -> gated silver folder; header-only files are skipped."""
-    results: list[JobResult] = []
+    max_files_per_trigger: int = FILES_PER_BATCH,
+    run_id: str | None = None,
+) -> int:
+    """E1: every waiting events file -> gated silver; batches of header-only files are skipped. Returns the batches."""
 
     def handle(batch: DataFrame, run: RunContext) -> None:
         try:
-            results.append(publish(to_silver(batch, run), silver_spec(silver_path), run, name="events_silver"))
+            publish(to_silver(batch, run), silver_spec(silver_path, rebalance=True), run, name="events_silver")
         except EmptyResultError:
-            log.warning("Run %s: the landed file holds no rows; silver left untouched.", run.run_id)
-
-    ingest(
-        spark,
-        landing_dir,
-        BRONZE_COLUMNS,
-        checkpoint,
-        handle,
-        glob=glob,
-        max_files_per_trigger=max_files_per_trigger,
-        timeout_seconds=timeout_seconds,
-    )
-    return results
+            log.warning("Run %s: the landed files hold no rows; silver left untouched.", run.run_id)
+
+    return ingest(spark, landing_dir, BRONZE_COLUMNS, checkpoint, handle, glob=glob, max_files_per_trigger=max_files_per_trigger, run_id=run_id)

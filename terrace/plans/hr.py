@@ -1,4 +1,4 @@
-"""HR attrition medallion written in SQL: landing CSV -> silver -> gold -> BI snapshot.
+"""HR attrition medallion: landing CSV -> silver -> gold -> BI snapshot, silver and gold from SQL.
 
 The SQL files read ``{source}`` (the previous table, bound as a DataFrame)
 and take run values as typed ``:name`` parameters.
@@ -9,10 +9,13 @@ from __future__ import annotations
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from terrace import functions as TF
 from terrace.contract import Contract, load_contracts
 from terrace.plans.chain import MedallionPlan
 from terrace.plans.jobs import TableSpec, sql_transform
+from terrace.run import RunContext
 from terrace.sources import read_csv_strings
 
 _HERE = Path(__file__).parent
@@ -27,13 +30,33 @@ def sql_text(name: str) -> str:
 
 
 to_silver = sql_transform(sql_text("hr_silver"))
-to_gold = sql_transform(sql_text("hr_gold"))
-to_bi = sql_transform(sql_text("hr_bi"))
+_facts = sql_transform(sql_text("hr_gold"))
+
+# The landing columns of an HR file; further ones are dropped.
+BRONZE_COLUMNS = [
+    "EmployeeNumber", "Department", "JobRole", "JobLevel", "OverTime", "MonthlyIncome", "PercentSalaryHike",
+    "YearsAtCompany", "YearsSinceLastPromotion", "TotalWorkingYears", "JobSatisfaction", "EnvironmentSatisfaction",
+    "RelationshipSatisfaction", "WorkLifeBalance", "Attrition",
+]
+
+
+def to_gold(silver: DataFrame, run: RunContext) -> DataFrame:
+    """Gold facts of one business date, every ``*_score`` with its label."""
+    facts = _facts(silver, run)
+    labels = {name: TF.score_label(name.replace("_label", "_score")) for name in GOLD.names if name.endswith("_label")}
+    return facts.withColumns(labels).select(*GOLD.names)
+
+
+def to_bi(gold: DataFrame, run: RunContext) -> DataFrame:
+    """One business date of gold in the snapshot's column order; the equalities prune every other date's folder."""
+    for name, value in run.partition_values.items():
+        gold = gold.where(F.col(name) == value)
+    return gold.select(*BI.names)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    """Landing HR CSV: header names from the file, every column as text; extra columns are ignored."""
-    return read_csv_strings(spark, path)
+    """Landing HR CSV: the columns above by header name, in any order, every one as text."""
+    return read_csv_strings(spark, path, BRONZE_COLUMNS, with_file_name=True)
 
 
 def silver_spec(path: str, **overrides) -> TableSpec:
@@ -47,7 +70,8 @@ def gold_spec(path: str, **overrides) -> TableSpec:
 
 
 def bi_spec(path: str, fmt: str = "csv", **overrides) -> TableSpec:
-    return TableSpec(contract=BI, path=path, fmt=fmt, layout="file", check_run_date=False, **overrides)
+    """The snapshot: a folder at a stable path, written in parallel (``layout="file"`` for one file)."""
+    return TableSpec(contract=BI, path=path, fmt=fmt, check_run_date=False, **overrides)
 
 
 def plan() -> MedallionPlan:

@@ -1,23 +1,22 @@
 """Table jobs: transform -> contract gate -> publish -> read-back.
 
-A job never publishes a result that failed its contract. Two gate
-strategies; ``auto`` (the default) takes ``cache`` when the optimizer's size
-estimate of the result is within ``terrace.gate.cacheMaxBytes`` and
-``observe`` otherwise (or when there is no estimate):
+A job never publishes a result that failed its contract. How a table is gated
+is a property of its spec, whatever the size of a run:
 
-``cache``
+``cache`` (the default)
     The result is persisted (memory, spilling to disk), every rule runs over
-    it in one action (small results, single pass) or two (scalar rules, then
-    the key-only shuffle), and the write reuses the cached rows. The source is read
-    once. If an executor is lost, its cached blocks are recomputed from the
-    plan.
+    it in two actions (scalar rules, then the key-only shuffle), and the write
+    reuses the cached rows. The source is read once. If an executor is lost,
+    its cached blocks are recomputed from the plan.
 
 ``observe``
-    For results larger than the cluster's memory: the result is written once
-    to a staging folder next to the target while ``DataFrame.observe``
-    collects the scalar rule counts; the key rule then reads only the key
-    columns of the staged Parquet. Staged files are moved into the target only
-    when every rule passed, so a failed run leaves the target as it was.
+    For tables larger than the cluster's memory and disks: the result is
+    written once, as a new version of the table
+    (:mod:`terrace.sinks.versions`), while ``DataFrame.observe`` collects the
+    scalar rule counts; the key rule then reads only the key columns of what
+    was written. The version becomes visible when every rule passed, by one
+    small file; no data is moved, and readers
+    (:func:`terrace.sources.read_current`) see the old rows or the new ones.
 """
 
 from __future__ import annotations
@@ -31,9 +30,11 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from terrace import catalog, sinks, sources
+from terrace import functions as TF
 from terrace import session as S
-from terrace import sinks
 from terrace.contract import Contract
 from terrace.operators import quality as Q
 from terrace.run import RunContext
@@ -50,13 +51,13 @@ class TableSpec:
     contract: Contract
     path: str
     fmt: str = "parquet"
-    layout: str = "dataset"  # dataset | file
+    layout: str = "dataset"  # dataset | file (one file, written by one task)
     write_mode: str = "overwrite_full"  # overwrite_full | overwrite_partition
     partition_by: tuple[str, ...] = ()
     partition_style: str = "hive"  # hive | numeric
     compression: str | None = "snappy"
     check_run_date: bool = True
-    gate: str = "auto"  # auto | cache | observe
+    gate: str = "cache"  # cache | observe
     max_records_per_file: int | None = None
     rebalance: bool = False
     catalog_table: str | None = None  # register/refresh this external table after publishing
@@ -71,8 +72,10 @@ class TableSpec:
             raise ValueError("A single-file target cannot be partitioned.")
         if self.write_mode == "overwrite_partition" and not self.partition_by:
             raise ValueError("overwrite_partition needs partition columns.")
-        if self.gate not in ("auto", "cache", "observe"):
+        if self.gate not in ("cache", "observe"):
             raise ValueError(f"Unsupported gate '{self.gate}'.")
+        if self.gate == "observe" and (self.layout, self.fmt, self.partition_style) != ("dataset", "parquet", "hive"):
+            raise ValueError("The observe gate writes versions of a Parquet dataset.")
 
 
 @dataclass
@@ -106,24 +109,30 @@ def publish(
     name: str | None = None,
     inputs: Iterable[str] = (),
 ) -> JobResult:
-    """Gate ``df`` against ``spec.contract`` and write it to ``spec.path``."""
-    sinks.guard_not_input(inputs, spec.path)
+    """Gate ``df`` against ``spec.contract`` and write it to ``spec.path``.
+
+    ``inputs`` adds to the files that the plan itself reads.
+    """
+    spark = df.sparkSession
+    sinks.guard_not_input(spark, [*inputs, *{f.rsplit("/", 1)[0] for f in df.inputFiles()}], spec.path)
     Q.check_columns(df, spec.contract)
+    Q.check_types(df, spec.contract)
     quality_run = run if spec.check_run_date else None
-    if choose_gate(df, spec) == "observe":
+    locations: list[str] | None = None
+    if spec.gate == "observe":
         gate = _publish_observed(df, spec, quality_run)
     else:
         cached = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            gate = Q.enforce(cached, spec.contract, quality_run, fuse_key=fuse_key_rule(df))
+            gate = Q.enforce(cached, spec.contract, quality_run)
             if gate.rows == 0:
                 raise sinks.EmptyResultError(f"Nothing to write to {spec.path}: the result is empty.")
-            _write(cached, spec, gate.rows)
+            locations = _write(cached, spec, run)
+            _verify_written(cached, spec, run, gate.rows)
         finally:
             cached.unpersist()
-    _verify_written(df.sparkSession, spec, run, gate.rows)
     if spec.catalog_table:
-        _register(df.sparkSession, spec, run)
+        _register(spark, spec, run, locations)
     log.info("Run %s published %d rows to %s (%s)", run.run_id, gate.rows, spec.path, spec.contract.name)
     return JobResult(
         name=name or spec.contract.name,
@@ -137,187 +146,119 @@ def publish(
     )
 
 
-# Results whose estimated size is above this many bytes are gated while they
-# are written (``observe``) instead of being cached first. Set per session with
-# ``spark.conf.set(CACHE_LIMIT_CONF, ...)``; unset, it is half of the storage
-# memory of the executors currently registered (DEFAULT_CACHE_LIMIT when that
-# is unknown).
-CACHE_LIMIT_CONF = "terrace.gate.cacheMaxBytes"
-DEFAULT_CACHE_LIMIT = 32 * 1024**3
-
-
-def cluster_storage_bytes(spark: SparkSession) -> int | None:
-    """Total storage memory of the registered executors (block managers)."""
-    try:
-        values = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().valuesIterator()
-        total = 0
-        while values.hasNext():
-            total += int(values.next()._1())
-        return total or None
-    except Exception:  # noqa: BLE001 - advisory
-        return None
-
-
-def cache_limit(spark: SparkSession) -> int:
-    configured = spark.conf.get(CACHE_LIMIT_CONF, None)
-    if configured:
-        return int(configured)
-    storage = cluster_storage_bytes(spark)
-    return storage // 2 if storage else DEFAULT_CACHE_LIMIT
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate of ``df`` (from file sizes and projections)."""
-    try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return int(size if isinstance(size, int) else size.toString())
-    except Exception:  # noqa: BLE001 - estimates are advisory
-        return None
-
-
-# Below this estimated size the key rule shares the single pass of the other
-# rules (one action); above it the key rule is a separate key-only shuffle.
-FUSE_LIMIT_CONF = "terrace.gate.fuseKeyMaxBytes"
-DEFAULT_FUSE_LIMIT = 256 * 1024**2
-
+def read_published(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    """The table as its spec publishes it, with the contract's types and column order."""
+    if spec.gate == "observe":
+        return sources.read_current(spark, spec.path, spec.contract.schema, spec.partition_by)
+    if spec.partition_style == "numeric" and spec.partition_by:
+        return sources.read_numeric_partitions(spark, spec.path, spec.partition_by).select(*spec.contract.names)
+    if spec.fmt == "csv":
+        return spark.read.schema(spec.contract.schema).options(**sinks.CSV_OPTIONS).csv(spec.path)
+    return sources.read_table(spark, spec.path, spec.contract.schema, spec.fmt)
 
-def fuse_key_rule(df: DataFrame) -> bool:
-    limit = int(df.sparkSession.conf.get(FUSE_LIMIT_CONF, str(DEFAULT_FUSE_LIMIT)))
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
 
+def _one_day(spec: TableSpec) -> bool:
+    """The run's own partition is all that a job of this spec writes."""
+    return bool(spec.partition_by) and spec.write_mode == "overwrite_partition" and spec.check_run_date
 
-def choose_gate(df: DataFrame, spec: TableSpec) -> str:
-    """``cache`` when the result is known to fit the cache bound, otherwise ``observe``."""
-    if spec.gate != "auto":
-        return spec.gate
-    size = estimated_bytes(df)
-    return "cache" if size is not None and size <= cache_limit(df.sparkSession) else "observe"
 
-
-def _write(df: DataFrame, spec: TableSpec, rows: int) -> None:
+def _write(df: DataFrame, spec: TableSpec, run: RunContext) -> list[str] | None:
+    """Write the checked rows; the folders of a numeric layout are returned."""
     if spec.layout == "file":
-        sinks.write_single_file(df, spec.path, fmt=spec.fmt, compression=spec.compression, rows=rows)
-        return
+        sinks.write_single_file(df, spec.path, fmt=spec.fmt, compression=spec.compression)
+        return None
     if spec.partition_by and spec.partition_style == "numeric":
-        sinks.overwrite_numeric_partitions(
-            df, spec.path, spec.partition_by, compression=spec.compression, rows=rows,
-            replace_all=spec.write_mode == "overwrite_full",
-        )
-        return
+        if _one_day(spec):
+            return [sinks.overwrite_numeric_day(df, spec.path, run.partition_values, spec.partition_by, compression=spec.compression)]
+        replace_all = spec.write_mode == "overwrite_full"
+        return sinks.overwrite_numeric_partitions(df, spec.path, spec.partition_by, compression=spec.compression, replace_all=replace_all)
     common = dict(fmt=spec.fmt, compression=spec.compression, max_records_per_file=spec.max_records_per_file, rebalance=spec.rebalance)
     if spec.write_mode == "overwrite_partition":
-        sinks.overwrite_partitions(df, spec.path, spec.partition_by, rows=rows, **common)
+        sinks.overwrite_partitions(df, spec.path, spec.partition_by, **common)
     else:
         sinks.overwrite_full(df, spec.path, partition_by=spec.partition_by, staged=spec.staged, **common)
+    return None
 
 
 def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext | None) -> Q.GateResult:
     spark = df.sparkSession
     observed, observation, rules = Q.observe(df, spec.contract, quality_run)
-    parent, leaf = spec.path.rstrip("/").rsplit("/", 1)
-    stage = f"{parent}/_{leaf.rsplit('.', 1)[0]}_stage_{uuid.uuid4().hex[:8]}"
-    stage_spec = TableSpec(
-        contract=spec.contract,
-        path=stage,
-        fmt="parquet",
-        partition_by=spec.partition_by,
-        compression=spec.compression,
-        max_records_per_file=spec.max_records_per_file,
-        rebalance=spec.rebalance,
-        staged=False,
-    )
+    version = uuid.uuid4().hex
+    place = sinks.versions.data_path(spec.path, version)
     try:
-        # Staged in parallel whatever the final layout; a single-file target is
-        # rendered from the staged copy only once every rule has passed.
-        _write(observed, stage_spec, rows=-1)
-        if int(observation.get["_rows"]) == 0:
+        sinks.overwrite_full(
+            observed, place, partition_by=spec.partition_by, compression=spec.compression,
+            max_records_per_file=spec.max_records_per_file, rebalance=spec.rebalance, staged=False,
+        )
+        # Rows are counted in the files: a stage that ran twice may be observed twice.
+        rows = sinks.readback_counts(spark, place, schema=spec.contract.schema).first()["rows_read"]
+        if rows == 0:
             raise sinks.EmptyResultError(f"Nothing to write to {spec.path}: the result is empty.")
         key_violations = 0
         if spec.contract.primary_key:
-            staged_keys = spark.read.parquet(stage).select(*spec.contract.primary_key)
-            key_violations = Q.duplicate_key_groups(staged_keys, spec.contract.primary_key).first()["violations"]
+            keys = spark.read.schema(spec.contract.schema).option("basePath", place).parquet(place)
+            key_violations = Q.duplicate_key_groups(keys, spec.contract.primary_key).first()["violations"]
         gate = Q.evaluate(Q.observed_report(observation, rules, key_violations), rules)
-        if spec.layout == "file":
-            staged = _staged_frame(spark, stage, spec)
-            sinks.write_single_file(staged, spec.path, fmt=spec.fmt, compression=spec.compression, rows=gate.rows)
-        elif spec.fmt != "parquet" or spec.partition_style != "hive":
-            _write(_staged_frame(spark, stage, spec), spec, gate.rows)
-        else:
-            _move_staged(spark, stage, spec)
-        return gate
-    finally:
-        S.delete_path(spark, stage)
-
-
-def _staged_frame(spark: SparkSession, stage: str, spec: TableSpec) -> DataFrame:
-    """The staged copy with the contract's types and column order (partition columns restored)."""
-    from terrace.sources import read_table
-
-    return read_table(spark, stage, spec.contract.schema)
-
-
-def _move_staged(spark: SparkSession, stage: str, spec: TableSpec) -> None:
-    """Publish a staged Parquet dataset: whole target, or only the staged partitions."""
-    if spec.write_mode == "overwrite_full" or not spec.partition_by:
-        S.delete_path(spark, spec.path)
-        S.rename_path(spark, stage, spec.path)
-        return
-    leaves = [stage]
-    for _ in spec.partition_by:
-        leaves = [p for leaf in leaves for p, is_dir in S.list_dir(spark, leaf) if is_dir and "=" in p.rsplit("/", 1)[-1]]
-    for leaf in leaves:
-        relative = "/".join(leaf.rstrip("/").split("/")[-len(spec.partition_by):])
-        target = f"{spec.path.rstrip('/')}/{relative}"
-        S.delete_path(spark, target)
-        S.rename_path(spark, leaf, target)
+    except Exception:
+        S.delete_path(spark, place)
+        raise
+    sinks.versions.publish(spark, spec.path, version, spec.partition_by, replace_all=spec.write_mode == "overwrite_full")
+    gate.rows = int(rows)
+    return gate
 
 
-def _register(spark: SparkSession, spec: TableSpec, run: RunContext) -> None:
+def _register(spark: SparkSession, spec: TableSpec, run: RunContext, locations: list[str] | None) -> None:
     """C1/C2 after a publish: create the external table once, then make the new data visible.
 
-    A one-day run registers just its own partition; a multi-day write rescans
-    the table's folders.
+    A one-day run registers just its own partition. Folders that the catalog
+    can't derive from the values (numeric layouts, versions) are registered
+    with their location; otherwise a write of many days has the catalog
+    compare its partitions with the folders.
     """
-    from terrace import catalog
-
-    if not spark.catalog.tableExists(spec.catalog_table):
-        if "." in spec.catalog_table:
-            catalog.ensure_database(spark, spec.catalog_table.rsplit(".", 1)[0])
-        catalog.register_external_table(
-            spark, spec.catalog_table, spec.contract, spec.path, fmt=spec.fmt, partitioned=bool(spec.partition_by), replace=False
-        )
-    if not spec.partition_by:
-        spark.catalog.refreshTable(spec.catalog_table)
-    elif spec.write_mode == "overwrite_partition" and spec.check_run_date:
-        catalog.add_partition(spark, spec.catalog_table, {k: run.partition_values[k] for k in spec.partition_by})
-        spark.catalog.refreshTable(spec.catalog_table)
-    else:
-        catalog.repair(spark, spec.catalog_table)
-
-
-def _verify_written(spark: SparkSession, spec: TableSpec, run: RunContext, rows: int) -> None:
-    """K7: the target (or the run's partition) now holds the rows that were checked."""
-    if spec.layout == "file":
-        if not S.path_exists(spark, spec.path):
-            raise FileNotFoundError(f"Expected output was not created: {spec.path}")
-        return
-    if spec.partition_by and spec.write_mode == "overwrite_partition" and not spec.check_run_date:
-        # A frame spanning many partitions: each written partition exists.
-        if not S.path_exists(spark, spec.path):
-            raise FileNotFoundError(f"Expected output was not created: {spec.path}")
+    table = spec.catalog_table
+    if not spark.catalog.tableExists(table):
+        if "." in table:
+            catalog.ensure_database(spark, table.rsplit(".", 1)[0])
+        catalog.register_external_table(spark, table, spec.contract, spec.path, fmt=spec.fmt, partitioned=bool(spec.partition_by), replace=False)
+    parts = list(spec.partition_by)
+    if spec.gate == "observe":
+        locations = sinks.versions.current_locations(spark, spec.path)
+    if parts and locations is not None:
+        known = [dict(zip(parts, _values(place, len(parts)))) for place in locations]
+        if spec.write_mode == "overwrite_full":
+            catalog.drop_other_partitions(spark, table, known)
+        if _one_day(spec) and spec.gate == "observe":
+            today = {k: str(run.partition_values[k]) for k in parts}
+            locations, known = zip(*[(p, v) for p, v in zip(locations, known) if v == today])
+        typed = [{k: int(v) if isinstance(spec.contract.column(k).data_type, T.IntegralType) else v for k, v in values.items()} for values in known]
+        catalog.add_partitions(spark, table, list(zip(typed, locations)))
+    elif parts and _one_day(spec):
+        catalog.add_partition(spark, table, {k: run.partition_values[k] for k in parts})
+    elif parts:
+        catalog.repair(spark, table)
+    spark.catalog.refreshTable(table)
+
+
+def _values(location: str, depth: int) -> list[str]:
+    return [segment.rsplit("=", 1)[-1] for segment in location.rstrip("/").split("/")[-depth:]]
+
+
+def _verify_written(checked: DataFrame, spec: TableSpec, run: RunContext, rows: int) -> None:
+    """K7: the target holds the rows that were checked, partition by partition where the run wrote several."""
+    spark, parts = checked.sparkSession, list(spec.partition_by)
+    if parts and not _one_day(spec):
+        expected = checked.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_written"))
+        found = read_published(spark, spec).groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_read"))
+        sinks.verify_partitions(expected, found, parts, spec.path)
         return
     location = spec.path
-    if spec.partition_by and spec.write_mode == "overwrite_partition":
-        location = sinks.partition_location(spec.path, run.partition_values, spec.partition_by, spec.partition_style)
+    if parts:
+        location = sinks.partition_location(spec.path, run.partition_values, parts, spec.partition_style)
     if not S.path_exists(spark, location):
-        raise FileNotFoundError(f"Expected output was not created: {location}")
-    reader = spark.read.options(**sinks.CSV_OPTIONS) if spec.fmt == "csv" else spark.read
-    if spec.partition_style == "numeric":
-        reader = reader.option("recursiveFileLookup", True)
-    found = reader.format(spec.fmt).load(location).agg(F.count(F.lit(1)).alias("n")).first()["n"]
+        raise sinks.ReadBackError(f"{location} is missing after {rows} rows were written.")
+    found = sinks.readback_counts(spark, location, fmt=spec.fmt, schema=spec.contract.schema if spec.fmt == "csv" else None).first()["rows_read"]
     if found != rows:
-        raise RuntimeError(f"{location} holds {found} rows after writing {rows}.")
+        raise sinks.ReadBackError(f"{location}: {rows} written, {found} found.")
 
 
 def run_table_job(
@@ -339,6 +280,8 @@ def sql_transform(text: str, source_name: str = "source") -> Transform:
 
     def apply(df: DataFrame, run: RunContext) -> DataFrame:
         used = {k: v for k, v in run.sql_args().items() if f":{k}" in text}
+        if TF.SOURCE_COLUMN in text and TF.SOURCE_COLUMN not in df.columns:
+            df = df.withColumn(TF.SOURCE_COLUMN, F.lit(None).cast("string"))
         return df.sparkSession.sql(text, args=used, **{source_name: df})
 
     return apply

@@ -96,14 +96,15 @@ def gold_spec(path: str, **overrides) -> TableSpec:
 
 
 def bi_spec(path: str, fmt: str = "csv", **overrides) -> TableSpec:
-    return TableSpec(contract=BI, path=path, fmt=fmt, layout="file", check_run_date=False, **overrides)
+    """The snapshot: a folder at a stable path, written in parallel (``layout="file"`` for one file)."""
+    return TableSpec(contract=BI, path=path, fmt=fmt, check_run_date=False, **overrides)
 
 
 def read_bronze(spark, path: str) -> DataFrame:
     """Landing orders CSV (header, all text); the header must name the bronze columns."""
     from terrace.sources import read_csv_strings
 
-    return read_csv_strings(spark, path, BRONZE_COLUMNS)
+    return read_csv_strings(spark, path, BRONZE_COLUMNS, with_file_name=True)
 
 
 def plan():

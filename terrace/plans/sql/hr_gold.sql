@@ -1,6 +1,6 @@
 -- Silver HR rows -> gold facts for one business date.
 -- Bound by the caller: {source} (silver), :ingestion_date, :year, :month, :day, :run_id, :processed_at_utc.
--- Score labels come from one map literal per score column.
+-- The labels of the scores are added by the plan.
 SELECT
   employee_number                                                    AS employee_id,
   CAST(:ingestion_date AS DATE)                                      AS ingestion_date,
@@ -21,10 +21,6 @@ SELECT
   environment_satisfaction                                           AS environment_satisfaction_score,
   relationship_satisfaction                                          AS relationship_satisfaction_score,
   work_life_balance                                                  AS work_life_balance_score,
-  try_element_at(map(1, 'low', 2, 'medium', 3, 'high', 4, 'very_high'), job_satisfaction)          AS job_satisfaction_label,
-  try_element_at(map(1, 'low', 2, 'medium', 3, 'high', 4, 'very_high'), environment_satisfaction)  AS environment_satisfaction_label,
-  try_element_at(map(1, 'low', 2, 'medium', 3, 'high', 4, 'very_high'), relationship_satisfaction) AS relationship_satisfaction_label,
-  try_element_at(map(1, 'low', 2, 'medium', 3, 'high', 4, 'very_high'), work_life_balance)         AS work_life_balance_label,
   source_file,
   CAST(:run_id AS STRING)                                            AS run_id,
   CAST(:processed_at_utc AS TIMESTAMP)                               AS processed_at_utc

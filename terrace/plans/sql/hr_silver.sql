@@ -1,5 +1,5 @@
 -- Landing HR CSV (all text) -> typed silver rows.
--- Bound by the caller: {source} (the landing rows), :source_file, :run_id, :processed_at_utc.
+-- Bound by the caller: {source} (the landing rows with their _source_file), :source_file (or NULL), :run_id, :processed_at_utc.
 SELECT
   try_cast(EmployeeNumber AS INT)                                    AS employee_number,
   trim(lower(Department))                                            AS department,
@@ -16,7 +16,7 @@ SELECT
   try_cast(RelationshipSatisfaction AS INT)                          AS relationship_satisfaction,
   try_cast(WorkLifeBalance AS INT)                                   AS work_life_balance,
   coalesce(trim(lower(Attrition)) IN ('yes', 'true'), false)         AS attrition,
-  CAST(:source_file AS STRING)                                       AS source_file,
+  coalesce(CAST(:source_file AS STRING), _source_file) AS source_file,
   CAST(:run_id AS STRING)                                            AS run_id,
   CAST(:processed_at_utc AS TIMESTAMP)                               AS processed_at_utc
 FROM {source}

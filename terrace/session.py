@@ -9,11 +9,17 @@ when the setting is absent, which is the case in unit tests.
 
 from __future__ import annotations
 
+import fnmatch
+import re
 import tempfile
 import uuid
+from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
+MOVES_AT_ONCE = 16
+
 # Session settings the library relies on. Timestamps are naive UTC text in the
 # contracts, so the session zone is pinned; Parquet timestamps are written as
 # micros so other engines read them without loss.
@@ -67,6 +73,9 @@ def shared_root(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"Set spark.checkpoint.dir to a folder that all executors of {master} share.")
         configured = tempfile.mkdtemp(prefix="terrace-checkpoints-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir().rstrip("/")
@@ -102,9 +111,46 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
-def make_dirs(spark: SparkSession, path: str) -> None:
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with the scheme and authority of its file system, so that two spellings of a place are equal."""
+    fs, hpath = _fs_and_path(spark, path)
+    return str(fs.makeQualified(hpath).toString()).rstrip("/")
+
+
+def read_first_line(spark: SparkSession, path: str) -> str:
+    """The first line of one text file (UTF-8); only its first block is read."""
+    fs, hpath = _fs_and_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(hpath)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def matching_files(spark: SparkSession, path: str, glob: str | None = None) -> list[str]:
+    """Visible files that ``path`` (a file, a folder or a pattern) names, in name order."""
     fs, hpath = _fs_and_path(spark, path)
-    fs.mkdirs(hpath)
+    found = fs.globStatus(hpath)
+    out = []
+    for status in found or []:
+        if status.isDirectory():
+            out += [p for p, is_dir in list_dir(spark, str(status.getPath().toString())) if not is_dir]
+        else:
+            out.append(str(status.getPath().toString()))
+    names = [p.rsplit("/", 1)[-1] for p in out]
+    return sorted(p for p, n in zip(out, names) if not n.startswith(("_", ".")) and (glob is None or fnmatch.fnmatchcase(n, glob)))
+
+
+def move_all(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
+    """Rename many paths (replacing what is there), several at a time."""
+
+    def move(pair: tuple[str, str]) -> None:
+        delete_path(spark, pair[1])
+        rename_path(spark, *pair)
+
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        list(pool.map(move, moves))
 
 
 def rename_path(spark: SparkSession, source: str, target: str) -> None:

@@ -8,11 +8,13 @@ overwrite into a partial one.
 
 from __future__ import annotations
 
+import functools
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace import session as S
 
@@ -27,10 +29,6 @@ CSV_OPTIONS = {
     "quote": '"',
 }
 
-# A single-file snapshot is written by one task; above this many rows the
-# snapshot is refused and a dataset layout must be used instead.
-MAX_SINGLE_FILE_ROWS = 50_000_000
-
 
 class EmptyResultError(RuntimeError):
     """The run produced no rows; the target is left as it was."""
@@ -40,21 +38,17 @@ class SelfOverwriteError(RuntimeError):
     """The target is also an input of the plan being written."""
 
 
-class SnapshotTooLargeError(RuntimeError):
-    """A single-file snapshot would exceed the configured row bound."""
-
-
-def guard_not_input(source_paths: Iterable[str], target: str) -> None:
+def guard_not_input(spark: SparkSession, source_paths: Iterable[str], target: str) -> None:
     """Refuse to write a target that is (inside) one of the job's inputs, or vice versa.
 
     Overwriting the folder a plan reads deletes its input before the read
-    finishes.
+    finishes. Paths are compared with their scheme and authority.
     """
-    t = target.rstrip("/") + "/"
-    for src in source_paths:
-        s = str(src).rstrip("/") + "/"
-        if s.startswith(t) or t.startswith(s):
-            raise SelfOverwriteError(f"Target {target} overlaps input {src}.")
+    place = S.qualified(spark, target) + "/"
+    for source in {str(p) for p in source_paths}:
+        other = S.qualified(spark, source.split("*", 1)[0] if "*" in source else source) + "/"
+        if other.startswith(place) or ("*" not in source and place.startswith(other)):
+            raise SelfOverwriteError(f"Target {target} overlaps input {source}.")
 
 
 def _writer(df: DataFrame, fmt: str, compression: str | None, max_records_per_file: int | None, overwrite: str):
@@ -143,26 +137,15 @@ def overwrite_partitions(
     return path
 
 
-def write_single_file(
-    df: DataFrame,
-    target_file: str,
-    *,
-    fmt: str = "csv",
-    compression: str | None = "snappy",
-    rows: int | None = None,
-    max_rows: int | None = MAX_SINGLE_FILE_ROWS,
-) -> str:
-    """K4/K5: one file at a stable path (CSV with header, or Parquet).
+def write_single_file(df: DataFrame, target_file: str, *, fmt: str = "csv", compression: str | None = "snappy") -> str:
+    """One file at a stable path (CSV with header, or Parquet), where a consumer can take no folder.
 
-    The upstream plan runs at full parallelism; only the final write is one
-    task (``repartition(1)``, not ``coalesce(1)``, which would pull the whole
-    scan into that task). Spark writes into a staging folder next to the
-    target; the single part file is then moved over the target.
+    One file has one writer, so the last step is one task whatever the size;
+    snapshots are folders written in parallel unless this is asked for. The
+    plan before it runs at full parallelism (``repartition(1)``, not
+    ``coalesce(1)``, which would pull the whole scan into that task). The part
+    file is moved over the target once it is complete.
     """
-    if rows is not None and max_rows is not None and rows > max_rows:
-        raise SnapshotTooLargeError(
-            f"{rows} rows exceed the single-file bound of {max_rows}; write a dataset layout instead."
-        )
     spark = df.sparkSession
     parent, name = target_file.rstrip("/").rsplit("/", 1)
     stem = name.rsplit(".", 1)[0]
@@ -180,20 +163,14 @@ def write_single_file(
     return target_file
 
 
-def partition_location(root: str, values: dict[str, int | str], partition_by: Iterable[str], style: str = "hive") -> str:
-    """K8 path builder: ``root/year=2026/month=4/day=3`` (hive) or ``root/2026/4/3`` (numeric)."""
-    current = root.rstrip("/")
-    for name in partition_by:
-        if name not in values:
-            raise ValueError(f"Missing partition value for '{name}'.")
-        value = str(values[name])
-        if style == "hive":
-            current = f"{current}/{name}={value}"
-        elif style == "numeric":
-            current = f"{current}/{value}"
-        else:
-            raise ValueError(f"Unsupported partition style '{style}'.")
-    return current
+# How a partition's value becomes a folder name, by layout.
+SEGMENTS = {"hive": "{name}={value}".format, "numeric": "{value}".format}
+
+
+def partition_location(root: str, values: Mapping[str, int | str], partition_by: Iterable[str], style: str = "hive") -> str:
+    """K8: the folder of one partition, ``root/year=2026/month=4/day=3`` (hive) or ``root/2026/4/3`` (numeric)."""
+    segment = SEGMENTS[style]
+    return "/".join([root.rstrip("/"), *(segment(name=name, value=values[name]) for name in partition_by)])
 
 
 def overwrite_numeric_partitions(
@@ -220,27 +197,32 @@ def overwrite_numeric_partitions(
     parts = list(partition_by)
     stage = f"{root.rstrip('/')}_stage_{uuid.uuid4().hex[:8]}"
     overwrite_full(df, stage, partition_by=parts, compression=compression, rebalance=rebalance, staged=False)
-    written = []
     try:
-        if replace_all:
-            # Full overwrite: drop every old folder, but only once the new data is staged.
-            S.delete_path(spark, root)
         leaves = [stage]
         for _ in parts:
             leaves = [p for leaf in leaves for p, is_dir in S.list_dir(spark, leaf) if is_dir and "=" in p.rsplit("/", 1)[-1]]
+        moves = []
         for leaf in sorted(leaves):
-            segments = leaf.rstrip("/").split("/")[-len(parts):]
-            values = dict(seg.split("=", 1) for seg in segments)
-            target = partition_location(root, values, parts, "numeric")
-            S.delete_path(spark, target)
-            S.rename_path(spark, leaf, target)
-            written.append(target)
+            values = dict(segment.split("=", 1) for segment in leaf.rstrip("/").split("/")[-len(parts) :])
+            moves.append((leaf, partition_location(root, values, parts, "numeric")))
+        if replace_all:
+            # Full overwrite: drop every old folder, but only once the new data is staged.
+            S.delete_path(spark, root)
+        S.move_all(spark, moves)
     finally:
         S.delete_path(spark, stage)
-    return written
+    return [target for _, target in moves]
+
+
+def overwrite_numeric_day(df: DataFrame, root: str, values: Mapping[str, int | str], partition_by: Iterable[str], *, compression: str | None = "snappy") -> str:
+    """K8 for one known partition: written straight to its folder, so nothing is staged or moved."""
+    parts = list(partition_by)
+    target = partition_location(root, values, parts, "numeric")
+    overwrite_full(df.drop(*parts), target, compression=compression)
+    return target
 
 
-def readback_counts(spark: SparkSession, path: str, partition_by: Iterable[str] = (), fmt: str = "parquet") -> DataFrame:
+def readback_counts(spark: SparkSession, path: str, partition_by: Iterable[str] = (), fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """K7: rows found in the target now, per partition (or in total).
 
     Only the partition columns are requested, so Parquet answers from file
@@ -248,9 +230,27 @@ def readback_counts(spark: SparkSession, path: str, partition_by: Iterable[str]
     """
     parts = list(partition_by)
     reader = spark.read.option("basePath", path) if parts else spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
     df = reader.format(fmt).load(path)
     if parts:
         return df.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_read"))
     return df.agg(F.count(F.lit(1)).alias("rows_read"))
+
+
+class ReadBackError(RuntimeError):
+    """A written target doesn't hold the rows that were checked."""
+
+
+def verify_partitions(expected: DataFrame, found: DataFrame, partition_by: Iterable[str], path: str) -> None:
+    """K7: every partition of ``expected`` (parts, rows_written) is there with as many rows in ``found`` (parts, rows_read)."""
+    parts = list(partition_by)
+    right = found.select(*[F.col(p).alias(f"__{p}") for p in parts], "rows_read")
+    same = [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts]
+    joined = expected.join(right, functools.reduce(lambda a, b: a & b, same), "left")
+    wrong = joined.where(F.col("rows_written") != F.coalesce("rows_read", F.lit(0))).orderBy(*parts).limit(5).collect()
+    if wrong:
+        told = "; ".join(f"{ {p: r[p] for p in parts} }: {r['rows_written']} written, {r['rows_read'] or 0} found" for r in wrong)
+        raise ReadBackError(f"{path}: {told}.")

@@ -1,6 +1,7 @@
 from terrace.sources.files import (
     land_files,
     read_csv_strings,
+    read_current,
     read_numeric_partitions,
     read_parquet,
     read_partitioned,
@@ -13,6 +14,7 @@ from terrace.sources.files import (
 __all__ = [
     "land_files",
     "read_csv_strings",
+    "read_current",
     "read_numeric_partitions",
     "read_parquet",
     "read_partitioned",

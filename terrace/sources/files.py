@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import functools
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace import session as S
-
+from terrace.functions.columns import SOURCE_COLUMN
+from terrace.sinks import versions
 
 # Timestamp text layout of landing files written here (microseconds kept).
 LANDING_TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -28,44 +32,73 @@ def read_csv_strings(
     glob: str | None = None,
     with_file_name: bool = False,
     multiline: bool = False,
+    malformed: str | None = None,
 ) -> DataFrame:
-    """S1: CSV with a header row, every column read as text.
+    """S1: CSV with a header row, every column read as text and bound by its header name.
+
+    Files may order their columns differently and have further ones: each
+    distinct header is one read, and the asked ``columns`` are taken by name
+    (all of the first file's without ``columns``). A file whose header lacks
+    one of them is an error that names the file. Only the first line of each
+    file is looked at before the read.
 
     Quotes inside a quoted field are doubled (RFC 4180, as spreadsheet and
     database exports write them); a backslash is an ordinary character.
-    Without ``columns`` the names come from the header. With ``columns`` the
-    header must carry exactly those names (``enforceSchema=false``), so a file
-    with reordered columns fails instead of shifting values.
+    A row with more or fewer cells than its header stops the read with
+    ``malformed_row`` and the file's name, or is kept with its text in the
+    column ``malformed`` names (NULL for sound rows).
     ``with_file_name`` adds ``_source_file`` from the file metadata.
     ``multiline`` accepts line breaks inside quoted fields; each file is then
     parsed by one task (it cannot be split), so it is off by default.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("inferSchema", False)
+    places = [path] if isinstance(path, str) else list(path)
+    files = [f for place in places for f in S.matching_files(spark, place, glob)]
+    if not files:
+        raise FileNotFoundError(f"No landing file matches {', '.join(places)}.")
+    with ThreadPoolExecutor(S.MOVES_AT_ONCE) as pool:
+        lines = list(pool.map(lambda f: S.read_first_line(spark, f), files))
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for name, line in zip(files, lines):
+        by_header.setdefault(tuple(next(csv.reader([line.removeprefix("\ufeff")]), [])), []).append(name)
+    wanted = list(columns) if columns is not None else list(next(iter(by_header)))
+    parts = []
+    for header, named in by_header.items():
+        lost = [c for c in wanted if c not in header]
+        if lost:
+            raise ValueError(f"The header of {named[0]} lacks the column(s) {', '.join(lost)}.")
+        parts.append(_read_with_header(spark, named, list(header), wanted, with_file_name, multiline, malformed))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+_BAD_ROW = "_malformed_row"
+
+
+def _read_with_header(spark, files, header, wanted, with_file_name, multiline, malformed) -> DataFrame:
+    schema = T.StructType([*string_schema(header), T.StructField(_BAD_ROW, T.StringType(), True)])
+    rows = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BAD_ROW)
+        .option("columnPruning", False)  # else surplus and missing cells go unseen
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multiline)
+        .csv(files)
     )
-    if columns is not None:
-        reader = reader.schema(string_schema(columns)).option("enforceSchema", False)
-    if isinstance(path, str) and not glob:
-        path, glob = split_glob(path)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(path)
+    file_name = F.col("_metadata.file_name")
+    if malformed is None:
+        # The message names a cell too: a read of no other column than the check's own isn't allowed.
+        told = F.concat_ws(": ", F.concat(F.lit("malformed_row in "), file_name), F.col(f"`{header[0]}`"))
+        sound = F.assert_true(F.col(_BAD_ROW).isNull(), told)
+        rows = rows.where(sound.isNull())
+    out = [F.col(f"`{c}`") for c in wanted]
+    if malformed is not None:
+        out.append(F.col(_BAD_ROW).alias(malformed))
     if with_file_name:
-        df = df.withColumn("_source_file", F.col("_metadata.file_name"))
-    return df
-
-
-def split_glob(path: str) -> tuple[str, str | None]:
-    """``dir/orders-*.csv`` -> (``dir``, ``orders-*.csv``); a plain path is kept."""
-    head, _, last = path.rstrip("/").rpartition("/")
-    if head and any(ch in last for ch in "*?[{"):
-        return head, last
-    return path, None
+        out.append(file_name.alias(SOURCE_COLUMN))
+    return rows.select(*out)
 
 
 def resolve_landing_source(source: str, file_name: str | None) -> str:
@@ -87,7 +120,7 @@ def read_parquet(spark: SparkSession, path: str | list[str], *, recursive: bool
         return reader.parquet(*(path if isinstance(path, list) else [path]))
     except AnalysisException as exc:
         if "UNABLE_TO_INFER_SCHEMA" in str(exc) or "PATH_NOT_FOUND" in str(exc):
-            raise FileNotFoundError(f"No Parquet files were found under {path}.") from exc
+            raise FileNotFoundError(f"{path} holds no Parquet data.") from exc
         raise
 
 
@@ -121,6 +154,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return spark.read.schema(schema).option("basePath", path).format(fmt).load(path).select(*schema.names)
 
 
+def read_current(spark: SparkSession, root: str, schema: T.StructType, partition_by: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """The published state of a table written in versions (:mod:`terrace.sinks.versions`).
+
+    Only the folders that the newest complete manifest lists are read.
+    """
+    places = versions.current_locations(spark, root)
+    if not places:
+        raise FileNotFoundError(f"{root} has no published version.")
+    reader = spark.read.schema(schema).option("basePath", f"{root.rstrip('/')}/{versions.FOLDER}/data")
+    return reader.parquet(*places).select(*schema.names)
+
+
 def read_numeric_partitions(spark: SparkSession, root: str, partition_by: list[str] | tuple[str, ...]) -> DataFrame:
     """K8 read side: ``root/2026/4/3/part.parquet`` with the values taken from the path."""
     df = spark.read.option("recursiveFileLookup", True).parquet(root)
@@ -159,19 +204,14 @@ def land_files(
     spark = df.sparkSession
     parent = prefix.rstrip("/").rsplit("/", 1)[0]
     stage = f"{parent}/_landing_stage_{stem}_{uuid.uuid4().hex[:8]}"
-    writer = df.write.mode("overwrite")
+    options = {}
     if fmt == "csv":
-        writer = writer.options(
-            header=True,
-            quote='"',
-            escape='"',
-            timestampFormat=LANDING_TIMESTAMP_FORMAT,
-            timestampNTZFormat=LANDING_TIMESTAMP_FORMAT,
-        )
+        options = {"header": True, "quote": '"', "escape": '"', "timestampFormat": LANDING_TIMESTAMP_FORMAT, "timestampNTZFormat": LANDING_TIMESTAMP_FORMAT}
+    writer = df.write.mode("overwrite").options(**options)
     if by:
-        writer = writer.partitionBy(by)
+        writer = df.hint("rebalance", by).write.mode("overwrite").options(**options).partitionBy(by)
     writer.format(fmt).save(stage)
-    landed = []
+    moves: list[tuple[str, str]] = []
     counters: dict[str, int] = {}
     extension = {"text": "txt"}.get(fmt, fmt)
     for part in S.data_files(spark, stage, extension):
@@ -181,8 +221,7 @@ def land_files(
             tag = f"{stem}_{value}"
         n = counters.get(tag, 0)
         counters[tag] = n + 1
-        target = f"{prefix.rstrip('/')}/{tag}-{n:05d}.{extension}"
-        S.rename_path(spark, part, target)
-        landed.append(target)
+        moves.append((part, f"{prefix.rstrip('/')}/{tag}-{n:05d}.{extension}"))
+    S.move_all(spark, moves)
     S.delete_path(spark, stage)
-    return landed
+    return [target for _, target in moves]

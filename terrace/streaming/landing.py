@@ -97,22 +97,26 @@ def ingest(
     glob: str = "*.csv",
     max_files_per_trigger: int = 1,
     business_date: str | dt.date | None = None,
-    timeout_seconds: int | None = None,
-) -> list[dict[str, Any]]:
+    run_id: str | None = None,
+) -> int:
     """Process every file waiting in ``landing_dir`` (``availableNow``), one run per micro-batch.
 
     ``handler(batch_df, run)`` does the work of one run (usually the
     medallion chain). ``foreachBatch`` delivers at least once; handlers write
     with overwrite semantics and the run id is derived from the batch id, so a
-    replayed batch writes the same result. Returns the query's progress
-    records.
+    replayed batch writes the same result. A given ``business_date`` or
+    ``run_id`` (a retry of named files) holds for every batch. Runs until all
+    waiting files are done; returns how many batches this call handled.
     """
     stream = landing_stream(spark, landing_dir, columns, glob=glob, max_files_per_trigger=max_files_per_trigger)
     processed_at = RunContext.create(business_date).processed_at_utc
+    handled = 0
 
     def on_batch(batch_df: DataFrame, batch_id: int) -> None:
-        run = RunContext.create(business_date, run_id=batch_run_id(checkpoint, batch_id), processed_at_utc=processed_at)
+        nonlocal handled
+        run = RunContext.create(business_date, run_id=run_id or batch_run_id(checkpoint, batch_id), processed_at_utc=processed_at)
         handler(batch_df, run)
+        handled += 1
 
     query = (
         stream.writeStream.foreachBatch(on_batch)
@@ -120,10 +124,5 @@ def ingest(
         .trigger(availableNow=True)
         .start()
     )
-    finished = query.awaitTermination(timeout_seconds) if timeout_seconds else query.awaitTermination()
-    if finished is False:
-        query.stop()
-        raise TimeoutError(f"Landing ingest did not finish within {timeout_seconds}s.")
-    if query.exception() is not None:
-        raise RuntimeError(f"Landing ingest failed: {query.exception()}")
-    return [dict(p) if isinstance(p, dict) else p for p in query.recentProgress]
+    query.awaitTermination()
+    return handled

@@ -171,6 +171,25 @@ FROM orders GROUP BY 1, 2""",
     "run_summary": f"""
 SELECT 'orders_gold_history' AS pipeline, '{QS.RUN_ID}' AS run_id, year, month, day, COUNT(*) AS rows_written
 FROM ({_gold_history()}) g GROUP BY year, month, day""",
+    "chain_audit": f"""
+SELECT 'orders_a_gold' AS pipeline, '{QS.RUN_ID}' AS run_id, CAST(2026 AS INTEGER) AS year, CAST(4 AS INTEGER) AS month,
+       CAST(2 AS INTEGER) AS day, COUNT(*) AS rows_written FROM orders
+UNION ALL
+SELECT 'orders_b_gold', '{QS.RUN_ID}', 2026, 4, 3, COUNT(*) FROM orders""",
+    "chain_catalog_count": f"""
+SELECT '{QS.PREVIOUS_DATE}' AS business_date, COUNT(*) AS row_count FROM orders
+UNION ALL SELECT '{QS.BUSINESS_DATE}', 2 * COUNT(*) FROM orders""",
+    "csv_by_header_name": """
+SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(12, 2)) AS c_acctbal,
+       CASE WHEN c_custkey % 2 = 0 THEN 'a' ELSE 'b' END AS stem
+FROM customer""",
+    "catalog_numeric_publish": _union(_gold(QS.PREVIOUS_DATE, QS.PREVIOUS_RUN_ID), _gold(QS.BUSINESS_DATE, QS.RUN_ID)),
+    "catalog_synced_partitions": "SELECT 'year=2026/month=4/day=3' AS partition, COUNT(*) AS row_count FROM orders",
+    "stream_explicit_run": f"""
+SELECT o_orderkey AS order_key, 'orders-00000.csv' AS source_file, '{QS.BACKFILL_RUN_ID}' AS run_id,
+       DATE '{QS.PREVIOUS_DATE}' AS ingestion_date, CAST(2026 AS INTEGER) AS year, CAST(4 AS INTEGER) AS month,
+       CAST(2 AS INTEGER) AS day, COUNT(*) OVER () AS rows_written
+FROM orders""",
     "silver_normalize_sql": _SILVER,
     "silver_gate_observed": _SILVER,
     "gold_gate_observed": _union(_gold(QS.PREVIOUS_DATE, QS.PREVIOUS_RUN_ID), _gold(QS.BUSINESS_DATE, QS.RUN_ID)),
@@ -198,7 +217,10 @@ SELECT o_orderkey, '{QS.ORDERS_FILE}' AS source_file, '{QS.RUN_ID}' AS run_id,
        TIMESTAMP '{QS.PROCESSED_AT}' AS processed_at_utc
 FROM orders""",
     "business_date_columns": f"SELECT event_id, CAST(ts AS DATE) AS ingestion_date, {_TS_PARTS} FROM events",
-    "iso_date_parse": "SELECT event_id, CAST(ts AS DATE) AS date_from_t, CAST(ts AS DATE) AS date_from_space, CAST(ts AS DATE) AS date_only FROM events",
+    "iso_date_parse": f"""
+SELECT event_id, CAST(ts AS DATE) AS date_from_t, CAST(ts AS DATE) AS date_from_space, CAST(ts AS DATE) AS date_only,
+       CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) ELSE DATE '{QS.BUSINESS_DATE}' END AS empty_is_run_date
+FROM events""",
     "path_file_name": r"SELECT page_id, regexp_extract(regexp_replace(url, '/+$', ''), '([^/]*)$', 1) AS file_name FROM pages",
     "quality_pk_duplicates": _LINEITEM_DUPLICATES,
     "quality_non_null": _union(*[_count_rule("non_null", c, p, "events") for c, p in _EVENTS_NULL_PREDICATES]),
@@ -219,9 +241,9 @@ FROM orders""",
     "catalog_external_table": _SILVER,
     "catalog_partitioned_table": _union(_gold(QS.PREVIOUS_DATE, QS.PREVIOUS_RUN_ID), _gold(QS.BUSINESS_DATE, QS.RUN_ID)),
     "catalog_row_count": "SELECT COUNT(*) * 3 AS row_count FROM orders",
-    "stream_landing_ingest": "SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date FROM events",
+    "stream_landing_ingest": "SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date, 'events_' || strftime(ts, '%Y-%m-%d') AS source_stem FROM events",
     "stream_event_columns": """
-SELECT event_id, 'events_' || strftime(ts, '%Y-%m-%d') AS source_stem, CAST(ts AS DATE) AS landed_day,
-       TRUE AS key_ends_with_file, TRUE AS uri_ends_with_key, TRUE AS has_business_date
+SELECT event_id, 'events_' || strftime(ts, '%Y-%m-%d') AS source_stem, CAST(ts AS DATE) AS key_day, CAST(ts AS DATE) AS uri_day,
+       TRUE AS uri_is_bucket_and_key, CAST(ts AS DATE) AS day_if_on_time
 FROM events""",
 }

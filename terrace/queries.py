@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,9 +23,9 @@ from terrace import session as S
 from terrace.contract import Contract
 from terrace.operators import quality as Q
 from terrace.plans import chain, events, orders
-from terrace.plans.jobs import publish
+from terrace.plans.jobs import publish, read_published
 from terrace.run import RunContext
-from terrace.streaming import event_columns
+from terrace.streaming import ingest, landing_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,14 +39,25 @@ PREVIOUS_DATE = "2026-04-02"
 ORDERS_FILE = "orders.csv"
 EVENTS_RUN_DATE = "2024-01-15"
 PRUNE_DATE = (1998, 10, 3)
+FILES_PER_BATCH = 10  # of the stream queries: several micro-batches of several files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _run(business_date: str = BUSINESS_DATE, run_id: str = RUN_ID) -> RunContext:
-    return RunContext.create(business_date, run_id=run_id, processed_at_utc=PROCESSED_AT, source_file=ORDERS_FILE)
+def _run(business_date: str = BUSINESS_DATE, run_id: str = RUN_ID, source_file: str | None = ORDERS_FILE) -> RunContext:
+    return RunContext.create(business_date, run_id=run_id, processed_at_utc=PROCESSED_AT, source_file=source_file)
+
+
+def _landed_run(business_date: str = BUSINESS_DATE, run_id: str = RUN_ID) -> RunContext:
+    """A run without a source file: every row keeps the name of its own landing file."""
+    return _run(business_date, run_id, None)
+
+
+def _stem(df: DataFrame) -> DataFrame:
+    """``orders-00003.csv`` -> ``orders.csv``: how many files were landed depends on the cluster; other names stay as they are."""
+    return df.withColumn("source_file", F.regexp_replace("source_file", r"^orders-\d{5}\.csv$", ORDERS_FILE))
 
 
 def _orders_as_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +75,7 @@ def _land_orders(spark: SparkSession, sf_dir: str, root: str) -> str:
 
 
 def _orders_paths(root: str, landing: str) -> chain.MedallionPaths:
-    return chain.MedallionPaths(landing=landing, silver=f"{root}/silver", gold=f"{root}/gold", bi=f"{root}/bi/orders_snapshot.csv")
+    return chain.MedallionPaths(landing=landing, silver=f"{root}/silver", gold=f"{root}/gold", bi=f"{root}/bi/orders_snapshot")
 
 
 def _gold_days(spark: SparkSession, sf_dir: str, root: str, days: list[tuple[str, str]]) -> str:
@@ -187,18 +200,18 @@ def _snapshot(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     root = S.scratch_path(spark, f"snapshot_{fmt}")
     gold = _gold_days(spark, sf_dir, root, [(PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, RUN_ID)])
     run = _run()
-    target = f"{root}/bi/orders_snapshot.{fmt}"
-    publish(orders.to_bi(sources.read_partitioned(spark, gold), run), orders.bi_spec(target, fmt=fmt), run, name="orders_bi", inputs=[gold])
-    if fmt == "csv":
-        return spark.read.schema(orders.BI.schema).options(**sinks.CSV_OPTIONS).csv(target)
-    return spark.read.parquet(target)
+    spec = orders.bi_spec(f"{root}/bi/orders_snapshot", fmt=fmt)
+    publish(orders.to_bi(sources.read_partitioned(spark, gold), run), spec, run, name="orders_bi", inputs=[gold])
+    return read_published(spark, spec)
 
 
 def snapshot_csv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CSV snapshot of one day at its stable path (a folder that all tasks write)."""
     return _snapshot(spark, sf_dir, "csv")
 
 
 def snapshot_parquet_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Parquet snapshot of one day at its stable path (a folder that all tasks write)."""
     return _snapshot(spark, sf_dir, "parquet")
 
 
@@ -210,12 +223,13 @@ def csv_dataset_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_readback_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each month's folder after a publish (whose own read-back compares every folder), beside those checked."""
     root = S.scratch_path(spark, "sink_readback_count")
-    path = f"{root}/orders"
-    df = _orders_by_order_date(spark, sf_dir).drop("day")
-    written = df.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows_written"))
-    sinks.overwrite_full(df, path, partition_by=("year", "month"), rebalance=True)
-    read = sinks.readback_counts(spark, path, ("year", "month"))
+    gold = orders.to_gold_history(orders.to_silver(_orders_as_text(spark, sf_dir), _run()), _run())
+    spec = orders.gold_spec(f"{root}/gold", write_mode="overwrite_full", partition_by=("year", "month"), check_run_date=False, rebalance=True)
+    publish(gold, spec, _run())
+    written = gold.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows_written"))
+    read = sinks.readback_counts(spark, spec.path, ("year", "month"))
     return written.join(read, ["year", "month"], "full_outer").select(
         "year", "month", F.coalesce("rows_written", F.lit(0)).alias("rows_written"), F.coalesce("rows_read", F.lit(0)).alias("rows_read")
     )
@@ -237,59 +251,86 @@ def numeric_partition_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "silver_normalize")
     paths = _orders_paths(root, _land_orders(spark, sf_dir, root))
-    chain.run_silver(spark, orders.plan(), paths, _run())
-    return sources.read_parquet(spark, paths.silver)
+    chain.run_silver(spark, orders.plan(), paths, _landed_run())
+    return _stem(sources.read_parquet(spark, paths.silver))
 
 
 def gold_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "gold_enrich")
     paths = _orders_paths(root, _land_orders(spark, sf_dir, root))
-    run = _run()
+    run = _landed_run()
     chain.run_silver(spark, orders.plan(), paths, run)
     chain.run_gold(spark, orders.plan(), paths, run)
-    return sources.read_partitioned(spark, paths.gold)
+    return _stem(sources.read_partitioned(spark, paths.gold))
 
 
 def bi_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "bi_snapshot")
     paths = _orders_paths(root, _land_orders(spark, sf_dir, root))
     plan = orders.plan()
-    chain.run_chain(spark, plan, paths, _run(PREVIOUS_DATE, PREVIOUS_RUN_ID))
-    chain.run_chain(spark, plan, paths, _run())
-    return spark.read.schema(orders.BI.schema).options(**sinks.CSV_OPTIONS).csv(paths.bi)
+    chain.run_chain(spark, plan, paths, _landed_run(PREVIOUS_DATE, PREVIOUS_RUN_ID))
+    chain.run_chain(spark, plan, paths, _landed_run())
+    return _stem(read_published(spark, orders.bi_spec(paths.bi)))
 
 
 def medallion_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "medallion_chain")
     paths = _orders_paths(root, _land_orders(spark, sf_dir, root))
     plan = orders.plan()
-    chain.run_chain(spark, plan, paths, _run(PREVIOUS_DATE, PREVIOUS_RUN_ID))
-    chain.run_chain(spark, plan, paths, _run())
-    return sources.read_partitioned(spark, paths.gold)
+    chain.run_chain(spark, plan, paths, _landed_run(PREVIOUS_DATE, PREVIOUS_RUN_ID))
+    chain.run_chain(spark, plan, paths, _landed_run())
+    return _stem(sources.read_partitioned(spark, paths.gold))
 
 
 def backfill_business_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "backfill_business_date")
     paths = _orders_paths(root, _land_orders(spark, sf_dir, root))
     plan = orders.plan()
-    chain.run_chain(spark, plan, paths, _run(PREVIOUS_DATE, PREVIOUS_RUN_ID))
-    chain.run_chain(spark, plan, paths, _run())
-    backfill_paths = chain.MedallionPaths(paths.landing, paths.silver, paths.gold, None)
-    chain.backfill(
-        spark, plan, backfill_paths, PREVIOUS_DATE, run_id=BACKFILL_RUN_ID, processed_at_utc=PROCESSED_AT, source_file=ORDERS_FILE
-    )
-    return sources.read_partitioned(spark, paths.gold)
+    chain.run_chain(spark, plan, paths, _landed_run(PREVIOUS_DATE, PREVIOUS_RUN_ID))
+    chain.run_chain(spark, plan, paths, _landed_run())
+    backfill_paths = chain.MedallionPaths(paths.landing, paths.silver, paths.gold)
+    chain.backfill(spark, plan, backfill_paths, PREVIOUS_DATE, run_id=BACKFILL_RUN_ID, processed_at_utc=PROCESSED_AT)
+    return _stem(sources.read_partitioned(spark, paths.gold))
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "run_summary")
     run = _run()
     silver = orders.to_silver(_orders_as_text(spark, sf_dir), run)
-    spec = orders.gold_spec(f"{root}/gold", check_run_date=False, rebalance=True)
+    spec = orders.gold_spec(f"{root}/gold", write_mode="overwrite_full", check_run_date=False, rebalance=True)
     publish(orders.to_gold_history(silver, run), spec, run, name="orders_gold_history")
     return chain.run_partition_summary(spark, spec, run, "orders_gold_history")
 
 
+def chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two one-day chains that share a run id, audited to one table: rows of each pipeline's partition."""
+    root = S.scratch_path(spark, "chain_audit")
+    landing = _land_orders(spark, sf_dir, root)
+    for name, business_date in (("orders_a", PREVIOUS_DATE), ("orders_b", BUSINESS_DATE)):
+        paths = chain.MedallionPaths(landing, f"{root}/{name}/silver", f"{root}/{name}/gold")
+        chain.run_chain(spark, replace(orders.plan(), name=name), paths, _landed_run(business_date), audit_root=f"{root}/audit")
+    audit = spark.read.parquet(f"{root}/audit/partitions")
+    return audit.select("pipeline", "run_id", "year", "month", "day", "rows_written")
+
+
+def csv_by_header_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two landing files with different column orders, one with a further column, read by header name."""
+    root = S.scratch_path(spark, "csv_by_header_name")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    even = F.col("c_custkey") % 2 == 0
+    sources.land_files(customer.where(even), f"{root}/landing", "a")
+    turned = customer.where(~even).select("c_acctbal", "c_nationkey", F.lit("x,y").alias("remark"), "c_name", "c_custkey")
+    sources.land_files(turned, f"{root}/landing", "b")
+    rows = sources.read_csv_strings(spark, f"{root}/landing/*.csv", ["c_custkey", "c_name", "c_nationkey", "c_acctbal"], with_file_name=True)
+    return rows.select(
+        TF.to_bigint("c_custkey").alias("c_custkey"),
+        "c_name",
+        TF.to_int("c_nationkey").alias("c_nationkey"),
+        TF.to_decimal("c_acctbal").alias("c_acctbal"),
+        F.substring(TF.SOURCE_COLUMN, 1, 1).alias("stem"),
+    )
+
+
 def silver_normalize_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The orders silver step written as a SQL file (typed parameters, bound source)."""
     from pathlib import Path
@@ -299,29 +340,31 @@ def silver_normalize_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "silver_normalize_sql")
     landing = _land_orders(spark, sf_dir, root)
     text = (Path(orders.__file__).parent / "sql" / "orders_silver.sql").read_text(encoding="utf-8")
-    run = _run()
+    run = _landed_run()
     publish(sql_transform(text)(orders.read_bronze(spark, landing), run), orders.silver_spec(f"{root}/silver"), run, inputs=[landing])
-    return sources.read_parquet(spark, f"{root}/silver")
+    return _stem(sources.read_parquet(spark, f"{root}/silver"))
 
 
 def silver_gate_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver published through the observe-while-staging gate (the large-result path)."""
+    """Silver published as a version, gated while it is written (the large-result path)."""
     root = S.scratch_path(spark, "silver_gate_observed")
     landing = _land_orders(spark, sf_dir, root)
     run = _run()
     silver = orders.to_silver(orders.read_bronze(spark, landing), run)
-    publish(silver, orders.silver_spec(f"{root}/silver", gate="observe"), run, inputs=[landing])
-    return sources.read_parquet(spark, f"{root}/silver")
+    spec = orders.silver_spec(f"{root}/silver", gate="observe")
+    publish(silver, spec, run, inputs=[landing])
+    return read_published(spark, spec)
 
 
 def gold_gate_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two gold days published through the observe gate (staged day folders moved into place)."""
+    """Two gold days published as versions, the second day twice: its last version is the one that is read."""
     root = S.scratch_path(spark, "gold_gate_observed")
     silver = orders.to_silver(_orders_as_text(spark, sf_dir), _run())
-    for business_date, run_id in ((PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, RUN_ID)):
+    spec = orders.gold_spec(f"{root}/gold", gate="observe")
+    for business_date, run_id in ((PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, "superseded"), (BUSINESS_DATE, RUN_ID)):
         run = _run(business_date, run_id)
-        publish(orders.to_gold(silver, run), orders.gold_spec(f"{root}/gold", gate="observe"), run)
-    return sources.read_partitioned(spark, f"{root}/gold")
+        publish(orders.to_gold(silver, run), spec, run)
+    return read_published(spark, spec)
 
 
 def gold_numeric_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,6 +389,40 @@ def catalog_registered_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table_name)
 
 
+def catalog_numeric_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold days in the numeric layout, read through the catalog: partitions are registered with their folders."""
+    root = S.scratch_path(spark, "catalog_numeric_publish")
+    table_name = f"{_database(spark, 'numeric')}.gold_orders"
+    silver = orders.to_silver(_orders_as_text(spark, sf_dir), _run())
+    for business_date, run_id in ((PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, RUN_ID)):
+        run = _run(business_date, run_id)
+        publish(orders.to_gold(silver, run), orders.gold_spec(f"{root}/gold", partition_style="numeric", catalog_table=table_name), run)
+    return spark.table(table_name)
+
+
+def catalog_synced_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions that the catalog shows after a full overwrite with another day, with their rows."""
+    root = S.scratch_path(spark, "catalog_synced_partitions")
+    table_name = f"{_database(spark, 'synced')}.gold_orders"
+    silver = orders.to_silver(_orders_as_text(spark, sf_dir), _run())
+    for business_date, run_id in ((PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, RUN_ID)):
+        run = _run(business_date, run_id)
+        publish(orders.to_gold(silver, run), orders.gold_spec(f"{root}/gold", write_mode="overwrite_full", catalog_table=table_name), run)
+    rows = spark.table(table_name).agg(F.count(F.lit(1)).alias("row_count"))
+    return spark.sql(f"SHOW PARTITIONS {table_name}").crossJoin(F.broadcast(rows))
+
+
+def chain_catalog_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain's last step: the catalog count after two days were loaded."""
+    root = S.scratch_path(spark, "chain_catalog_count")
+    paths = replace(_orders_paths(root, _land_orders(spark, sf_dir, root)), bi=None, table=f"{_database(spark, 'chain')}.gold_orders")
+    counts = []
+    for business_date, run_id in ((PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, RUN_ID)):
+        done = chain.run_chain(spark, orders.plan(), paths, _landed_run(business_date, run_id))
+        counts.append((done["business_date"], done["catalog"]["row_count"]))
+    return spark.createDataFrame(counts, "business_date string, row_count long")
+
+
 # ---------------------------------------------------------------------------
 # Column functions
 # ---------------------------------------------------------------------------
@@ -405,6 +482,7 @@ def iso_date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         TF.iso_date_text(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("date_from_t"),
         TF.iso_date_text(F.col("ts").cast("string")).alias("date_from_space"),
         TF.iso_date_text(F.date_format("ts", "yyyy-MM-dd")).alias("date_only"),
+        TF.iso_date_text(F.when(F.col("event_type") != "error", F.col("ts").cast("string")).otherwise(" "), F.lit(BUSINESS_DATE)).alias("empty_is_run_date"),
     )
 
 
@@ -473,8 +551,10 @@ def _events_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(*[c for c in EVENTS_CHECKS.names if c not in dates], *[dates[k].alias(k) for k in ("ingestion_date", "year", "month", "day")])
 
 
-def _rules(report: DataFrame, *rules: str) -> DataFrame:
-    return report.where(F.col("rule").isin(list(rules))).select("rule", "column_name", "violations")
+def _rules(df: DataFrame, contract: Contract, rule: str, run: RunContext | None = None) -> DataFrame:
+    """The report of one kind of rule; no other is compiled."""
+    report = Q.quality_report(df, contract, run, only=(rule,))
+    return report.where("rule_order > 0").select("rule", "column_name", "violations")
 
 
 def quality_pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -482,27 +562,27 @@ def quality_pk_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rules(Q.quality_report(_events_checked(spark, sf_dir), EVENTS_CHECKS), "non_null")
+    return _rules(_events_checked(spark, sf_dir), EVENTS_CHECKS, "non_null")
 
 
 def quality_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(*PART_CHECKS.names)
-    return _rules(Q.quality_report(part, PART_CHECKS), "domain")
+    return _rules(part, PART_CHECKS, "domain")
 
 
 def quality_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(*LINEITEM_CHECKS.names)
-    return _rules(Q.quality_report(li, LINEITEM_CHECKS), "range")
+    return _rules(li, LINEITEM_CHECKS, "range")
 
 
 def quality_ingestion_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = RunContext.create(EVENTS_RUN_DATE, run_id=RUN_ID, processed_at_utc=PROCESSED_AT)
-    return _rules(Q.quality_report(_events_checked(spark, sf_dir), EVENTS_CHECKS, run), "ingestion_date")
+    return _rules(_events_checked(spark, sf_dir), EVENTS_CHECKS, "ingestion_date", run)
 
 
 def quality_partition_coherence(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = RunContext.create(EVENTS_RUN_DATE, run_id=RUN_ID, processed_at_utc=PROCESSED_AT)
-    return _rules(Q.quality_report(_events_checked(spark, sf_dir), EVENTS_CHECKS, run), "partition")
+    return _rules(_events_checked(spark, sf_dir), EVENTS_CHECKS, "partition", run)
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -567,42 +647,56 @@ def _land_events(spark: SparkSession, sf_dir: str, landing: str) -> None:
 def stream_landing_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "stream_landing_ingest")
     _land_events(spark, sf_dir, f"{root}/landing")
-    events.ingest_landing(spark, f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint", max_files_per_trigger=1)
+    events.ingest_landing(spark, f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint", max_files_per_trigger=FILES_PER_BATCH)
     silver = sources.read_table(spark, f"{root}/silver", events.SILVER.schema)
-    return silver.select("event_id", "ts", "user_id", "event_type", "value", "props", "event_date")
+    stem = F.regexp_extract("source_file", r"^(events_\d{4}-\d{2}-\d{2})-\d{5}\.csv$", 1)
+    return silver.select("event_id", "ts", "user_id", "event_type", "value", "props", "event_date", stem.alias("source_stem"))
 
 
 def stream_event_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrival columns of every landed row, and the run id given to the ingest."""
     root = S.scratch_path(spark, "stream_event_columns")
+    started = spark.range(1).select(F.current_timestamp()).first()[0]
     _land_events(spark, sf_dir, f"{root}/landing")
-    stream = sources.string_schema(events.BRONZE_COLUMNS)
-    arrivals = (
-        spark.readStream.schema(stream)
-        .option("header", True)
-        .option("escape", '"')
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", 1)
-        .csv(f"{root}/landing")
-        .select(TF.to_bigint("event_id").alias("event_id"), *[v.alias(k) for k, v in event_columns().items()])
-    )
-    query = (
-        arrivals.writeStream.format("parquet")
-        .option("checkpointLocation", f"{root}/_checkpoint")
-        .trigger(availableNow=True)
-        .start(f"{root}/arrivals")
+    day_of = r"events_(\d{4}-\d{2}-\d{2})-\d{5}\.csv$"
+    arrivals = landing_stream(spark, f"{root}/landing", events.BRONZE_COLUMNS, max_files_per_trigger=FILES_PER_BATCH).select(
+        TF.to_bigint("event_id").alias("event_id"),
+        F.regexp_extract("source_filename", r"^(events_\d{4}-\d{2}-\d{2})-\d{5}\.csv$", 1).alias("source_stem"),
+        F.to_date(F.regexp_extract("object_key", day_of, 1)).alias("key_day"),
+        F.to_date(F.regexp_extract("source_uri", day_of, 1)).alias("uri_day"),
+        F.concat(F.lit(f"{urlsplit(S.qualified(spark, root)).scheme}://"), "bucket_name", F.lit("/"), "object_key").alias("built_uri"),
+        "source_uri",
+        "event_time",
+        "business_date",
     )
-    query.awaitTermination(1800)
+    query = arrivals.writeStream.format("parquet").option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start(f"{root}/arrivals")
+    query.awaitTermination()
     out = spark.read.parquet(f"{root}/arrivals")
+    # Files land after this query began (file times have whole seconds).
+    on_time = F.col("event_time") >= F.date_trunc("second", F.lit(started))
     return out.select(
         "event_id",
-        F.regexp_extract("source_filename", r"^(events_\d{4}-\d{2}-\d{2})-\d+\.csv$", 1).alias("source_stem"),
-        F.to_date(F.regexp_extract("source_filename", r"^events_(\d{4}-\d{2}-\d{2})-", 1)).alias("landed_day"),
-        F.col("object_key").endswith(F.col("source_filename")).alias("key_ends_with_file"),
-        F.col("source_uri").endswith(F.col("object_key")).alias("uri_ends_with_key"),
-        F.col("business_date").isNotNull().alias("has_business_date"),
+        "source_stem",
+        "key_day",
+        "uri_day",
+        (F.regexp_replace("built_uri", "/+", "/") == F.regexp_replace("source_uri", "/+", "/")).alias("uri_is_bucket_and_key"),
+        F.when(on_time & (F.col("business_date") == F.to_date("event_time")), F.col("uri_day")).alias("day_if_on_time"),
     )
 
 
+def stream_explicit_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed orders run through the chain by the stream, with a given business date and run id (a retry)."""
+    root = S.scratch_path(spark, "stream_explicit_run")
+    _land_orders(spark, sf_dir, root)
+    handler = chain.arrival_handler(orders.plan(), f"{root}/silver", f"{root}/gold", bronze_columns=orders.BRONZE_COLUMNS, audit_root=f"{root}/audit")
+    one = f"{root}/one"
+    sources.land_files(sources.read_csv_strings(spark, f"{root}/landing/orders-*.csv").coalesce(1), one, "orders")
+    ingest(spark, one, orders.BRONZE_COLUMNS, f"{root}/_checkpoint", handler, business_date=PREVIOUS_DATE, run_id=BACKFILL_RUN_ID)
+    gold = sources.read_partitioned(spark, f"{root}/gold")
+    audit = spark.read.parquet(f"{root}/audit/partitions").select("run_id", "year", "month", "day", "rows_written")
+    return gold.join(audit, ["run_id", "year", "month", "day"]).select("order_key", "source_file", "run_id", "ingestion_date", "year", "month", "day", "rows_written")
+
+
 QUERIES: dict[str, Query] = {
     "csv_bronze_scan": csv_bronze_scan,
     "landing_file_scan": landing_file_scan,
@@ -649,4 +743,10 @@ QUERIES: dict[str, Query] = {
     "catalog_row_count": catalog_row_count,
     "stream_landing_ingest": stream_landing_ingest,
     "stream_event_columns": stream_event_columns,
+    "stream_explicit_run": stream_explicit_run,
+    "chain_audit": chain_audit,
+    "chain_catalog_count": chain_catalog_count,
+    "csv_by_header_name": csv_by_header_name,
+    "catalog_numeric_publish": catalog_numeric_publish,
+    "catalog_synced_partitions": catalog_synced_partitions,
 }

@@ -25,6 +25,7 @@ def test_partitioned_external_table_sees_registered_days(spark, workdir):
     assert catalog.row_count(spark, table).first().row_count == 1500
     catalog.repair(spark, table)
     assert catalog.row_count(spark, table).first().row_count == 4500
+    assert spark.sql(f"SHOW PARTITIONS {table}").count() == 3
     view = catalog.projected_view(spark, f"{db}_projected", table, {"year": (2024, 2035)})
     assert view.count() == 3000
     plan = view._jdf.queryExecution().executedPlan().toString()
@@ -54,3 +55,20 @@ def test_jobs_register_their_tables(spark, workdir):
         publish(orders.to_gold(silver, r), gold_spec(), r)
     assert catalog.row_count(spark, f"{db}.gold_orders").first().row_count == 3000
     assert spark.sql(f"SELECT count(*) AS n FROM {db}.gold_orders WHERE day = 3").first().n == 1500
+
+
+def test_versions_are_registered_with_their_folders(spark, workdir):
+    """A table of the observe gate: a day that is published again points to its new version."""
+    db = f"terrace_test_{uuid.uuid4().hex[:8]}"
+    catalog.ensure_database(spark, db, location=f"{workdir}/ware'house/{db}.db")
+    table = f"{db}.gold_orders"
+    silver = orders.to_silver(_orders_as_text(spark, SF), _run())
+    for day, run_id in (("2026-04-02", "a"), ("2026-04-03", "b"), ("2026-04-03", "c")):
+        r = _run(day, run_id)
+        publish(orders.to_gold(silver, r), orders.gold_spec(f"{workdir}/gold", gate="observe", catalog_table=table), r)
+    runs = {(r.day, r.run_id): r["count"] for r in spark.table(table).groupBy("day", "run_id").count().collect()}
+    assert runs == {(2, "a"): 1500, (3, "c"): 1500}
+    r = _run("2026-04-05", "d")
+    publish(orders.to_gold(silver, r), orders.gold_spec(f"{workdir}/gold", write_mode="overwrite_full", gate="observe", catalog_table=table), r)
+    assert [p[0] for p in spark.sql(f"SHOW PARTITIONS {table}").collect()] == ["year=2026/month=4/day=5"]
+    assert catalog.row_count(spark, table).first().row_count == 1500

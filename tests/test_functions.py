@@ -85,11 +85,31 @@ def test_file_name_of_uri():
 def test_arrival_from_uri_or_bucket_and_key():
     from terrace.run import Arrival
 
-    a = Arrival.of("s3a://lake/bronze/landing/HR-3.csv", business_date="2026-04-03T09:00:00Z", run_id="r")
+    a = Arrival.at("s3a://lake/bronze/landing/HR-3.csv", business_date="2026-04-03T09:00:00Z", run_id="r")
     assert (a.bucket_name, a.object_key, a.source_filename) == ("lake", "bronze/landing/HR-3.csv", "HR-3.csv")
     assert a.business_date == dt.date(2026, 4, 3)
-    b = Arrival.of(bucket_name="lake", object_key="/bronze/landing/HR-3.csv")
+    b = Arrival.in_bucket("lake", "/bronze/landing/HR-3.csv")
+    assert b == Arrival.in_bucket("lake", "bronze/landing/HR-3.csv", business_date=b.business_date, run_id=b.run_id, event_time=b.event_time)
     assert b.source_uri == "s3a://lake/bronze/landing/HR-3.csv" and b.run_id and b.event_time.endswith("Z")
     assert b.run().source_file == "HR-3.csv"
+    assert b.run().date_given
+
+
+def test_empty_date_text_takes_the_default(spark):
+    from pyspark.sql import functions as F
+
+    from terrace.functions import iso_date_text
+
+    df = spark.createDataFrame([("2026-04-03T10:00:00Z",), ("",), ("  ",), (None,), ("soon",)], "t string")
+    day = dt.date(2020, 1, 2)
+    got = df.select(iso_date_text("t").alias("plain"), iso_date_text("t", F.lit(day)).alias("given"), (iso_date_text("t", F.current_date()) == F.current_date()).alias("today"))
+    assert [tuple(r) for r in got.collect()] == [
+        (dt.date(2026, 4, 3), dt.date(2026, 4, 3), False), (None, day, True), (None, day, True), (None, day, True), (None, None, None),
+    ]
+
+
+def test_parse_business_date_of_values():
+    assert parse_business_date(dt.datetime(2026, 4, 3, 23, 59)) == dt.date(2026, 4, 3)
+    assert parse_business_date(dt.date(2026, 4, 3)) == dt.date(2026, 4, 3)
     with pytest.raises(ValueError):
-        Arrival.of()
+        parse_business_date("soon")

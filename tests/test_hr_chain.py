@@ -11,12 +11,22 @@ import hr_fixture
 from terrace import sinks, sources
 from terrace.operators.quality import QualityError
 from terrace.plans import chain, hr
-from terrace.plans.jobs import publish
+from terrace.plans.jobs import publish, read_published
 from terrace.run import RunContext
 
 PLAN = hr.plan()
 
 
+def snapshot_rows(folder):
+    """Rows of all part files of a CSV snapshot."""
+    out = []
+    for name in sorted(os.listdir(folder)):
+        if name.endswith(".csv"):
+            with open(f"{folder}/{name}", newline="", encoding="utf-8") as handle:
+                out += list(csv.DictReader(handle))
+    return out
+
+
 def paths(workdir, landing):
     return chain.MedallionPaths(
         landing=landing,
@@ -62,8 +72,7 @@ def test_full_chain_writes_gold_partition_and_snapshot(spark, workdir, landing):
     silver = sources.read_parquet(spark, p.silver)
     gold = sources.read_partitioned(spark, p.gold)
     assert {r.run_id for r in gold.select("run_id").distinct().collect()} == {r.run_id for r in silver.select("run_id").distinct().collect()}
-    with open(p.bi, newline="", encoding="utf-8") as handle:
-        rows = list(csv.DictReader(handle))
+    rows = snapshot_rows(p.bi)
     assert list(rows[0].keys()) == hr.BI.names
     assert {r["ingestion_date"] for r in rows} == {"2025-12-15"}
     assert {r["job_satisfaction_label"] for r in rows} <= {"low", "medium", "high", "very_high"}
@@ -74,8 +83,7 @@ def test_snapshot_filters_to_the_business_date_when_gold_has_history(spark, work
     p = paths(workdir, landing)
     chain.run_chain(spark, PLAN, p, run_for("2026-04-02", "a"))
     chain.run_chain(spark, PLAN, p, run_for("2026-04-03", "b"))
-    with open(p.bi, newline="", encoding="utf-8") as handle:
-        rows = list(csv.DictReader(handle))
+    rows = snapshot_rows(p.bi)
     ids = [int(r["employee_id"]) for r in rows]
     assert {r["ingestion_date"] for r in rows} == {"2026-04-03"}
     assert len(ids) == len(set(ids)) == 200
@@ -114,7 +122,7 @@ def test_duplicate_key_is_rejected_and_silver_untouched(spark, workdir):
     data = hr_fixture.rows(20)
     data[5]["EmployeeNumber"] = data[4]["EmployeeNumber"]
     p = paths(workdir, hr_fixture.write(f"{workdir}/landing/hr_dup_key.csv", data))
-    with pytest.raises(QualityError, match="Primary key"):
+    with pytest.raises(QualityError, match="primary_key"):
         chain.run_silver(spark, PLAN, p, run_for("2026-04-03").with_source("hr_dup_key.csv"))
     assert not os.path.exists(p.silver)
 
@@ -148,10 +156,10 @@ def test_gold_domain_and_date_coherence(spark, workdir, landing):
     chain.run_silver(spark, PLAN, p, run)
     gold = hr.to_gold(sources.read_parquet(spark, p.silver), run)
     upper = gold.withColumn("job_satisfaction_label", F.upper("job_satisfaction_label"))
-    with pytest.raises(QualityError, match="allowed domain"):
+    with pytest.raises(QualityError, match="domain on job_satisfaction_label"):
         publish(upper, hr.gold_spec(p.gold), run)
     shifted = gold.withColumn("day", F.lit(2))
-    with pytest.raises(QualityError, match="Partition column 'day'"):
+    with pytest.raises(QualityError, match="partition on day"):
         publish(shifted, hr.gold_spec(p.gold), run)
     other_date = gold.withColumn("ingestion_date", F.lit("2026-04-02").cast("date"))
     with pytest.raises(QualityError, match="ingestion_date"):
@@ -198,44 +206,37 @@ def test_observe_gate_publishes_same_result(spark, workdir, landing):
     publish(silver, hr.silver_spec(f"{workdir}/cached"), run)
     publish(silver, hr.silver_spec(f"{workdir}/observed", gate="observe"), run)
     a = sources.read_parquet(spark, f"{workdir}/cached")
-    b = sources.read_parquet(spark, f"{workdir}/observed")
+    b = read_published(spark, hr.silver_spec(f"{workdir}/observed", gate="observe"))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     gold = hr.to_gold(a, run)
     publish(gold, hr.gold_spec(f"{workdir}/gold_obs", gate="observe"), run)
-    assert os.path.isdir(f"{workdir}/gold_obs/year=2026/month=4/day=3")
+    assert read_published(spark, hr.gold_spec(f"{workdir}/gold_obs", gate="observe")).exceptAll(gold).count() == 0
     dup = silver.union(silver.limit(1))
-    with pytest.raises(QualityError, match="Primary key"):
-        publish(dup, hr.silver_spec(f"{workdir}/observed"), run)
-    assert sources.read_parquet(spark, f"{workdir}/observed").count() == 200
-    with pytest.raises(QualityError, match="Primary key"):
-        publish(dup, hr.silver_spec(f"{workdir}/observed", gate="observe"), run)
-    assert sources.read_parquet(spark, f"{workdir}/observed").count() == 200
-    assert [d for d in os.listdir(workdir) if "_stage_" in d] == []
+    for gate in ("cache", "observe"):
+        spec = hr.silver_spec(f"{workdir}/{'cached' if gate == 'cache' else 'observed'}", gate=gate)
+        with pytest.raises(QualityError, match="primary_key"):
+            publish(dup, spec, run)
+        assert read_published(spark, spec).count() == 200
+    assert len(os.listdir(f"{workdir}/observed/_versions/data")) == 1
 
 
-def test_chain_with_staged_observed_gates(spark, workdir, landing):
-    """With a tiny cache bound every step is gated while writing to staging."""
-    from terrace.plans import jobs
+def test_chain_with_observed_gates(spark, workdir, landing):
+    """Silver and gold are published as versions; the snapshot reads the published state."""
+    from dataclasses import replace
 
     p = paths(workdir, landing)
-    spark.conf.set(jobs.CACHE_LIMIT_CONF, "1")
-    try:
-        chain.run_chain(spark, PLAN, p, run_for("2026-04-02", "a"))
-        chain.run_chain(spark, PLAN, p, run_for("2026-04-03", "b"), audit_root=f"{workdir}/audit")
-    finally:
-        spark.conf.unset(jobs.CACHE_LIMIT_CONF)
-    gold = sources.read_partitioned(spark, p.gold)
+    plan = replace(PLAN, silver_spec=lambda path: hr.silver_spec(path, gate="observe"), gold_spec=lambda path: hr.gold_spec(path, gate="observe"))
+    chain.run_chain(spark, plan, p, run_for("2026-04-02", "a"))
+    chain.run_chain(spark, plan, p, run_for("2026-04-03", "b"), audit_root=f"{workdir}/audit")
+    gold = read_published(spark, plan.gold_spec(p.gold))
     assert {(r.day, r.run_id) for r in gold.select("day", "run_id").distinct().collect()} == {(2, "a"), (3, "b")}
-    with open(p.bi, newline="", encoding="utf-8") as handle:
-        rows = list(csv.DictReader(handle))
+    rows = snapshot_rows(p.bi)
     assert len(rows) == 200 and list(rows[0].keys()) == hr.BI.names
     audit = spark.read.parquet(f"{workdir}/audit/partitions").collect()
-    assert [(r.run_id, r.day, r.rows_written) for r in audit] == [("b", 3, 200)]
+    assert [(r.pipeline, r.run_id, r.day, r.rows_written) for r in audit] == [("hr_attrition_gold", "b", 3, 200)]
     rules = spark.read.parquet(f"{workdir}/audit/quality")
     assert rules.where("violations > 0 AND rule <> 'rows'").count() == 0
     assert rules.select("pipeline").distinct().count() == 3
-    leftovers = [d for root, dirs, _ in os.walk(workdir) for d in dirs if "_stage_" in d]
-    assert leftovers == []
 
 
 def test_numeric_gold_layout(spark, workdir, landing):
@@ -259,7 +260,7 @@ def test_observed_gate_refuses_empty_result(spark, workdir, landing):
     publish(gold, hr.gold_spec(p.gold, gate="observe"), run)
     with pytest.raises(sinks.EmptyResultError):
         publish(gold.where(F.lit(False)), hr.gold_spec(p.gold, gate="observe"), run)
-    assert sources.read_partitioned(spark, p.gold).count() == 200
+    assert read_published(spark, hr.gold_spec(p.gold, gate="observe")).count() == 200
 
 
 def test_replayed_run_does_not_duplicate_audit_rows(spark, workdir, landing):
@@ -280,6 +281,49 @@ def test_quotes_and_commas_survive_landing_to_snapshot(spark, workdir):
     landing = hr_fixture.write(f"{workdir}/landing/hr_quotes.csv", data)
     p = paths(workdir, landing)
     chain.run_chain(spark, PLAN, p, run_for("2026-04-03"))
-    with open(p.bi, newline="", encoding="utf-8") as handle:
-        departments = sorted(r["department"] for r in csv.DictReader(handle))
+    departments = sorted(r["department"] for r in snapshot_rows(p.bi))
     assert departments == ["back\\slash", "sales", 'sales, "emea"']
+
+
+def test_reordered_and_extra_columns_are_bound_by_name(spark, workdir):
+    """Two files of one landing folder: the second with swapped and extra columns."""
+    data = hr_fixture.rows(10)
+    for row in data:
+        row["YearsAtCompany"], row["TotalWorkingYears"] = "3", "30"
+    hr_fixture.write(f"{workdir}/landing/a.csv", data[:5])
+    header = list(reversed(hr.BRONZE_COLUMNS)) + ["Remark"]
+    with open(f"{workdir}/landing/b.csv", "w", newline="", encoding="utf-8") as handle:
+        writer = csv.DictWriter(handle, fieldnames=header, extrasaction="ignore")
+        writer.writeheader()
+        writer.writerows({**r, "Remark": "x, y"} for r in data[5:])
+    chain.run_silver(spark, PLAN, chain.MedallionPaths(f"{workdir}/landing", f"{workdir}/silver", f"{workdir}/gold"), run_for("2026-04-03"))
+    silver = sources.read_parquet(spark, f"{workdir}/silver")
+    assert {(r.years_at_company, r.total_working_years) for r in silver.collect()} == {(3, 30)}
+    assert {r.source_file: r["count"] for r in silver.groupBy("source_file").count().collect()} == {"a.csv": 5, "b.csv": 5}
+
+
+def test_missing_column_names_the_file(spark, workdir):
+    with open(f"{workdir}/c.csv", "w", encoding="utf-8") as handle:
+        handle.write("EmployeeNumber,Department\n1,x\n")
+    with pytest.raises(ValueError, match="c.csv lacks the column"):
+        hr.read_bronze(spark, f"{workdir}/c.csv")
+
+
+def test_single_file_snapshot_is_opt_in(spark, workdir, landing):
+    from dataclasses import replace
+
+    p = paths(workdir, landing)
+    plan = replace(PLAN, bi_spec=lambda path: hr.bi_spec(path, layout="file"))
+    chain.run_chain(spark, plan, p, run_for("2026-04-03"))
+    assert os.path.isfile(p.bi)
+
+
+def test_backfill_from_an_arrival(spark, workdir, landing):
+    from terrace.run import Arrival
+
+    arrival = Arrival.at(f"file://{landing}", business_date="2026-04-02", run_id="again")
+    p = chain.MedallionPaths("", f"{workdir}/silver", f"{workdir}/gold")
+    done = chain.backfill(spark, PLAN, p, arrival=arrival)
+    gold = sources.read_partitioned(spark, p.gold)
+    assert (done["run_id"], done["business_date"]) == ("again", "2026-04-02")
+    assert {(r.day, r.run_id, r.source_file) for r in gold.collect()} == {(2, "again", "hr_attrition.csv")}

@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from terrace import sinks
@@ -50,22 +52,6 @@ def test_hot_day_is_split_across_writers(spark, workdir):
     assert spark.read.parquet(f"{workdir}/t").count() == n
 
 
-def test_gate_strategy_follows_the_size_estimate(spark):
-    df = orders.to_silver(_orders_as_text(spark, "/root/testdata/sf0.001"), _run())
-    spec = orders.silver_spec("/unused")
-    assert jobs.estimated_bytes(df) > 0
-    assert jobs.choose_gate(df, spec) == "cache"
-    assert jobs.fuse_key_rule(df)
-    spark.conf.set(jobs.CACHE_LIMIT_CONF, "10")
-    spark.conf.set(jobs.FUSE_LIMIT_CONF, "10")
-    try:
-        assert jobs.choose_gate(df, spec) == "observe"
-        assert not jobs.fuse_key_rule(df)
-    finally:
-        spark.conf.unset(jobs.CACHE_LIMIT_CONF)
-        spark.conf.unset(jobs.FUSE_LIMIT_CONF)
-
-
 def test_one_day_gold_write_has_no_shuffle(spark, workdir):
     """A single business date has constant partition values: tasks write straight into the day folder."""
     run = _run()
@@ -79,18 +65,71 @@ def test_one_day_gold_write_has_no_shuffle(spark, workdir):
     original = sinks.overwrite_partitions
     jobs.sinks.overwrite_partitions = capture
     try:
-        jobs._write(gold, orders.gold_spec(f"{workdir}/g"), rows=1)
+        jobs._write(gold, orders.gold_spec(f"{workdir}/g"), run)
     finally:
         jobs.sinks.overwrite_partitions = original
     assert "Exchange" not in captured["plan"]
 
 
-def test_cache_bound_defaults_to_cluster_storage(spark):
-    storage = jobs.cluster_storage_bytes(spark)
-    assert storage and storage > 0
-    assert jobs.cache_limit(spark) == storage // 2
-    spark.conf.set(jobs.CACHE_LIMIT_CONF, "123")
-    try:
-        assert jobs.cache_limit(spark) == 123
-    finally:
-        spark.conf.unset(jobs.CACHE_LIMIT_CONF)
+def test_shared_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from terrace import session as S
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        S.shared_root(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: None)))
+
+
+def _versioned(spark, workdir):
+    run = _run()
+    gold = orders.to_gold(orders.to_silver(_orders_as_text(spark, "/root/testdata/sf0.001"), run), run)
+    return gold, orders.gold_spec(f"{workdir}/gold", gate="observe"), run
+
+
+def test_publish_that_dies_half_way_leaves_the_old_days(spark, workdir, monkeypatch):
+    gold, spec, run = _versioned(spark, workdir)
+    jobs.publish(gold, spec, run)
+    before = jobs.read_published(spark, spec).agg(F.sum("total_price")).first()[0]
+    dearer = gold.withColumn("total_price", (F.col("total_price") + 1).cast("decimal(12,2)"))
+
+    def die(*args, **kw):
+        raise ConnectionError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks.versions, "publish", die)
+        with pytest.raises(ConnectionError):
+            jobs.publish(dearer, spec, run)
+    assert jobs.read_published(spark, spec).agg(F.sum("total_price")).first()[0] == before
+    # A manifest that was begun but not completed isn't the table either.
+    os.makedirs(f"{workdir}/gold/_versions/manifests/000000000009")
+    assert jobs.read_published(spark, spec).agg(F.sum("total_price")).first()[0] == before
+    os.rmdir(f"{workdir}/gold/_versions/manifests/000000000009")
+    jobs.publish(dearer, spec, run)
+    assert jobs.read_published(spark, spec).agg(F.sum("total_price")).first()[0] == before + 1500
+    assert len(os.listdir(f"{workdir}/gold/_versions/data")) == 3
+    sinks.versions.vacuum(spark, spec.path)
+    assert len(os.listdir(f"{workdir}/gold/_versions/data")) == 1
+    assert jobs.read_published(spark, spec).count() == 1500
+
+
+def test_versioned_publish_moves_nothing(spark, workdir, monkeypatch):
+    gold, spec, run = _versioned(spark, workdir)
+    moved = []
+    monkeypatch.setattr(jobs.S, "rename_path", lambda *a: moved.append(a))
+    jobs.publish(gold, spec, run)
+    assert not moved and jobs.read_published(spark, spec).count() == 1500
+
+
+def test_read_back_names_the_partition_that_is_short(spark, workdir, monkeypatch):
+    run = _run()
+    silver = orders.to_silver(_orders_as_text(spark, "/root/testdata/sf0.001"), run)
+    spec = orders.gold_spec(f"{workdir}/gold", write_mode="overwrite_full", check_run_date=False, partition_by=("year",))
+    original = sinks.overwrite_full
+    monkeypatch.setattr(sinks, "overwrite_full", lambda df, *a, **k: original(df.where("year <> 1998"), *a, **k))
+    with pytest.raises(sinks.ReadBackError, match="1998"):
+        jobs.publish(orders.to_gold_history(silver, run), spec, run)
+    day = orders.bi_spec(f"{workdir}/snapshot")
+    monkeypatch.setattr(sinks, "overwrite_full", lambda df, *a, **k: original(df.limit(3), *a, **k))
+    with pytest.raises(sinks.ReadBackError, match="1500 written, 3 found"):
+        jobs.publish(orders.to_bi(orders.to_gold(silver, run), run), day, run)

@@ -39,12 +39,10 @@ def test_rerun_is_idempotent(spark, workdir):
     run = RunContext.create("2026-04-03", run_id="same", processed_at_utc="2026-04-03 10:00:00")
     chain.run_chain(spark, hr.plan(), p, run)
     first = sorted(map(tuple, sources.read_partitioned(spark, p.gold).collect()))
-    with open(p.bi, encoding="utf-8") as handle:
-        snap = handle.read()
+    snap = sorted(map(tuple, spark.read.csv(p.bi, header=True).collect()))
     chain.run_chain(spark, hr.plan(), p, run)
     assert sorted(map(tuple, sources.read_partitioned(spark, p.gold).collect())) == first
-    with open(p.bi, encoding="utf-8") as handle:
-        assert handle.read() == snap
+    assert sorted(map(tuple, spark.read.csv(p.bi, header=True).collect())) == snap
 
 
 def test_spec_validation():
@@ -72,3 +70,14 @@ def test_multiline_fields_are_opt_in(spark, workdir):
         handle.write('id,note\n1,"line one\nline two"\n2,plain\n')
     rows = sources.read_csv_strings(spark, path, multiline=True).orderBy("id").collect()
     assert [r.note for r in rows] == ["line one\nline two", "plain"]
+
+
+def test_malformed_rows_stop_the_read_or_are_kept(spark, workdir):
+    path = f"{workdir}/bad.csv"
+    with open(path, "w", encoding="utf-8") as handle:
+        handle.write("x,y\n1,2\n5,6,7\n3\n")
+    with pytest.raises(Exception, match="malformed_row in bad.csv"):
+        sources.read_csv_strings(spark, path, ["x"]).collect()
+    kept = sources.read_csv_strings(spark, path, ["x"], malformed="bad").collect()
+    assert sorted((r.x, r.bad) for r in kept if r.bad) == [("3", "3"), ("5", "5,6,7")]
+    assert [r.x for r in kept if r.bad is None] == ["1"]

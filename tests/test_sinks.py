@@ -81,11 +81,6 @@ def test_single_parquet_file(spark, workdir):
     assert spark.read.parquet(target).count() == 100
 
 
-def test_single_file_bound(spark, workdir):
-    with pytest.raises(sinks.SnapshotTooLargeError):
-        sinks.write_single_file(spark.range(5), f"{workdir}/x.csv", rows=5, max_rows=4)
-
-
 def test_numeric_partition_layout(spark, workdir):
     root = f"{workdir}/events"
     sinks.overwrite_numeric_partitions(_days(spark, 2).union(_days(spark, 3)), root, ("year", "month", "day"))
@@ -97,12 +92,29 @@ def test_numeric_partition_layout(spark, workdir):
     assert counts == {2: 5, 3: 1}
 
 
-def test_guard_refuses_overlapping_target():
+@pytest.mark.parametrize("source", ["/lake/silver", "/lake/silver/part-1.parquet", "file:/lake/silver", "file:///lake/silver/", "/lake", "/lake/silver/*.csv"])
+def test_guard_refuses_overlapping_target(spark, source):
     with pytest.raises(sinks.SelfOverwriteError):
-        sinks.guard_not_input(["/lake/silver"], "/lake/silver")
+        sinks.guard_not_input(spark, [source], "/lake/silver")
+    with pytest.raises(sinks.SelfOverwriteError):
+        sinks.guard_not_input(spark, [source], "file:///lake/silver")
+
+
+def test_guard_lets_other_folders_pass(spark):
+    sinks.guard_not_input(spark, ["/lake/silver", "file:/lake/silver/x.csv"], "/lake/silver_v2")
+
+
+def test_publish_refuses_its_own_input_unasked(spark, workdir):
+    """The plan's own files are looked at; nothing has to be passed in."""
+    from terrace.contract import Contract
+    from terrace.plans.jobs import TableSpec, publish
+    from terrace.run import RunContext
+
+    contract = Contract.from_dict("ids", {"columns": [{"name": "id", "type": "bigint"}]})
+    spark.range(5).write.parquet(f"{workdir}/t")
     with pytest.raises(sinks.SelfOverwriteError):
-        sinks.guard_not_input(["/lake/silver/part-1.parquet"], "/lake/silver")
-    sinks.guard_not_input(["/lake/silver"], "/lake/silver_v2")
+        publish(spark.read.parquet(f"file:{workdir}/t"), TableSpec(contract=contract, path=f"{workdir}/t", check_run_date=False), RunContext.create())
+    assert spark.read.parquet(f"{workdir}/t").count() == 5
 
 
 def test_readback_counts(spark, workdir):

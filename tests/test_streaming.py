@@ -23,26 +23,23 @@ def test_landing_ingest_runs_once_per_file(spark, workdir):
     _write(f"{landing}/c.csv", ["3,2024-01-02 00:00:00,9,purchase,3.25,x"])
     _write(f"{landing}/b.txt", ["99,2024-01-03 00:00:00,9,purchase,3.25,x"])
 
-    results = events.ingest_landing(spark, landing, silver, ckpt)
-    assert len(results) == 2
-    # Oldest file first, one file per run.
-    first_batch = sources.read_partitioned(spark, silver).where(f"run_id = '{results[0].run_id}'")
-    assert {r.source_file for r in first_batch.select("source_file").distinct().collect()} == {"a.csv"}
-    assert len({r.run_id for r in results}) == 2
-    df = sources.read_partitioned(spark, silver)
+    assert events.ingest_landing(spark, landing, silver, ckpt, max_files_per_trigger=1) == 2
+    df = sources.read_table(spark, silver, events.SILVER.schema)
     assert sorted(r.event_id for r in df.collect()) == [1, 2, 3]
-    assert {r.source_file for r in df.collect()} == {"a.csv", "c.csv"}
+    # One run per file here, and a folder for each date and run.
+    assert {(r.source_file, r.event_date.day) for r in df.collect()} == {("a.csv", 1), ("c.csv", 2)}
+    assert df.select("run_id").distinct().count() == 2
     assert df.where("event_id = 2").first().event_type == "view"
 
     # A rerun on the same checkpoint finds nothing new.
-    assert events.ingest_landing(spark, landing, silver, ckpt) == []
+    assert events.ingest_landing(spark, landing, silver, ckpt) == 0
 
-    # A later file is picked up on its own, and a header-only file is skipped.
-    _write(f"{landing}/d.csv", ["4,2024-01-04 00:00:00,1,signup,0,"])
+    # Later files are one batch; the header-only file adds nothing.
+    _write(f"{landing}/d.csv", ["4,2024-01-02 05:00:00,1,signup,0,"])
     _write(f"{landing}/e.csv", [])
-    later = events.ingest_landing(spark, landing, silver, ckpt)
-    assert [r.rows for r in later] == [1]
-    assert sources.read_partitioned(spark, silver).count() == 4
+    assert events.ingest_landing(spark, landing, silver, ckpt) == 1
+    df = sources.read_table(spark, silver, events.SILVER.schema)
+    assert sorted((r.event_id, r.event_date.day) for r in df.collect()) == [(1, 1), (2, 1), (3, 2), (4, 2)]
 
 
 def test_replayed_batch_gets_the_same_run_id():
@@ -71,7 +68,7 @@ def test_each_arrival_runs_the_whole_chain(spark, workdir):
     land("orders-empty.csv", [])
     summaries = []
     handler = chain.arrival_handler(
-        orders.plan(), f"{workdir}/silver", f"{workdir}/gold", f"{workdir}/bi/orders.csv",
+        orders.plan(), f"{workdir}/silver", f"{workdir}/gold", f"{workdir}/bi/orders",
         bronze_columns=orders.BRONZE_COLUMNS, audit_root=f"{workdir}/audit",
     )
     ingest(spark, landing, orders.BRONZE_COLUMNS, f"{workdir}/_ck", lambda df, run: summaries.append(handler(df, run)))
@@ -84,6 +81,22 @@ def test_each_arrival_runs_the_whole_chain(spark, workdir):
     assert gold.count() == 4 and {r.source_file for r in gold.collect()} == {"orders-b.csv"}
     assert done[-1]["gold"]["business_date"] == today.isoformat()
     assert spark.read.parquet(f"{workdir}/audit/quality").select("run_id").distinct().count() == 2
+    partitions = spark.read.parquet(f"{workdir}/audit/partitions").collect()
+    assert sorted((r.pipeline, r.day, r.rows_written) for r in partitions) == [("orders_gold", today.day, 4), ("orders_gold", today.day, 10)]
+
+
+def test_given_date_and_run_hold_for_the_stream(spark, workdir):
+    from terrace.plans import chain, orders
+    from terrace.streaming import ingest
+
+    landing = f"{workdir}/landing"
+    os.makedirs(landing)
+    with open(f"{landing}/orders-a.csv", "w", encoding="utf-8") as handle:
+        handle.write(",".join(orders.BRONZE_COLUMNS) + "\n1,2,F,3.5,1998-10-01,1-X\n")
+    handler = chain.arrival_handler(orders.plan(), f"{workdir}/silver", f"{workdir}/gold", bronze_columns=orders.BRONZE_COLUMNS)
+    assert ingest(spark, landing, orders.BRONZE_COLUMNS, f"{workdir}/_ck", handler, business_date="2020-01-02", run_id="retry") == 1
+    row = sources.read_partitioned(spark, f"{workdir}/gold").first()
+    assert (row.year, row.month, row.day, row.run_id, row.source_file) == (2020, 1, 2, "retry", "orders-a.csv")
 
 
 def test_hr_files_arriving_run_the_sql_chain(spark, workdir):
@@ -93,7 +106,7 @@ def test_hr_files_arriving_run_the_sql_chain(spark, workdir):
 
     landing = f"{workdir}/landing"
     hr_fixture.write(f"{landing}/HR-1.csv", hr_fixture.rows(50))
-    handler = chain.arrival_handler(hr.plan(), f"{workdir}/silver", f"{workdir}/gold", f"{workdir}/bi/hr.csv")
+    handler = chain.arrival_handler(hr.plan(), f"{workdir}/silver", f"{workdir}/gold", f"{workdir}/bi/hr")
     out = []
     ingest(spark, landing, None, f"{workdir}/_ck", lambda df, run: out.append(handler(df, run)))
     assert out[0]["silver"]["rows"] == 50 and out[0]["bi_export"]["rows"] == 50

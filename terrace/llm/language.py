@@ -75,7 +75,7 @@ def _automaton(text: bytes) -> list[dict[int, int]]:
     return nxt
 
 
-_ENDS = 1 << 30  # flag: the phrase before this byte has ended
+_BEGINS = 1 << 30  # flag: this byte begins a phrase
 
 
 class Parser(NamedTuple):
@@ -84,7 +84,7 @@ class Parser(NamedTuple):
     languages: list[str]
     symbol: np.ndarray  # byte -> column
     columns: int
-    tables: list[np.ndarray]  # state * columns + symbol -> next state * columns, perhaps with _ENDS
+    tables: list[np.ndarray]  # state * columns + symbol -> next state * columns, perhaps with _BEGINS
     scale: np.ndarray  # bits for a phrase
 
     @staticmethod
@@ -101,11 +101,11 @@ class Parser(NamedTuple):
             for state, to in enumerate(nxt):
                 if to:
                     table[state, symbol[list(to)]] = list(to.values())
-            # Without a way on, the phrase ends and the byte begins the next one
-            # (a byte unknown to the language is a phrase by itself).
-            start = np.where(table[0] >= 0, table[0], 0)
-            out = np.where(table >= 0, table * columns, start * columns + _ENDS).astype(np.int32)
-            out[0] = np.where(table[0] >= 0, table[0] * columns, _ENDS)
+            # A byte begins a phrase at the start and where there's no way on (a
+            # byte unknown to the language is a phrase by itself).
+            start = np.where(table[0] >= 0, table[0], 0) * columns + _BEGINS
+            out = np.where(table >= 0, table * columns, start).astype(np.int32)
+            out[0] = start
             out[:, columns - 1] = np.arange(len(nxt)) * columns
             tables.append(out.ravel())
         scale = np.array([np.log2(max(2, len(samples[x]))) for x in languages])
@@ -131,11 +131,11 @@ class Parser(NamedTuple):
                 inside = length > place
                 coded[place, inside] = symbols[begin[inside] + place]
             for number, table in enumerate(self.tables):
-                state, phrases = np.zeros(len(row), np.int32), np.ones(len(row), np.int64)
+                state, phrases = np.zeros(len(row), np.int32), np.zeros(len(row), np.int64)
                 for place in range(int(length.max())):
                     step = table[state + coded[place]]
                     phrases += step >> 30
-                    state = step & (_ENDS - 1)
+                    state = step & (_BEGINS - 1)
                 bits = np.bincount(row, phrases, len(size)) * self.scale[number]
                 some = size > 0
                 out[at : at + len(size), number][some] = bits[some] / size[some]

@@ -1,0 +1,94 @@
+import random
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from conftest import DOCS, sentences
+from terrace.llm import language as L
+
+
+def brute_phrases(sample: bytes, text: bytes, window: int) -> int:
+    """Longest phrases found in the sample, from left to right, anew in every window."""
+    count = 0
+    for at in range(0, len(text), window):
+        part, i = text[at : at + window], 0
+        while i < len(part):
+            j = i + 1
+            while j <= len(part) and part[i:j] in sample:
+                j += 1
+            i = max(i + 1, j - 1)
+            count += 1
+    return count
+
+
+def test_phrases_equal_brute_force():
+    rng = random.Random(3)
+    samples = {lang: ("".join(rng.choices(letters, k=400))).encode() for lang, letters in (("x", "abc "), ("y", "abcd "), ("z", "é "))}
+    parser = L.Parser.learn(samples)
+    texts = ["".join(rng.choices("abcde é", k=n)).strip() for n in (1, 5, 60, 255, 256, 257, 900)]
+    got = parser.entropies(pa.array(["", *texts]))
+    assert np.isinf(got[0]).all()
+    for row, text in zip(got[1:], texts):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        clean = L.letters(raw, np.array([0, len(raw)]))[0].tobytes()
+        for column, lang in enumerate(parser.languages):
+            bits = brute_phrases(samples[lang], clean, L.WINDOW) * np.log2(len(samples[lang])) / len(clean)
+            assert row[column] == pytest.approx(bits, rel=1e-12)
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng = random.Random(11)
+    langs = ["en", "de", "fr"]
+    rows = [(i, sentences(rng, langs[i % 3], rng.randint(1, 6)), langs[i % 3], "s", 0) for i in range(240)]
+    licence = "\nfreely given under these terms to all who ask"
+    rows = [(i, t + licence if i % 3 == 2 else t, l, s, n) for i, t, l, s, n in rows]  # foreign lines in one language
+    rows += [(900, None, "en", "s", 0), (901, "", "de", "s", 0), (902, "12 + 3!", "fr", "s", 0), (903, "ok", None, "s", 0), (None, rows[1][1], None, "s", 0)]
+    return rows, spark.createDataFrame(rows, DOCS)
+
+
+def test_query_has_held_out_accuracy(corpus):
+    rows, docs = corpus
+    lang = {r[0]: r[2] for r in rows}
+    got = L.identify(docs).collect()
+    assert L.identify(docs).columns == ["doc_id", "held_out", "lang_pred", "score"] and len(got) == len(rows)
+    for r in got:
+        assert 0 <= r["score"] <= 1
+        assert r["held_out"] == (zlib.crc32(b"" if r["doc_id"] is None else str(r["doc_id"]).encode()) % 5 == 0)
+        if r["doc_id"] in (900, 901, 902):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+    held = [r for r in got if r["held_out"] and r["doc_id"] is not None and r["doc_id"] < 900]
+    assert len(held) > 20 and all(r["lang_pred"] == lang[r["doc_id"]] for r in held)
+    assert next(r["lang_pred"] for r in got if r["doc_id"] is None) == "de"
+
+
+def test_kept_documents(spark, corpus):
+    from pyspark.sql import functions as F
+
+    rows, docs = corpus
+    parser = L.learn(docs, F.lit(True))
+    wide = docs.withColumnRenamed("source", "score")
+    kept = L.keep_identified(wide, parser)
+    assert kept.columns == wide.columns
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows} - {900, 901, 902}
+
+
+def test_foreign_lines_leave_the_sample():
+    rng = random.Random(2)
+    lines = {lang: [sentences(rng, lang, 12).split("\n") for _ in range(6)] for lang in ("en", "de")}
+    lines["de"][0].append("the ing the ed thing on the")
+    own = L._own_lines(lines)
+    assert not any("the ing" in line for text in own["de"] for line in text)
+    assert sum(map(len, own["en"])) > 60
+
+
+def test_nothing_to_learn(spark, no_docs):
+    from pyspark.sql import functions as F
+
+    assert L.identify(no_docs).count() == 0
+    docs = spark.createDataFrame([(1, "some text", None, "s", 9)], DOCS)
+    assert [tuple(r) for r in L.predict(docs, L.learn(docs, F.lit(True))).collect()] == [(1, "und", 0.0)]
+    one = spark.createDataFrame([(1, "some text " * 2000, "en", "s", 9)], DOCS)  # a text longer than any sample takes
+    assert [tuple(r) for r in L.predict(one, L.learn(one, F.lit(True))).collect()] == [(1, "en", 1.0)]

@@ -49,6 +49,8 @@ NAMES_OUT = frozenset(
 )
 NEVER_OUT = frozenset("html body article main".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 figcaption div section".split())
+# Parts of a larger block, which is kept with all of them.
+PARTS = frozenset("tr td th tbody thead tfoot li dt dd p a b i em strong span u small".split())
 # An element on the left ends an open one on the right, inside the nearest of the elements that bound it.
 IMPLIED_END = {
     "li": (("li",), ("ul", "ol", "menu")),
@@ -266,6 +268,8 @@ def main_text(html: str | None) -> str:
     best = max(nodes, key=lambda n: n.points * (1 - n.linked / max(n.size, 1)), default=root)
     if best.points <= 0:
         best = root
+    while best.tag in PARTS and best.parent is not None:
+        best = best.parent
     for tag in ("article", "main"):
         node = best
         while node is not None and node.tag != tag:

@@ -1,0 +1,69 @@
+import pytest
+
+from terrace.llm import html_extraction as X
+
+ARTICLE = "First paragraph, with commas, and some length to it. Second sentence here."
+
+
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        (None, ""),
+        ("", ""),
+        ("plain text", "plain text"),
+        ("<p>a,b", "a,b"),
+        ("3 < 4 <b>and</b> 5 > 4", "3 < 4 and 5 > 4"),
+        ("<p>a<script>if(a<b){'</p>'}</script>b<style>p{}</style></p>", "ab"),
+        ("<p>x&nbsp;y &lt;z&gt; &amp;amp; &#233;&#x1F600;</p>", "x y <z> &amp; é\U0001f600"),
+        ("<ul><li>a<li>b</ul>", "a b"),
+        ("<p>one<br>two<p>three\n  four", "one two three four"),
+        ("<p>un<b>bro</b>ken</p><!-- <p>no</p> --><p>end", "unbroken end"),
+        ("<nav>menu</nav><footer>foot</footer>", ""),
+        ("<form>f</form><aside>a</aside><p>rest", "rest"),
+        ("<!-- never closed <p>a</p>", ""),
+        ("<p>a</p><script>never closed", "a"),
+        ("<p title='a > b'>quoted</p>", "quoted"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a b c"),
+    ],
+)
+def test_small_pages(html, want):
+    assert X.main_text(html) == want
+
+
+def page(body, before="", after=""):
+    return f"<!DOCTYPE html><html><head><title>Title</title></head><body>{before}<div class='wrap'>{body}</div>{after}</body></html>"
+
+
+@pytest.mark.parametrize("container", ["<article>{}</article>", "<main>{}</main>", "<div id='content'>{}</div>", "<div class='post has-sidebar'>{}</div>"])
+def test_article_without_its_surroundings(container):
+    article = container.format(f"<h1>A Title</h1><p>{ARTICLE}</p><blockquote>{ARTICLE}</blockquote><p>Short.</p>")
+    before = "<header><h2>Site</h2></header><div class='top-menu'><a href='/'>Home</a></div><div class='cookie-notice'><p>We use, cookies, a lot, and more.</p></div>"
+    after = "<div class='sidebar'><p>Related, things, to read, and so on, and on.</p></div><div id='comments'><p>Nice, article, I, think, so.</p></div><div class='ad'><p>Buy, now, or, never, ever.</p></div><footer>Footer</footer>"
+    assert X.main_text(page(article, before, after)) == f"A Title {ARTICLE} {ARTICLE} Short."
+
+
+def test_comments_and_forms_inside_the_article_go():
+    body = f"<article><header><h1>T</h1></header><p>{ARTICLE}</p><section class='comments'><p>{ARTICLE}</p></section><form><p>Mail, me, please</p></form></article>"
+    assert X.main_text(page(body)) == f"T {ARTICLE}"
+
+
+def test_link_lists_lose_to_text():
+    links = "<div>" + "".join(f"<p><a href='/{i}'>Link, number, {i}, with, commas, and, a, long, name</a></p>" for i in range(30)) + "</div>"
+    assert X.main_text(page(links + f"<div><p>{ARTICLE}</p><p>{ARTICLE}</p></div>")) == f"{ARTICLE} {ARTICLE}"
+
+
+def test_long_and_deep_pages_end():
+    many = "<div><p>" + "word, " * 20 + "</p></div>"
+    assert X.main_text("<article>" + many * 3000 + "</article>").count("word,") == 60_000
+    assert X.main_text("<div>" * 3000 + ARTICLE) == ARTICLE
+    assert X.main_text("<a href=\"" * 3000 + ARTICLE) is not None
+
+
+def test_query(spark):
+    rows = [(1, "u", "<p>a &amp; b"), (2, None, None), (None, "v", ""), (1, "u", "<p>a &amp; b"), (3, "w", f"<article><p>{ARTICLE} é😀</article>")]
+    pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
+    got = X.extract(pages)
+    assert got.columns == ["page_id", "url", "text", "n_chars"]
+    want = [(r[0], r[1], X.main_text(r[2]), len(X.main_text(r[2]))) for r in rows]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert X.extract(pages.limit(0)).count() == 0

@@ -1,0 +1,72 @@
+import random
+
+import numpy as np
+import pytest
+
+from terrace.llm import packing as P
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return P.read_ranks(P.VOCABULARY)
+
+
+def brute_pack(sizes, length):
+    """Best-fit-decreasing by looking at every row."""
+    rooms = []
+    for size in sorted(sizes, reverse=True):
+        fitting = [r for r in rooms if r[0] >= size]
+        if fitting:
+            min(fitting, key=lambda r: r[0])[0] -= size
+        else:
+            rooms.append([length - size])
+    return sorted(r[0] for r in rooms)
+
+
+def test_pack_equals_best_fit_decreasing():
+    rng = random.Random(8)
+    for _ in range(60):
+        length = rng.choice([1, 7, 64, 100])
+        sizes = [rng.randint(1, length) for _ in range(rng.randint(0, 80))]
+        rows = P.pack([P.Piece(i, 0, np.zeros(s, np.uint16)) for i, s in enumerate(sizes)], length)
+        assert sorted(length - sum(len(p.ids) for p in row) for row in rows) == brute_pack(sizes, length)
+        assert sorted(p.document for row in rows for p in row) == list(range(len(sizes)))
+
+
+def test_room_tree():
+    tree = P.RoomTree(10)
+    assert tree.take(1) is None
+    for row, room in enumerate((3, 10, 7, 3)):
+        tree.put(row, room)
+    assert [tree.take(4), tree.take(2), tree.take(3), tree.take(3), tree.take(1)] == [(2, 7), (0, 3), (3, 3), (1, 10), None]
+
+
+@pytest.mark.parametrize("pool_tokens", [300, 2_000_000])
+def test_round_trip_and_row_layout(spark, docs, rows, ranks, pool_tokens):
+    unique = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
+    got = P.packed(unique, length=64, pool_tokens=pool_tokens).collect()
+    kind = P.id_kind(ranks, P.END_ID, 64)
+    for r in got:
+        ends = r["cu_seqlens"]
+        ids, positions = np.frombuffer(r["ids"], kind), np.frombuffer(r["positions"], kind)
+        assert len(ids) == len(positions) == 64 and ends[0] == 0 and ends[-1] == r["n_tokens"] and len(ends) == len(r["segments"]) + 1
+        assert (ids[ends[-1] :] == P.END_ID).all()
+        for begin, end in zip(ends, ends[1:]):
+            assert positions[begin:end].tolist() == list(range(end - begin))
+    assert len({(r["shard"], r["row"]) for r in got}) == len(got)
+    want = {r[0]: r[1] or "" for r in rows if r[0] is not None}
+    assert dict(P.unpack(got, ranks, length=64)) == want
+    used = sum(r["n_tokens"] for r in got)
+    if pool_tokens > 300:
+        assert used >= 0.95 * 64 * len(got)
+
+
+def test_nulls_repeats_and_empty_tables(spark, docs, no_docs, rows):
+    assert P.packed(no_docs).count() == 0
+    segments = [s for r in P.packed(docs).collect() for s in r["segments"]]
+    assert sum(s["doc_id"] == 300 for s in segments) == 3 and any(s["doc_id"] is None for s in segments)
+    assert sum(s["part"] == 0 for s in segments) == len(rows)
+
+
+def test_wide_vocabulary_needs_four_bytes():
+    assert P.id_kind({b"a": 70_000}, 1, 8).itemsize == 4 and P.id_kind({b"a": 1}, 50_256, 2048).itemsize == 2

@@ -1,0 +1,83 @@
+import hashlib
+import re
+
+from conftest import DOCS
+from terrace.llm import secrets_scan as S
+
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+BASE = (("assign", ASSIGN, 2, 8), ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 16), ("hex", re.compile(r"[0-9a-f]+"), 0, 32))
+
+
+def brute_base(text):
+    spans = []
+    for rank, (kind, pattern, group, least) in enumerate(BASE):
+        spans += [(m.start(), rank, f"{kind}:{m.start()}:{m.end()}") for m in pattern.finditer(text or "") if len(m[group]) >= least]
+    return [label for _, _, label in sorted(spans)]
+
+
+HEX = "0123456789abcdef" * 2
+ACCESS = "AKIA" + "ABCDEFGH12345678"
+RANDOM = "aZ9" * 10
+CASES = [
+    f"token = '{RANDOM}' and {HEX}",
+    "PassWord:short token=secret :abcdefgh1234 API_KEY=\"longenough\" apikey =x",
+    f"é😀 {ACCESS} AKIA12 AKIAAKIA{'A' * 12}",
+    f"{HEX}{HEX} {HEX[:31]} x{HEX}g",
+    "secret=secret=abcdefgh",
+    f"token=\n{RANDOM}",
+    f"free {RANDOM} standing",
+    f"owned by one: Q7{RANDOM}",
+    "lowercase0and1digits2but3no4capitals",
+    None,
+    "",
+    "plain words only " * 2000 + f" password: {RANDOM}!",
+]
+
+
+def _rows():
+    rows = [(i, t, "en", f"s{i % 3}", 0) for i, t in enumerate(CASES)]
+    rows += [(100 + i, f"copied {ACCESS} again", "en", f"s{i}", 0) for i in range(4)]  # many owners
+    rows += [(300, f"token={HEX}", "en", None, 0)] * 2 + [(None, f"api_key={HEX[::-1]}", None, None, None)]
+    return rows
+
+
+def test_base_equals_regular_expressions(spark):
+    rows = _rows()
+    got = S.scan(spark.createDataFrame(rows, DOCS)).collect()
+    want = []
+    for r in rows:
+        base = brute_base(r[1])
+        counts = [sum(b.startswith(k[0]) for b in base) for k in BASE]
+        want.append((r[0], *counts, hashlib.sha256(",".join(base).encode()).hexdigest()))
+    assert sorted((tuple(r)[:5] for r in got), key=str) == sorted(want, key=str)
+    for r, w in zip(sorted(got, key=lambda r: str(tuple(r)[:5])), sorted(want, key=str)):
+        assert [s for s in r["spans"].split(",") if s and not s.startswith("random")] == brute_base(next(x[1] for x in rows if x[0] == r["doc_id"]))
+
+
+def test_ownership_tells_examples_from_live_ones(spark):
+    docs = spark.createDataFrame(_rows(), DOCS)
+    got = {r["doc_id"]: r for r in S.scan(docs).collect()}
+    # The copied key is in several sources: found, but an example.
+    assert got[101]["n_access"] == 1 and got[101]["n_live"] == 0
+    # A random token of one owner is a finding of its own; one that several owners have is not.
+    assert got[7]["n_random"] == 1 and got[7]["n_live"] == 1 and got[6]["n_random"] == 0
+    assert got[8]["spans"] == ""
+    # Rows without a source have one owner together, as many repositories as rows;
+    # their value is in two documents of another source as well.
+    _, found = S.findings(docs)
+    shared = found.where("rank = 0 AND owner IS NULL").select("n_owners", "n_repositories").distinct().collect()
+    assert sorted(map(tuple, shared)) == [(1, 1), (2, 4)]
+
+
+def test_spans_outside_the_base_only(spark):
+    text = f"token={RANDOM} {RANDOM}x {HEX}"
+    row = S.scan(spark.createDataFrame([(1, text, None, "s", 0)], DOCS)).first()
+    at = text.index(RANDOM + "x")
+    assert row["spans"] == f"assign:0:{6 + len(RANDOM)},random:{at}:{at + len(RANDOM) + 1},hex:{text.index(HEX)}:{len(text)}"
+
+
+def test_empty_and_native(no_docs, docs):
+    assert S.scan(no_docs).count() == 0
+    assert S.scan(docs.withColumnRenamed("lang", "owner").withColumnRenamed("n_chars", "row")).count() == docs.count()
+    plan = S.scan(docs)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan

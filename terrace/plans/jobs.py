@@ -24,7 +24,7 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark import StorageLevel
@@ -127,8 +127,7 @@ def publish(
             gate = Q.enforce(cached, spec.contract, quality_run)
             if gate.rows == 0:
                 raise sinks.EmptyResultError(f"Nothing to write to {spec.path}: the result is empty.")
-            locations = _write(cached, spec, run)
-            _verify_written(cached, spec, run, gate.rows)
+            locations = _write(cached, spec, run, gate.rows)
         finally:
             cached.unpersist()
     if spec.catalog_table:
@@ -162,8 +161,21 @@ def _one_day(spec: TableSpec) -> bool:
     return bool(spec.partition_by) and spec.write_mode == "overwrite_partition" and spec.check_run_date
 
 
-def _write(df: DataFrame, spec: TableSpec, run: RunContext) -> list[str] | None:
-    """Write the checked rows; the folders of a numeric layout are returned."""
+def _write(df: DataFrame, spec: TableSpec, run: RunContext, rows: int) -> list[str] | None:
+    """Write the checked rows and read them back, before a staged copy replaces the table; folders of a numeric layout are returned."""
+    if spec.layout == "dataset" and spec.write_mode == "overwrite_full" and not (spec.partition_by and spec.partition_style == "numeric"):
+        sinks.overwrite_full(
+            df, spec.path, fmt=spec.fmt, partition_by=spec.partition_by, compression=spec.compression, staged=spec.staged,
+            max_records_per_file=spec.max_records_per_file, rebalance=spec.rebalance,
+            check=lambda place: _verify_written(df, replace(spec, path=place), run, rows),
+        )
+        return None
+    written = _write_in_place(df, spec, run)
+    _verify_written(df, spec, run, rows)
+    return written
+
+
+def _write_in_place(df: DataFrame, spec: TableSpec, run: RunContext) -> list[str] | None:
     if spec.layout == "file":
         sinks.write_single_file(df, spec.path, fmt=spec.fmt, compression=spec.compression)
         return None
@@ -172,11 +184,10 @@ def _write(df: DataFrame, spec: TableSpec, run: RunContext) -> list[str] | None:
             return [sinks.overwrite_numeric_day(df, spec.path, run.partition_values, spec.partition_by, compression=spec.compression)]
         replace_all = spec.write_mode == "overwrite_full"
         return sinks.overwrite_numeric_partitions(df, spec.path, spec.partition_by, compression=spec.compression, replace_all=replace_all)
-    common = dict(fmt=spec.fmt, compression=spec.compression, max_records_per_file=spec.max_records_per_file, rebalance=spec.rebalance)
-    if spec.write_mode == "overwrite_partition":
-        sinks.overwrite_partitions(df, spec.path, spec.partition_by, **common)
-    else:
-        sinks.overwrite_full(df, spec.path, partition_by=spec.partition_by, staged=spec.staged, **common)
+    sinks.overwrite_partitions(
+        df, spec.path, spec.partition_by, fmt=spec.fmt, compression=spec.compression,
+        max_records_per_file=spec.max_records_per_file, rebalance=spec.rebalance,
+    )
     return None
 
 

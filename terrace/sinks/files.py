@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import functools
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,6 +72,7 @@ def overwrite_full(
     max_records_per_file: int | None = None,
     rebalance: bool = False,
     staged: bool = True,
+    check: Callable[[str], None] | None = None,
 ) -> str:
     """K1/K2/K6: replace the whole target; stale partitions disappear.
 
@@ -83,7 +84,9 @@ def overwrite_full(
     the job has committed, so a job that fails part-way (lost executors beyond
     the retry limit, a killed driver) leaves the previous table in place; a
     plain overwrite deletes the target when the job starts. On object stores,
-    where a folder move is a copy, pass ``staged=False``.
+    where a folder move is a copy, pass ``staged=False``. ``check`` is called
+    with the written folder; what it raises keeps a staged copy from being
+    swapped in.
     """
     parts = list(partition_by)
     if rebalance and parts:
@@ -98,6 +101,8 @@ def overwrite_full(
     spark = df.sparkSession
     try:
         writer.format(fmt).save(target)
+        if check is not None:
+            check(target)
     except Exception:
         if staged:
             S.delete_path(spark, target)

@@ -65,7 +65,7 @@ def test_one_day_gold_write_has_no_shuffle(spark, workdir):
     original = sinks.overwrite_partitions
     jobs.sinks.overwrite_partitions = capture
     try:
-        jobs._write(gold, orders.gold_spec(f"{workdir}/g"), run)
+        jobs._write_in_place(gold, orders.gold_spec(f"{workdir}/g"), run)
     finally:
         jobs.sinks.overwrite_partitions = original
     assert "Exchange" not in captured["plan"]
@@ -133,3 +133,16 @@ def test_read_back_names_the_partition_that_is_short(spark, workdir, monkeypatch
     monkeypatch.setattr(sinks, "overwrite_full", lambda df, *a, **k: original(df.limit(3), *a, **k))
     with pytest.raises(sinks.ReadBackError, match="1500 written, 3 found"):
         jobs.publish(orders.to_bi(orders.to_gold(silver, run), run), day, run)
+
+
+def test_short_write_leaves_the_old_table(spark, workdir, monkeypatch):
+    """The staged copy is counted before it is swapped in."""
+    run = _run()
+    silver = orders.to_silver(_orders_as_text(spark, "/root/testdata/sf0.001"), run)
+    spec = orders.silver_spec(f"{workdir}/silver")
+    jobs.publish(silver, spec, run)
+    original = sinks.files._writer
+    monkeypatch.setattr(sinks.files, "_writer", lambda df, *a: original(df.limit(3), *a))
+    with pytest.raises(sinks.ReadBackError, match="1500 written, 3 found"):
+        jobs.publish(silver, spec, run)
+    assert jobs.read_published(spark, spec).count() == 1500 and os.listdir(workdir) == ["silver"]

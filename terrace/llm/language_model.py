@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from terrace.llm.common import id_remainder, materialize, text_chunks
 from terrace.llm.words import NOT_SPACE, HashIndex, cut, hashes, mix
 
-DICTIONARY = 1 << 18
+DICTIONARY = 1 << 17  # frequent tokens whose counts are broadcast, at most
 CLASS = 32
 HEADS = 1024
 TAILS = 32
@@ -46,7 +46,7 @@ CLASSES = HEADS // CLASS + TAILS
 CLASS_ROWS = 1 << 14  # hashed features of the class softmax
 TOKEN_ROWS = 1 << 15  # hashed features of the softmax within a class
 ROUNDS = 2
-MINIBATCH = 4096
+MINIBATCH = 8192
 RATE = 0.15
 END = b"\n"  # no token holds white space
 HELD_OUT = 7, 2  # divisor and remainder of the rows not trained on
@@ -118,8 +118,8 @@ class Model(NamedTuple):
         """log10 p of each token; in a tail class without the count, so (c + 1) is still to be multiplied."""
         klass, inside, one, two = self.contexts(t)
         out = np.empty(len(klass))
-        for begin in range(0, len(klass), 4 * MINIBATCH):
-            part = slice(begin, begin + 4 * MINIBATCH)
+        for begin in range(0, len(klass), MINIBATCH):
+            part = slice(begin, begin + MINIBATCH)
             k = klass[part]
             logits = _log_softmax(self.class_bias, self.class_rows, self.class_features(one[part], two[part]))
             log_p = logits[np.arange(len(k)), k] / np.log(10)
@@ -178,8 +178,10 @@ class _Trainer:
         slope /= slope.sum(axis=1, keepdims=True)
         slope[np.arange(len(label)), label] -= 1
         for feature in features:
-            order = np.argsort(feature, kind="stable")
-            row, first, times = np.unique(feature[order], return_index=True, return_counts=True)
+            order = np.argsort(feature.astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
+            in_order = feature[order]
+            first = np.flatnonzero(np.r_[True, in_order[1:] != in_order[:-1]])
+            row, times = in_order[first], np.diff(np.r_[first, len(in_order)])
             sums = np.add.reduceat(slope[order], first, axis=0)
             self.squares[table][row] += sums * sums
             rows[row] -= RATE * sums / np.sqrt(self.squares[table][row])
@@ -253,6 +255,22 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, schema).groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _least_count(counts: DataFrame) -> int:
+    """The least count that, with all higher ones, at most ``DICTIONARY - 1`` tokens have.
+
+    Counts are looked at with their 8 leading bits, so few groups reach the driver.
+    """
+    shift = F.greatest(F.lit(0), F.length(F.bin("c")) - 8)
+    group = F.expr("shiftleft(shiftright(c, least), least)")
+    groups = counts.withColumn("least", shift).groupBy(group.alias("least")).agg(F.count("*").alias("n")).collect()
+    least, room = 1 << 62, DICTIONARY - 1
+    for value, n in sorted(groups, reverse=True):
+        if n > room:
+            break
+        least, room = value, room - n
+    return least
+
+
 def fit(docs: DataFrame, trains: Column, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS) -> tuple[Model, DataFrame]:
     """The model of the rows for which ``trains`` holds, and the counts of all their tokens."""
     spark = docs.sparkSession
@@ -261,10 +279,11 @@ def fit(docs: DataFrame, trains: Column, text: str = "text", doc_id: str = "doc_
     counts = materialize(spark, token_counts(training.select(body)), "lm-counts")
     total, different = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     is_end = F.col("word") == F.lit(bytearray(END))
-    head = counts.where(~is_end).orderBy(F.desc("c"), "word").limit(DICTIONARY - 1).collect()
     ends = counts.where(is_end).select("c").first()
-    word = [END, *(bytes(r["word"]) for r in head)]
-    count = np.array([ends["c"] if ends else 0, *(r["c"] for r in head)], np.int64)
+    head = counts.where(~is_end & (F.col("c") >= _least_count(counts.where(~is_end)))).toArrow()
+    order = np.lexsort((np.array(head["word"].to_pylist(), object), -head["c"].to_numpy())) if head.num_rows else np.empty(0, np.int64)
+    word = [END, *head["word"].take(pa.array(order, pa.int64())).to_pylist()]
+    count = np.r_[ends["c"] if ends else 0, head["c"].to_numpy()[order]].astype(np.int64)
     # Tokens and different tokens of each tail class: all but the frequent ones.
     classes = np.zeros((2, TAILS))
     for last, c, v in counts.groupBy(F.substring("word", -1, 1)).agg(F.sum("c"), F.count("*")).collect():

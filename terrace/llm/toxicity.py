@@ -45,7 +45,7 @@ SHORTEST_MATCH = 4
 SAMPLE_TOXIC = 2_000
 SAMPLE_ORDINARY = 3_500
 SAMPLE_TEXT_BYTES = 16_000
-COMMON_WORDS = 300
+COMMON_WORDS = 1_000
 TYPICAL_BYTES = 2_048
 LEAST_EVIDENCE = 4.0  # standard deviations from the classes' common rate
 LEAST_SHARE = 0.4  # of the strongest word's evidence: weaker words are mostly traces of near copies
@@ -99,7 +99,10 @@ def _typical(toxic: list[bytes], ordinary: list[bytes]) -> tuple[list[bytes], li
     both = counts.sum(axis=0)
     rate = counts[0].sum() / max(1.0, counts.sum())
     evidence = (counts[0] - both * rate) / np.sqrt(both * rate * (1 - rate) + 1)
-    common = [example[int(k)] for k in key[np.lexsort((key, -counts[1]))][:COMMON_WORDS]]
+    # Common words are those that ordinary text uses, and not mostly toxic text.
+    ordinary_too = (counts[1] > 0) & (counts[1] >= 0.5 * both * (1 - rate))
+    order = np.lexsort((key, -counts[1]))
+    common = [example[int(k)] for k in key[order[ordinary_too[order]]][:COMMON_WORDS]]
     usual = set(common)
     least = max(LEAST_EVIDENCE, LEAST_SHARE * float(evidence.max(initial=0)))
     chosen = []
@@ -194,6 +197,21 @@ def _calibrate(features: np.ndarray, label: np.ndarray, importance: np.ndarray)
     return weights
 
 
+def _cut(logit: np.ndarray, label: np.ndarray, importance: np.ndarray) -> float:
+    """The logit from which on the label 1 gains most: what is above it counts more ones than what it takes in of the others.
+
+    Labels that no word explains pull the regression towards the middle; the
+    score is shifted so that 0.5 stands where the classes part. 0 if no cut gains.
+    """
+    order = np.argsort(-logit, kind="stable")
+    gain = np.cumsum(np.where(label[order] == 1, importance[order], -importance[order]))
+    last = int(gain.argmax())
+    if gain[last] <= 0:
+        return 0.0
+    after = order[min(last + 1, len(order) - 1)]
+    return float((logit[order[last]] + logit[after]) / 2)
+
+
 def train(toxic: list[str], ordinary: list[str], odds: tuple[float, float] = (1.0, 1.0)) -> Model:
     """Dictionaries and calibration from texts of both classes; ``odds``: rows that a text of either class stands for."""
     none = np.zeros(3)
@@ -210,6 +228,7 @@ def train(toxic: list[str], ordinary: list[str], odds: tuple[float, float] = (1.
     importance = np.where(label == 1, odds[0], odds[1])
     centre, spread = features.mean(axis=0), np.maximum(features.std(axis=0), 1e-6)
     weights = _calibrate((features - centre) / spread, label, importance / importance.mean())
+    weights[-1] -= _cut((features - centre) / spread @ weights[:-1] + weights[-1], label, importance)
     return model._replace(weights=weights, centre=centre, spread=spread)
 
 

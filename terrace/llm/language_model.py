@@ -47,6 +47,7 @@ CLASS_ROWS = 1 << 14  # hashed features of the class softmax
 TOKEN_ROWS = 1 << 15  # hashed features of the softmax within a class
 ROUNDS = 2
 MINIBATCH = 8192
+TOKENS_OF_TASK = 5_000_000  # of a round, at least, where there are more tasks than cores
 RATE = 0.15
 END = b"\n"  # no token holds white space
 HELD_OUT = 7, 2  # divisor and remainder of the rows not trained on
@@ -201,7 +202,7 @@ _CHANGES = T.StructType([T.StructField("tab", T.IntegerType()), T.StructField("b
 _CHANGES_ARROW = pa.schema([("tab", pa.int32()), ("block", pa.int32()), ("change", pa.binary()), ("met", pa.binary())])
 
 
-def _round(texts: DataFrame, model: Model) -> Model:
+def _round(texts: DataFrame, model: Model, rounds: int) -> Model:
     """One round of local training over ``texts`` (one text column) and the average of the tasks' changes."""
     spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(model)
@@ -230,7 +231,9 @@ def _round(texts: DataFrame, model: Model) -> Model:
             yield pa.RecordBatch.from_pylist([dict(zip(_CHANGES_ARROW.names, row))], _CHANGES_ARROW)
 
     rows = [model.class_rows.copy(), model.token_rows.copy()]
-    averaged = texts.mapInArrow(train, _CHANGES).repartition("tab", "block").mapInArrow(add, _CHANGES)
+    # A task gives back up to 8 MB whatever it has read, so it reads enough for that.
+    tasks = max(spark.sparkContext.defaultParallelism, model.total // rounds // TOKENS_OF_TASK)
+    averaged = texts.coalesce(tasks).mapInArrow(train, _CHANGES).repartition("tab", "block").mapInArrow(add, _CHANGES)
     for tab, block, change, met in averaged.toLocalIterator():
         weight = np.frombuffer(met, np.float32)
         at = slice(block * BLOCK_ROWS, block * BLOCK_ROWS + len(weight))
@@ -306,7 +309,7 @@ def fit(docs: DataFrame, trains: Column, text: str = "text", doc_id: str = "doc_
     if total:
         for turn in range(rounds):
             share = F.pmod(F.xxhash64(F.col(doc_id), F.col(text)), F.lit(rounds)) == turn
-            model = _round(training.where(share).select(body), model)
+            model = _round(training.where(share).select(body), model, rounds)
     return model, counts
 
 

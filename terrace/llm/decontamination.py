@@ -12,7 +12,8 @@ shortest length that counts; the run is found from hashes of short word
 sequences, which every longer match is made of.
 
 Scale: items are taken in blocks of ``block_words`` words, each broadcast and
-applied in one narrow pass over the documents; nothing is shuffled.
+applied in one narrow pass over the documents, which carries the merged spans
+on to the next block; nothing is shuffled.
 
 Defined results: a null or empty text, or one without words, has no words and
 no hits. Null items and items without words have no window. Repeated item ids
@@ -26,7 +27,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -272,8 +273,13 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep:
     exclusive, merged), the ids of the items found and the longest match seen.
     """
     kept = docs.select(*[F.col(c) for c in keep], F.col(text).alias("__text"))
-    empty = F.lit(None).cast(FOUND)
-    out = kept.withColumn("__found", empty)
+    return _found(kept, benchmark, "__text", window, block_words).select(*keep, F.col("__found").alias("found"))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, text: str, window: int, block_words: int) -> DataFrame:
+    """``docs`` with the struct ``__found`` of each text, carried through all blocks of the benchmark."""
+    place = docs.schema.fieldNames().index(text)
+    out = docs.withColumn("__found", F.lit(None).cast(FOUND))
     schema = out.schema
     spark = docs.sparkSession
 
@@ -281,7 +287,7 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep:
         def run(batches):
             matcher = Matcher(shared.value, window)
             for batch in batches:
-                texts, before = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1).to_pylist()
+                texts, before = batch.column(place), batch.column(batch.num_columns - 1).to_pylist()
                 rows = []
                 for (n, spans, items, most), old in zip(matcher.match(texts), before):
                     if old:
@@ -299,11 +305,11 @@ def find_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", keep:
         found_any = True
     if not found_any:
         out = out.mapInArrow(apply(spark.sparkContext.broadcast([])), schema)
-    return out.select(*keep, F.col("__found").alias("found"))
+    return out
 
 
-def is_contaminated(n_hit: int, n_words: int, coverage: float = COVERAGE) -> bool:
-    return n_hit > 0 and n_hit >= coverage * n_words
+def _n_hit(found: str) -> Column:
+    return F.aggregate(f"{found}.spans", F.lit(0).cast("long"), lambda total, s: total + s.end - s.begin)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, coverage: float | None = COVERAGE, min_span: int | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -312,39 +318,28 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", wind
     Documents with hit words at ``coverage`` of their words or more are
     dropped (``None``: none is). From the others, hit spans of ``min_span``
     words or more are cut out of the text, from the first word's start to the
-    last word's end (``None``: kept documents stay as they are).
+    last word's end (``None``: kept documents stay as they are). Both are judged
+    once, on the spans of all blocks of the benchmark together.
     """
     schema = docs.schema
     place = schema.fieldNames().index(text)
-    spark = docs.sparkSession
 
-    def apply(shared):
-        def run(batches):
-            matcher = Matcher(shared.value, window)
-            for batch in batches:
-                keep, texts = [], batch.column(place)
-                cuts: dict[int, list[tuple[int, int]]] = {}
-                for row, (n, spans, _, _) in enumerate(matcher.match(texts)):
-                    hit = sum(e - b for b, e in spans)
-                    keep.append(coverage is None or not is_contaminated(hit, n, coverage))
-                    long = [s for s in spans if min_span is not None and s[1] - s[0] >= min_span]
-                    if long:
-                        cuts[row] = long
-                if cuts:
-                    strings = texts.to_pylist()
-                    for row, spans in cuts.items():
-                        strings[row] = _without(strings[row], spans)
-                    columns = list(batch.columns)
-                    columns[place] = pa.array(strings, texts.type)
-                    batch = pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-                yield batch.filter(pa.array(keep, pa.bool_()))
-
-        return run
+    def run(batches):
+        for batch in batches:
+            columns = list(batch.columns[:-1])
+            strings = columns[place].to_pylist()
+            for row, found in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                long = [(s["begin"], s["end"]) for s in found["spans"] if s["end"] - s["begin"] >= min_span]
+                if long:
+                    strings[row] = _without(strings[row], long)
+            columns[place] = pa.array(strings, columns[place].type)
+            yield pa.RecordBatch.from_arrays(columns, names=schema.fieldNames())
 
-    out = docs
-    for block in item_blocks(benchmark, block_words=block_words):
-        out = out.mapInArrow(apply(spark.sparkContext.broadcast(block)), schema)
-    return out
+    out = _found(docs, benchmark, text, window, block_words)
+    if coverage is not None:
+        n_hit = _n_hit("__found")
+        out = out.where((n_hit == 0) | (n_hit < F.lit(coverage) * F.col("__found.n_words")))
+    return out.drop("__found") if min_span is None else out.mapInArrow(run, schema)
 
 
 def _without(text: str, spans: list[tuple[int, int]]) -> str:
@@ -361,7 +356,7 @@ def _without(text: str, spans: list[tuple[int, int]]) -> str:
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """One row per document: words, hit words, items found and the verdict at a twentieth of the words."""
     found = find_spans(docs, benchmark, window=window, block_words=block_words)
-    n_hit = F.aggregate("found.spans", F.lit(0).cast("long"), lambda total, s: total + s.end - s.begin)
+    n_hit = _n_hit("found")
     return found.select(
         "doc_id",
         F.col("found.n_words").alias("n_words"),

@@ -85,6 +85,21 @@ def test_remove_spans(spark):
     assert cut == {1: "", 2: body + "! End.", 3: body, 4: None}
 
 
+def test_remove_spans_judges_all_blocks_together(spark):
+    items = [" ".join(f"{name}{i}" for i in range(15)) for name in ("first", "second")]
+    clean = "Clean words here. "
+    texts = [f"{items[0]} {clean * 150}{items[1]}", f"{items[0]} {clean * 300}", f"{items[0]} {items[1]} {clean * 300}"]  # 6.25, 1.6 and 3.2% hit
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    for block_words in (500_000, 5):
+        verdict = {r["doc_id"]: r["contaminated"] for r in D.contamination(docs, benchmark, block_words=block_words).collect()}
+        kept = {r["doc_id"]: r["text"] for r in D.remove_spans(docs, benchmark, block_words=block_words).collect()}
+        assert verdict == {0: True, 1: False, 2: False} and kept == {1: texts[1], 2: texts[2]}
+        # The two items stand side by side: only together are they a span of 30 words.
+        cut = {r["doc_id"]: r["text"] for r in D.remove_spans(docs, benchmark, coverage=None, min_span=30, block_words=block_words).collect()}
+        assert cut == {0: texts[0], 1: texts[1], 2: " " + clean * 300}
+
+
 def test_many_overlapping_items_in_the_automaton():
     rng = random.Random(9)
     items = [(str(i), rng.choices([b"a", b"b"], k=rng.randint(1, 9))) for i in range(30)]

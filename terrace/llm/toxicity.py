@@ -2,15 +2,16 @@
 
 Two dictionaries are trained, on labelled toxic and on ordinary text. Both end
 with the same common words of ordinary text; before them each holds the words
-that its own class uses significantly more often, so a window of text
+that its own class uses significantly more often, all of them, so a window of text
 compresses to different lengths only where it holds something typical of one
 class. A text is cut into windows of about ``WINDOW`` bytes at word ends, each
 is compressed with either dictionary, and the differences in length (their
 mean and the share of telling ones, beside the number of windows) give the
 score through a logistic threshold calibrated on the labelled sample.
 
-How often a word is used is counted over its different contexts (the words
-beside it), so that copies of one text count once.
+How often a word is used is counted by the texts that have it in a new context
+(the words beside it), so that neither copies of one text nor a text that
+repeats its own words count more than once.
 
 Scale: the model is learned from a bounded sample of labelled rows
 (``SAMPLE_TOXIC``, ``SAMPLE_ORDINARY`` texts of at most ``SAMPLE_TEXT_BYTES``)
@@ -46,16 +47,14 @@ SAMPLE_TOXIC = 2_000
 SAMPLE_ORDINARY = 3_500
 SAMPLE_TEXT_BYTES = 16_000
 COMMON_WORDS = 1_000
-TYPICAL_BYTES = 2_048
 LEAST_EVIDENCE = 4.0  # standard deviations from the classes' common rate
-LEAST_SHARE = 0.4  # of the strongest word's evidence: weaker words are mostly traces of near copies
 LEAST_CONTEXTS = 5
 LEAST_LETTERS = 3
 HELD_OUT = 5
 
 
 class _Usage(NamedTuple):
-    """Different contexts of each word, by hash, and an example of the word."""
+    """Texts with a new context of each word, by hash, and an example of the word."""
 
     key: np.ndarray
     contexts: np.ndarray
@@ -63,8 +62,8 @@ class _Usage(NamedTuple):
 
 
 def _usage(texts: list[bytes]) -> _Usage:
-    words, contexts, examples = [], [], {}
-    for text in texts:
+    words, contexts, numbers, examples = [], [], [], {}
+    for number, text in enumerate(texts):
         low = np.frombuffer(text, np.uint8)
         space = low == SEPARATOR
         inside = ~space
@@ -76,14 +75,16 @@ def _usage(texts: list[bytes]) -> _Usage:
         beside = mix(np.r_[np.uint64(0), h[:-1]]) * np.uint64(3) ^ mix(np.r_[h[1:], np.uint64(0)])
         words.append(h)
         contexts.append(mix(h * np.uint64(5) ^ beside))
+        numbers.append(np.full(len(h), number, np.uint64))
         for k, s, e in zip(h.tolist(), start.tolist(), end.tolist()):
             if k not in examples:
                 examples[k] = text[s:e]
     if not words:
         return _Usage(np.empty(0, np.uint64), np.empty(0, np.int64), [])
-    all_words, all_contexts = np.concatenate(words), np.concatenate(contexts)
+    all_words, all_contexts, all_numbers = np.concatenate(words), np.concatenate(contexts), np.concatenate(numbers)
     first = np.unique(all_contexts, return_index=True)[1]
-    key, count = np.unique(all_words[first], return_counts=True)
+    once = np.unique(mix(all_words[first] * np.uint64(5) ^ mix(all_numbers[first])), return_index=True)[1]
+    key, count = np.unique(all_words[first][once], return_counts=True)
     return _Usage(key, count, [examples[k] for k in key.tolist()])
 
 
@@ -104,20 +105,21 @@ def _typical(toxic: list[bytes], ordinary: list[bytes]) -> tuple[list[bytes], li
     order = np.lexsort((key, -counts[1]))
     common = [example[int(k)] for k in key[order[ordinary_too[order]]][:COMMON_WORDS]]
     usual = set(common)
-    least = max(LEAST_EVIDENCE, LEAST_SHARE * float(evidence.max(initial=0)))
     chosen = []
-    for signed, threshold in ((evidence, least), (-evidence, LEAST_EVIDENCE)):
+    for signed in (evidence, -evidence):
         order = np.lexsort((key, -signed))
-        strong = order[(signed[order] >= threshold) & (both[order] >= LEAST_CONTEXTS)]
+        strong = order[(signed[order] >= LEAST_EVIDENCE) & (both[order] >= LEAST_CONTEXTS)]
         words = [example[int(k)] for k in key[strong]]
         chosen.append([w for w in words if w not in usual and len(w) >= LEAST_LETTERS])
     return chosen[0], chosen[1], common
 
 
-def _dictionary(typical: list[bytes], common: list[bytes]) -> bytes:
-    """Typical words in a part of fixed size, then the common words, the most frequent last."""
-    part = b" " + b" ".join(reversed(typical)) + b" "
-    return part[-TYPICAL_BYTES:].rjust(TYPICAL_BYTES) + b" ".join(reversed(common)) + b" "
+def _dictionaries(typical: tuple[list[bytes], list[bytes]], common: list[bytes]) -> tuple[bytes, bytes]:
+    """For each class all its typical words, in parts of one size, then the common words, the most frequent last."""
+    parts = [b" " + b" ".join(reversed(words)) + b" " for words in typical]
+    size = max(map(len, parts))
+    end = b" ".join(reversed(common)) + b" "
+    return parts[0].rjust(size) + end, parts[1].rjust(size) + end
 
 
 def _windows(text: bytes) -> list[bytes]:
@@ -222,7 +224,7 @@ def train(toxic: list[str], ordinary: list[str], odds: tuple[float, float] = (1.
         raw = [t.encode() for t in texts]
         clean.append(list(_letters(np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(r) for r in raw])])))
     typical_toxic, typical_ordinary, common = _typical(*clean)
-    model = Model(_dictionary(typical_toxic, common), _dictionary(typical_ordinary, common), none, none, none, None)
+    model = Model(*_dictionaries((typical_toxic, typical_ordinary), common), none, none, none, None)
     features = model.features([*clean[0], *clean[1]])
     label = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
     importance = np.where(label == 1, odds[0], odds[1])

@@ -59,6 +59,25 @@ def test_typical_words_count_contexts_not_copies():
     assert set(strong) == {w.encode() for w in INSULTS} and len(common) > 20
 
 
+def test_rare_insults_are_learned_too():
+    rng = random.Random(8)
+    insults = [f"zorg{a}{b}lefink" for a in "abcdefghij" for b in "klmnopqrst"]
+    often = [400] * 3 + [24] * 97  # times in the sample: most are far less frequent than the commonest
+    ordinary = [_text(rng, False, 60) for _ in range(1200)]
+    bodies = [_text(rng, False, 60).split() for _ in range(1200)]
+    for insult, n in zip(insults, often):
+        for body in rng.sample(bodies, n):
+            body.insert(rng.randrange(len(body)), insult)
+    toxic = [" ".join(body) for body in bodies]
+    strong, _, _ = X._typical([f" {t} ".encode() for t in toxic], [f" {t} ".encode() for t in ordinary])
+    assert {w.encode() for w in insults} <= set(strong)
+    model = X.train(toxic, ordinary)
+    assert all(f" {w} ".encode() in model.toxic for w in insults)
+    words = [_text(rng, False, 30).split() for _ in insults]
+    assert (model.scores(pa.array([" ".join([*w[:15], insult, *w[15:]]) for w, insult in zip(words, insults)])) >= 0.5).mean() > 0.95
+    assert (model.scores(pa.array([" ".join(w) for w in words])) >= 0.5).mean() < 0.05
+
+
 def test_windows_cover_whole_texts():
     text = b" " + b"word " * 500 + b"x" * 400 + b" end "
     windows = X._windows(text)

@@ -5,9 +5,12 @@ with the same common words of ordinary text; before them each holds the words
 that its own class uses significantly more often, all of them, so a window of text
 compresses to different lengths only where it holds something typical of one
 class. A text is cut into windows of about ``WINDOW`` bytes at word ends, each
-is compressed with either dictionary, and the differences in length (their
-mean and the share of telling ones, beside the number of windows) give the
-score through a logistic threshold calibrated on the labelled sample.
+is compressed with either dictionary, and the differences in length give the
+score through a logistic threshold calibrated on the labelled sample: their mean
+and the share of telling ones, the mean of the largest three, and how far
+large ones outnumber what chance gives for so many windows. The last two don't
+shrink with length, so a toxic passage is not averaged away in a long text; the
+sample has long texts too, put together from its own.
 
 How often a word is used is counted by the texts that have it in a new context
 (the words beside it), so that neither copies of one text nor a text that
@@ -40,6 +43,10 @@ from terrace.llm.words import SEPARATOR, Words, hashes, letters, mix
 
 WINDOW = 48
 TELLING = 2  # bytes of difference that few ordinary windows show
+LARGEST = 3
+MOST_BYTES = 24  # larger differences count as this one
+LONG_TEXTS = 150  # of either class for the calibration, of up to LONG_WINDOWS windows
+LONG_WINDOWS = 4_000
 WINDOW_SLACK = 24  # a window ends at a word end if one comes within so many bytes
 LEVEL = 9
 SHORTEST_MATCH = 4
@@ -138,12 +145,16 @@ def _windows(text: bytes) -> list[bytes]:
     return out
 
 
+FEATURES = 5
+
+
 class Model(NamedTuple):
     toxic: bytes
     ordinary: bytes
     weights: np.ndarray  # of the standardised features, the constant last
     centre: np.ndarray
     spread: np.ndarray
+    chance: np.ndarray  # share of the ordinary windows with a difference of so many bytes or more
     constant: float | None  # the score of every text, where nothing could be learned
 
     def _compressors(self):
@@ -155,23 +166,58 @@ class Model(NamedTuple):
             out.append(zstandard.ZstdCompressor(dict_data=trained, compression_params=settings).compress)
         return out
 
-    def features(self, texts) -> np.ndarray:
-        """Mean difference, share of telling differences and log number of windows of each (normalised) text."""
+    def differences(self, texts) -> list[np.ndarray]:
+        """How many bytes shorter the toxic dictionary makes each window of each (normalised) text."""
         toxic, ordinary = self._compressors()
+        return [np.array([len(ordinary(w)) - len(toxic(w)) for w in _windows(text)], np.int64) for text in texts]
+
+    def features(self, differences: list[np.ndarray]) -> np.ndarray:
+        """Mean, share of telling ones, log number, mean of the largest and excess over chance of each text's differences."""
         out = []
-        for text in texts:
-            far = [len(ordinary(w)) - len(toxic(w)) for w in _windows(text)]
+        for far in differences:
             n = max(1, len(far))
-            out.append((sum(far) / n, sum(x >= TELLING for x in far) / n, np.log(n)))
-        return np.array(out, float).reshape(-1, 3)
+            largest = np.sort(far)[-LARGEST:].clip(0).sum() / LARGEST
+            out.append((far.sum() / n, (far >= TELLING).sum() / n, np.log(n), largest, _excess(far, self.chance)))
+        return np.array(out, float).reshape(-1, FEATURES)
 
     def scores(self, array: pa.Array) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(array), self.constant)
-        features = np.concatenate([self.features(_letters(data, offsets)) for _, data, offsets in text_chunks(array)]) if len(array) else np.empty((0, 3))
+        features = np.concatenate([self.features(self.differences(_letters(data, offsets))) for _, data, offsets in text_chunks(array)]) if len(array) else np.empty((0, FEATURES))
         return _logistic((features - self.centre) / self.spread, self.weights)
 
 
+def _at_least(far: np.ndarray) -> np.ndarray:
+    """How many differences are of so many bytes or more, from 0 to MOST_BYTES."""
+    return np.bincount(far.clip(0, MOST_BYTES), minlength=MOST_BYTES + 1)[::-1].cumsum()[::-1]
+
+
+def _excess(far: np.ndarray, chance: np.ndarray) -> float:
+    """How surprising the most surprising number of large differences is, in standard deviations.
+
+    For each size from ``TELLING`` on, the number found is set against the
+    number that ordinary windows give by chance (a Poisson likelihood ratio).
+    """
+    found = _at_least(far)[TELLING:]
+    expected = len(far) * chance[TELLING:]
+    more = found > expected
+    if not more.any():
+        return 0.0
+    found, expected = found[more], expected[more]
+    return float(np.sqrt(2 * np.max(found * np.log(found / expected) - found + expected)))
+
+
+def _long(own: list[np.ndarray], ordinary: list[np.ndarray], number: int) -> list[np.ndarray]:
+    """Differences of long texts: one text of ``own`` each, and ordinary ones up to lengths spread evenly in the logarithm."""
+    rng, out = np.random.default_rng(len(own)), []
+    for size in np.geomspace(LONG_WINDOWS // 20, LONG_WINDOWS, number):
+        parts = [own[rng.integers(len(own))]]
+        while sum(map(len, parts)) < size and len(parts) < LONG_WINDOWS:
+            parts.append(ordinary[rng.integers(len(ordinary))])
+        out.append(np.concatenate(parts))
+    return out
+
+
 def _letters(data: np.ndarray, offsets: np.ndarray):
     clean, offsets = letters(data, offsets)
     body = clean.tobytes()
@@ -207,7 +253,8 @@ def _cut(logit: np.ndarray, label: np.ndarray, importance: np.ndarray) -> float:
     """
     order = np.argsort(-logit, kind="stable")
     gain = np.cumsum(np.where(label[order] == 1, importance[order], -importance[order]))
-    last = int(gain.argmax())
+    tied = np.r_[np.diff(logit[order]) > -1e-9, False]  # texts of one logit are not parted
+    last = int(np.where(tied, -np.inf, gain).argmax())
     if gain[last] <= 0:
         return 0.0
     after = order[min(last + 1, len(order) - 1)]
@@ -216,17 +263,21 @@ def _cut(logit: np.ndarray, label: np.ndarray, importance: np.ndarray) -> float:
 
 def train(toxic: list[str], ordinary: list[str], odds: tuple[float, float] = (1.0, 1.0)) -> Model:
     """Dictionaries and calibration from texts of both classes; ``odds``: rows that a text of either class stands for."""
-    none = np.zeros(3)
+    none = np.zeros(FEATURES)
     if not toxic or not ordinary:
-        return Model(b"", b"", none, none, none, 1.0 if toxic else 0.0)
+        return Model(b"", b"", none, none, none, none, 1.0 if toxic else 0.0)
     clean = []
     for texts in (toxic, ordinary):
         raw = [t.encode() for t in texts]
         clean.append(list(_letters(np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(r) for r in raw])])))
     typical_toxic, typical_ordinary, common = _typical(*clean)
-    model = Model(*_dictionaries((typical_toxic, typical_ordinary), common), none, none, none, None)
-    features = model.features([*clean[0], *clean[1]])
-    label = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
+    model = Model(*_dictionaries((typical_toxic, typical_ordinary), common), none, none, none, none, None)
+    far = [model.differences(texts) for texts in clean]
+    windows = np.concatenate(far[1])
+    # One window more of each size: what no ordinary window showed is rare, not impossible.
+    model = model._replace(chance=(_at_least(windows) + 1) / (len(windows) + 1))
+    label = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary)), np.ones(LONG_TEXTS), np.zeros(LONG_TEXTS)]
+    features = model.features([*far[0], *far[1], *_long(far[0], far[1], LONG_TEXTS), *_long(far[1], far[1], LONG_TEXTS)])
     importance = np.where(label == 1, odds[0], odds[1])
     centre, spread = features.mean(axis=0), np.maximum(features.std(axis=0), 1e-6)
     weights = _calibrate((features - centre) / spread, label, importance / importance.mean())

@@ -78,6 +78,17 @@ def test_rare_insults_are_learned_too():
     assert (model.scores(pa.array([" ".join(w) for w in words])) >= 0.5).mean() < 0.05
 
 
+def test_few_insults_in_long_texts_count():
+    rng = random.Random(13)
+    model = X.train([_text(rng, True) for _ in range(300)], [_text(rng, False) for _ in range(900)])
+    long = [words(rng, "en", 20_000).split() for _ in range(10)]
+    assert (model.scores(pa.array([" ".join(t) for t in long])) < 0.5).all()
+    for text in long:
+        for insult in INSULTS:
+            text.insert(rng.randrange(len(text)), insult)
+    assert (model.scores(pa.array([" ".join(t) for t in long])) >= 0.5).all()
+
+
 def test_windows_cover_whole_texts():
     text = b" " + b"word " * 500 + b"x" * 400 + b" end "
     windows = X._windows(text)

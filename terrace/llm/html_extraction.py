@@ -63,9 +63,9 @@ IMPLIED_END = {
 }
 P_BOUNDS = frozenset("button table td th caption html object template".split())
 
-_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]{0,9999}"[^>"']*|'[^']{0,9999}'[^>"']*)*)>""")
-_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
-_NAMED = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?(?=\s|/|$)""", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r""">|=\s*(["'])""")
+_ATTRIBUTE = re.compile(r"""([^\s=>"'/][^\s=>/]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _PARTS = re.compile(r"[^a-z]+")
 ANCESTORS = 5  # that a paragraph's points reach
 SHORT = 25
@@ -89,7 +89,7 @@ def _is_out(tag: str, attributes: str, parent: Node) -> bool:
         return not _inside(parent, "article")
     if tag in NEVER_OUT or not attributes:
         return False
-    for name, value in _NAMED.findall(attributes):
+    for name, value in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
@@ -122,9 +122,28 @@ def _close(at: Node, tags: tuple[str, ...] | frozenset, bounds) -> Node:
     return found.parent if found is not None and found.parent is not None else at
 
 
+def _tag_end(html: str, at: int, endless: set[int]) -> int:
+    """The place of the ``>`` outside quoted values, of any length; the next one at all where a quote is never closed.
+
+    ``endless`` keeps the stops from which no end was found, so that a page is scanned once.
+    """
+    place, passed = at, []
+    while (stop := _STOP.search(html, place)) is not None and stop.start() not in endless:
+        if stop[1] is None:
+            return stop.start()
+        passed.append(stop.start())
+        close = html.find(stop[1], stop.end())
+        if close < 0:
+            break
+        place = close + 1
+    endless.update(passed)
+    return html.find(">", at)
+
+
 def parse(html: str) -> Node:
     """The page's tree; the parts left out have no children."""
     root = Node("html", None, False)
+    endless: set[int] = set()
     at, place, size = root, 0, len(html)
     while place < size:
         begin = html.find("<", place)
@@ -143,8 +162,9 @@ def parse(html: str) -> Node:
             end = html.find(">", begin)
             place = end + 1 if end >= 0 else size
             continue
-        tag_match = _TAG.match(html, begin) or _PLAIN_TAG.match(html, begin)
-        if tag_match is None:
+        tag_match = _TAG.match(html, begin)
+        end = _tag_end(html, tag_match.end(), endless) if tag_match else -1
+        if end < 0:
             if following == "/" or following.isalpha():  # a tag without an end
                 end = html.find(">", begin)
                 place = end + 1 if end >= 0 else size
@@ -153,8 +173,8 @@ def parse(html: str) -> Node:
                     at.children.append("<")
                 place = begin + 1
             continue
-        place = tag_match.end()
-        closing, tag, attributes = tag_match[1], tag_match[2].lower(), tag_match[3]
+        place = end + 1
+        closing, tag, attributes = tag_match[1], tag_match[2].lower(), html[tag_match.end() : end]
         if closing:
             node = at
             while node is not None and node.tag != tag and not (tag not in BLOCK and node.tag in BLOCK):

@@ -59,6 +59,20 @@ def test_long_and_deep_pages_end():
     assert X.main_text("<a href=\"" * 3000 + ARTICLE) is not None
 
 
+@pytest.mark.parametrize("quote", ['"', "'"])
+def test_long_attribute_values(quote):
+    state = "<p>leak, leak, leak</p><div class=x> " * 3000
+    tag = f"<div data-state={quote}{state}{quote} hidden>"
+    assert X.main_text(f"<article>{tag}gone</div><p data-state={quote}{state}{quote}>{ARTICLE}</p></article>") == ARTICLE
+    assert X.main_text(f"<p title=it's>{ARTICLE}</p><p>it's</p>") == f"{ARTICLE} it's"
+    assert X.main_text(f"<p title={quote}never closed>{ARTICLE}</p>") == ARTICLE
+    assert X.main_text(f"<p data-x='a class=hidden hidden b'>{ARTICLE}</p>") == ARTICLE
+
+
+def test_unclosed_quotes_take_linear_time():
+    assert X.main_text(("<a x='" + '<b y="') * 100_000 + "<p>end") is not None
+
+
 def test_query(spark):
     rows = [(1, "u", "<p>a &amp; b"), (2, None, None), (None, "v", ""), (1, "u", "<p>a &amp; b"), (3, "w", f"<article><p>{ARTICLE} é😀</article>")]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")

@@ -2,7 +2,9 @@
 
 A page becomes a tree; parts that are never article text (scripts, menus,
 forms, adverts, reader comments and the like, told by tag, role, class or id)
-are left out. Every paragraph gives points for its length and commas: all of
+are left out. Names that don't tell for sure ("discussion", "related") lower the
+points of what is inside, and their elements go only if they hold little but
+links. Every paragraph gives points for its length and commas: all of
 them to its parent, half to its grandparent, and less further up. A
 container's points are discounted by the share of its text inside links. The
 best container is kept, or the ``article`` or ``main`` element around it, with
@@ -40,14 +42,25 @@ LEFT_OUT = frozenset(
     " fieldset svg math canvas template dialog menu object embed video audio applet map datalist".split()
 )
 ROLES_OUT = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
+# Words of class and id names. The first tell of boilerplate by themselves, the others only beside what the element holds;
+# words of layout say nothing.
 NAMES_OUT = frozenset(
-    "ad ads advert adverts advertisement advertising adsense adbox adslot banner sponsor sponsored sponsors promo promotion promoted"
-    " cookie cookies consent gdpr notice notices notification notifications popup modal overlay newsletter subscribe subscription signup"
-    " sidebar sidebars rail menu menus nav navbar navigation breadcrumb breadcrumbs footer masthead topbar toolbar header"
-    " comment comments disqus respond replies reply discussion related recommended recommendations share sharing social"
-    " widget widgets pager pagination login alert paywall skip hidden".split()
+    "ad ads advert adverts advertisement advertising adsense adbox adslot sponsored cookie cookies gdpr popup modal overlay"
+    " newsletter sidebar sidebars nav navbar breadcrumb breadcrumbs masthead topbar toolbar footer menu menus"
+    " comment comments disqus respond pager pagination login paywall widget widgets".split()
+)
+NAMES_DOUBTFUL = frozenset(
+    "banner sponsor sponsors promo promotion promoted consent notice notices notification notifications subscribe subscription signup"
+    " rail navigation header replies reply discussion related recommended recommendations share sharing social alert skip hidden".split()
+)
+NAMES_LAYOUT = frozenset(
+    "a an the site page post posts blog article entry main content contents body top bottom left right upper lower primary secondary"
+    " global inner outer wrap wrapper container box block area section panel list lists item items row col column group bar strip"
+    " unit slot holder region zone link links button buttons icon icons form title text thread user users js fb google us".split()
 )
 NEVER_OUT = frozenset("html body article main".split())
+# Names never leave these out with their text; the id of a heading is an anchor.
+TEXT = frozenset("p h1 h2 h3 h4 h5 h6".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 figcaption div section".split())
 # Parts of a larger block, which is kept with all of them.
 PARTS = frozenset("tr td th tbody thead tfoot li dt dd p a b i em strong span u small".split())
@@ -66,19 +79,21 @@ P_BOUNDS = frozenset("button table td th caption html object template".split())
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _STOP = re.compile(r""">|=\s*(["'])""")
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/][^\s=>/]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
-_PARTS = re.compile(r"[^a-z]+")
+_PARTS = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
+DOUBT = 0.25  # what the points of a paragraph count inside an element with a doubtful name
+LEAST_TEXT = 50  # unlinked characters with which such an element stays
 ANCESTORS = 5  # that a paragraph's points reach
 SHORT = 25
 LONG_SIBLING = 80
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "out", "points", "size", "linked")
+    __slots__ = ("tag", "parent", "children", "out", "points", "size", "linked", "doubtful", "weight")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.children: list[Node | str] = []
-        self.points = 0.0
+        self.points, self.weight, self.doubtful = 0.0, 1.0, False
         self.size = self.linked = 0
 
 
@@ -95,12 +110,44 @@ def _is_out(tag: str, attributes: str, parent: Node) -> bool:
             return True
         if name == "role" and value in ROLES_OUT:
             return True
-        if name in ("class", "id"):
-            for token in value.split():
-                parts = [x for x in _PARTS.split(token) if x]
-                # "has-sidebar" or "no-ads" tells of a layout, not of the element
-                if parts and parts[0] not in ("has", "no", "with", "without") and not NAMES_OUT.isdisjoint((parts[0], parts[-1])):
-                    return True
+    return _named(tag, attributes, parent) == 2
+
+
+def _named(tag: str, attributes: str, parent: Node) -> int:
+    """2: class or id names an element that is never article text; 1: perhaps not; 0: they don't tell.
+
+    All parts of a name count. A name tells for sure if its last part does, or
+    one part does beside words of layout and doubtful ones only; in
+    "related-work" or "comments-on-grammar" another word says what it's about.
+    """
+    if tag in NEVER_OUT or not attributes or _in_text(tag, parent):
+        return 0
+    most = 0
+    for name, value in _ATTRIBUTE.findall(attributes):
+        if name.lower() not in ("class", "id"):
+            continue
+        for token in value.strip("\"'").split():
+            parts = [x.lower() for x in _PARTS.split(token) if x]
+            # "has-sidebar" or "no-ads" tells of a layout, not of the element
+            if not parts or parts[0] in ("has", "no", "with", "without"):
+                continue
+            sure = not NAMES_OUT.isdisjoint(parts)
+            other = any(x not in NAMES_OUT and x not in NAMES_DOUBTFUL and x not in NAMES_LAYOUT for x in parts)
+            if sure and (parts[-1] in NAMES_OUT or not other):
+                return 2
+            if sure or parts[-1] in NAMES_DOUBTFUL or not other and not NAMES_DOUBTFUL.isdisjoint(parts):
+                most = 1
+    return most
+
+
+def _in_text(tag: str, parent: Node | None) -> bool:
+    """Whether the element is a paragraph or heading, or inline inside one."""
+    if tag in TEXT:
+        return True
+    while tag not in BLOCK and parent is not None:
+        if parent.tag in TEXT:
+            return True
+        tag, parent = parent.tag, parent.parent
     return False
 
 
@@ -191,6 +238,7 @@ def parse(html: str) -> Node:
         if at.tag == "head" and tag in BLOCK:
             at = at.parent
         node = Node(tag, at, at.out or _is_out(tag, attributes, at))
+        node.doubtful = not node.out and _named(tag, attributes, at) == 1
         if not at.out:
             at.children.append(node)
         if tag in RAW:
@@ -223,10 +271,14 @@ def _measure(nodes: list[Node]) -> None:
                 node.linked += child.linked
         if node.tag == "a":
             node.linked = node.size
+        if node.doubtful:
+            node.out = node.size - node.linked < LEAST_TEXT or 2 * node.linked > node.size
 
 
 def _score(nodes: list[Node]) -> None:
     for node in nodes:
+        if node.parent is not None:
+            node.weight = node.parent.weight * (DOUBT if node.doubtful else 1.0)
         if node.tag not in PARAGRAPH:
             continue
         text = "".join(_own(node)) if node.tag in ("div", "section", "td", "li", "dd") else " ".join(_text(node))
@@ -234,7 +286,7 @@ def _score(nodes: list[Node]) -> None:
         if not size:
             continue
         points = (1 + text.count(",") + min(size / 100, 3)) * min(1.0, size / SHORT)
-        points *= 1 - node.linked / max(node.size, 1)
+        points *= node.weight * (1 - node.linked / max(node.size, 1))
         up, level = node.parent, 0
         if node.tag in ("div", "section", "td"):  # its own text is a paragraph in it
             node.points += points
@@ -284,6 +336,7 @@ def main_text(html: str | None) -> str:
     root = parse(html)
     nodes = _order(root)
     _measure(nodes)
+    nodes = _order(root)  # without the doubtful ones that turned out to hold little
     _score(nodes)
     best = max(nodes, key=lambda n: n.points * (1 - n.linked / max(n.size, 1)), default=root)
     if best.points <= 0:

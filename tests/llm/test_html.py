@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from terrace.llm import html_extraction as X
@@ -59,6 +61,30 @@ def test_long_and_deep_pages_end():
     assert X.main_text("<a href=\"" * 3000 + ARTICLE) is not None
 
 
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='discussion'><h2>Discussion</h2><p>{}</p></section>",
+        "<div class='related-work'><h2>Related work</h2><p>{}</p></div>",
+        "<h2 id='notice-of-intent'>Notice</h2><p>{}</p>",
+        "<div class='social-sciences'><p>Short.</p><p>{}</p></div>",
+        "<h3 id='related'>Related</h3><h3 id='comments'>Comments</h3><p id='subscription'>{}</p>",
+        "<section id='comments-on-grammar'><p>{}</p></section>",
+        "<p>A <span class='hidden-word'>word</span> and <b id='menu'>bold</b>. {}</p>",
+    ],
+)
+def test_names_of_article_parts_stay(part):
+    part = part.format(ARTICLE)
+    plain = re.sub("<[^>]*>", " ", re.sub("</?(?:span|b)[^>]*>", "", part))
+    assert X.main_text(page(f"<article><p>{ARTICLE}</p>{part}<p>{ARTICLE}</p></article>")) == " ".join(f"{ARTICLE} {plain} {ARTICLE}".split())
+
+
+@pytest.mark.parametrize("name", ["post-comments-list", "site-sidebar-inner", "postCommentsList", "acme-comments", "cookie-notice"])
+def test_boilerplate_in_the_article_goes(name):
+    part = f"<div class='{name}'><p>{ARTICLE}</p><p>{ARTICLE}</p></div><ul class='related-links'><li><a href='/'>A related article, with a long title, and commas</a></ul>"
+    assert X.main_text(page(f"<article><p>{ARTICLE}</p>{part}<p>{ARTICLE}</p></article>")) == f"{ARTICLE} {ARTICLE}"
+
+
 @pytest.mark.parametrize("quote", ['"', "'"])
 def test_long_attribute_values(quote):
     state = "<p>leak, leak, leak</p><div class=x> " * 3000

@@ -12,8 +12,11 @@ other ASCII bytes is one separator, and bytes beyond ASCII stay as they are.
 Parsing starts anew every ``WINDOW`` bytes, so that all windows of a batch are
 parsed side by side on a dense transition table, whatever the text's length.
 
-Scale: the model is a table of bounded size, learned once from at most
-``sample_bytes`` bytes and broadcast; the scoring is one narrow pass.
+Scale: every label is learned, each from at most ``sample_bytes`` bytes of its
+own. The transitions of all languages are broadcast (well under 1 MB for each
+language); the dense tables stand in a worker up to ``DENSE_BYTES``, and those
+beyond are laid out anew for each batch, one at a time. The scoring is one
+narrow pass.
 
 Defined results: ``und`` with score 0 if the text is null or has no letter, or
 if nothing was learned. The score is 1 - least / second least normalised
@@ -24,8 +27,6 @@ language teach nothing. Repeated rows are scored alike.
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,11 +37,10 @@ from terrace.llm.common import id_remainder, text_chunks
 from terrace.llm.words import SEPARATOR, letters
 
 UNDETERMINED = "und"
-SAMPLE_BYTES = 96_000  # of all languages together
-SAMPLE_BYTES_EACH = 24_000
+SAMPLE_BYTES = 24_000  # of each language
 SAMPLE_SPARSE = 32  # a text is read for so many bytes of its language's share, to fill it from short texts too
-SAMPLE_TEXT_BYTES = 4_000  # longer texts are not taken into the sample
-LANGUAGES = 64  # learned, the most frequent first
+SAMPLE_TEXT_BYTES = 4_000  # longer texts are taken, by their beginnings, only where a language has no others
+DENSE_BYTES = 128 << 20  # of tables that a process keeps
 WINDOW = 256
 HELD_OUT = 5
 HAS_LETTER = r"\p{L}"
@@ -78,38 +78,51 @@ def _automaton(text: bytes) -> list[dict[int, int]]:
 _BEGINS = 1 << 30  # flag: this byte begins a phrase
 
 
-class Parser(NamedTuple):
-    """Dense tables of all languages over the bytes that the samples hold."""
-
-    languages: list[str]
-    symbol: np.ndarray  # byte -> column
-    columns: int
-    tables: list[np.ndarray]  # state * columns + symbol -> next state * columns, perhaps with _BEGINS
-    scale: np.ndarray  # bits for a phrase
+class Parser:
+    """Transitions of all languages over the bytes that the samples hold."""
 
-    @staticmethod
-    def learn(samples: dict[str, bytes]) -> Parser:
-        languages = sorted(samples)
+    def __init__(self, samples: dict[str, bytes]):
+        self.languages = sorted(samples)
         seen = sorted(set(b"".join(samples.values())))
         # Column 0 stands for bytes that no sample holds, the last one for padding.
-        symbol, columns = np.zeros(256, np.int32), len(seen) + 2
-        symbol[seen] = np.arange(1, len(seen) + 1)
-        tables = []
-        for language in languages:
+        self.symbol, self.columns = np.zeros(256, np.int32), len(seen) + 2  # byte -> column
+        self.symbol[seen] = np.arange(1, len(seen) + 1)
+        self.scale = np.array([np.log2(max(2, len(samples[x]))) for x in self.languages])  # bits for a phrase
+        self.states: list[int] = []
+        self.steps: list[tuple[np.ndarray, np.ndarray]] = []  # state * columns + symbol, next state
+        for language in self.languages:
             nxt = _automaton(samples[language])
-            table = np.full((len(nxt), columns), -1, np.int32)
-            for state, to in enumerate(nxt):
-                if to:
-                    table[state, symbol[list(to)]] = list(to.values())
-            # A byte begins a phrase at the start and where there's no way on (a
-            # byte unknown to the language is a phrase by itself).
-            start = np.where(table[0] >= 0, table[0], 0) * columns + _BEGINS
-            out = np.where(table >= 0, table * columns, start).astype(np.int32)
-            out[0] = start
-            out[:, columns - 1] = np.arange(len(nxt)) * columns
-            tables.append(out.ravel())
-        scale = np.array([np.log2(max(2, len(samples[x]))) for x in languages])
-        return Parser(languages, symbol, columns, tables, scale)
+            state = np.repeat(np.arange(len(nxt), dtype=np.int32), [len(to) for to in nxt])
+            byte = np.array([x for to in nxt for x in to], np.uint8)
+            self.states.append(len(nxt))
+            self.steps.append((state * self.columns + self.symbol[byte], np.array([x for to in nxt for x in to.values()], np.int32)))
+        self.dense: dict[int, np.ndarray] = {}
+
+    def __getstate__(self):
+        return self.__dict__ | {"dense": {}}
+
+    @staticmethod
+    def learn(samples: dict[str, bytes]) -> Parser:
+        return Parser(samples)
+
+    def table(self, number: int) -> np.ndarray:
+        """Of a language: state * columns + symbol -> next state * columns, perhaps with _BEGINS."""
+        if number in self.dense:
+            return self.dense[number]
+        columns, states, (place, to) = self.columns, self.states[number], self.steps[number]
+        table = np.full(states * columns, -1, np.int32)
+        table[place] = to
+        table = table.reshape(states, columns)
+        # A byte begins a phrase at the start and where there's no way on (a
+        # byte unknown to the language is a phrase by itself).
+        start = np.where(table[0] >= 0, table[0], 0) * columns + _BEGINS
+        out = np.where(table >= 0, table * columns, start).astype(np.int32)
+        out[0] = start
+        out[:, columns - 1] = np.arange(states) * columns
+        out = out.ravel()
+        if sum(x.nbytes for x in self.dense.values()) + out.nbytes <= DENSE_BYTES:
+            self.dense[number] = out
+        return out
 
     def entropies(self, array: pa.Array) -> np.ndarray:
         """Bits a byte for each text (rows) and language (columns); infinite for texts without bytes."""
@@ -130,7 +143,8 @@ class Parser(NamedTuple):
             for place in range(int(length.max())):
                 inside = length > place
                 coded[place, inside] = symbols[begin[inside] + place]
-            for number, table in enumerate(self.tables):
+            for number in range(len(self.languages)):
+                table = self.table(number)
                 state, phrases = np.zeros(len(row), np.int32), np.zeros(len(row), np.int64)
                 for place in range(int(length.max())):
                     step = table[state + coded[place]]
@@ -157,39 +171,37 @@ class Parser(NamedTuple):
         return names, score
 
 
-def learn(docs: DataFrame, teaches: Column, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", sample_bytes: int = SAMPLE_BYTES, languages: int = LANGUAGES) -> Parser:
-    """The parser of the labelled rows for which ``teaches`` holds.
+def learn(docs: DataFrame, teaches: Column, text: str = "text", lang: str = "lang", sample_bytes: int = SAMPLE_BYTES) -> Parser:
+    """The parser of the labelled rows for which ``teaches`` holds, with every language among them.
 
-    The sample of a language is its first texts in the order of a hash of the
-    id, whole, up to its share of ``sample_bytes``; only those few texts reach
-    the driver.
+    The sample of a language is its first texts in the order of their hash,
+    whole, up to ``sample_bytes``; only a few hundred texts of each reach the
+    driver.
     """
     labelled = docs.where(teaches & F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(text).rlike(HAS_LETTER))
-    counted = labelled.groupBy(F.col(lang).alias("l")).count().orderBy(F.desc("count"), "l").limit(languages).collect()
+    rows = labelled.select(F.col(lang).alias("l"), F.xxhash64(F.lit(HELD_OUT), F.col(text)).alias("h"), F.col(text).alias("t"))
+    most = min(SAMPLE_TEXT_BYTES, max(sample_bytes // 2, 1))
+    fits = F.octet_length("t") <= most
+    counted = rows.groupBy("l").agg(F.approx_count_distinct(F.when(fits, F.col("h"))).alias("fit"), F.approx_count_distinct("h").alias("all")).collect()
     if not counted:
         return Parser.learn({})
-    share = min(SAMPLE_BYTES_EACH, sample_bytes // len(counted))
-    fits = labelled.where(F.octet_length(text) <= F.least(F.lit(SAMPLE_TEXT_BYTES), F.lit(max(share // 2, 1))))
-    # The chance of a text follows its language's rows, so that a few hundred
-    # texts of each are read; copies share their hash and count once.
-    chance = F.create_map(*[F.lit(v) for r in counted for v in (r["l"], min(1.0, share / SAMPLE_SPARSE / r["count"]))])
-    h = F.xxhash64(F.lit(HELD_OUT), F.col(text))
-    rows = fits.select(F.col(lang).alias("l"), h.alias("h"), F.col(text).alias("t")).where(F.col("l").isin([r["l"] for r in counted]))
-    rows = rows.where(F.pmod("h", F.lit(1 << 31)) < F.element_at(chance, F.col("l")) * F.lit(float(1 << 31)))
-    names = [r["l"] for r in counted]
+    # The chance of a text follows its language's distinct texts, so that a few
+    # hundred of each are read; copies share their hash and count once.
+    chance = F.create_map(*[F.lit(v) for r in counted for v in (r["l"], min(1.0, sample_bytes / SAMPLE_SPARSE / (r["fit"] or r["all"])))])
+    only_long = [r["l"] for r in counted if not r["fit"]]
+    taken = fits | F.col("l").isin(only_long) if only_long else fits
+    rows = rows.where(taken & (F.pmod("h", F.lit(1 << 31)) < F.element_at(chance, F.col("l")) * F.lit(float(1 << 31))))
+    rows = rows.select("l", "h", F.substring("t", 1, most).alias("t"))
     texts: dict[str, list[tuple[int, str]]] = {}
-    for l, x, t in rows.dropDuplicates(["l", "h"]).toLocalIterator():
+    for l, x, t in rows.groupBy("l", "h").agg(F.min("t").alias("t")).toLocalIterator():
         texts.setdefault(l, []).append((x, t))
     lines: dict[str, list[list[str]]] = {}
-    for name in names:
-        room, lines[name] = share, []
-        for _, t in sorted(texts.get(name, ())):
+    for name in sorted(texts):
+        room, lines[name] = sample_bytes, []
+        for _, t in sorted(texts[name]):
             if len(t.encode()) < room:
                 lines[name].append(t.split("\n"))
                 room -= len(t.encode()) + 1
-        if not lines[name]:  # only long texts: the beginning of one is still a sample
-            long = labelled.where(F.col(lang) == name).orderBy(F.octet_length(text), F.xxhash64(doc_id, text)).select(F.substring(F.col(text), 1, share).alias("t")).first()
-            lines[name] = [long["t"].split("\n")]
     return Parser.learn(_samples(_own_lines(lines)))
 
 
@@ -214,11 +226,13 @@ def _own_lines(lines: dict[str, list[list[str]]]) -> dict[str, list[list[str]]]:
     parsers = [Parser.learn(_samples(half)) for half in halves]
     out: dict[str, list[list[str]]] = {name: [] for name in lines}
     for half, parser in zip(halves, reversed(parsers)):
+        every = [line for texts in half.values() for text in texts for line in text]
+        best = iter(parser.entropies(pa.array(every, pa.string())).argmin(axis=1).tolist() if len(parser.languages) > 1 else [0] * len(every))
         for name, texts in half.items():
             for text in texts:
+                own = [(line, next(best)) for line in text]
                 if name in parser.languages and len(parser.languages) > 1:
-                    best = parser.entropies(pa.array(text, pa.string())).argmin(axis=1)
-                    text = [line for line, b in zip(text, best) if parser.languages[b] == name or not line.strip()]
+                    text = [line for line, b in own if parser.languages[b] == name or not line.strip()]
                 out[name].append(text)
     return {name: texts if _samples({name: texts}) else lines[name] for name, texts in out.items()}
 

@@ -84,6 +84,36 @@ def test_foreign_lines_leave_the_sample():
     assert sum(map(len, own["en"])) > 60
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(6)
+    langs = {f"l{k:02}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(12)] for k in range(70)}
+    text = lambda lang: " ".join(rng.choices(langs[lang], k=30))
+    rows = [(k, text(lang), lang, "s", 0) for lang in langs for k in range(2 if lang == "l69" else 3)]
+    parser = L.learn(spark.createDataFrame(rows, DOCS), F.lit(True))
+    assert parser.languages == sorted(langs)
+    texts = pa.array([text(lang) for lang in langs])
+    want = parser.predict(texts)
+    assert want[0] == list(langs)
+    monkeypatch.setattr(L, "DENSE_BYTES", 0)  # every table laid out anew
+    parser.dense.clear()
+    got = parser.predict(texts)
+    assert got[0] == want[0] and (got[1] == want[1]).all() and not parser.dense
+
+
+def test_copies_do_not_thin_the_sample(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(4)
+    copy = sentences(rng, "en", 1)
+    rows = [(i, copy, "en", "s", 0) for i in range(40_000)] + [(i, sentences(rng, "en", 3), "en", "s", 0) for i in range(60)]
+    rows += [(i, sentences(rng, "de", 3), "de", "s", 0) for i in range(60)]
+    parser = L.learn(spark.createDataFrame(rows, DOCS), F.lit(True))
+    size = dict(zip(parser.languages, parser.scale))
+    assert abs(size["en"] - size["de"]) < 0.6  # bits: samples of about the same size
+
+
 def test_nothing_to_learn(spark, no_docs):
     from pyspark.sql import functions as F
 

@@ -8,7 +8,7 @@ the rest is taken from the blocks in a seeded order.
 
 Scale: a shard holds about ``shard_words`` words of one source, chosen by a
 seeded hash of the row, so a source with a third of the corpus is many shards
-and no task holds a source. Quotas go down a tree of at most ``FAN`` children
+and no task holds a source; rows without words stay where they are. Quotas go down a tree of at most ``FAN`` children
 a node, so no task holds all shards of a source either. Only the table of
 sources (one row per source: name, words, blocks) reaches the driver.
 
@@ -176,7 +176,9 @@ class Mix:
 
         placed = self.place(self.rows, "source", F.col("h")).select("doc_id", "size", "source_size", "target", "h", "src", "shard")
         schema = T.StructType([self.rows.schema["doc_id"], *[T.StructField(n, t) for n, t in (("size", T.LongType()), ("source_size", T.LongType()), ("target", T.DoubleType()), ("taken", T.LongType()))]])
-        return placed.groupBy("src", "shard").cogroup(self.quotas.groupBy("src", "shard")).applyInArrow(run, schema)
+        # Rows without words, of which a shard may have any number, need no quota.
+        empty = placed.where(F.col("size") == 0).select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
+        return placed.where(F.col("size") > 0).groupBy("src", "shard").cogroup(self.quotas.groupBy("src", "shard")).applyInArrow(run, schema).unionAll(empty)
 
 
 def _taken(rows: pa.Table, quota: pa.Table, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -214,7 +216,7 @@ def mixed_texts(docs: DataFrame, text: str = "text", source: str = "source", doc
     names = [fresh(docs, n) for n in ("size", "h")]
     rows = docs.withColumn(names[0], n_words(text)).withColumn(names[1], F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)))
     packed = rows.select(F.struct(*docs.columns).alias("row"), F.col(names[0]).alias("size"), F.col(names[1]).alias("h"), F.col(source).alias("source"))
-    placed = plan.place(packed, "source", F.col("h")).select("row", "size", "h", "src", "shard")
+    placed = plan.place(packed.where(F.col("size") > 0), "source", F.col("h")).select("row", "size", "h", "src", "shard")
     schema, place = docs.schema, docs.columns.index(text)
     counted = docs.columns.index(n_chars) if n_chars in docs.columns else -1
 

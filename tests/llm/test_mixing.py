@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 
+from conftest import DOCS
 from terrace.llm import mixing as M
 
 
@@ -102,3 +103,17 @@ def test_empty_and_wordless(spark, no_docs):
     blank = spark.createDataFrame([(1, None, "en", "a", 0), (2, "  ", "en", None, 2)], no_docs.schema)
     assert sorted(map(tuple, M.mixture(blank).collect())) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
     assert M.mixed_texts(blank).count() == 0
+
+
+def test_rows_without_words_are_not_brought_together(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(i, None if i % 3 else " ", "en", "empty", 0) for i in range(4000)] + [(9000 + i, "some words here", "en", "full", 15) for i in range(50)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(8)
+    taken = M.Mix(docs).taken()
+    for out in (taken, M.mixed_texts(docs)):  # what goes to the shards has words
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert re.search(r"CoGroupsInArrow(?s:.)*Filter .*size#\d+L? > 0|CoGroupsInArrow(?s:.)*Filter .*regexp.* > 0", plan, re.I), plan
+    assert taken.where((F.col("size") == 0) & (F.col("taken") == 0)).count() == 4000
+    assert taken.agg(F.sum("taken")).first()[0] == 150
+    assert M.mixed_texts(docs).count() >= 50

@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontamination, html_extraction, language, language_model, mixing, multiset_hash, packing, secrets_scan, simhash, toxicity
+from terrace.llm import decontamination, html_extraction, language, language_model, merkle, mixing, multiset_hash, packing, secrets_scan, simhash, toxicity
 from terrace.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root and proof of each document, and whether it verifies after some were tampered with."""
+    return merkle.documents_manifest(table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -87,10 +92,13 @@ QUERIES: dict[str, Query] = {
         op8_secret_scans,
         op9_html_extraction,
         op10_toxicity,
+        op11_merkle_manifest,
     )
 }
 
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_SIZED = "coalesce(strlen(({0})::VARCHAR) || ':' || ({0})::VARCHAR, '-')"
+_HEAD = " || ".join(_SIZED.format(name) for name in ("doc_id", "source", "lang"))
 
 ORACLES: dict[str, str] = {
     "op2_benchmark_decontamination": f"""
@@ -150,5 +158,47 @@ spans AS (
 SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
        sha256(coalesce(based, '')) AS base_sha256, coalesce(every, '') AS spans, coalesce(d, 0)::BIGINT AS n_random, coalesce(l, 0)::BIGINT AS n_live
 FROM (SELECT doc_id, row_number() OVER () AS row FROM documents) LEFT JOIN spans USING (row)
+""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE rows AS (
+  SELECT doc_id, coalesce('s' || lang, '') AS grp, row_number() OVER () AS id, {_HEAD} AS head, {_SIZED.format("n_chars")} AS count,
+         {_SIZED.format("n_chars::HUGEINT + 1")} AS more, {_SIZED.format("text")} AS tail,
+         list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ord(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
+                     lambda a, x: list_reduce(list_prepend(xor(a, x), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))) AS crc
+  FROM documents
+), leaves AS (
+  SELECT id, doc_id, grp, leaf, CASE WHEN xor(crc, 4294967295) % 7 = 0 THEN sha256(head || more || tail) ELSE leaf END AS start,
+         row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY grp) AS n
+  FROM (SELECT *, sha256(head || count || tail) AS leaf FROM rows)
+), tree(grp, level, place, n, node) AS (
+  SELECT grp, 0, place, n, leaf FROM leaves
+  UNION ALL
+  SELECT grp, level + 1, place // 2, any_value((n + 1) // 2), sha256(string_agg(node, '' ORDER BY place)) FROM tree WHERE n > 1 GROUP BY grp, level, place // 2
+), subroots AS (
+  SELECT grp, node, row_number() OVER (ORDER BY grp) - 1 AS place, count(*) OVER () AS n FROM tree WHERE n = 1
+), upper_tree(level, place, n, node) AS (
+  SELECT 0, place, n, node FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, any_value((n + 1) // 2), sha256(string_agg(node, '' ORDER BY place)) FROM upper_tree WHERE n > 1 GROUP BY level, place // 2
+), steps AS (
+  SELECT l.id, t.level, (l.place >> t.level) % 2 AS slot, s.node AS sibling
+  FROM leaves l JOIN tree t ON t.grp = l.grp AND t.place = l.place >> t.level AND t.n > 1
+  LEFT JOIN tree s ON s.grp = t.grp AND s.level = t.level AND s.place = xor(t.place, 1)
+  UNION ALL
+  SELECT l.id, 100 + t.level, (r.place >> t.level) % 2, s.node
+  FROM leaves l JOIN subroots r USING (grp) JOIN upper_tree t ON t.place = r.place >> t.level AND t.n > 1
+  LEFT JOIN upper_tree s ON s.level = t.level AND s.place = xor(t.place, 1)
+), proofs AS (
+  SELECT id, list({{'slot': slot, 'node': coalesce(sibling, '')}} ORDER BY level) AS proof, sha256(coalesce(string_agg(sibling, '' ORDER BY level), '')) AS proof_sha256
+  FROM steps GROUP BY id
+), folded(id, level, node, proof) AS (
+  SELECT id, 0, start, coalesce(proof, []) FROM leaves LEFT JOIN proofs USING (id)
+  UNION ALL
+  SELECT id, level + 1, sha256(CASE WHEN proof[level + 1].slot = 1 THEN proof[level + 1].node || node ELSE node || proof[level + 1].node END), proof
+  FROM folded WHERE level < len(proof)
+)
+SELECT doc_id, leaf, subroots.node AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded.node AS folded_root, folded.node = root AS verified
+FROM leaves JOIN subroots USING (grp), (SELECT node AS root FROM upper_tree WHERE n = 1)
+LEFT JOIN proofs USING (id) JOIN folded ON folded.id = leaves.id AND folded.level = len(folded.proof)
 """,
 }

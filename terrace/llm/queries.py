@@ -198,7 +198,7 @@ WITH RECURSIVE rows AS (
   FROM folded WHERE level < len(proof)
 )
 SELECT doc_id, leaf, subroots.node AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded.node AS folded_root, folded.node = root AS verified
-FROM leaves JOIN subroots USING (grp), (SELECT node AS root FROM upper_tree WHERE n = 1)
+FROM leaves JOIN subroots USING (grp) CROSS JOIN (SELECT node AS root FROM upper_tree WHERE n = 1)
 LEFT JOIN proofs USING (id) JOIN folded ON folded.id = leaves.id AND folded.level = len(folded.proof)
 """,
 }

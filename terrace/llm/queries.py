@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import decontamination, html_extraction, language, language_model, merkle, mixing, multiset_hash, packing, periodic_runs, secrets_scan, simhash, toxicity
+from terrace.llm import decontamination, html_extraction, language, language_model, merkle, mixing, multiset_hash, packing, periodic_runs, personal_data, secrets_scan, simhash, toxicity
 from terrace.llm.common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,11 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.documents_manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in each document: what patterns find, and what a trained tagger adds."""
+    return personal_data.documents_spans(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in each document, some given periodic ends."""
     return periodic_runs.documents_runs(table(spark, sf_dir, "documents"))
@@ -98,6 +103,7 @@ QUERIES: dict[str, Query] = {
         op9_html_extraction,
         op10_toxicity,
         op11_merkle_manifest,
+        op12_personal_data,
         op13_periodic_runs,
     )
 }

@@ -32,12 +32,12 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -571,6 +571,10 @@ def find(df: DataFrame, model: Tagger, text: str = "text", patterns: str = "patt
     return df.mapInArrow(batches, schema)
 
 
+def _is(kind: str) -> Callable[[Column], Column]:
+    return lambda span: span["kind"] == kind
+
+
 def documents_spans(docs: DataFrame) -> DataFrame:
     """Number of spans of each kind that the patterns find, their digest, and all spans with the tagger's."""
     rows = docs.select("doc_id", "text")
@@ -579,5 +583,5 @@ def documents_spans(docs: DataFrame) -> DataFrame:
     order = {kind: str(i) for i, kind in enumerate(KINDS)}
     rank = F.create_map(*[F.lit(x) for pair in order.items() for x in pair])
     keyed = F.transform(F.concat("pattern_spans", "added_spans"), lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")))
-    counts = [F.size(F.filter("pattern_spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    counts = [F.size(F.filter("pattern_spans", _is(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("pattern_spans")), 256).alias("base_sha256"), listed(F.array_sort(keyed)).alias("spans"), F.size("added_spans").cast("long").alias("n_added"))

@@ -170,8 +170,10 @@ def prove(built: list[DataFrame], last: DataFrame, arity: int = ARITY) -> DataFr
     ``last`` has grp, the proof of each group's last node, and any columns to carry.
     """
     out = built[-1].join(last, "grp")
-    for below in reversed(built[:-1]):
-        out = _proved(below, out, arity)
+    for k in reversed(range(len(built) - 1)):
+        out = _proved(built[k], out, arity)
+        if k:  # a tier above the first is small, and written out it keeps the plan below small
+            out = materialize(out.sparkSession, out, "merkle-proofs")
     return out
 
 

@@ -242,6 +242,9 @@ FROM events""",
     "catalog_partitioned_table": _union(_gold(QS.PREVIOUS_DATE, QS.PREVIOUS_RUN_ID), _gold(QS.BUSINESS_DATE, QS.RUN_ID)),
     "catalog_row_count": "SELECT COUNT(*) * 3 AS row_count FROM orders",
     "stream_landing_ingest": "SELECT event_id, ts, user_id, event_type, value, props, CAST(ts AS DATE) AS event_date, 'events_' || strftime(ts, '%Y-%m-%d') AS source_stem FROM events",
+    "stream_by_header_name": """
+SELECT event_id, ts, user_id, event_type, value, props, CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS stem
+FROM events""",
     "stream_event_columns": """
 SELECT event_id, 'events_' || strftime(ts, '%Y-%m-%d') AS source_stem, CAST(ts AS DATE) AS key_day, CAST(ts AS DATE) AS uri_day,
        TRUE AS uri_is_bucket_and_key, CAST(ts AS DATE) AS day_if_on_time

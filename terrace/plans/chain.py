@@ -8,8 +8,10 @@ processing time. A failing step raises and the later steps do not run.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import logging
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
@@ -67,20 +69,36 @@ def run_bi(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, run:
     return publish(plan.to_bi(gold, run), plan.bi_spec(paths.bi), run, name=f"{plan.name}_bi", inputs=[paths.gold])
 
 
-def _after_silver(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, run: RunContext, silver: JobResult, audit_root: str | None) -> dict[str, Any]:
-    """The steps that every form of the chain shares once silver is published."""
-    results = {"silver": silver, "gold": run_gold(spark, plan, paths, run)}
+def run_gold_days(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, runs: Sequence[RunContext]) -> JobResult:
+    """Gold for several runs of one silver table, which tells their rows by run id: one gated write of all their days.
+
+    Each run's rows are stamped with its own date, so the partition of a row
+    follows from its run.
+    """
+    silver = read_published(spark, plan.silver_spec(paths.silver))
+    days = [plan.to_gold(silver.where(F.col("run_id") == F.lit(run.run_id)), run) for run in runs]
+    spec = replace(plan.gold_spec(paths.gold), check_run_date=False, rebalance=True)
+    if paths.table:
+        spec = replace(spec, catalog_table=paths.table)
+    return publish(functools.reduce(DataFrame.unionByName, days), spec, runs[-1], name=f"{plan.name}_gold", inputs=[paths.silver])
+
+
+def _after_silver(spark: SparkSession, plan: MedallionPlan, paths: MedallionPaths, run: RunContext, silver: JobResult, audit_root: str | None, runs: Sequence[RunContext] = ()) -> dict[str, Any]:
+    """The steps that every form of the chain shares once silver is published; ``runs`` are the batch's if there are several."""
+    several = len(runs) > 1
+    results = {"silver": silver, "gold": run_gold_days(spark, plan, paths, runs) if several else run_gold(spark, plan, paths, run)}
     if paths.bi:
         results["bi_export"] = run_bi(spark, plan, paths, run)
     steps: dict[str, Any] = {step: result.summary() for step, result in results.items()}
     if audit_root:
         for result in results.values():
             append_audit(quality_audit(spark, result), f"{audit_root}/quality")
-        partitions = run_partition_summary(spark, plan.gold_spec(paths.gold), run, results["gold"].name)
-        append_audit(partitions, f"{audit_root}/partitions")
+        partitions = [run_partition_summary(spark, plan.gold_spec(paths.gold), own, results["gold"].name) for own in (runs if several else [run])]
+        append_audit(functools.reduce(DataFrame.unionByName, partitions), f"{audit_root}/partitions")
     if paths.table:
         steps["catalog"] = {"table": paths.table, "row_count": catalog.row_count(spark, paths.table).first()["row_count"]}
-    return {"pipeline": plan.name, "run_id": run.run_id, "business_date": run.business_date.isoformat(), **steps}
+    told = {"business_dates": [own.business_date.isoformat() for own in runs]} if several else {}
+    return {"pipeline": plan.name, "run_id": run.run_id, "business_date": run.business_date.isoformat(), **told, **steps}
 
 
 def run_chain(
@@ -186,28 +204,45 @@ def arrival_handler(
     audit_root: str | None = None,
     table: str | None = None,
 ) -> Callable[[DataFrame, RunContext], dict[str, Any] | None]:
-    """E1 + E3: a ``streaming.ingest`` handler that runs the whole chain for each landed file.
-
-    The micro-batch is the bronze input, one file (``max_files_per_trigger=1``,
-    as files of different days are different runs). The business date is the
-    one given to the ingest or else the arrival date of the file, taken from
-    its first row; each row's source file is its own. A file without data rows
-    is logged and leaves every table as it was.
+    """E1 + E3: a ``streaming.ingest`` handler that runs the whole chain for each batch of landed files.
+
+    The business date is the one given to the ingest, or else each file's
+    arrival date: a batch of several days has a run for each of them, with a run id derived
+    from the batch's, and every day's rows carry their own run. Silver
+    is replaced by the whole batch, gold's days are written together, each replacing
+    its folder only, and the snapshot is of the last day. Each row's source
+    file is its own. A batch without data rows is logged and leaves every
+    table as it was.
     """
 
     def handle(batch: DataFrame, run: RunContext) -> dict[str, Any] | None:
         spark = batch.sparkSession
-        first = batch.select("event_time").first()
-        if first is None:
-            log.warning("Run %s: the landed file holds no rows; tables left untouched.", run.run_id)
+        # One row for each arrival date, not for each file or row.
+        dates = [r["business_date"] for r in batch.select("business_date").distinct().orderBy("business_date").collect()]
+        if not dates:
+            log.warning("Run %s: the landed files hold no rows; tables left untouched.", run.run_id)
             return None
-        if not run.date_given:
-            run = replace(run, business_date=first.event_time.date())
+        runs = {dates[0]: run} if run.date_given else runs_of_dates(run, dates)
         arrival_columns = ("source_uri", "bucket_name", "object_key", "event_time", "business_date")
         bronze = batch.withColumnRenamed("source_filename", TF.SOURCE_COLUMN)
-        bronze = bronze.select(*bronze_columns, TF.SOURCE_COLUMN) if bronze_columns else bronze.drop(*arrival_columns)
-        published = publish(plan.to_silver(bronze, run), plan.silver_spec(silver), run, name=f"{plan.name}_silver")
+        kept = [*bronze_columns, TF.SOURCE_COLUMN] if bronze_columns else [c for c in bronze.columns if c not in arrival_columns]
+        days = []
+        for date, own in runs.items():
+            # A condition on file times: a day's scan opens that day's files only.
+            of_day = bronze if len(runs) == 1 else bronze.where(F.col("business_date") == F.lit(date))
+            days.append(plan.to_silver(of_day.select(*kept), own))
+        spec = plan.silver_spec(silver)
+        if len(runs) > 1:
+            spec = replace(spec, check_run_date=False)
+        published = publish(functools.reduce(DataFrame.unionByName, days), spec, run, name=f"{plan.name}_silver")
         paths = MedallionPaths(landing="", silver=silver, gold=gold, bi=bi, table=table)
-        return _after_silver(spark, plan, paths, run, published, audit_root)
+        return _after_silver(spark, plan, paths, list(runs.values())[-1], published, audit_root, list(runs.values()))
 
     return handle
+
+
+def runs_of_dates(run: RunContext, dates: Sequence[dt.date]) -> dict[dt.date, RunContext]:
+    """A run for each date; the only one keeps the run's id, several have ids derived from it (the same on a replay)."""
+    if len(dates) == 1:
+        return {dates[0]: replace(run, business_date=dates[0])}
+    return {d: replace(run, business_date=d, run_id=uuid.uuid5(uuid.NAMESPACE_URL, f"{run.run_id}/{d.isoformat()}").hex) for d in dates}

@@ -689,15 +689,30 @@ def stream_explicit_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = S.scratch_path(spark, "stream_explicit_run")
     _land_orders(spark, sf_dir, root)
     handler = chain.arrival_handler(orders.plan(), f"{root}/silver", f"{root}/gold", bronze_columns=orders.BRONZE_COLUMNS, audit_root=f"{root}/audit")
-    one = f"{root}/one"
-    sources.land_files(sources.read_csv_strings(spark, f"{root}/landing/orders-*.csv").coalesce(1), one, "orders")
-    ingest(spark, one, orders.BRONZE_COLUMNS, f"{root}/_checkpoint", handler, business_date=PREVIOUS_DATE, run_id=BACKFILL_RUN_ID)
+    # Every part is a file of the same name in a folder of its own, and all are one arrival batch.
+    landed = S.matching_files(spark, f"{root}/landing/orders-*.csv")
+    S.move_all(spark, [(place, f"{root}/arrived/{n}/orders-00000.csv") for n, place in enumerate(landed)])
+    ingest(spark, f"{root}/arrived/*", orders.BRONZE_COLUMNS, f"{root}/_checkpoint", handler, max_files_per_trigger=len(landed), business_date=PREVIOUS_DATE, run_id=BACKFILL_RUN_ID)
     gold = sources.read_partitioned(spark, f"{root}/gold")
     audit = spark.read.parquet(f"{root}/audit/partitions").select("run_id", "year", "month", "day", "rows_written")
     return gold.join(audit, ["run_id", "year", "month", "day"]).select("order_key", "source_file", "run_id", "ingestion_date", "year", "month", "day", "rows_written")
 
 
+def stream_by_header_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed with different column orders, some with a further column, ingested by the stream and bound by header name."""
+    root = S.scratch_path(spark, "stream_by_header_name")
+    ev = table(spark, sf_dir, "events")
+    even = F.col("event_id") % 2 == 0
+    sources.land_files(ev.where(even).select(*events.BRONZE_COLUMNS), f"{root}/landing", "a")
+    turned = ev.where(~even).select(F.lit('say "x,y"').alias("remark"), *reversed(events.BRONZE_COLUMNS))
+    sources.land_files(turned, f"{root}/landing", "b")
+    events.ingest_landing(spark, f"{root}/landing", f"{root}/silver", f"{root}/_checkpoint")
+    silver = sources.read_table(spark, f"{root}/silver", events.SILVER.schema)
+    return silver.select("event_id", "ts", "user_id", "event_type", "value", "props", F.substring("source_file", 1, 1).alias("stem"))
+
+
 QUERIES: dict[str, Query] = {
+    "stream_by_header_name": stream_by_header_name,
     "csv_bronze_scan": csv_bronze_scan,
     "landing_file_scan": landing_file_scan,
     "parquet_scan": parquet_scan,

@@ -117,17 +117,6 @@ def qualified(spark: SparkSession, path: str) -> str:
     return str(fs.makeQualified(hpath).toString()).rstrip("/")
 
 
-def read_first_line(spark: SparkSession, path: str) -> str:
-    """The first line of one text file (UTF-8); only its first block is read."""
-    fs, hpath = _fs_and_path(spark, path)
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(hpath)
-    try:
-        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine() or ""
-    finally:
-        stream.close()
-
-
 def matching_files(spark: SparkSession, path: str, glob: str | None = None) -> list[str]:
     """Visible files that ``path`` (a file, a folder or a pattern) names, in name order."""
     fs, hpath = _fs_and_path(spark, path)

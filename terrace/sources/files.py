@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import csv
 import functools
+import re
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,8 +41,8 @@ def read_csv_strings(
     Files may order their columns differently and have further ones: each
     distinct header is one read, and the asked ``columns`` are taken by name
     (all of the first file's without ``columns``). A file whose header lacks
-    one of them is an error that names the file. Only the first line of each
-    file is looked at before the read.
+    one of them is an error that names the file. The headers are found by a
+    Spark job over the files' lines (:func:`files_by_header`).
 
     Quotes inside a quoted field are doubled (RFC 4180, as spreadsheet and
     database exports write them); a backslash is an ordinary character.
@@ -55,50 +57,99 @@ def read_csv_strings(
     files = [f for place in places for f in S.matching_files(spark, place, glob)]
     if not files:
         raise FileNotFoundError(f"No landing file matches {', '.join(places)}.")
-    with ThreadPoolExecutor(S.MOVES_AT_ONCE) as pool:
-        lines = list(pool.map(lambda f: S.read_first_line(spark, f), files))
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for name, line in zip(files, lines):
-        by_header.setdefault(tuple(next(csv.reader([line.removeprefix("\ufeff")]), [])), []).append(name)
+    by_header = files_by_header(text_lines(spark.read.text(files)))
+    seen = {_plain(f) for named in by_header.values() for f in named}
+    blank = [f for f in files if _plain(f) not in seen]  # without a first line
+    if blank:
+        by_header.setdefault((), []).extend(blank)
+    extra = {SOURCE_COLUMN: F.col("_metadata.file_name")} if with_file_name else {}
+    return read_by_header(spark, by_header, columns, extra=extra, multiline=multiline, malformed=malformed)
+
+
+def text_lines(text: DataFrame) -> DataFrame:
+    """Lines of a text source with their ``file`` and the byte ``at`` which their block of it begins."""
+    return text.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"))
+
+
+def first_lines(lines: DataFrame) -> DataFrame:
+    """The first line of each ``file``: the first row of its first block, kept by the task that reads it."""
+    heads = lines.where("at = 0").select("file", "value", F.monotonically_increasing_id().alias("place"))
+    return heads.groupBy("file").agg(F.min_by("value", "place").alias("line"))
+
+
+def files_by_header(lines: DataFrame) -> dict[tuple[str, ...], list[str]]:
+    """File names by header. The first lines are found in a Spark job; the driver gets names and distinct headers, and opens no file."""
+    groups = first_lines(lines).groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(groups, key=lambda r: r["files"][0]):
+        header = tuple(next(csv.reader([row["line"].removeprefix("\ufeff")]), []))
+        out.setdefault(header, []).extend(unquote(f) for f in row["files"])
+    return out
+
+
+def _plain(file: str) -> str:
+    """A file's name in one spelling: ``file:///a`` is ``file:/a``."""
+    return re.sub(r"^(\w[\w+.-]*):///", r"\1:/", file)
+
+
+def read_by_header(
+    spark: SparkSession,
+    by_header: Mapping[tuple[str, ...], list[str]],
+    columns: list[str] | None = None,
+    *,
+    extra: Mapping[str, Column] | None = None,
+    multiline: bool = False,
+    malformed: str | None = None,
+) -> DataFrame:
+    """S1/E1: CSV files grouped by their headers, as one frame of the asked columns, bound by name.
+
+    ``extra`` adds columns computed from the rows' file metadata.
+    """
     wanted = list(columns) if columns is not None else list(next(iter(by_header)))
     parts = []
     for header, named in by_header.items():
         lost = [c for c in wanted if c not in header]
         if lost:
             raise ValueError(f"The header of {named[0]} lacks the column(s) {', '.join(lost)}.")
-        parts.append(_read_with_header(spark, named, list(header), wanted, with_file_name, multiline, malformed))
+        parts.append(_read_with_header(spark, named, list(header), wanted, extra or {}, multiline, malformed))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
 _BAD_ROW = "_malformed_row"
 
 
-def _read_with_header(spark, files, header, wanted, with_file_name, multiline, malformed) -> DataFrame:
-    schema = T.StructType([*string_schema(header), T.StructField(_BAD_ROW, T.StringType(), True)])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _BAD_ROW)
-        .option("columnPruning", False)  # else surplus and missing cells go unseen
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .csv(files)
-    )
-    file_name = F.col("_metadata.file_name")
+def malformed_schema(header: list[str]) -> T.StructType:
+    return T.StructType([*string_schema(header), T.StructField(_BAD_ROW, T.StringType(), True)])
+
+
+def sound_rows(rows: DataFrame, header: list[str]) -> DataFrame:
+    """``rows`` (read with :func:`malformed_schema`), failing at one with more or fewer cells than the header."""
+    # The message names a cell too: a read of no other column than the check's own isn't allowed.
+    told = F.concat_ws(": ", F.concat(F.lit("malformed_row in "), F.col("_metadata.file_name")), F.col(f"`{header[0]}`"))
+    return rows.where(F.assert_true(F.col(_BAD_ROW).isNull(), told).isNull())
+
+
+def csv_options(multiline: bool = False) -> dict[str, str]:
+    """How landing CSV is read, in batch and stream: doubled quotes, and rows of other widths kept for a check."""
+    return {
+        "header": "true",
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": _BAD_ROW,
+        "columnPruning": "false",  # else surplus and missing cells go unseen
+        "quote": '"',
+        "escape": '"',
+        "multiLine": str(multiline).lower(),
+    }
+
+
+def _read_with_header(spark, files, header, wanted, extra, multiline, malformed) -> DataFrame:
+    rows = spark.read.schema(malformed_schema(header)).options(**csv_options(multiline)).option("enforceSchema", True).csv(files)
     if malformed is None:
-        # The message names a cell too: a read of no other column than the check's own isn't allowed.
-        told = F.concat_ws(": ", F.concat(F.lit("malformed_row in "), file_name), F.col(f"`{header[0]}`"))
-        sound = F.assert_true(F.col(_BAD_ROW).isNull(), told)
-        rows = rows.where(sound.isNull())
+        rows = sound_rows(rows, header)
     out = [F.col(f"`{c}`") for c in wanted]
     if malformed is not None:
         out.append(F.col(_BAD_ROW).alias(malformed))
-    if with_file_name:
-        out.append(file_name.alias(SOURCE_COLUMN))
-    return rows.select(*out)
+    return rows.select(*out, *[value.alias(name) for name, value in extra.items()])
 
 
 def resolve_landing_source(source: str, file_name: str | None) -> str:

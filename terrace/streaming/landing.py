@@ -7,6 +7,12 @@ non-matching files (``.txt``, partial uploads with another suffix) are
 ignored. With ``max_files_per_trigger=1`` every file is its own micro-batch,
 i.e. its own run, oldest modification time first.
 
+:func:`ingest` binds each file's cells by its own header, as the batch reader
+does: the stream delivers lines, the headers of a micro-batch's files are
+found among them in a Spark job, and the files are read grouped by header. Other
+column orders and further columns are fine; a missing column or a row with more or
+fewer cells than its header (``malformed_row``) stops the run.
+
 The per-arrival columns (object URI, file name, arrival time, business date)
 come from the file source's hidden ``_metadata`` column, per row.
 """
@@ -23,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.run import RunContext
-from terrace.sources.files import string_schema
+from terrace.sources.files import csv_options, files_by_header, malformed_schema, read_by_header, sound_rows, text_lines
 
 log = logging.getLogger(__name__)
 
@@ -63,21 +69,22 @@ def landing_stream(
 ) -> DataFrame:
     """E1: a stream of landing CSV rows (all text) plus the arrival columns.
 
-    ``columns=None`` takes the header of the files already landed; every
-    later file must carry the same header (it is checked per file).
+    For queries that stay streaming from end to end. ``columns=None`` takes the
+    header of the files already landed; every file must carry the same header
+    in the same order (it is checked per file), and a row of another width is an
+    error. :func:`ingest` binds files with different headers.
     """
     if columns is None:
         columns = landing_header(spark, landing_dir, glob)
     raw = (
-        spark.readStream.schema(string_schema(columns))
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
+        spark.readStream.schema(malformed_schema(columns))
+        .options(**csv_options())
         .option("enforceSchema", False)
         .option("pathGlobFilter", glob)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(landing_dir)
     )
+    raw = sound_rows(raw, columns)
     arrival = event_columns()
     return raw.select(*columns, *[value.alias(name) for name, value in arrival.items()])
 
@@ -107,15 +114,22 @@ def ingest(
     replayed batch writes the same result. A given ``business_date`` or
     ``run_id`` (a retry of named files) holds for every batch. Runs until all
     waiting files are done; returns how many batches this call handled.
+    ``handler`` gets the rows bound by header name (``columns=None``: those of
+    the batch's first file) and the arrival columns.
     """
-    stream = landing_stream(spark, landing_dir, columns, glob=glob, max_files_per_trigger=max_files_per_trigger)
+    source = spark.readStream.format("text").option("pathGlobFilter", glob).option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = text_lines(source.load(landing_dir))
     processed_at = RunContext.create(business_date).processed_at_utc
     handled = 0
 
     def on_batch(batch_df: DataFrame, batch_id: int) -> None:
         nonlocal handled
         run = RunContext.create(business_date, run_id=run_id or batch_run_id(checkpoint, batch_id), processed_at_utc=processed_at)
-        handler(batch_df, run)
+        by_header = files_by_header(batch_df)
+        if by_header:
+            handler(read_by_header(batch_df.sparkSession, by_header, columns, extra=event_columns()), run)
+        else:
+            log.warning("Run %s: the landed files hold no line.", run.run_id)
         handled += 1
 
     query = (

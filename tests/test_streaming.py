@@ -122,3 +122,94 @@ def test_numeric_looking_file_names_stay_strings(spark, workdir):
     assert dict(df.dtypes)["source_file"] == "string"
     assert df.first().source_file == "20240103"
     assert df.columns == events.SILVER.names
+
+
+def _chain(workdir, **given):
+    from terrace.plans import chain, orders
+
+    return chain.arrival_handler(orders.plan(), f"{workdir}/silver", f"{workdir}/gold", bronze_columns=orders.BRONZE_COLUMNS, audit_root=f"{workdir}/audit", **given)
+
+
+def _land_text(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as handle:
+        handle.write(text)
+
+
+def test_files_are_bound_by_their_own_headers(spark, workdir):
+    landing, silver = f"{workdir}/land ing", f"{workdir}/silver"
+    _land_text(f"{landing}/a b.csv", "event_id,ts,user_id,event_type,value,props\n1,2024-01-01 00:00:01,7,click,1.5,p\n")
+    _land_text(f"{landing}/c%20d.csv", '﻿note,props,value,event_type,user_id,ts,event_id\n"x, ""y""",q,2.5,view,8,2024-01-01 00:00:02,2\n')
+    _land_text(f"{landing}/e.csv", "event_id,ts,user_id,event_type,value,props\n")
+    _land_text(f"{landing}/f.csv", "")
+    assert events.ingest_landing(spark, landing, silver, f"{workdir}/_ck") == 1
+    rows = sources.read_table(spark, silver, events.SILVER.schema).orderBy("event_id").collect()
+    assert [(r.event_id, r.user_id, r.event_type, r.value, r.props) for r in rows] == [(1, 7, "click", 1.5, "p"), (2, 8, "view", 2.5, "q")]
+
+
+def test_stream_refuses_what_the_batch_refuses(spark, workdir):
+    import pytest
+    from pyspark.errors import PySparkException
+
+    header = "event_id,ts,user_id,event_type,value,props\n"
+    for n, row in enumerate(("1,2024-01-01 00:00:01,7,click,1.5,p,surplus", "1,2024-01-01 00:00:01,7,click,1.5")):
+        landing = f"{workdir}/landing{n}"
+        _land_text(f"{landing}/bad.csv", f"{header}9,2024-01-01 00:00:00,1,view,1,p\n{row}\n")
+        with pytest.raises(PySparkException, match="malformed_row in bad.csv"):
+            sources.read_csv_strings(spark, f"{landing}/*.csv", events.BRONZE_COLUMNS).collect()
+        with pytest.raises(PySparkException, match="malformed_row in bad.csv"):
+            events.ingest_landing(spark, landing, f"{workdir}/silver{n}", f"{workdir}/_ck{n}")
+        assert not os.path.exists(f"{workdir}/silver{n}") or not sources.S.data_files(spark, f"{workdir}/silver{n}", "parquet")
+        from terrace.streaming import landing_stream
+
+        stream = landing_stream(spark, landing, events.BRONZE_COLUMNS).writeStream.format("parquet").option("checkpointLocation", f"{workdir}/_cks{n}").trigger(availableNow=True)
+        with pytest.raises(PySparkException, match="malformed_row in bad.csv"):
+            stream.start(f"{workdir}/out{n}").awaitTermination()
+    _land_text(f"{workdir}/lost/a.csv", "event_id,ts\n1,2024-01-01\n")
+    with pytest.raises(PySparkException, match="lacks the column"):
+        events.ingest_landing(spark, f"{workdir}/lost", f"{workdir}/silver", f"{workdir}/_ck")
+
+
+def test_a_batch_of_several_days_has_a_run_for_each(spark, workdir):
+    import datetime as dt
+
+    from terrace.plans import orders
+    from terrace.streaming import ingest
+
+    landing = f"{workdir}/landing"
+    header = ",".join(orders.BRONZE_COLUMNS)
+    for n, (name, day) in enumerate((("a", 2), ("b", 3), ("c", 3), ("d", 5))):
+        _land_text(f"{landing}/orders-{name}.csv", "\n".join([header, *(f"{100 * n + k},7,F,1.50,1998-10-01,1-X" for k in range(n + 1))]) + "\n")
+        at = dt.datetime(2026, 4, day, 12, tzinfo=dt.timezone.utc).timestamp()
+        os.utime(f"{landing}/orders-{name}.csv", (at, at))
+    out = []
+    handler = _chain(workdir, bi=f"{workdir}/bi")
+    ingest(spark, landing, orders.BRONZE_COLUMNS, f"{workdir}/_ck", lambda df, run: out.append(handler(df, run)), max_files_per_trigger=10)
+    assert len(out) == 1 and out[0]["business_dates"] == ["2026-04-02", "2026-04-03", "2026-04-05"]
+    gold = sources.read_partitioned(spark, f"{workdir}/gold")
+    assert {(r.day, r.source_file): r["count"] for r in gold.groupBy("day", "source_file").count().collect()} == {
+        (2, "orders-a.csv"): 1, (3, "orders-b.csv"): 2, (3, "orders-c.csv"): 3, (5, "orders-d.csv"): 4,
+    }
+    # Dates, partitions and runs agree row by row, and the audit has a row for each day's run.
+    assert gold.where("day(ingestion_date) <> day").count() == 0 and gold.select("day", "run_id").distinct().count() == 3
+    audit = spark.read.parquet(f"{workdir}/audit/partitions").collect()
+    assert sorted((r.day, r.rows_written) for r in audit) == [(2, 1), (3, 5), (5, 4)]
+    # The snapshot is of the last day.
+    assert out[0]["bi_export"]["rows"] == 4
+
+
+def test_many_files_without_opening_one_on_the_driver(spark, workdir, monkeypatch):
+    from terrace import session as S
+
+    landing = f"{workdir}/landing"
+    os.makedirs(landing)
+    for n in range(2_000):
+        with open(f"{landing}/f{n:05d}.csv", "w") as handle:
+            handle.write(f"a,b\n{n},x\n" if n % 2 else f"b,a\nx,{n}\n")
+    opened = []
+    jvm = spark.sparkContext._jvm
+    assert not hasattr(S, "read_first_line") and jvm is not None
+    monkeypatch.setattr(S, "_fs_and_path", lambda s, p, real=S._fs_and_path: opened.append(p) or real(s, p))
+    df = sources.read_csv_strings(spark, f"{landing}/*.csv", ["a"])
+    assert len(opened) == 1  # the listing
+    assert df.selectExpr("sum(a)").first()[0] == 1_999_000

@@ -1,12 +1,27 @@
 from terrace.catalog.tables import (
     add_partition,
     add_partitions,
-    drop_other_partitions,
+    drop_partitions,
     ensure_database,
     projected_view,
     register_external_table,
+    registered,
     repair,
     row_count,
+    sync_partitions,
+    synced_manifest,
 )
 
-__all__ = ["add_partition", "add_partitions", "drop_other_partitions", "ensure_database", "projected_view", "register_external_table", "repair", "row_count"]
+__all__ = [
+    "add_partition",
+    "add_partitions",
+    "drop_partitions",
+    "ensure_database",
+    "projected_view",
+    "register_external_table",
+    "registered",
+    "repair",
+    "row_count",
+    "sync_partitions",
+    "synced_manifest",
+]

@@ -10,10 +10,13 @@ location and is meant for bulk loads.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.contract import Contract
 
@@ -71,24 +74,70 @@ def add_partition(spark: SparkSession, table: str, values: Mapping[str, int | st
 
 
 def add_partitions(spark: SparkSession, table: str, partitions: Iterable[tuple[Mapping[str, int | str], str | None]]) -> None:
-    """Register several partitions in one statement; a known partition is pointed to its new location."""
+    """Register several partitions that the catalog doesn't have yet, in one statement."""
     partitions = list(partitions)
-    if not partitions:
-        return
-    added = " ".join(_partition(v) + (f" LOCATION {_text(at)}" if at else "") for v, at in partitions)
-    spark.sql(f"ALTER TABLE {_quote(table)} ADD IF NOT EXISTS {added}")
-    for values, at in partitions:
-        if at:
-            spark.sql(f"ALTER TABLE {_quote(table)} {_partition(values)} SET LOCATION {_text(at)}")
-
-
-def drop_other_partitions(spark: SparkSession, table: str, keep: Iterable[Mapping[str, int | str]]) -> None:
-    """Drop the registered partitions whose values aren't among ``keep`` (all others of a replaced table)."""
-    kept = {tuple(sorted((k, str(v)) for k, v in values.items())) for values in keep}
-    for row in spark.sql(f"SHOW PARTITIONS {_quote(table)}").collect():
-        values = dict(segment.split("=", 1) for segment in row[0].split("/"))
-        if tuple(sorted(values.items())) not in kept:
-            spark.sql(f"ALTER TABLE {_quote(table)} DROP IF EXISTS {_partition(values)}")
+    if partitions:
+        added = " ".join(_partition(v) + (f" LOCATION {_text(at)}" if at else "") for v, at in partitions)
+        spark.sql(f"ALTER TABLE {_quote(table)} ADD IF NOT EXISTS {added}")
+
+
+def drop_partitions(spark: SparkSession, table: str, partitions: Iterable[Mapping[str, int | str]]) -> None:
+    """Take several partitions out of the catalog, in one statement; the files of an external table stay."""
+    dropped = ", ".join(_partition(v) for v in partitions)
+    if dropped:
+        spark.sql(f"ALTER TABLE {_quote(table)} DROP IF EXISTS {dropped}")
+
+
+STATEMENT_PARTITIONS = 200
+SYNCED = "terrace.manifest"  # table property: the manifest that the registered partitions are
+
+
+def synced_manifest(spark: SparkSession, table: str) -> int:
+    """Number of the manifest that the table was last made equal to, 0 if none."""
+    found = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quote(table)}").collect()}
+    return int(found.get(SYNCED, 0))
+
+
+def registered(spark: SparkSession, table: str) -> DataFrame:
+    """partition (values, ``/`` between them) of each registered partition, with an unknown location."""
+    shown = spark.sql(f"SHOW PARTITIONS {_quote(table)}")
+    return shown.select(F.regexp_replace("partition", r"(^|/)[^/=]+=", "$1").alias("partition"), F.lit("").alias("location"))
+
+
+def sync_partitions(
+    spark: SparkSession,
+    table: str,
+    contract: Contract,
+    partition_by: Iterable[str],
+    current: DataFrame,
+    number: int,
+    previous: DataFrame | None = None,
+    *,
+    batch: int = STATEMENT_PARTITIONS,
+) -> int:
+    """Make the registered partitions equal to manifest ``number``; returns the number of statements.
+
+    ``current`` and ``previous`` (the manifest that the table was last made
+    equal to; without it, what is registered) have partition values and
+    location. Their difference is a join; only its rows reach the driver, a
+    statement's worth at a time, so unchanged partitions cost nothing.
+    """
+    parts = list(partition_by)
+    plain = F.regexp_replace("partition", r"(^|/)[^/=]+=", "$1")
+    before = registered(spark, table) if previous is None else previous.select(plain.alias("partition"), "location")
+    joined = current.select(plain.alias("partition"), F.col("location").alias("now")).join(before.withColumnRenamed("location", "old"), "partition", "full_outer")
+    changed = joined.where(~F.col("now").eqNullSafe(F.col("old")))
+    whole = [isinstance(contract.column(p).data_type, T.IntegralType) for p in parts]
+    rows, statements = changed.toLocalIterator(), 0
+    while chunk := list(itertools.islice(rows, batch)):
+        values = [{p: int(v) if i else unquote(v) for p, i, v in zip(parts, whole, r["partition"].split("/"))} for r in chunk]
+        gone = [v for v, r in zip(values, chunk) if r["old"] is not None]
+        new = [(v, r["now"]) for v, r in zip(values, chunk) if r["now"] is not None]
+        drop_partitions(spark, table, gone)
+        add_partitions(spark, table, new)
+        statements += bool(gone) + bool(new)
+    spark.sql(f"ALTER TABLE {_quote(table)} SET TBLPROPERTIES ({_text(SYNCED)} = {_text(number)})")
+    return statements
 
 
 def repair(spark: SparkSession, table: str) -> None:

@@ -30,7 +30,6 @@ from typing import Any
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from terrace import catalog, sinks, sources
 from terrace import functions as TF
@@ -111,14 +110,13 @@ def publish(
 ) -> JobResult:
     """Gate ``df`` against ``spec.contract`` and write it to ``spec.path``.
 
-    ``inputs`` adds to the files that the plan itself reads.
+    ``inputs`` adds to the folders that the plan itself reads.
     """
     spark = df.sparkSession
-    sinks.guard_not_input(spark, [*inputs, *{f.rsplit("/", 1)[0] for f in df.inputFiles()}], spec.path)
+    sinks.guard_not_input(spark, [*inputs, *S.relation_paths(df)], spec.path)
     Q.check_columns(df, spec.contract)
     Q.check_types(df, spec.contract)
     quality_run = run if spec.check_run_date else None
-    locations: list[str] | None = None
     if spec.gate == "observe":
         gate = _publish_observed(df, spec, quality_run)
     else:
@@ -127,11 +125,11 @@ def publish(
             gate = Q.enforce(cached, spec.contract, quality_run)
             if gate.rows == 0:
                 raise sinks.EmptyResultError(f"Nothing to write to {spec.path}: the result is empty.")
-            locations = _write(cached, spec, run, gate.rows)
+            _write(cached, spec, run, gate.rows)
         finally:
             cached.unpersist()
     if spec.catalog_table:
-        _register(spark, spec, run, locations)
+        _register(spark, spec, run)
     log.info("Run %s published %d rows to %s (%s)", run.run_id, gate.rows, spec.path, spec.contract.name)
     return JobResult(
         name=name or spec.contract.name,
@@ -161,34 +159,65 @@ def _one_day(spec: TableSpec) -> bool:
     return bool(spec.partition_by) and spec.write_mode == "overwrite_partition" and spec.check_run_date
 
 
-def _write(df: DataFrame, spec: TableSpec, run: RunContext, rows: int) -> list[str] | None:
-    """Write the checked rows and read them back, before a staged copy replaces the table; folders of a numeric layout are returned."""
-    if spec.layout == "dataset" and spec.write_mode == "overwrite_full" and not (spec.partition_by and spec.partition_style == "numeric"):
+def _numeric(spec: TableSpec) -> bool:
+    return bool(spec.partition_by) and spec.partition_style == "numeric"
+
+
+def _write(df: DataFrame, spec: TableSpec, run: RunContext, rows: int) -> None:
+    """Write the checked rows and read them back, before a staged copy or a new version replaces the table."""
+    if _numeric(spec):
+        _publish_numeric(df, spec, run, rows)
+        return
+    if spec.layout == "dataset" and spec.write_mode == "overwrite_full":
         sinks.overwrite_full(
             df, spec.path, fmt=spec.fmt, partition_by=spec.partition_by, compression=spec.compression, staged=spec.staged,
             max_records_per_file=spec.max_records_per_file, rebalance=spec.rebalance,
             check=lambda place: _verify_written(df, replace(spec, path=place), run, rows),
         )
-        return None
-    written = _write_in_place(df, spec, run)
+        return
+    _write_in_place(df, spec, run)
     _verify_written(df, spec, run, rows)
-    return written
 
 
-def _write_in_place(df: DataFrame, spec: TableSpec, run: RunContext) -> list[str] | None:
+def _write_in_place(df: DataFrame, spec: TableSpec, run: RunContext) -> None:
     if spec.layout == "file":
         sinks.write_single_file(df, spec.path, fmt=spec.fmt, compression=spec.compression)
-        return None
-    if spec.partition_by and spec.partition_style == "numeric":
-        if _one_day(spec):
-            return [sinks.overwrite_numeric_day(df, spec.path, run.partition_values, spec.partition_by, compression=spec.compression)]
-        replace_all = spec.write_mode == "overwrite_full"
-        return sinks.overwrite_numeric_partitions(df, spec.path, spec.partition_by, compression=spec.compression, replace_all=replace_all)
+        return
     sinks.overwrite_partitions(
         df, spec.path, spec.partition_by, fmt=spec.fmt, compression=spec.compression,
         max_records_per_file=spec.max_records_per_file, rebalance=spec.rebalance,
     )
-    return None
+
+
+def _publish_numeric(df: DataFrame, spec: TableSpec, run: RunContext, rows: int) -> None:
+    """K8: data is written once, as a version, and a manifest names the numeric folders' places; nothing is moved or deleted.
+
+    The one day of a run goes below its own folder (``root/2026/4/3``), many
+    days go to the version's folders in one partitioned write.
+    """
+    spark, parts, version = df.sparkSession, list(spec.partition_by), uuid.uuid4().hex
+    if _one_day(spec):
+        day = sinks.partition_location(spec.path, run.partition_values, parts, "numeric")
+        place = f"{day}/version={version}"
+        name = sinks.partition_location("", run.partition_values, parts, "numeric").strip("/")
+    else:
+        place = sinks.versions.data_path(spec.path, version)
+    try:
+        frame, split = (df.drop(*parts), ()) if _one_day(spec) else (df, parts)
+        sinks.overwrite_full(frame, place, partition_by=split, compression=spec.compression, max_records_per_file=spec.max_records_per_file, rebalance=True, staged=False)
+        if split:
+            expected = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_written"))
+            sinks.verify_partitions(expected, sinks.readback_counts(spark, place, parts), parts, place)
+            new = sinks.versions.numeric(sinks.versions.written(spark, spec.path, version, parts))
+        else:
+            found = sinks.readback_counts(spark, place).first()["rows_read"]
+            if found != rows:
+                raise sinks.ReadBackError(f"{place}: {rows} written, {found} found.")
+            new = spark.createDataFrame([(name, S.qualified(spark, place))], sinks.versions.SCHEMA)
+    except Exception:
+        S.delete_path(spark, place)
+        raise
+    sinks.versions.publish(spark, spec.path, version, parts, replace_all=spec.write_mode == "overwrite_full", new=new)
 
 
 def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext | None) -> Q.GateResult:
@@ -218,13 +247,13 @@ def _publish_observed(df: DataFrame, spec: TableSpec, quality_run: RunContext |
     return gate
 
 
-def _register(spark: SparkSession, spec: TableSpec, run: RunContext, locations: list[str] | None) -> None:
+def _register(spark: SparkSession, spec: TableSpec, run: RunContext) -> None:
     """C1/C2 after a publish: create the external table once, then make the new data visible.
 
-    A one-day run registers just its own partition. Folders that the catalog
-    can't derive from the values (numeric layouts, versions) are registered
-    with their location; otherwise a write of many days has the catalog
-    compare its partitions with the folders.
+    Tables published with a manifest have the difference to the manifest that the
+    catalog last knew registered. Otherwise a one-day run registers just its
+    own partition, and a write of many days has the catalog compare its
+    partitions with the folders.
     """
     table = spec.catalog_table
     if not spark.catalog.tableExists(table):
@@ -232,17 +261,11 @@ def _register(spark: SparkSession, spec: TableSpec, run: RunContext, locations:
             catalog.ensure_database(spark, table.rsplit(".", 1)[0])
         catalog.register_external_table(spark, table, spec.contract, spec.path, fmt=spec.fmt, partitioned=bool(spec.partition_by), replace=False)
     parts = list(spec.partition_by)
-    if spec.gate == "observe":
-        locations = sinks.versions.current_locations(spark, spec.path)
-    if parts and locations is not None:
-        known = [dict(zip(parts, _values(place, len(parts)))) for place in locations]
-        if spec.write_mode == "overwrite_full":
-            catalog.drop_other_partitions(spark, table, known)
-        if _one_day(spec) and spec.gate == "observe":
-            today = {k: str(run.partition_values[k]) for k in parts}
-            locations, known = zip(*[(p, v) for p, v in zip(locations, known) if v == today])
-        typed = [{k: int(v) if isinstance(spec.contract.column(k).data_type, T.IntegralType) else v for k, v in values.items()} for values in known]
-        catalog.add_partitions(spark, table, list(zip(typed, locations)))
+    if parts and (spec.gate == "observe" or _numeric(spec)):
+        known, number = catalog.synced_manifest(spark, table), sinks.versions.latest(spark, spec.path)
+        previous = sinks.versions.manifest(spark, spec.path, known) if known else None
+        current = sinks.versions.manifest(spark, spec.path, number)
+        catalog.sync_partitions(spark, table, spec.contract, parts, current, number, previous)
     elif parts and _one_day(spec):
         catalog.add_partition(spark, table, {k: run.partition_values[k] for k in parts})
     elif parts:
@@ -250,10 +273,6 @@ def _register(spark: SparkSession, spec: TableSpec, run: RunContext, locations:
     spark.catalog.refreshTable(table)
 
 
-def _values(location: str, depth: int) -> list[str]:
-    return [segment.rsplit("=", 1)[-1] for segment in location.rstrip("/").split("/")[-depth:]]
-
-
 def _verify_written(checked: DataFrame, spec: TableSpec, run: RunContext, rows: int) -> None:
     """K7: the target holds the rows that were checked, partition by partition where the run wrote several."""
     spark, parts = checked.sparkSession, list(spec.partition_by)

@@ -12,11 +12,13 @@ from __future__ import annotations
 import fnmatch
 import re
 import tempfile
+import time
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession
 
 MOVES_AT_ONCE = 16
 
@@ -111,6 +113,39 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file that must not exist yet; False if it does."""
+    fs, hpath = _fs_and_path(spark, path)
+    fs.mkdirs(hpath.getParent())
+    try:
+        return bool(fs.createNewFile(hpath))
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in str(error.java_exception):
+            return False
+        raise
+
+
+def age_seconds(spark: SparkSession, path: str) -> float | None:
+    """Seconds since the file was last written, None if there is none."""
+    fs, hpath = _fs_and_path(spark, path)
+    if not fs.exists(hpath):
+        return None
+    return time.time() - fs.getFileStatus(hpath).getModificationTime() / 1000
+
+
+def relation_paths(df: DataFrame) -> set[str]:
+    """Root paths of the file relations that a frame's plan reads; files aren't listed."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    out: set[str] = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if leaf.getClass().getSimpleName() != "LogicalRelation" or leaf.relation().getClass().getSimpleName() != "HadoopFsRelation":
+            continue
+        roots = leaf.relation().location().rootPaths()
+        out.update(str(roots.apply(k).toString()) for k in range(roots.size()))
+    return out
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with the scheme and authority of its file system, so that two spellings of a place are equal."""
     fs, hpath = _fs_and_path(spark, path)

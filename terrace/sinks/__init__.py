@@ -6,7 +6,6 @@ from terrace.sinks.files import (
     SelfOverwriteError,
     guard_not_input,
     overwrite_full,
-    overwrite_numeric_day,
     overwrite_numeric_partitions,
     overwrite_partitions,
     partition_location,
@@ -22,7 +21,6 @@ __all__ = [
     "SelfOverwriteError",
     "guard_not_input",
     "overwrite_full",
-    "overwrite_numeric_day",
     "overwrite_numeric_partitions",
     "overwrite_partitions",
     "partition_location",

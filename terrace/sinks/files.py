@@ -186,7 +186,6 @@ def overwrite_numeric_partitions(
     compression: str | None = "snappy",
     rebalance: bool = True,
     rows: int | None = None,
-    replace_all: bool = False,
 ) -> list[str]:
     """K8: write ``root/2026/4/3/`` folders (values only, no ``name=``).
 
@@ -194,7 +193,9 @@ def overwrite_numeric_partitions(
     staged leaf folder then replaces the matching numeric folder. Partitions
     not present in ``df`` are left alone. The partition values are not stored
     in the files; read them back from the path
-    (:func:`terrace.sources.read_numeric_partitions`).
+    (:func:`terrace.sources.read_numeric_partitions`). For folders that
+    consumers list themselves; jobs publish the layout by a manifest, without moves
+    (``TableSpec(partition_style="numeric")``).
     """
     if rows == 0:
         raise EmptyResultError(f"Nothing to write to {root}: the result is empty.")
@@ -210,23 +211,12 @@ def overwrite_numeric_partitions(
         for leaf in sorted(leaves):
             values = dict(segment.split("=", 1) for segment in leaf.rstrip("/").split("/")[-len(parts) :])
             moves.append((leaf, partition_location(root, values, parts, "numeric")))
-        if replace_all:
-            # Full overwrite: drop every old folder, but only once the new data is staged.
-            S.delete_path(spark, root)
         S.move_all(spark, moves)
     finally:
         S.delete_path(spark, stage)
     return [target for _, target in moves]
 
 
-def overwrite_numeric_day(df: DataFrame, root: str, values: Mapping[str, int | str], partition_by: Iterable[str], *, compression: str | None = "snappy") -> str:
-    """K8 for one known partition: written straight to its folder, so nothing is staged or moved."""
-    parts = list(partition_by)
-    target = partition_location(root, values, parts, "numeric")
-    overwrite_full(df.drop(*parts), target, compression=compression)
-    return target
-
-
 def readback_counts(spark: SparkSession, path: str, partition_by: Iterable[str] = (), fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """K7: rows found in the target now, per partition (or in total).
 

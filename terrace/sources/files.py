@@ -217,13 +217,29 @@ def read_current(spark: SparkSession, root: str, schema: T.StructType, partition
     return reader.parquet(*places).select(*schema.names)
 
 
-def read_numeric_partitions(spark: SparkSession, root: str, partition_by: list[str] | tuple[str, ...]) -> DataFrame:
-    """K8 read side: ``root/2026/4/3/part.parquet`` with the values taken from the path."""
-    df = spark.read.option("recursiveFileLookup", True).parquet(root)
-    depth = len(partition_by)
-    pattern = "/" + "/".join([r"(-?\d+)"] * depth) + r"/[^/]+$"
+def read_numeric_partitions(spark: SparkSession, root: str, partition_by: list[str] | tuple[str, ...], only: Mapping[str, int] | None = None) -> DataFrame:
+    """K8 read side: ``root/2026/4/3`` with the values taken from the path.
+
+    Where the layout was published with a manifest, only the folders that it
+    lists are read. ``only`` names partition values; other folders aren't listed.
+    """
+    depth, places = len(partition_by), [root]
+    live = versions.manifest(spark, root)
+    if live is not None:
+        for i, name in enumerate(partition_by):
+            if only and name in only:
+                live = live.where(F.split("partition", "/")[i] == F.lit(str(only[name])))
+        places = sorted(r["location"] for r in live.collect())
+        if not places:
+            raise FileNotFoundError(f"{root} has no published folder for {dict(only or {})}.")
+    df = spark.read.option("recursiveFileLookup", True).parquet(*places)
+    # The folder of a version may have the partitions' names, or be inside the numeric folder.
+    pattern = "/" + "/".join([r"(?:[^/=]+=)?(-?\d+)"] * depth) + r"(?:/version=[^/]+)?/[^/]+$"
     path = F.col("_metadata.file_path")
-    return df.withColumns({name: F.regexp_extract(path, pattern, i + 1).cast("int") for i, name in enumerate(partition_by)})
+    df = df.withColumns({name: F.regexp_extract(path, pattern, i + 1).cast("int") for i, name in enumerate(partition_by)})
+    for name, value in (only or {}).items():
+        df = df.where(F.col(name) == F.lit(value))
+    return df
 
 
 def sql_over(spark: SparkSession, text: str, args: dict | None = None, **frames: DataFrame) -> DataFrame:

@@ -1,0 +1,153 @@
+"""Tables published by manifests: numeric layout, catalog difference, publishers that meet, the overlap guard."""
+
+import os
+import threading
+import uuid
+
+import pytest
+
+from terrace import catalog, sinks, sources
+from terrace import session as S
+from terrace.plans import orders
+from terrace.plans.jobs import publish, read_published
+from terrace.queries import _orders_as_text, _run
+from terrace.sinks import versions
+
+SF = "/root/testdata/sf0.001"
+
+
+def _silver(spark):
+    return orders.to_silver(_orders_as_text(spark, SF), _run())
+
+
+def _day(spark, spec, day, run_id="r", keep=None):
+    run = _run(day, run_id)
+    gold = orders.to_gold(_silver(spark), run)
+    return publish(gold if keep is None else gold.where(keep), spec, run)
+
+
+def _counts(df):
+    return {(r.year, r.month, r.day, r.run_id): r["count"] for r in df.groupBy("year", "month", "day", "run_id").count().collect()}
+
+
+def test_numeric_days_are_published_without_moves(spark, workdir, monkeypatch):
+    root = f"{workdir}/gold"
+    spec = orders.gold_spec(root, partition_style="numeric")
+    monkeypatch.setattr(S, "rename_path", lambda *a: pytest.fail("a folder was moved"))
+    _day(spark, spec, "2026-04-02", "a")
+    _day(spark, spec, "2026-04-03", "b")
+    before = set(S.data_files(spark, f"{root}/2026/4/2", "parquet"))
+    _day(spark, spec, "2026-04-03", "c", "order_key % 2 = 0")
+    back = read_published(spark, spec)
+    assert set(_counts(back)) == {(2026, 4, 2, "a"), (2026, 4, 3, "c")}
+    assert set(S.data_files(spark, f"{root}/2026/4/2", "parquet")) == before and os.path.isdir(f"{root}/2026/4/3")
+    one = sources.read_numeric_partitions(spark, root, ("year", "month", "day"), only={"day": 3})
+    assert _counts(one) == {k: v for k, v in _counts(back).items() if k[2] == 3}
+    assert all("/2026/4/3/" in f for f in one.inputFiles())
+    # Vacuum keeps what the manifest lists.
+    gone = versions.vacuum(spark, root)
+    assert any("/2026/4/3/version=" in p for p in gone) and _counts(read_published(spark, spec)) == _counts(back)
+
+
+def test_many_days_are_one_write(spark, workdir, monkeypatch):
+    monkeypatch.setattr(S, "rename_path", lambda *a: pytest.fail("a folder was moved"))
+    spec = orders.gold_spec(f"{workdir}/gold", partition_style="numeric", write_mode="overwrite_full", check_run_date=False)
+    gold = orders.to_gold_history(_silver(spark), _run()).where("year = 1998 AND month > 4")
+    publish(gold, spec, _run())
+    assert _counts(read_published(spark, spec)) == _counts(gold)
+    # A full overwrite replaces all; a later day is added beside it.
+    publish(gold.where("month = 5"), spec, _run())
+    _day(spark, orders.gold_spec(f"{workdir}/gold", partition_style="numeric"), "2026-04-02", "a")
+    assert {k[1] for k in _counts(read_published(spark, spec))} == {4, 5}
+
+
+def test_a_killed_numeric_publish_leaves_the_old_state(spark, workdir, monkeypatch):
+    root = f"{workdir}/gold"
+    spec = orders.gold_spec(root, partition_style="numeric")
+    _day(spark, spec, "2026-04-03", "a")
+
+    class Killed(BaseException):
+        pass
+
+    def die(*args, **given):
+        raise Killed
+
+    for place, name in ((sinks, "verify_partitions"), (versions, "publish"), (versions, "_claim")):
+        with monkeypatch.context() as m:
+            m.setattr(place, name, die)
+            m.setattr(S, "delete_path", lambda *a: None)  # a dead driver cleans nothing up
+            many = orders.gold_spec(root, partition_style="numeric", write_mode="overwrite_full", check_run_date=False)
+            with pytest.raises(Killed):
+                publish(orders.to_gold_history(_silver(spark), _run()).where("year = 1998 AND month = 5"), many, _run())
+        assert set(_counts(read_published(spark, spec))) == {(2026, 4, 3, "a")}
+    _day(spark, spec, "2026-04-03", "b")
+    assert set(_counts(read_published(spark, spec))) == {(2026, 4, 3, "b")}
+
+
+def test_two_publishers_lose_no_partition(spark, workdir):
+    root, failed = f"{workdir}/table", []
+
+    def writer(day):
+        try:
+            for n in range(3):
+                version = f"{day}-{n}"
+                place = versions.data_path(root, version)
+                spark.range(5).selectExpr(f"id", f"{day} AS day", f"{n} AS part").write.partitionBy("day", "part").parquet(place)
+                versions.publish(spark, root, version, ("day", "part"))
+        except Exception as error:  # noqa: BLE001
+            failed.append(error)
+
+    threads = [threading.Thread(target=writer, args=(day,)) for day in (1, 2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert not failed
+    live = {r["partition"] for r in versions.manifest(spark, root).collect()}
+    assert live == {f"day={d}/part={n}" for d in (1, 2) for n in range(3)} and versions.latest(spark, root) == 6
+
+
+def test_a_dead_publishers_claim_is_taken_over(spark, workdir, monkeypatch):
+    root = f"{workdir}/table"
+    spark.range(5).write.parquet(versions.data_path(root, "a"))
+    assert S.create_new(spark, f"{root}/_versions/manifests/{1:012d}.claim")
+    assert not S.create_new(spark, f"{root}/_versions/manifests/{1:012d}.claim")
+    monkeypatch.setattr(versions, "CLAIM_SECONDS", 1)
+    assert versions.publish(spark, root, "a") == 1
+    assert len(versions.current_locations(spark, root)) == 1
+
+
+def test_catalog_takes_the_difference_in_batches(spark, workdir, monkeypatch):
+    db = f"terrace_test_{uuid.uuid4().hex[:8]}"
+    catalog.ensure_database(spark, db, location=f"{workdir}/warehouse/{db}.db")
+    table, root = f"{db}.gold_orders", f"{workdir}/gold"
+    catalog.register_external_table(spark, table, orders.GOLD, root)
+    parts = ("year", "month", "day")
+
+    def state(days, version):
+        return spark.createDataFrame([(f"2026/{1 + d // 28}/{1 + d % 28}", f"{root}/{version[d]}/{d}") for d in days], versions.SCHEMA)
+
+    one = state(range(50), ["a"] * 50)
+    assert catalog.sync_partitions(spark, table, orders.GOLD, parts, one, 1, batch=20) == 3  # additions only
+    assert catalog.synced_manifest(spark, table) == 1 and spark.sql(f"SHOW PARTITIONS {table}").count() == 50
+    # Two changed, five gone, one new: 7 to drop and 3 to add.
+    two = state([*range(45), 60], ["b"] * 2 + ["a"] * 59)
+    assert catalog.sync_partitions(spark, table, orders.GOLD, parts, two, 2, one, batch=100) == 2
+    location = lambda d: spark.sql(f"DESCRIBE FORMATTED {table} PARTITION (year=2026, month={1 + d // 28}, day={1 + d % 28})").where("col_name = 'Location'").first()["data_type"]
+    assert location(0).endswith("/b/0") and location(2).endswith("/a/2") and spark.sql(f"SHOW PARTITIONS {table}").count() == 46
+    # Nothing changed: no statement. An unknown earlier state: all anew.
+    assert catalog.sync_partitions(spark, table, orders.GOLD, parts, two, 3, two) == 0
+    assert catalog.sync_partitions(spark, table, orders.GOLD, parts, one, 4) == 2
+    assert location(0).endswith("/a/0") and spark.sql(f"SHOW PARTITIONS {table}").count() == 50
+
+
+def test_guard_reads_the_plan_not_the_files(spark, workdir, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    _day(spark, orders.gold_spec(f"{workdir}/gold"), "2026-04-03")
+    monkeypatch.setattr(DataFrame, "inputFiles", lambda self: pytest.fail("files were listed"))
+    gold = sources.read_table(spark, f"{workdir}/gold", orders.GOLD.schema)
+    assert S.relation_paths(gold.join(gold.select("order_key"), "order_key").groupBy("day").count()) == {f"file:{workdir}/gold"}
+    with pytest.raises(sinks.SelfOverwriteError):
+        publish(gold, orders.gold_spec(f"{workdir}/gold"), _run())
+    publish(gold.select(*orders.GOLD.names), orders.gold_spec(f"{workdir}/other"), _run())

@@ -22,6 +22,7 @@ table gives no rows.
 from __future__ import annotations
 
 import base64
+import re
 from collections import deque
 from typing import NamedTuple
 
@@ -37,6 +38,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END_ID = 50256  # free in the rank file; also fills a row's rest
 LENGTH = 2048
 POOL_TOKENS = 2_000_000
+LONG_SPACE = 10_000  # characters; the matcher takes hundreds of thousands
 # Fixed value of the vocabulary: the pattern that splits text before its merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -50,6 +52,27 @@ def encoding(ranks: dict[bytes, int]) -> tiktoken.Encoding:
     return tiktoken.Encoding("terrace", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+# White space as the pattern's \\s has it.
+_SPACE = "[\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+_LONG_SPACE = re.compile(_SPACE + "{%d,}" % LONG_SPACE)
+
+
+def encode(coder: tiktoken.Encoding, text: str) -> list[int]:
+    """The ids of a text of any length.
+
+    The pattern's matcher needs stack for each character of white space, so
+    long runs of it are cut out first, as the pattern does: all of a run but the last
+    character, which belongs to what follows, is one piece.
+    """
+    ids, at = [], 0
+    for run in _LONG_SPACE.finditer(text):
+        last = run.end() - (run.end() < len(text))
+        ids += coder.encode_ordinary(text[at : run.start()])
+        ids += coder._core_bpe.encode_single_piece(text[run.start() : last].encode())
+        at = last
+    return ids + coder.encode_ordinary(text[at:])
+
+
 class RoomTree:
     """Open rows by the room they have left; finds the least room that is large enough."""
 
@@ -170,14 +193,14 @@ def packed(docs: DataFrame, vocabulary: str = VOCABULARY, end_id: int = END_ID,
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches):
-        encode = encoding(shared.value).encode_ordinary
+        coder = encoding(shared.value)
         shard, written = TaskContext.get().partitionId(), 0
         pool: list[Piece] = []
         size, doc_type = 0, None
         for batch in batches:
             doc_type = batch.column(0).type
             for document, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.array([*encode(body.as_py()), end_id], kind)
+                ids = np.array([*encode(coder, body.as_py()), end_id], kind)
                 for part, at in enumerate(range(0, len(ids), length)):
                     pool.append(Piece(document, part, ids[at : at + length]))
                 size += len(ids)

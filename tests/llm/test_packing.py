@@ -70,3 +70,17 @@ def test_nulls_repeats_and_empty_tables(spark, docs, no_docs, rows):
 
 def test_wide_vocabulary_needs_four_bytes():
     assert P.id_kind({b"a": 70_000}, 1, 8).itemsize == 4 and P.id_kind({b"a": 1}, 50_256, 2048).itemsize == 2
+
+
+def test_long_runs_have_the_patterns_ids(spark, ranks, monkeypatch):
+    coder = P.encoding(ranks)
+    rng = random.Random(4)
+    monkeypatch.setattr(P, "_LONG_SPACE", P.re.compile(P._SPACE + "{3,}"))
+    for _ in range(400):
+        text = "".join(rng.choices([" ", "\n", "\t", "\x85", "\xa0", "\u3000", "\x1c", "a", "É", "7", "!", "'s"], weights=[9, 4, 2, 1, 1, 1, 1, 3, 1, 2, 2, 1], k=rng.randint(0, 40)))
+        assert P.encode(coder, text) == coder.encode_ordinary(text)
+    monkeypatch.undo()
+    texts = {i: "a b" + run * 10_000_000 + end for i, (run, end) in enumerate(((" ", "x"), ("\n", ""), (" ", "")))}
+    texts |= {3: "e" * 10_000_000, 4: "!" * 10_000_000, 5: " " * 1_500_000 + "x"}
+    rows = P.packed(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert dict(P.unpack(rows, ranks)) == texts

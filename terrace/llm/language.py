@@ -5,7 +5,8 @@ automaton of its bytes. A text is parsed from left to right into the longest
 phrases that occur in a language's sample; the number of phrases, normalised
 by the sample's size (phrases x log2(sample bytes) / bytes of text), estimates
 the cross entropy, and the language that needs the fewest normalised phrases
-wins.
+wins. A sample under half the largest one is normalised as the largest, so
+that a language of which a few bytes are known isn't the cheapest for any text.
 
 Only letters count: A-Z and Latin-1 capitals are lower-cased, every run of
 other ASCII bytes is one separator, and bytes beyond ASCII stay as they are.
@@ -45,6 +46,7 @@ WINDOW = 256
 HELD_OUT = 5
 HAS_LETTER = r"\p{L}"
 
+
 def _automaton(text: bytes) -> list[dict[int, int]]:
     """Transitions of the suffix automaton of ``text``; state 0 is the start."""
     nxt: list[dict[int, int]] = [{}]
@@ -87,7 +89,7 @@ class Parser:
         # Column 0 stands for bytes that no sample holds, the last one for padding.
         self.symbol, self.columns = np.zeros(256, np.int32), len(seen) + 2  # byte -> column
         self.symbol[seen] = np.arange(1, len(seen) + 1)
-        self.scale = np.array([np.log2(max(2, len(samples[x]))) for x in self.languages])  # bits for a phrase
+        self.scale = np.array([np.log2(max(2, len(samples[x]))) for x in self.languages])  # bits for a phrase's place
         self.states: list[int] = []
         self.steps: list[tuple[np.ndarray, np.ndarray]] = []  # state * columns + symbol, next state
         for language in self.languages:
@@ -155,10 +157,19 @@ class Parser:
                 out[at : at + len(size), number][some] = bits[some] / size[some]
         return out
 
+    def costs(self, array: pa.Array) -> np.ndarray:
+        """The entropies, with a phrase of a sample under half the largest one at the largest one's price.
+
+        Else a sample of a few bytes would price a phrase, and so any byte,
+        lower than a byte costs unparsed, and win every text.
+        """
+        most = self.scale.max(initial=1.0)
+        return self.entropies(array) * (np.where(self.scale >= most - 1, self.scale, most) / self.scale)
+
     def predict(self, array: pa.Array) -> tuple[list[str], np.ndarray]:
         if not self.languages:
             return [UNDETERMINED] * len(array), np.zeros(len(array))
-        bits = self.entropies(array)
+        bits = self.costs(array)
         best = bits.argmin(axis=1)
         least = bits[np.arange(len(bits)), best]
         if len(self.languages) == 1:
@@ -227,7 +238,7 @@ def _own_lines(lines: dict[str, list[list[str]]]) -> dict[str, list[list[str]]]:
     out: dict[str, list[list[str]]] = {name: [] for name in lines}
     for half, parser in zip(halves, reversed(parsers)):
         every = [line for texts in half.values() for text in texts for line in text]
-        best = iter(parser.entropies(pa.array(every, pa.string())).argmin(axis=1).tolist() if len(parser.languages) > 1 else [0] * len(every))
+        best = iter(parser.costs(pa.array(every, pa.string())).argmin(axis=1).tolist() if len(parser.languages) > 1 else [0] * len(every))
         for name, texts in half.items():
             for text in texts:
                 own = [(line, next(best)) for line in text]

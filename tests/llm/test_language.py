@@ -122,3 +122,21 @@ def test_nothing_to_learn(spark, no_docs):
     assert [tuple(r) for r in L.predict(docs, L.learn(docs, F.lit(True))).collect()] == [(1, "und", 0.0)]
     one = spark.createDataFrame([(1, "some text " * 2000, "en", "s", 9)], DOCS)  # a text longer than any sample takes
     assert [tuple(r) for r in L.predict(one, L.learn(one, F.lit(True))).collect()] == [(1, "en", 1.0)]
+
+
+@pytest.mark.parametrize("label", ["k", "ok\u00e9", "fine thanks", "the ing erth sch ung sein le s"])
+def test_tiny_labels_take_no_predictions(label):
+    """A language of which a few bytes are known wins its own text only."""
+    rng = random.Random(12)
+    langs = ["en", "de", "fr"]
+    texts = {x: [sentences(rng, x, rng.randint(1, 6)) for _ in range(60)] for x in langs}
+    lines = {x: [t.split("\n") for t in texts[x][:40]] for x in langs} | {"zz": [[label]]}
+    parser = L.Parser.learn(L._samples(L._own_lines(lines)))
+    assert "zz" in parser.languages
+    held_out = [(x, t) for x in langs for t in texts[x][40:]]
+    names, _ = parser.predict(pa.array([t for _, t in held_out]))
+    assert np.mean([a == x for a, (x, _) in zip(names, held_out)]) >= 0.99
+    assert parser.predict(pa.array(["OK, thanks and the best of them"]))[0][0] != "zz"
+    # The samples of the other languages keep their lines.
+    alone = L._own_lines({x: lines[x] for x in langs})
+    assert all(sum(map(len, L._own_lines(lines)[x])) >= 0.98 * sum(map(len, alone[x])) for x in langs)

@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.llm.common import materialize
 from terrace.llm.words import mix
 
 KINDS = ("email", "ip", "card", "phone")
@@ -528,7 +529,7 @@ def sample(docs: DataFrame, text: str = "text") -> tuple[list[tuple[str, list[Sp
             yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.list_(pa.int32()))], names=["kind", "piece", "spans"])
 
     every = docs.select(text).mapInArrow(windows, schema).groupBy("kind", "piece").agg(F.min("spans").alias("spans"))
-    every = every.withColumn("key", F.xxhash64("piece"))
+    every = materialize(docs.sparkSession, every.withColumn("key", F.xxhash64("piece")), "personal-windows")
     parts = [every.where(F.col("kind") == k).orderBy("key", "piece").limit(SAMPLE if k < len(KINDS) else SAMPLE_PLAIN) for k in range(len(KINDS) + 1)]
     chosen = parts[0]
     for part in parts[1:]:

@@ -1,14 +1,19 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree; parts that are never article text (scripts, menus,
-forms, adverts, reader comments and the like, told by tag, role, class or id)
-are left out. Names that don't tell for sure ("discussion", "related") lower the
-points of what is inside, and their elements go only if they hold little but
-links. Every paragraph gives points for its length and commas: all of
+adverts, reader comments and the like, told by tag, role, class or id) are left
+out, as are the controls of a form. A form itself goes unless it holds most of
+the page's unlinked text (pages that are one form around everything). Names
+that don't tell for sure ("discussion", "related") lower the points of what is
+inside, and their elements go only if they hold little but links; so does an id
+inside an article that repeats the words of the heading it begins with, as
+generated anchors do, if nothing in it looks like reader comments. Every paragraph gives points for its length and commas: all of
 them to its parent, half to its grandparent, and less further up. A
 container's points are discounted by the share of its text inside links. The
 best container is kept, or the ``article`` or ``main`` element around it, with
-those of its siblings that score well or are long paragraphs with few links.
+those of its siblings that score well, and the text beside it that is not mostly
+links: paragraphs, lists, quotes, code, tables, figures, bare text, and headings
+before anything kept.
 
 Scale: pages are independent; one narrow pass over whole pages, in time linear
 in their length.
@@ -38,10 +43,10 @@ BLOCK = frozenset(
 )
 CLOSES_P = BLOCK - frozenset("br body html option optgroup td th tr tbody thead tfoot dd dt li legend".split())
 LEFT_OUT = frozenset(
-    "script style textarea title noscript iframe xmp noframes head nav footer aside form button select option input label"
+    "script style textarea title noscript iframe xmp noframes head nav footer aside button select option input label"
     " fieldset svg math canvas template dialog menu object embed video audio applet map datalist".split()
 )
-ROLES_OUT = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
+ROLES_OUT = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
 # Words of class and id names. The first tell of boilerplate by themselves, the others only beside what the element holds;
 # words of layout say nothing.
 NAMES_OUT = frozenset(
@@ -61,6 +66,17 @@ NAMES_LAYOUT = frozenset(
 NEVER_OUT = frozenset("html body article main".split())
 # Names never leave these out with their text; the id of a heading is an anchor.
 TEXT = frozenset("p h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+# What stays beside the best container unless it is mostly links.
+BESIDE = frozenset("p pre blockquote ul ol dl table figure figcaption hgroup address details".split())
+READERS = frozenset("comment comments disqus respond".split())
+# Elements that flow inside a line of text.
+INLINE = frozenset(
+    "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup"
+    " time tt u var wbr".split()
+)
+# Elements that reader comments hold and a section of an article doesn't.
+DISCUSSION = frozenset("article time form textarea button input select label".split())
 PARAGRAPH = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 figcaption div section".split())
 # Parts of a larger block, which is kept with all of them.
 PARTS = frozenset("tr td th tbody thead tfoot li dt dd p a b i em strong span u small".split())
@@ -80,21 +96,24 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
 _STOP = re.compile(r""">|=\s*(["'])""")
 _ATTRIBUTE = re.compile(r"""([^\s=>"'/][^\s=>/]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 _PARTS = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
+_FORM_ROLE = re.compile(r"""(?:^|\s)role\s*=\s*["']?form(?=["'\s]|$)""", re.I)
 DOUBT = 0.25  # what the points of a paragraph count inside an element with a doubtful name
 LEAST_TEXT = 50  # unlinked characters with which such an element stays
 ANCESTORS = 5  # that a paragraph's points reach
 SHORT = 25
-LONG_SIBLING = 80
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "out", "points", "size", "linked", "doubtful", "weight")
+    __slots__ = ("tag", "parent", "children", "out", "points", "size", "linked", "doubtful", "weight", "form", "anchor", "talk")
 
     def __init__(self, tag: str, parent: Node | None, out: bool):
         self.tag, self.parent, self.out = tag, parent, out
         self.children: list[Node | str] = []
         self.points, self.weight, self.doubtful = 0.0, 1.0, False
         self.size = self.linked = 0
+        self.form = tag == "form"
+        self.anchor = ""  # the id, where only the heading can tell what it names
+        self.talk = False  # something in it looks like reader comments
 
 
 def _is_out(tag: str, attributes: str, parent: Node) -> bool:
@@ -110,7 +129,20 @@ def _is_out(tag: str, attributes: str, parent: Node) -> bool:
             return True
         if name == "role" and value in ROLES_OUT:
             return True
-    return _named(tag, attributes, parent) == 2
+    return _named(tag, attributes, parent) == 2 and not _anchor(tag, attributes, parent)
+
+
+def _anchor(tag: str, attributes: str, parent: Node) -> str:
+    """The id of a section inside an article, if its classes don't name it boilerplate."""
+    if tag not in ("section", "div") or not (_inside(parent, "article") or _inside(parent, "main")):
+        return ""
+    values = {name.lower(): value.strip("\"'") for name, value in _ATTRIBUTE.findall(attributes)}
+    classes = f'class="{values["class"]}"' if "class" in values else ""
+    return values.get("id", "") if _named(tag, classes, parent) < 2 else ""
+
+
+def _words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
 
 
 def _named(tag: str, attributes: str, parent: Node) -> int:
@@ -238,7 +270,12 @@ def parse(html: str) -> Node:
         if at.tag == "head" and tag in BLOCK:
             at = at.parent
         node = Node(tag, at, at.out or _is_out(tag, attributes, at))
-        node.doubtful = not node.out and _named(tag, attributes, at) == 1
+        named = 0 if node.out else _named(tag, attributes, at)
+        node.doubtful = named > 0
+        node.anchor = _anchor(tag, attributes, at) if named == 2 else ""
+        node.form = node.form or _FORM_ROLE.search(attributes) is not None
+        if tag in DISCUSSION or named == 2 and not node.anchor or node.out and _named(tag, attributes, at) == 2:
+            at.talk = True
         if not at.out:
             at.children.append(node)
         if tag in RAW:
@@ -262,17 +299,52 @@ def _order(root: Node) -> list[Node]:
 
 
 def _measure(nodes: list[Node]) -> None:
+    """Sizes of all nodes; doubtful ones that turn out to hold little, and anchors that don't name a section, go."""
     for node in reversed(nodes):
-        for child in node.children:
+        node.size = node.linked = 0
+        for child in reversed(node.children):
             if isinstance(child, str):
                 node.size += len(child.strip())
-            elif not child.out:
+                continue
+            if child.anchor and not child.out and not READERS.isdisjoint(_words(child.anchor)):
+                child.out = node.size - node.linked < LEAST_TEXT  # readers' comments end an article
+            if child.out:
+                node.talk = node.talk or child.anchor != ""
+            else:
                 node.size += child.size
                 node.linked += child.linked
+                node.talk = node.talk or child.talk
         if node.tag == "a":
             node.linked = node.size
         if node.doubtful:
             node.out = node.size - node.linked < LEAST_TEXT or 2 * node.linked > node.size
+        if node.anchor and not node.out:
+            node.out = node.talk or not _names_section(node)
+
+
+def _names_section(node: Node) -> bool:
+    """Whether the node begins with a heading of the same words as its id."""
+    for child in node.children:
+        if isinstance(child, str):
+            if child.strip():
+                return False
+        elif not child.out:
+            return child.tag in HEADINGS and _words("".join(_text(child))) == _words(node.anchor)
+    return False
+
+
+def _leave_forms(root: Node) -> list[Node]:
+    """The kept nodes with their sizes, without the forms that hold half of the unlinked text or less."""
+    nodes = _order(root)
+    _measure(nodes)
+    forms = [node for node in nodes if node.form]
+    whole = root.size - root.linked
+    for form in forms:
+        form.out = form.out or 2 * (form.size - form.linked) <= whole
+    if forms:
+        nodes = _order(root)
+        _measure(nodes)
+    return _order(root)
 
 
 def _score(nodes: list[Node]) -> None:
@@ -329,14 +401,51 @@ def _text(node: Node) -> list[str]:
     return out
 
 
+def _beside(best: Node) -> list[Node]:
+    """The best container and what belongs to it among its siblings, in page order."""
+    least = max(10.0, 0.2 * best.points)
+    kept: list[Node] = []
+    followed = False
+    for part in reversed(_runs(best)):
+        sparse = 1 - part.linked / max(part.size, 1)
+        if part.tag in HEADINGS:  # of the page, or of what follows
+            keep = bool(kept) if part.tag == "h1" else followed
+        elif part.tag == "run":
+            keep = part.size >= SHORT and sparse > 0.5
+        else:
+            keep = part.points * sparse >= least or part.tag in BESIDE and sparse > 0.5
+        followed = part is best or keep
+        if followed:
+            kept.append(part)
+    return kept[::-1]
+
+
+def _runs(best: Node) -> list[Node]:
+    """``best`` and its siblings; text and inline elements between two others are one "run"."""
+    out: list[Node] = []
+    run: Node | None = None
+    for child in best.parent.children:
+        if isinstance(child, Node) and child.out:
+            continue
+        if isinstance(child, Node) and (child is best or child.tag not in INLINE):
+            out.append(child)
+            run = None
+            continue
+        if run is None:
+            run = Node("run", None, False)
+            out.append(run)
+        run.children.append(child)
+        run.size += len(child.strip()) if isinstance(child, str) else child.size
+        run.linked += 0 if isinstance(child, str) else child.linked
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The article of one page, blocks joined by single spaces."""
     if not html:
         return ""
     root = parse(html)
-    nodes = _order(root)
-    _measure(nodes)
-    nodes = _order(root)  # without the doubtful ones that turned out to hold little
+    nodes = _leave_forms(root)
     _score(nodes)
     best = max(nodes, key=lambda n: n.points * (1 - n.linked / max(n.size, 1)), default=root)
     if best.points <= 0:
@@ -350,18 +459,7 @@ def main_text(html: str | None) -> str:
         if node is not None:
             best = node
             break
-    kept: list[Node | str] = [best]
-    if best.parent is not None:
-        least = max(10.0, 0.2 * best.points)
-        kept = []
-        for sibling in best.parent.children:
-            if sibling is best:
-                kept.append(sibling)
-            elif isinstance(sibling, Node) and not sibling.out:
-                sparse = 1 - sibling.linked / max(sibling.size, 1)
-                long = sibling.tag == "p" and sibling.size > LONG_SIBLING and sparse > 0.75
-                if sibling.points * sparse >= least or long:
-                    kept.append(sibling)
+    kept = [best] if best.parent is None else _beside(best)
     blocks = (" ".join(block.split()) for node in kept for block in _text(node))
     return " ".join(block for block in blocks if block)
 

@@ -85,6 +85,52 @@ def test_boilerplate_in_the_article_goes(name):
     assert X.main_text(page(f"<article><p>{ARTICLE}</p>{part}<p>{ARTICLE}</p></article>")) == f"{ARTICLE} {ARTICLE}"
 
 
+def test_a_form_around_the_page_stays_without_its_controls():
+    form = f"<form id='aspnetForm'><input value='x'><div class='menu'><a href='/'>Home</a></div><div id='content'><h1>T</h1><p>{ARTICLE}</p><p>{ARTICLE}</p></div><select><option>one</select><label>Mail</label><button>Send</button></form>"
+    assert X.main_text(page(form)) == f"T {ARTICLE} {ARTICLE}"
+    assert X.main_text(f"<form><p>{ARTICLE}</p></form>") == ARTICLE
+    assert X.main_text(f"<div role='form'><p>{ARTICLE}</p></div>") == ARTICLE
+    for small in ("<form>{}</form>", "<div role=form>{}</div>"):
+        small = small.format("<p>Write, to, us, any, time.</p>")
+        assert X.main_text(page(f"<div><p>{ARTICLE}</p>{small}<p>{ARTICLE}</p></div>")) == f"{ARTICLE} {ARTICLE}"
+
+
+@pytest.mark.parametrize("word", ["pagination", "menus", "comments", "login", "cookies"])
+def test_sections_named_by_their_heading_stay(word):
+    section = f"<section id='{word}'><h2>{word.title()}<a href='#{word}'>¶</a></h2><p>{ARTICLE}</p></section>".replace("¶", "")
+    inner = section.replace("</section>", f"<section id='toolbar'><h3>Toolbar</h3><p>{ARTICLE}</p></section></section>")
+    for part in (section, inner):
+        plain = " ".join(re.sub("<[^>]*>", " ", part).split())
+        assert X.main_text(page(f"<article><p>{ARTICLE}</p>{part}<p>{ARTICLE}</p></article>")) == f"{ARTICLE} {plain} {ARTICLE}"
+
+
+@pytest.mark.parametrize(
+    "part",
+    [
+        "<section id='comments'><p>{}</p></section>",
+        "<section id='comments'><h2>Comments</h2><p>{}</p></section>",  # at the end of the article
+        "<section id='comments'><h2>Comments</h2><article><p>{}</p></article></section><p>{}</p>",
+        "<section id='comments'><h2>Comments</h2><div class='comment'><p>{}</p></div></section><p>{}</p>",
+        "<section id='comments' class='comments'><h2>Comments</h2><p>{}</p></section><p>{}</p>",
+        "<div id='login'><h3>Login</h3><form><p>{}</p></form></div><p>{}</p>",
+    ],
+)
+def test_reader_comments_under_their_heading_go(part):
+    after = ARTICLE if part.count("{}") == 2 else ""
+    assert X.main_text(page(f"<article><p>{ARTICLE}</p><p>{ARTICLE}</p>{part.format('Nice, article, I, think, so, and so on.', ARTICLE)}</article>")) == f"{ARTICLE} {ARTICLE} {after}".strip()
+
+
+def test_what_stands_beside_the_best_container_stays():
+    best = f"<div><p>{ARTICLE}</p><p>{ARTICLE}</p><p>{ARTICLE}</p></div>"
+    beside = "<h1>The title</h1><p>By A.</p>{}<blockquote>A quote</blockquote><pre>code = 1</pre><ul><li>one<li>two</ul><table><tr><td>cell</table>"
+    want = f"The title By A. {ARTICLE} {ARTICLE} {ARTICLE} A quote code = 1 one two cell"
+    assert X.main_text(page(beside.format(best))) == want
+    links = "<h3>More</h3><ul><li><a href='/a'>First</a><li><a href='/b'>Second</a></ul><p><a href='/c'>Next page</a></p><a href='/d'>Back</a> | <a href='/e'>On to the next one</a>"
+    assert X.main_text(page(links + beside.format(best) + links)) == want
+    loose = "Bare text that stands beside it, <b>partly</b> bold."
+    assert X.main_text(page(loose + best)) == f"Bare text that stands beside it, partly bold. {ARTICLE} {ARTICLE} {ARTICLE}"
+
+
 @pytest.mark.parametrize("quote", ['"', "'"])
 def test_long_attribute_values(quote):
     state = "<p>leak, leak, leak</p><div class=x> " * 3000

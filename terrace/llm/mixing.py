@@ -7,14 +7,16 @@ integer quota. In a shard the whole rounds of the quota take every block and
 the rest is taken from the blocks in a seeded order.
 
 Scale: a shard holds about ``shard_words`` words of one source, chosen by a
-seeded hash of the row, so a source with a third of the corpus is many shards
-and no task holds a source; rows without words stay where they are. Quotas go down a tree of at most ``FAN`` children
+seeded hash of the row and, among rows equal in id and text, their number, so
+neither a source with a third of the corpus nor any number of equal rows falls
+into one shard; rows without words stay where they are. Quotas go down a tree of at most ``FAN`` children
 a node, so no task holds all shards of a source either. Only the table of
 sources (one row per source: name, words, blocks) reaches the driver.
 
 Defined results: a null source is a source of its own, ordered last. A null or
-empty text has size 0 and nothing is taken from it. Equal rows are told apart
-only by order, which is the same in every run for the same rows. A source
+empty text has size 0 and nothing is taken from it. Equal rows are numbered
+from 0 by source and size, so what they give together is the same in every run for the
+same rows, in whatever files they lie. A source
 whose target is below half a block may get nothing. An empty table gives no
 rows.
 """
@@ -25,7 +27,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +40,7 @@ BLOCK_WORDS = 64
 SHARD_WORDS = 32_768
 SEED = 20260403
 FAN = 512
+RUN_BITS = 12  # equal rows are numbered in runs of at most 2^12 neighbours
 
 
 def n_words(text: str) -> Column:
@@ -130,13 +133,36 @@ def _selection(blocks: int, quota: int, words: int, src: int, shard: int, seed:
     return bounds, times
 
 
+def _run() -> Column:
+    """The run of neighbouring rows that a row is in."""
+    return F.shiftright(F.monotonically_increasing_id(), RUN_BITS)
+
+
+def _numbered_runs(runs: DataFrame) -> DataFrame:
+    """Groups of equal rows of one run (h, source, size, run, n) with the number of their first row among all rows of ``h``.
+
+    However many rows are equal, a run has one line of them here.
+    """
+    before = Window.partitionBy("h").orderBy("source", "size", "run").rowsBetween(Window.unboundedPreceding, -1)
+    return runs.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
+def _salted(number: Column) -> Column:
+    """The hash that places a row: ``h``, or for the further ones of equal rows a hash of it with their number."""
+    return F.when(number > 0, F.xxhash64(F.col("h"), number)).otherwise(F.col("h"))
+
+
 class Mix:
     """The plan of a mix over ``docs``: targets and quotas, ready to be applied to the rows."""
 
     def __init__(self, docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, seed: int = SEED, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS):
         self.spark, self.text, self.seed = docs.sparkSession, text, seed
         row = F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text))
-        rows = materialize(self.spark, docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size"), row.alias("h")), "mix-sizes")
+        sized = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(text).alias("size"), row.alias("h"))
+        runs = sized.withColumn("run", _run()).groupBy("doc_id", "source", "size", "h", "run").agg(F.count(F.lit(1)).alias("n"))
+        number = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1))
+        each = _numbered_runs(runs).select("doc_id", "source", "size", "h", number.alias("number"))
+        rows = materialize(self.spark, each.withColumn("h", _salted(F.col("number"))), "mix-sizes")
         self.rows = rows
         sized = sorted(((r[0], r[1]) for r in rows.groupBy("source").agg(F.sum("size")).collect()), key=lambda r: (r[0] is None, r[0] or ""))
         self.names, sizes = [r[0] for r in sized], [int(r[1]) for r in sized]
@@ -216,7 +242,10 @@ def mixed_texts(docs: DataFrame, text: str = "text", source: str = "source", doc
     names = [fresh(docs, n) for n in ("size", "h")]
     rows = docs.withColumn(names[0], n_words(text)).withColumn(names[1], F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)))
     packed = rows.select(F.struct(*docs.columns).alias("row"), F.col(names[0]).alias("size"), F.col(names[1]).alias("h"), F.col(source).alias("source"))
-    placed = plan.place(packed.where(F.col("size") > 0), "source", F.col("h")).select("row", "size", "h", "src", "shard")
+    packed = packed.where(F.col("size") > 0)
+    if not plan.rows.where((F.col("size") > 0) & (F.col("number") > 0)).isEmpty():
+        packed = _numbered(packed)
+    placed = plan.place(packed, "source", F.col("h")).select("row", "size", "h", "src", "shard")
     schema, place = docs.schema, docs.columns.index(text)
     counted = docs.columns.index(n_chars) if n_chars in docs.columns else -1
 
@@ -248,6 +277,23 @@ def mixed_texts(docs: DataFrame, text: str = "text", source: str = "source", doc
     return placed.groupBy("src", "shard").cogroup(plan.quotas.groupBy("src", "shard")).applyInArrow(run, schema)
 
 
+def _numbered(packed: DataFrame) -> DataFrame:
+    """Whole rows with the hashes that place them, where some are equal: numbered as in the plan.
+
+    Rows are numbered inside a run, whose place among the others comes from the
+    counts of runs. The rows are written first, so that both see the same runs.
+    """
+    packed = materialize(packed.sparkSession, packed.withColumn("at", F.monotonically_increasing_id()), "mix-rows")
+    packed = packed.withColumn("run", F.shiftright("at", RUN_BITS))
+    same = ["h", "source", "size", "run"]
+    firsts = _numbered_runs(packed.groupBy(*same).agg(F.count(F.lit(1)).alias("n"))).drop("n")
+    firsts = firsts.select(*[F.col(c).alias(f"_{c}") for c in same], "first")
+    inside = packed.withColumn("inside", F.row_number().over(Window.partitionBy(*same).orderBy("at")) - 1)
+    matched = [F.col(c).eqNullSafe(F.col(f"_{c}")) if c == "source" else F.col(c) == F.col(f"_{c}") for c in same]
+    joined = inside.join(firsts, matched)
+    return joined.select("row", "size", _salted(F.col("first") + F.col("inside")).alias("h"), "source")
+
+
 def _words_of(text: str, ranges: list[tuple[int, int]]) -> str:
     """The words of ``text`` at the given places with what stands between neighbours; pieces are joined by a space."""
     raw = text.encode()

@@ -117,3 +117,25 @@ def test_rows_without_words_are_not_brought_together(spark):
     assert taken.where((F.col("size") == 0) & (F.col("taken") == 0)).count() == 4000
     assert taken.agg(F.sum("taken")).first()[0] == 150
     assert M.mixed_texts(docs).count() >= 50
+
+
+def test_equal_rows_spread_over_shards(spark, monkeypatch):
+    """Rows equal in id and text, of two sources, fill no shard, and their texts are taken as the plan says."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(M, "RUN_BITS", 3)
+    rows = [(None, "five words in each copy", "en", "hot" if i % 5 else None, 23) for i in range(3000)] + [(i, f"text number {i} stands alone", "en", "b", 20) for i in range(400)]
+    docs = spark.createDataFrame(rows, DOCS)
+    plan = M.Mix(docs, shard_words=500)
+    largest = {r[0]: r[1] for r in plan.quotas.groupBy("src").agg(F.max("words")).collect()}
+    assert len(largest) == 3 and max(largest.values()) < 2 * 500
+    assert plan.rows.groupBy("h").count().where("count > 1").isEmpty()
+    first, again = (Counter(map(tuple, M.mixture(d).collect())) for d in (docs.repartition(3), docs.repartition(7)))
+    assert first == again and sum(first.values()) == len(rows)
+    want, got = Counter(), Counter()
+    for row, times in first.items():
+        want[row[0]] += row[4] * times
+    for r in M.mixed_texts(docs).collect():
+        got[r["doc_id"]] += _size(r["text"])
+        assert r["n_chars"] == len(r["text"])
+    assert got == +want

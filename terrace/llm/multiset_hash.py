@@ -7,12 +7,15 @@ or subtracts its vector (:func:`insert`, :func:`delete`). The vector has
 
 * a count, and 16 lanes of 32 bits from eight seeded hashes, which tell
   different multisets apart, and
-* 128 lanes of 16 bits that hold sums of +1 and -1, whose inner products
+* 128 lanes of 32 bits that hold sums of +1 and -1, whose inner products
   estimate how much two multisets share (:func:`likeness`).
 
 So that likeness also sees changes inside a paragraph, a paragraph's vector is
-the sum of those of the paragraph itself and of its phrases of ``PHRASE``
-words.
+the sum of those of the paragraph itself and of its phrases. A phrase has up to
+``UNITS`` words and ends early at a word with one of the last characters
+``ENDS``; as the words themselves decide, phrases after an inserted word are
+soon the same again. A long word counts as several units of ``UNIT`` characters, so a
+text without spaces has phrases too.
 
 All of it is DataFrame functions: the pieces of a text are exploded and summed
 per document inside whole-stage code, in the partitions the texts already have.
@@ -32,8 +35,13 @@ from terrace.llm.common import materialize
 
 STRONG = 8  # hashes of two 32-bit lanes each
 SIGNS = 2  # hashes of 64 sign lanes each
-PHRASE = 4
-_PHRASE = r"(?:[^\s]+[^\S\n]+){0,%d}[^\s]+" % (PHRASE - 1)
+UNIT = 6
+UNITS = 8
+ENDS = "adglory.,;:!?"
+# Units are possessive, so a text is cut in one way only and in linear time.
+_UNIT = r"[^\s]{1,%d}+" % UNIT
+_BEFORE = rf"(?:{_UNIT}[^\S\n]*+){{0,{UNITS - 1}}}"
+_PHRASE = rf"{_BEFORE}?{_UNIT}(?<=[{ENDS}])(?![^\s])|{_BEFORE}{_UNIT}"
 _LOW = (1 << 32) - 1
 
 
@@ -56,9 +64,9 @@ def _sums(piece: str) -> tuple[list[Column], list[Column]]:
     return hashed, sums
 
 
-def _short(value: Column) -> Column:
-    """``value`` modulo 2^16, as a signed 16-bit number."""
-    return (F.pmod(value + F.lit(1 << 15), F.lit(1 << 16)) - F.lit(1 << 15)).cast("short")
+def _signed(value: Column) -> Column:
+    """``value`` modulo 2^32, as a signed 32-bit number."""
+    return (F.pmod(value + F.lit(1 << 31), F.lit(1 << 32)) - F.lit(1 << 31)).cast("int")
 
 
 def _vector() -> Column:
@@ -71,7 +79,7 @@ def _vector() -> Column:
         for half in (0, 32):
             for bit in range(32):
                 ones = F.shiftrightunsigned(f"s{i}_{bit}", half).bitwiseAND(F.lit(_LOW))
-                signs.append(_short(ones * F.lit(2) - F.col("n")))
+                signs.append(_signed(ones * F.lit(2) - F.col("n")))
     return F.struct(F.array(*strong).alias("strong"), F.array(*signs).alias("signs"))
 
 
@@ -89,7 +97,7 @@ def fingerprints(docs: DataFrame, keys: list[str], text: str = "text") -> DataFr
 
 def _combined(a: Column, b: Column, sign: int) -> Column:
     strong = F.zip_with(a["strong"], b["strong"], lambda x, y: (x + y * F.lit(sign)).bitwiseAND(F.lit(_LOW)))
-    signs = F.zip_with(a["signs"], b["signs"], lambda x, y: _short(x.cast("long") + y.cast("long") * F.lit(sign)))
+    signs = F.zip_with(a["signs"], b["signs"], lambda x, y: _signed(x.cast("long") + y.cast("long") * F.lit(sign)))
     return F.struct(strong.alias("strong"), signs.alias("signs"))
 
 
@@ -104,14 +112,14 @@ def delete(vector: Column, paragraphs: Column) -> Column:
 
 
 def hexadecimal(vector: Column) -> Column:
-    """The whole vector as text: count and strong lanes with 8 digits, sign lanes with 4."""
+    """The whole vector as text: count, strong lanes and sign lanes with 8 digits each."""
     strong = F.transform(vector["strong"], lambda x: F.lpad(F.hex(x), 8, "0"))
-    signs = F.transform(vector["signs"], lambda x: F.lpad(F.hex(F.pmod(x.cast("long"), F.lit(1 << 16))), 4, "0"))
+    signs = F.transform(vector["signs"], lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(_LOW))), 8, "0"))
     return F.lower(F.concat(F.array_join(strong, ""), F.array_join(signs, "")))
 
 
 def _inner(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("long") * y), F.lit(0).cast("long"), lambda t, x: t + x).cast("double")
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda t, x: t + x)
 
 
 def likeness(a: Column, b: Column) -> Column:

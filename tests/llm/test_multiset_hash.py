@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -73,6 +74,48 @@ def test_insertion_and_deletion(spark):
     assert back.select(H.delete(F.col("a.vector"), F.col("b.vector")).alias("v")).first()["v"] == whole[0]
 
 
+def _likeness(spark, a, b):
+    _, v = _vectors(spark, [a, b])
+    pair = v.alias("a").join(v.alias("b"), F.expr("a.doc_id = 0 AND b.doc_id = 1"))
+    return pair.select(H.likeness(F.col("a.vector"), F.col("b.vector")).alias("l")).first()["l"]
+
+
+def test_repetitive_and_unspaced_texts(spark):
+    assert _likeness(spark, "a\n" * 100_000, "a\n" * 99_000) > 0.99
+    assert _likeness(spark, "a " * 400_000, "a " * 300_000 + "b " * 100_000) > 0.8
+    rng = random.Random(3)
+    run = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(9000))
+    other = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(9000))
+    assert 0.55 < _likeness(spark, run, run[:6000] + other[:3000]) < 0.8
+    assert _likeness(spark, run, other) < 0.35
+
+
+def test_an_inserted_word_changes_few_phrases(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghilmnoprstuy", k=rng.randint(2, 9))) for _ in range(1500)]
+    assert _likeness(spark, " ".join(words), " ".join([*words[:100], "inserted", *words[100:]])) > 0.95
+
+
+def _phrases(paragraph):
+    """The phrases of a paragraph, unit by unit."""
+    units = [(m.start() + i, min(m.start() + i + H.UNIT, m.end()), m.start() + i + H.UNIT >= m.end()) for m in re.finditer(r"[^ \t\n\r\f\v]+", paragraph) for i in range(0, m.end() - m.start(), H.UNIT)]
+    out, i = [], 0
+    while i < len(units):
+        last = next((j for j in range(i, min(i + H.UNITS, len(units))) if units[j][2] and paragraph[units[j][1] - 1] in H.ENDS), min(i + H.UNITS, len(units)) - 1)
+        out.append(paragraph[units[i][0] : units[last][1]])
+        i = last + 1
+    return out
+
+
+def test_phrases_equal_brute_force(spark):
+    rng = random.Random(8)
+    texts = ["", " ", "\n", "one", "a" * 100, " x  y\tz \n\n last word. "] + ["".join(rng.choices("abdot. \n\té字😀", k=rng.randint(1, 300))) for _ in range(60)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in frame.select("text", H.pieces("text").alias("pieces")).collect():
+        paragraphs = row["text"].split("\n")
+        assert row["pieces"] == paragraphs + [p for q in paragraphs for p in _phrases(q)]
+
+
 def test_no_python_in_the_plan(docs):
     plan = H.edited_fingerprints(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

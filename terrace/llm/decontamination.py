@@ -13,7 +13,9 @@ sequences, which every longer match is made of.
 
 Scale: items are taken in blocks of ``block_words`` words, each broadcast and
 applied in one narrow pass over the documents, which carries the merged spans
-on to the next block; nothing is shuffled.
+on to the next block; nothing is shuffled. With several blocks, what a pass
+found is written before the next begins, so a worker process has one automaton
+at a time, which it builds once and keeps for its further tasks.
 
 Defined results: a null or empty text, or one without words, has no words and
 no hits. Null items and items without words have no window. Repeated item ids
@@ -23,6 +25,7 @@ documents each get their own row. An empty benchmark hits nothing.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.llm.common import text_chunks
+from terrace.llm.common import materialize, text_chunks
 from terrace.llm.words import ALNUM, HashIndex, cut, hash_of, hashes, mix
 
 WINDOW = 13
@@ -225,6 +228,16 @@ class Matcher:
                 yield int(words.first[row + 1] - words.first[row]), _merged(list(spans)), set(items), max(most, default=0)
 
 
+_held: dict[str, Matcher] = {}  # a worker's automaton: that of the block it last met
+
+
+def _matcher(key: str, shared, window: int) -> Matcher:
+    if key not in _held:
+        _held.clear()
+        _held[key] = Matcher(shared.value, window)
+    return _held[key]
+
+
 def item_words(text: str) -> list[bytes]:
     data = np.frombuffer(text.encode(), np.uint8)
     words = cut(data, np.array([0, len(data)]), ALNUM)
@@ -284,8 +297,10 @@ def _found(docs: DataFrame, benchmark: DataFrame, text: str, window: int, block_
     spark = docs.sparkSession
 
     def apply(shared):
+        key = uuid.uuid4().hex
+
         def run(batches):
-            matcher = Matcher(shared.value, window)
+            matcher = _matcher(key, shared, window)
             for batch in batches:
                 texts, before = batch.column(place), batch.column(batch.num_columns - 1).to_pylist()
                 rows = []
@@ -299,12 +314,14 @@ def _found(docs: DataFrame, benchmark: DataFrame, text: str, window: int, block_
 
         return run
 
-    found_any = False
-    for block in item_blocks(benchmark, block_words=block_words):
-        out = out.mapInArrow(apply(spark.sparkContext.broadcast(block)), schema)
-        found_any = True
-    if not found_any:
-        out = out.mapInArrow(apply(spark.sparkContext.broadcast([])), schema)
+    blocks = item_blocks(benchmark, block_words=block_words)
+    block = next(blocks, [])
+    while block is not None:
+        shared, block = spark.sparkContext.broadcast(block), next(blocks, None)
+        out = out.mapInArrow(apply(shared), schema)
+        if block is not None:
+            out = materialize(spark, out, "decontamination-found")
+            shared.unpersist()
     return out
 
 

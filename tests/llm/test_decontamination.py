@@ -55,6 +55,35 @@ def test_spans_equal_brute_force(spark, block_words):
         assert (f["n_words"], sum(s["end"] - s["begin"] for s in f["spans"]), f["items"]) == (n, hit, ids)
 
 
+def test_a_worker_holds_one_automaton_and_builds_it_once(monkeypatch):
+    built = []
+    monkeypatch.setattr(D, "Matcher", lambda items, window: built.append(items) or object())
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    first = D._matcher("a", Shared(["a"]), 13)
+    assert D._matcher("a", Shared(["a"]), 13) is first
+    D._matcher("b", Shared(["b"]), 13)
+    assert built == [["a"], ["b"]] and list(D._held) == ["b"]
+    D._held.clear()
+
+
+def test_blocks_are_separate_passes(spark):
+    docs = spark.createDataFrame([(1, "a b c d e")], "doc_id long, text string")
+    items = [(i, f"{w} {v}") for i, (w, v) in enumerate(["ab", "cd", "de", "xy"])]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+
+    def passes(block_words):
+        found = D.find_spans(docs, benchmark, block_words=block_words)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        return plan.count("MapInArrow"), found.collect()[0]["found"]["items"]
+
+    assert passes(2) == (1, ["0", "1", "2"])
+    assert passes(100) == (1, ["0", "1", "2"])
+
+
 def test_contract_columns(spark, docs, rows):
     item = " ".join(_words(rows[0][1])[:13])
     benchmark = spark.createDataFrame([(5, item), (40, item), (7, None)], "item_id long, text string")

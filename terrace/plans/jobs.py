@@ -61,6 +61,7 @@ class TableSpec:
     rebalance: bool = False
     catalog_table: str | None = None  # register/refresh this external table after publishing
     staged: bool = True  # full overwrites swap in a staged copy (False on object stores)
+    readback: str = "rows"  # rows (counted, from footers) | content (rows and the sum of their hashes, one full read)
 
     def __post_init__(self):
         if self.layout not in ("dataset", "file"):
@@ -73,6 +74,10 @@ class TableSpec:
             raise ValueError("overwrite_partition needs partition columns.")
         if self.gate not in ("cache", "observe"):
             raise ValueError(f"Unsupported gate '{self.gate}'.")
+        if self.readback not in ("rows", "content"):
+            raise ValueError(f"Unsupported read-back '{self.readback}'.")
+        if self.gate == "observe" and self.readback != "rows":
+            raise ValueError("The observe gate checks rows in the files themselves; it has no earlier copy to compare.")
         if self.gate == "observe" and (self.layout, self.fmt, self.partition_style) != ("dataset", "parquet", "hive"):
             raise ValueError("The observe gate writes versions of a Parquet dataset.")
 
@@ -205,9 +210,13 @@ def _publish_numeric(df: DataFrame, spec: TableSpec, run: RunContext, rows: int)
     try:
         frame, split = (df.drop(*parts), ()) if _one_day(spec) else (df, parts)
         sinks.overwrite_full(frame, place, partition_by=split, compression=spec.compression, max_records_per_file=spec.max_records_per_file, rebalance=True, staged=False)
+        if spec.readback == "content":
+            back = spark.read.schema(frame.schema).option("basePath", place).parquet(place)
+            _verify_content(frame, back, list(split), place)
         if split:
-            expected = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_written"))
-            sinks.verify_partitions(expected, sinks.readback_counts(spark, place, parts), parts, place)
+            if spec.readback == "rows":
+                expected = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_written"))
+                sinks.verify_partitions(expected, sinks.readback_counts(spark, place, parts), parts, place)
             new = sinks.versions.numeric(sinks.versions.written(spark, spec.path, version, parts))
         else:
             found = sinks.readback_counts(spark, place).first()["rows_read"]
@@ -276,6 +285,13 @@ def _register(spark: SparkSession, spec: TableSpec, run: RunContext) -> None:
 def _verify_written(checked: DataFrame, spec: TableSpec, run: RunContext, rows: int) -> None:
     """K7: the target holds the rows that were checked, partition by partition where the run wrote several."""
     spark, parts = checked.sparkSession, list(spec.partition_by)
+    if spec.readback == "content":
+        target = read_published(spark, spec)
+        if _one_day(spec):
+            for part in parts:
+                target = target.where(F.col(part) == F.lit(run.partition_values[part]))
+        _verify_content(checked, target, parts, spec.path, spec.fmt)
+        return
     if parts and not _one_day(spec):
         expected = checked.groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_written"))
         found = read_published(spark, spec).groupBy(*parts).agg(F.count(F.lit(1)).alias("rows_read"))
@@ -291,6 +307,11 @@ def _verify_written(checked: DataFrame, spec: TableSpec, run: RunContext, rows:
         raise sinks.ReadBackError(f"{location}: {rows} written, {found} found.")
 
 
+def _verify_content(checked: DataFrame, written: DataFrame, parts: list[str], place: str, fmt: str = "parquet") -> None:
+    expected = sinks.content_sums(checked, parts, fmt).withColumnRenamed("rows", "rows_written")
+    sinks.verify_partitions(expected, sinks.content_sums(written, parts, fmt).withColumnRenamed("rows", "rows_read"), parts, place)
+
+
 def run_table_job(
     spark: SparkSession,
     source: DataFrame,

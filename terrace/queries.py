@@ -223,15 +223,21 @@ def csv_dataset_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_readback_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of each month's folder after a publish (whose own read-back compares every folder), beside those checked."""
+    """Rows of each month's folder after a publish (whose own read-back compares every folder), beside those checked.
+
+    A folder whose rows have other values than those checked counts as not read.
+    """
     root = S.scratch_path(spark, "sink_readback_count")
+    parts = ("year", "month")
     gold = orders.to_gold_history(orders.to_silver(_orders_as_text(spark, sf_dir), _run()), _run())
-    spec = orders.gold_spec(f"{root}/gold", write_mode="overwrite_full", partition_by=("year", "month"), check_run_date=False, rebalance=True)
+    spec = orders.gold_spec(f"{root}/gold", write_mode="overwrite_full", partition_by=parts, check_run_date=False, rebalance=True, readback="content")
     publish(gold, spec, _run())
-    written = gold.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows_written"))
-    read = sinks.readback_counts(spark, spec.path, ("year", "month"))
-    return written.join(read, ["year", "month"], "full_outer").select(
-        "year", "month", F.coalesce("rows_written", F.lit(0)).alias("rows_written"), F.coalesce("rows_read", F.lit(0)).alias("rows_read")
+    written = sinks.content_sums(gold, parts)
+    read = sinks.content_sums(read_published(spark, spec), parts)
+    same = F.col("written.content").eqNullSafe(F.col("read.content"))
+    joined = written.alias("written").join(read.alias("read"), list(parts), "full_outer")
+    return joined.select(
+        *parts, F.coalesce("written.rows", F.lit(0)).alias("rows_written"), F.when(same, F.col("read.rows")).otherwise(F.lit(0)).alias("rows_read")
     )
 
 

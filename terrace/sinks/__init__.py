@@ -4,6 +4,7 @@ from terrace.sinks.files import (
     EmptyResultError,
     ReadBackError,
     SelfOverwriteError,
+    content_sums,
     guard_not_input,
     overwrite_full,
     overwrite_numeric_partitions,
@@ -19,6 +20,7 @@ __all__ = [
     "EmptyResultError",
     "ReadBackError",
     "SelfOverwriteError",
+    "content_sums",
     "guard_not_input",
     "overwrite_full",
     "overwrite_numeric_partitions",

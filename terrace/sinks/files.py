@@ -12,7 +12,7 @@ import functools
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -239,13 +239,60 @@ class ReadBackError(RuntimeError):
     """A written target doesn't hold the rows that were checked."""
 
 
+def _as_stored(field: T.StructField, fmt: str) -> Column:
+    """The value as it comes back from a file: CSV keeps whole seconds, trims text and doesn't tell empty text from NULL."""
+    value = F.col(field.name)
+    if fmt != "csv":
+        return value
+    if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("second", value)
+    if isinstance(field.dataType, T.StringType):
+        return F.coalesce(F.regexp_replace(value, r"^[\x00-\x20]+|[\x00-\x20]+$", ""), F.lit(""))
+    return value
+
+
+def content_sums(df: DataFrame, partition_by: Iterable[str] = (), fmt: str = "parquet") -> DataFrame:
+    """K7: rows and the sum of their hashes, per partition (or in total): ``rows``, ``content``.
+
+    The sum doesn't depend on the order of rows or files, and equal rows count
+    as often as they occur. A row's hash takes its columns by name, so it also doesn't
+    depend on where a layout puts the partition columns; those are left to
+    the grouping. Partial sums are one row per partition and task.
+    """
+    parts = list(partition_by)
+    fields = sorted((f for f in df.schema.fields if f.name not in parts), key=lambda f: f.name)
+    # A NULL leaves a hash as it is, so which columns are NULL is hashed beside the values.
+    nulls = F.concat(F.lit(""), *[F.when(_as_stored(f, fmt).isNull(), "1").otherwise("0") for f in fields])
+    hashed = F.xxhash64(nulls, *[_as_stored(f, fmt) for f in fields])
+    out = [F.count(F.lit(1)).alias("rows"), F.sum(hashed.cast("decimal(20,0)")).alias("content")]
+    return df.groupBy(*parts).agg(*out) if parts else df.agg(*out)
+
+
 def verify_partitions(expected: DataFrame, found: DataFrame, partition_by: Iterable[str], path: str) -> None:
-    """K7: every partition of ``expected`` (parts, rows_written) is there with as many rows in ``found`` (parts, rows_read)."""
+    """K7: every partition of ``expected`` (parts, rows_written) is there with as many rows in ``found`` (parts, rows_read).
+
+    With ``content`` columns (:func:`content_sums`) in both, these must agree as well.
+    """
     parts = list(partition_by)
-    right = found.select(*[F.col(p).alias(f"__{p}") for p in parts], "rows_read")
-    same = [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts]
-    joined = expected.join(right, functools.reduce(lambda a, b: a & b, same), "left")
-    wrong = joined.where(F.col("rows_written") != F.coalesce("rows_read", F.lit(0))).orderBy(*parts).limit(5).collect()
+    content = "content" in expected.columns and "content" in found.columns
+    if not parts:  # one row each
+        e, f = expected.first(), found.first()
+        same = e["rows_written"] == f["rows_read"] and (not content or e["content"] == f["content"])
+        wrong = [] if same else [{**e.asDict(), **f.asDict()}]
+    else:
+        kept = [F.col("rows_read"), *([F.col("content").alias("__content")] if content else [])]
+        right = found.select(*[F.col(p).alias(f"__{p}") for p in parts], *kept)
+        same = functools.reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"__{p}")) for p in parts])
+        differs = F.col("rows_written") != F.coalesce("rows_read", F.lit(0))
+        if content:
+            differs = differs | ~F.col("content").eqNullSafe(F.col("__content"))
+        wrong = expected.join(right, same, "left").where(differs).orderBy(*parts).limit(5).collect()
     if wrong:
-        told = "; ".join(f"{ {p: r[p] for p in parts} }: {r['rows_written']} written, {r['rows_read'] or 0} found" for r in wrong)
-        raise ReadBackError(f"{path}: {told}.")
+        raise ReadBackError(f"{path}: " + "; ".join(_difference(row, parts) for row in wrong) + ".")
+
+
+def _difference(row: Mapping, parts: list[str]) -> str:
+    place = {p: row[p] for p in parts} or "all rows"
+    if row["rows_written"] == row["rows_read"]:
+        return f"{place}: {row['rows_written']} rows, other values"
+    return f"{place}: {row['rows_written']} written, {row['rows_read'] or 0} found"

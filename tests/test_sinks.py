@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from terrace import sinks, sources
 from terrace import session as S
+from terrace.contract import Contract
+from terrace.plans.jobs import TableSpec, publish
+from terrace.run import RunContext
 
 
 def _days(spark, day, n=5, price=1.0):
@@ -106,10 +109,6 @@ def test_guard_lets_other_folders_pass(spark):
 
 def test_publish_refuses_its_own_input_unasked(spark, workdir):
     """The plan's own files are looked at; nothing has to be passed in."""
-    from terrace.contract import Contract
-    from terrace.plans.jobs import TableSpec, publish
-    from terrace.run import RunContext
-
     contract = Contract.from_dict("ids", {"columns": [{"name": "id", "type": "bigint"}]})
     spark.range(5).write.parquet(f"{workdir}/t")
     with pytest.raises(sinks.SelfOverwriteError):
@@ -124,6 +123,61 @@ def test_readback_counts(spark, workdir):
     assert counts == {2: 5, 3: 2}
 
 
+def _content(spark, rows, **given):
+    df = spark.createDataFrame(rows, "a int, b int, t string, p int")
+    return sorted(map(tuple, sinks.content_sums(df, **given).collect()))
+
+
+def test_content_sums_tell_values_and_not_order(spark):
+    rows = [(1, None, "x", 1), (None, 2, "y", 1), (1, None, "x", 1), (3, 4, None, 2)]
+    sums = _content(spark, rows, partition_by=["p"])
+    assert sums == _content(spark, rows[::-1], partition_by=["p"])
+    assert [(p, n) for p, n, _ in sums] == [(1, 3), (2, 1)]
+    moved = [(None, 1, "x", 1), *rows[1:]]  # the value is in the other column
+    assert _content(spark, rows) != _content(spark, moved)
+    assert _content(spark, rows) != _content(spark, [rows[0], rows[0], *rows[2:]])  # another row repeated
+    assert _content(spark, [(1, 1, "", 1)]) != _content(spark, [(1, 1, None, 1)])
+    assert _content(spark, [(1, 1, " x ", 1), (1, 1, "", 1)], fmt="csv") == _content(spark, [(1, 1, "x", 1), (1, 1, None, 1)], fmt="csv")
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_readback_by_content_finds_altered_cells(spark, workdir, fmt, monkeypatch):
+    contract = Contract.from_dict(
+        "rows",
+        {"columns": [{"name": n, "type": t} for n, t in (("id", "bigint"), ("name", "string"), ("at", "timestamp"), ("day", "int"))]},
+    )
+    df = spark.range(40).selectExpr(
+        "id", "case when id % 5 = 0 then null when id % 5 = 1 then ' \"a\", b ' else concat('n', id) end AS name",
+        "timestamp_micros(1700000000123456 + id * 1000000) AS at", "cast(id % 3 as int) AS day",
+    )
+    altered = df.withColumn("name", F.when(F.col("id") == 7, "other").otherwise(F.col("name")))
+    real = sinks.overwrite_full
+
+    def publish_to(path, readback, parts=()):
+        spec = TableSpec(contract=contract, path=f"{workdir}/{path}", fmt=fmt, partition_by=parts, check_run_date=False, readback=readback)
+        return publish(df, spec, RunContext.create("2026-04-03"))
+
+    assert publish_to("whole", "content").rows == 40
+    assert publish_to("days", "content", ("day",)).rows == 40
+    monkeypatch.setattr(sinks, "overwrite_full", lambda _, *a, **k: real(altered, *a, **k))
+    assert publish_to("counted", "rows").rows == 40
+    for name, parts in (("x", ()), ("y", ("day",))):
+        with pytest.raises(sinks.ReadBackError, match="other values"):
+            publish_to(name, "content", parts)
+        assert not os.path.exists(f"{workdir}/{name}")  # the staged copy isn't swapped in
+
+
+@pytest.mark.parametrize("mode", ["overwrite_full", "overwrite_partition"])
+@pytest.mark.parametrize("style", ["hive", "numeric"])
+def test_readback_by_content_of_days(spark, workdir, mode, style):
+    contract = Contract.from_dict("days", {"columns": [{"name": n, "type": t} for n, t in (("id", "bigint"), ("year", "int"), ("month", "int"), ("day", "int"))]})
+    spec = TableSpec(contract=contract, path=f"{workdir}/t", write_mode=mode, partition_by=("year", "month", "day"), partition_style=style, readback="content")
+    for day in (2, 3):
+        run = RunContext.create(f"2026-04-0{day}")
+        cells = [F.lit(v).cast("int").alias(k) for k, v in run.partition_values.items()]
+        assert publish(spark.range(9).select("id", *cells), spec, run).rows == 9
+
+
 def test_parquet_scan_of_empty_folder_is_an_error(spark, workdir):
     os.makedirs(f"{workdir}/empty")
     with pytest.raises(FileNotFoundError):

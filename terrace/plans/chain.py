@@ -14,14 +14,18 @@ import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace import catalog
 from terrace import functions as TF
+from terrace import session as S
 from terrace.plans.jobs import JobResult, TableSpec, Transform, publish, read_published
 from terrace.run import Arrival, RunContext
+from terrace.sinks import versions
 
 log = logging.getLogger(__name__)
 
@@ -179,19 +183,85 @@ def quality_audit(spark: SparkSession, result: JobResult) -> DataFrame:
     )
 
 
-def append_audit(df: DataFrame, path: str) -> None:
-    """Add audit rows (small: one per partition or per rule) to a Parquet table.
+AUDIT_KEY = ["run_id", "pipeline"]
+COMPACT_AFTER = 64  # folders of single runs before they are merged
 
-    The table is partitioned by ``run_id`` and ``pipeline`` (the step), and
-    each write replaces only its own run-and-step folder, so a replayed run (a
-    re-delivered micro-batch, a retry) does not duplicate its rows.
+
+def append_audit(df: DataFrame, path: str, compact_after: int = COMPACT_AFTER) -> None:
+    """Add audit rows (small: one per partition or per rule) to a Parquet table, which :func:`read_audit` reads.
+
+    A write replaces only the folder of its own run and step, so a
+    replayed run (a re-delivered micro-batch, a retry) does not duplicate its
+    rows. Every ``compact_after`` run folders are merged (:func:`compact_audit`).
     """
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id", "pipeline")
+        .partitionBy(*AUDIT_KEY)
         .parquet(path)
     )
+    if len(_run_folders(df.sparkSession, path)) >= compact_after:
+        compact_audit(df.sparkSession, path, df.schema)
+
+
+def _run_folders(spark: SparkSession, path: str) -> list[str]:
+    return [p for p, is_dir in S.list_dir(spark, path) if is_dir and p.rsplit("/", 1)[-1].startswith(f"{AUDIT_KEY[0]}=")]
+
+
+def read_audit(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """E5: the audit rows of every run; a run folder stands for the merged rows of its run and step.
+
+    Run folders are listed before the merged state is looked up. Rows that a
+    merge moves meanwhile are thus found twice, not missed, and the folder's are taken.
+    """
+    recent = _recent(spark, path, schema)
+    return _with_merged(spark, path, schema, recent)
+
+
+def _recent(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if not _run_folders(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.names)
+
+
+def _with_merged(spark: SparkSession, path: str, schema: T.StructType, recent: DataFrame) -> DataFrame:
+    merged = versions.current_locations(spark, path)
+    if not merged:
+        return recent
+    old = spark.read.schema(schema).parquet(*merged)
+    return old.join(recent.select(*AUDIT_KEY).distinct(), AUDIT_KEY, "left_anti").select(*schema.names).unionByName(recent)
+
+
+def compact_audit(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+    """E5: merge the folders of single runs into one version of the table; False if another merge is at work.
+
+    Only the files that were merged are deleted, after the version that holds
+    them is visible: a merge that dies, or a run that is replayed meanwhile,
+    leaves run folders, which replace their merged rows. The version
+    before stays for its readers until the next merge, so the table has
+    the run folders since the last one and the files of two versions.
+    """
+    lock = f"{path.rstrip('/')}/{versions.FOLDER}/merging"
+    if not S.create_new(spark, lock):
+        age = S.age_seconds(spark, lock)
+        if age is not None and age > versions.CLAIM_SECONDS:
+            S.delete_path(spark, lock)  # its owner died; the next append merges
+        return False
+    try:
+        folders = _run_folders(spark, path)
+        recent = _recent(spark, path, schema)
+        files = [unquote(p) for p in recent.inputFiles()]  # of the runs since the last merge; deleted below
+        versions.vacuum(spark, path)
+        version = uuid.uuid4().hex
+        rows = _with_merged(spark, path, schema, recent).hint("rebalance")
+        rows.write.parquet(versions.data_path(path, version))
+        versions.publish(spark, path, version, replace_all=True)
+        S.delete_all(spark, files)
+        for folder in folders:
+            S.delete_if_empty(spark, folder)
+    finally:
+        S.delete_path(spark, lock)
+    return True
 
 
 def arrival_handler(

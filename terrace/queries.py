@@ -16,6 +16,7 @@ from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace import catalog, sinks, sources
 from terrace import functions as TF
@@ -200,18 +201,18 @@ def _snapshot(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     root = S.scratch_path(spark, f"snapshot_{fmt}")
     gold = _gold_days(spark, sf_dir, root, [(PREVIOUS_DATE, PREVIOUS_RUN_ID), (BUSINESS_DATE, RUN_ID)])
     run = _run()
-    spec = orders.bi_spec(f"{root}/bi/orders_snapshot", fmt=fmt)
+    spec = orders.bi_spec(f"{root}/bi/orders_snapshot.{fmt}", fmt=fmt, layout="file")
     publish(orders.to_bi(sources.read_partitioned(spark, gold), run), spec, run, name="orders_bi", inputs=[gold])
     return read_published(spark, spec)
 
 
 def snapshot_csv_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The CSV snapshot of one day at its stable path (a folder that all tasks write)."""
+    """The CSV snapshot of one day as one file at its stable path."""
     return _snapshot(spark, sf_dir, "csv")
 
 
 def snapshot_parquet_single_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The Parquet snapshot of one day at its stable path (a folder that all tasks write)."""
+    """The Parquet snapshot of one day as one file at its stable path."""
     return _snapshot(spark, sf_dir, "parquet")
 
 
@@ -309,14 +310,15 @@ def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chain_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two one-day chains that share a run id, audited to one table: rows of each pipeline's partition."""
+    """Two one-day chains that share a run id, audited to one table that is then merged: rows of each pipeline's partition."""
     root = S.scratch_path(spark, "chain_audit")
+    schema = T.StructType.fromDDL("pipeline string, run_id string, year int, month int, day int, rows_written bigint")
     landing = _land_orders(spark, sf_dir, root)
     for name, business_date in (("orders_a", PREVIOUS_DATE), ("orders_b", BUSINESS_DATE)):
         paths = chain.MedallionPaths(landing, f"{root}/{name}/silver", f"{root}/{name}/gold")
         chain.run_chain(spark, replace(orders.plan(), name=name), paths, _landed_run(business_date), audit_root=f"{root}/audit")
-    audit = spark.read.parquet(f"{root}/audit/partitions")
-    return audit.select("pipeline", "run_id", "year", "month", "day", "rows_written")
+        chain.compact_audit(spark, f"{root}/audit/partitions", schema)
+    return chain.read_audit(spark, f"{root}/audit/partitions", schema)
 
 
 def csv_by_header_name(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,6 +113,26 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(hpath, True)
 
 
+def delete_all(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete many paths, several at a time; those already gone are fine."""
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        list(pool.map(lambda p: delete_path(spark, p), paths))
+
+
+def delete_if_empty(spark: SparkSession, path: str) -> None:
+    """Delete a folder without any file below it; one that has a file, or gets one meanwhile, stays."""
+    fs, hpath = _fs_and_path(spark, path)
+    for child, is_dir in list_dir(spark, path):
+        if is_dir:
+            delete_if_empty(spark, child)
+    if fs.exists(hpath) and not list_dir(spark, path):
+        try:
+            fs.delete(hpath, False)
+        except Py4JJavaError:
+            if not list_dir(spark, path):
+                raise
+
+
 def create_new(spark: SparkSession, path: str) -> bool:
     """Create an empty file that must not exist yet; False if it does."""
     fs, hpath = _fs_and_path(spark, path)
@@ -125,6 +145,37 @@ def create_new(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def can_concat(spark: SparkSession, path: str) -> bool:
+    """The file system of ``path`` joins files itself, as HDFS does by linking their blocks."""
+    fs, hpath = _fs_and_path(spark, path)
+    return bool(fs.hasPathCapability(hpath, "fs.capability.paths.concat"))
+
+
+def concat(spark: SparkSession, target: str, parts: Iterable[str]) -> None:
+    """Join files of the target's folder, in order, into ``target``; they are gone afterwards. Empty ones are left out."""
+    fs, hpath = _fs_and_path(spark, target)
+    statuses = [fs.getFileStatus(_fs_and_path(spark, p)[1]) for p in parts]
+    filled = [st for st in statuses if st.getLen() > 0]
+    fs.create(hpath).close()
+    if filled:
+        array = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Path, len(filled))
+        for i, st in enumerate(filled):
+            array[i] = st.getPath()
+        fs.concat(hpath, array)
+    expected, length = sum(st.getLen() for st in filled), fs.getFileStatus(hpath).getLen()
+    if length != expected:
+        raise OSError(f"{target} has {length} bytes after joining {expected}.")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, hpath = _fs_and_path(spark, path)
+    out = fs.create(hpath)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def age_seconds(spark: SparkSession, path: str) -> float | None:
     """Seconds since the file was last written, None if there is none."""
     fs, hpath = _fs_and_path(spark, path)

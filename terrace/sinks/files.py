@@ -145,20 +145,25 @@ def overwrite_partitions(
 def write_single_file(df: DataFrame, target_file: str, *, fmt: str = "csv", compression: str | None = "snappy") -> str:
     """One file at a stable path (CSV with header, or Parquet), where a consumer can take no folder.
 
-    One file has one writer, so the last step is one task whatever the size;
-    snapshots are folders written in parallel unless this is asked for. The
-    plan before it runs at full parallelism (``repartition(1)``, not
-    ``coalesce(1)``, which would pull the whole scan into that task). The part
+    CSV is written by all tasks as parts without a header, in the order of the
+    frame's partitions, and the file system joins them behind a header (HDFS links
+    blocks and copies nothing). A Parquet file can't be joined from others, and
+    some file systems don't offer it for any: there one task writes the file.
+    The plan before it runs at full parallelism (``repartition(1)``, not
+    ``coalesce(1)``, which would pull the whole scan into that task). The
     file is moved over the target once it is complete.
     """
     spark = df.sparkSession
     parent, name = target_file.rstrip("/").rsplit("/", 1)
     stem = name.rsplit(".", 1)[0]
     stage = f"{parent}/_{stem}_stage_{uuid.uuid4().hex[:8]}"
-    writer = _writer(df.repartition(1), fmt, compression, None, "static")
-    writer.format(fmt).save(stage)
+    joined = fmt == "csv" and S.can_concat(spark, parent)
     try:
+        writer = _writer(df if joined else df.repartition(1), fmt, compression, None, "static")
+        (writer.option("header", "false") if joined else writer).format(fmt).save(stage)
         staged = S.data_files(spark, stage, fmt)
+        if joined:
+            staged = [_joined(spark, stage, sorted(staged, key=_task_of), df.columns)]
         if len(staged) != 1:
             raise FileNotFoundError(f"Expected one {fmt} part file under {stage}, found {len(staged)}.")
         S.delete_path(spark, target_file)
@@ -168,6 +173,24 @@ def write_single_file(df: DataFrame, target_file: str, *, fmt: str = "csv", comp
     return target_file
 
 
+def _task_of(part: str) -> tuple[int, str]:
+    """Order of a part file: the number of the task that wrote it (``part-00007-...``)."""
+    name = part.rsplit("/", 1)[-1]
+    return int(name.split("-")[1]), name
+
+
+def _joined(spark: SparkSession, stage: str, parts: list[str], columns: list[str]) -> str:
+    """The parts behind a header line, as one file of the staging folder."""
+    S.write_text(spark, f"{stage}/header", ",".join(_csv_name(c) for c in columns) + "\n")
+    S.concat(spark, f"{stage}/joined", [f"{stage}/header", *parts])
+    return f"{stage}/joined"
+
+
+def _csv_name(name: str) -> str:
+    quoted = any(c in name for c in '",\r\n')
+    return '"' + name.replace('"', '""') + '"' if quoted else name
+
+
 # How a partition's value becomes a folder name, by layout.
 SEGMENTS = {"hive": "{name}={value}".format, "numeric": "{value}".format}
 

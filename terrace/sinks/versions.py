@@ -134,8 +134,9 @@ def vacuum(spark: SparkSession, root: str) -> list[str]:
     used = {S.qualified(spark, p) for p in current_locations(spark, root)}
     versions = [p for p, is_dir in S.list_dir(spark, f"{root}/{FOLDER}/data") if is_dir]
     gone = [p for p in versions if not any(u.startswith(S.qualified(spark, p)) for u in used)]
-    for number in range(1, now):  # folders of numeric days that an older state listed
-        old = manifest(spark, root, number)
+    for path in _manifests(spark, root):  # folders of numeric days that an older state listed
+        number = int(path.rsplit("/", 1)[-1])
+        old = manifest(spark, root, number) if number < now else None
         if old is not None:
             inside = old.where(~F.col("location").contains(f"/{FOLDER}/data/")).collect()
             gone += [r["location"] for r in inside if S.qualified(spark, r["location"]) not in used]

@@ -77,6 +77,40 @@ def test_single_csv_file_round_trips_quotes_and_commas(spark, workdir):
         assert '"Sales, ""EMEA"""' in handle.read()
 
 
+@pytest.fixture()
+def raw_local_files(spark):
+    """Paths of the local file system, which joins files; the default one keeps checksums and doesn't."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    given = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+    for key, value in given.items():
+        conf.set(key, value)
+    yield
+    for key in given:
+        conf.unset(key)
+
+
+def test_single_csv_file_is_joined_from_parallel_parts(spark, workdir, raw_local_files, monkeypatch):
+    parts = []
+    real = S.concat
+    monkeypatch.setattr(S, "concat", lambda spark, target, files: parts.extend(files) or real(spark, target, files))
+    df = spark.range(0, 1000, 1, 6).select("id", F.when(F.col("id") % 3 > 0, F.concat(F.lit('a "b", '), "id")).alias('odd, "name"'))
+    target = f"{workdir}/bi/snapshot.csv"
+    for _ in range(2):  # the second replaces the first
+        sinks.write_single_file(df, target)
+    assert len(parts) == 2 * (1 + 6)
+    assert os.listdir(f"{workdir}/bi") == ["snapshot.csv"]
+    with open(target, newline="", encoding="utf-8") as handle:
+        rows = list(csv.reader(handle))
+    assert rows[0] == ["id", 'odd, "name"']
+    assert rows[1:] == [[str(i), f'a "b", {i}' if i % 3 else ""] for i in range(1000)]
+
+
+def test_joined_csv_without_rows_has_its_header(spark, workdir, raw_local_files):
+    sinks.write_single_file(spark.range(0).select("id"), f"{workdir}/snapshot.csv")
+    with open(f"{workdir}/snapshot.csv", encoding="utf-8") as handle:
+        assert handle.read() == "id\n"
+
+
 def test_single_parquet_file(spark, workdir):
     target = f"{workdir}/bi/snapshot.parquet"
     sinks.write_single_file(spark.range(100).repartition(4), target, fmt="parquet")

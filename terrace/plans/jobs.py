@@ -156,6 +156,8 @@ def read_published(spark: SparkSession, spec: TableSpec) -> DataFrame:
         return sources.read_numeric_partitions(spark, spec.path, spec.partition_by).select(*spec.contract.names)
     if spec.fmt == "csv":
         return spark.read.schema(spec.contract.schema).options(**sinks.CSV_OPTIONS).csv(spec.path)
+    if spec.layout == "file":
+        return spark.read.schema(spec.contract.schema).parquet(spec.path)
     return sources.read_table(spark, spec.path, spec.contract.schema, spec.fmt)
 
 

@@ -50,7 +50,7 @@ class TableSpec:
     contract: Contract
     path: str
     fmt: str = "parquet"
-    layout: str = "dataset"  # dataset | file (one file, written by one task)
+    layout: str = "dataset"  # dataset | file (one file, joined from all tasks' parts)
     write_mode: str = "overwrite_full"  # overwrite_full | overwrite_partition
     partition_by: tuple[str, ...] = ()
     partition_style: str = "hive"  # hive | numeric

@@ -10,6 +10,7 @@ when the setting is absent, which is the case in unit tests.
 from __future__ import annotations
 
 import fnmatch
+import os
 import re
 import tempfile
 import time
@@ -21,6 +22,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 MOVES_AT_ONCE = 16
+JOIN_BYTES = 64 * 2**20  # of a file that one task copies into a joined one, at most
 
 # Session settings the library relies on. Timestamps are naive UTC text in the
 # contracts, so the session zone is pinned; Parquet timestamps are written as
@@ -145,19 +147,28 @@ def create_new(spark: SparkSession, path: str) -> bool:
         raise
 
 
+def _mounted(fs) -> bool:
+    """Paths are files of the operating system: a local disk, or one that all nodes mount."""
+    return fs.getUri().getScheme() == "file"
+
+
 def can_concat(spark: SparkSession, path: str) -> bool:
-    """The file system of ``path`` joins files itself, as HDFS does by linking their blocks."""
+    """Files below ``path`` can be joined without passing through one process: by tasks where it is mounted,
+    else by a file system that offers it, as HDFS does by linking their blocks."""
     fs, hpath = _fs_and_path(spark, path)
-    return bool(fs.hasPathCapability(hpath, "fs.capability.paths.concat"))
+    return _mounted(fs) or bool(fs.hasPathCapability(hpath, "fs.capability.paths.concat"))
 
 
 def concat(spark: SparkSession, target: str, parts: Iterable[str]) -> None:
-    """Join files of the target's folder, in order, into ``target``; they are gone afterwards. Empty ones are left out."""
+    """Join files of the target's folder, in order, into ``target``, which is new; they may be gone afterwards. Empty ones are left out."""
     fs, hpath = _fs_and_path(spark, target)
     statuses = [fs.getFileStatus(_fs_and_path(spark, p)[1]) for p in parts]
     filled = [st for st in statuses if st.getLen() > 0]
-    fs.create(hpath).close()
-    if filled:
+    if filled and _mounted(fs):
+        _copy_joined(spark, hpath.toUri().getPath(), [(st.getPath().toUri().getPath(), st.getLen()) for st in filled])
+    else:
+        fs.create(hpath).close()
+    if filled and not _mounted(fs):
         array = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Path, len(filled))
         for i, st in enumerate(filled):
             array[i] = st.getPath()
@@ -167,13 +178,29 @@ def concat(spark: SparkSession, target: str, parts: Iterable[str]) -> None:
         raise OSError(f"{target} has {length} bytes after joining {expected}.")
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, hpath = _fs_and_path(spark, path)
-    out = fs.create(hpath)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
+def _copy_joined(spark: SparkSession, target: str, parts: list[tuple[str, int]]) -> None:
+    """Copy (file, length) one behind the other into ``target``: each task writes a range of bytes at its own place.
+
+    A task that runs twice writes the same bytes to the same place.
+    """
+    ranges, end = [], 0
+    for source, length in parts:
+        ranges += [(source, at, end + at, min(JOIN_BYTES, length - at)) for at in range(0, length, JOIN_BYTES)]
+        end += length
+
+    def copy(piece: tuple[str, int, int, int]) -> None:
+        source, start, place, left = piece
+        with open(source, "rb") as given, open(os.open(target, os.O_WRONLY | os.O_CREAT, 0o666), "wb") as joined:
+            given.seek(start)
+            joined.seek(place)
+            while left:
+                block = given.read(min(left, 2**20))
+                if not block:
+                    raise OSError(f"{source} ends {left} bytes too early.")
+                joined.write(block)
+                left -= len(block)
+
+    spark.sparkContext.parallelize(ranges, len(ranges)).foreach(copy)
 
 
 def age_seconds(spark: SparkSession, path: str) -> float | None:

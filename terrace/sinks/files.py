@@ -146,12 +146,14 @@ def write_single_file(df: DataFrame, target_file: str, *, fmt: str = "csv", comp
     """One file at a stable path (CSV with header, or Parquet), where a consumer can take no folder.
 
     CSV is written by all tasks as parts without a header, in the order of the
-    frame's partitions, and the file system joins them behind a header (HDFS links
-    blocks and copies nothing). A Parquet file can't be joined from others, and
-    some file systems don't offer it for any: there one task writes the file.
-    The plan before it runs at full parallelism (``repartition(1)``, not
-    ``coalesce(1)``, which would pull the whole scan into that task). The
-    file is moved over the target once it is complete.
+    frame's partitions, and these are joined behind a header without passing
+    through one process (:func:`terrace.session.concat`: tasks copy them to their
+    places where the folder is mounted, HDFS links blocks).
+
+    Other file systems join no files, and Parquet isn't joined: there one task
+    writes the file. The plan before it runs at full parallelism
+    (``repartition(1)``, not ``coalesce(1)``, which would pull the whole scan into
+    that task). The file is moved over the target once it is complete.
     """
     spark = df.sparkSession
     parent, name = target_file.rstrip("/").rsplit("/", 1)
@@ -161,9 +163,9 @@ def write_single_file(df: DataFrame, target_file: str, *, fmt: str = "csv", comp
     try:
         writer = _writer(df if joined else df.repartition(1), fmt, compression, None, "static")
         (writer.option("header", "false") if joined else writer).format(fmt).save(stage)
-        staged = S.data_files(spark, stage, fmt)
-        if joined:
-            staged = [_joined(spark, stage, sorted(staged, key=_task_of), df.columns)]
+        staged = sorted(S.data_files(spark, stage, fmt), key=_task_of)
+        if joined and staged:
+            staged = [_joined(df, stage, staged)]
         if len(staged) != 1:
             raise FileNotFoundError(f"Expected one {fmt} part file under {stage}, found {len(staged)}.")
         S.delete_path(spark, target_file)
@@ -179,18 +181,17 @@ def _task_of(part: str) -> tuple[int, str]:
     return int(name.split("-")[1]), name
 
 
-def _joined(spark: SparkSession, stage: str, parts: list[str], columns: list[str]) -> str:
+def _joined(df: DataFrame, stage: str, parts: list[str]) -> str:
     """The parts behind a header line, as one file of the staging folder."""
-    S.write_text(spark, f"{stage}/header", ",".join(_csv_name(c) for c in columns) + "\n")
+    spark = df.sparkSession
+    place = f"{stage}/header_{uuid.uuid4().hex[:8]}"
+    _writer(df.limit(0), "csv", None, None, "static").csv(place)
+    (header,) = S.data_files(spark, place, "csv")
+    S.rename_path(spark, header, f"{stage}/header")
     S.concat(spark, f"{stage}/joined", [f"{stage}/header", *parts])
     return f"{stage}/joined"
 
 
-def _csv_name(name: str) -> str:
-    quoted = any(c in name for c in '",\r\n')
-    return '"' + name.replace('"', '""') + '"' if quoted else name
-
-
 # How a partition's value becomes a folder name, by layout.
 SEGMENTS = {"hive": "{name}={value}".format, "numeric": "{value}".format}
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace import session as S
+from terrace.sinks import row_groups
 
 # CSV text format of the snapshot (naive UTC timestamps with
 # whole seconds, ISO dates, quotes escaped by doubling).
@@ -145,13 +146,14 @@ def overwrite_partitions(
 def write_single_file(df: DataFrame, target_file: str, *, fmt: str = "csv", compression: str | None = "snappy") -> str:
     """One file at a stable path (CSV with header, or Parquet), where a consumer can take no folder.
 
-    CSV is written by all tasks as parts without a header, in the order of the
-    frame's partitions, and these are joined behind a header without passing
-    through one process (:func:`terrace.session.concat`: tasks copy them to their
-    places where the folder is mounted, HDFS links blocks).
+    All tasks write parts, in the order of the frame's partitions, and the parts are
+    joined without passing through one process (:func:`terrace.session.concat`:
+    tasks copy them to their places where the folder is mounted, HDFS links blocks).
+    CSV parts have no header and follow one; Parquet parts stay whole and are
+    followed by a footer that names the row groups of all.
 
-    Other file systems join no files, and Parquet isn't joined: there one task
-    writes the file. The plan before it runs at full parallelism
+    Other file systems join no files, and encrypted Parquet can't be joined: there
+    one task writes the file. The plan before it runs at full parallelism
     (``repartition(1)``, not ``coalesce(1)``, which would pull the whole scan into
     that task). The file is moved over the target once it is complete.
     """
@@ -159,13 +161,13 @@ def write_single_file(df: DataFrame, target_file: str, *, fmt: str = "csv", comp
     parent, name = target_file.rstrip("/").rsplit("/", 1)
     stem = name.rsplit(".", 1)[0]
     stage = f"{parent}/_{stem}_stage_{uuid.uuid4().hex[:8]}"
-    joined = fmt == "csv" and S.can_concat(spark, parent)
+    joined = S.can_concat(spark, parent) and (fmt == "csv" or fmt == "parquet" and not row_groups.encrypted(spark))
     try:
         writer = _writer(df if joined else df.repartition(1), fmt, compression, None, "static")
         (writer.option("header", "false") if joined else writer).format(fmt).save(stage)
         staged = sorted(S.data_files(spark, stage, fmt), key=_task_of)
-        if joined and staged:
-            staged = [_joined(df, stage, staged)]
+        if joined and staged and (fmt == "csv" or len(staged) > 1):
+            staged = [_joined(df, stage, staged, fmt)]
         if len(staged) != 1:
             raise FileNotFoundError(f"Expected one {fmt} part file under {stage}, found {len(staged)}.")
         S.delete_path(spark, target_file)
@@ -181,14 +183,19 @@ def _task_of(part: str) -> tuple[int, str]:
     return int(name.split("-")[1]), name
 
 
-def _joined(df: DataFrame, stage: str, parts: list[str]) -> str:
-    """The parts behind a header line, as one file of the staging folder."""
+def _joined(df: DataFrame, stage: str, parts: list[str], fmt: str) -> str:
+    """The parts as one file of the staging folder: CSV behind a header line, Parquet before a common footer."""
     spark = df.sparkSession
-    place = f"{stage}/header_{uuid.uuid4().hex[:8]}"
-    _writer(df.limit(0), "csv", None, None, "static").csv(place)
-    (header,) = S.data_files(spark, place, "csv")
-    S.rename_path(spark, header, f"{stage}/header")
-    S.concat(spark, f"{stage}/joined", [f"{stage}/header", *parts])
+    if fmt == "csv":
+        place = f"{stage}/header_{uuid.uuid4().hex[:8]}"
+        _writer(df.limit(0), fmt, None, None, "static").format(fmt).save(place)
+        (header,) = S.data_files(spark, place, fmt)
+        S.rename_path(spark, header, f"{stage}/header")
+        files = [f"{stage}/header", *parts]
+    else:
+        row_groups.write_footer(spark, f"{stage}/footer", parts)
+        files = [*parts, f"{stage}/footer"]
+    S.concat(spark, f"{stage}/joined", files)
     return f"{stage}/joined"
 
 

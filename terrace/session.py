@@ -164,11 +164,13 @@ def concat(spark: SparkSession, target: str, parts: Iterable[str]) -> None:
     fs, hpath = _fs_and_path(spark, target)
     statuses = [fs.getFileStatus(_fs_and_path(spark, p)[1]) for p in parts]
     filled = [st for st in statuses if st.getLen() > 0]
-    if filled and _mounted(fs):
+    if not filled:
+        fs.create(hpath).close()
+    elif _mounted(fs):
         _copy_joined(spark, hpath.toUri().getPath(), [(st.getPath().toUri().getPath(), st.getLen()) for st in filled])
     else:
-        fs.create(hpath).close()
-    if filled and not _mounted(fs):
+        # HDFS links no blocks into a file whose block size is below that of a part.
+        fs.create(hpath, True, 4096, fs.getDefaultReplication(hpath), max(st.getBlockSize() for st in filled)).close()
         array = spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.org.apache.hadoop.fs.Path, len(filled))
         for i, st in enumerate(filled):
             array[i] = st.getPath()

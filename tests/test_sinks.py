@@ -209,6 +209,16 @@ def test_joined_parquet_is_read_in_splits_and_filtered(spark, workdir):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_single_file_is_joined_by_a_file_system_that_offers_it(spark, workdir, raw_local_files, monkeypatch, fmt):
+    monkeypatch.setattr(S, "_mounted", lambda fs: False)
+    monkeypatch.setattr(S, "_copy_joined", None)
+    target = f"{workdir}/snapshot.{fmt}"
+    sinks.write_single_file(spark.range(0, 1000, 1, 6), target, fmt=fmt)
+    back = spark.read.schema("id bigint").options(**sinks.CSV_OPTIONS).format(fmt).load(target)
+    assert back.agg(F.count("id"), F.sum("id")).first() == (1000, 499_500)
+
+
 def test_parquet_is_written_by_one_task_where_it_cannot_be_joined(spark, workdir, monkeypatch, unjoined_writes):
     monkeypatch.setattr(sinks.row_groups, "encrypted", lambda spark: True)
     sinks.write_single_file(spark.range(0, 100, 1, 4), f"{workdir}/snapshot.parquet", fmt="parquet")

@@ -130,13 +130,13 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _next_rows(docs: DataFrame) -> DataFrame:
-    """Every row's key and the key of the row after it in descending doc_id order (after the last: the first).
+    """Every different row's key, its copies, and the key of the different row after it in descending doc_id order (after the last: the first).
 
     Ids are dealt out by ranges and numbered in place; only the first row of
     each range meets the others.
     """
     spark = docs.sparkSession
-    ids = materialize(spark, docs.select("doc_id", "id", "th", "n_chars"), "fingerprint-ids")
+    ids = materialize(spark, docs.groupBy("doc_id", "id", "th", "n_chars").agg(F.count("*").alias("copies")), "fingerprint-ids")
     order = [F.col("doc_id").desc_nulls_last(), F.col("th")]
     placed = ids.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = placed.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row"))
@@ -149,7 +149,7 @@ def _next_rows(docs: DataFrame) -> DataFrame:
     following = F.lead(key).over(Window.partitionBy("part").orderBy("row"))
     linked = placed.withColumn("following", following).join(after, "part")
     target = F.coalesce("following", "after")
-    return materialize(spark, linked.select("doc_id", "id", "th", "n_chars", "row", target["id"].alias("next_id"), target["th"].alias("next_th")), "fingerprint-links")
+    return materialize(spark, linked.select("doc_id", "id", "th", "n_chars", "copies", target["id"].alias("next_id"), target["th"].alias("next_th")), "fingerprint-links")
 
 
 def _marked(found: Column, mark: int) -> Column:
@@ -159,34 +159,45 @@ def _marked(found: Column, mark: int) -> Column:
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint, and that of its text with the last third replaced from the next document.
 
-    A text is moved once, to the partition of its key, and its beginning once
-    more, to the document whose end it replaces.
+    A text is moved once, to the partition of its key, and from there its
+    beginning and its vector, to the document before it. That document's own
+    vectors are made where its text is and are not moved, so a text's vector is
+    made twice. All but the last of equal rows are followed by their like, which
+    is at hand.
     """
-    spark = docs.sparkSession
     whole = F.coalesce(F.col("text"), F.lit(""))
     # A null id is told from id 0 by the hash.
     keyed = docs.select("doc_id", F.coalesce(F.col("doc_id"), F.lit(0)).alias("id"), F.xxhash64(F.col("doc_id").isNull(), whole).alias("th"), F.char_length(whole).cast("long").alias("n_chars"), whole.alias("text"))
     links = _next_rows(keyed)
-    once = F.row_number().over(Window.partitionBy("id", "th").orderBy("id"))
-    texts = keyed.select("id", "th", "text").withColumn("copy", once).where("copy = 1").drop("copy")
-    third = F.floor(F.col("n_chars") / F.lit(3)).cast("int")
-    wanted = links.select(F.col("next_id").alias("id"), F.col("next_th").alias("th"), F.col("id").alias("to_id"), F.col("th").alias("to_th"), "row", "n_chars", third.alias("third"))
-    ends = texts.join(wanted, ["id", "th"]).select(F.col("to_id").alias("id"), F.col("to_th").alias("th"), "row", "n_chars", "third", F.expr("substring(text, 1, third)").alias("ending"))
-    edited = texts.join(ends, ["id", "th"]).withColumn("edited", F.expr("concat(substring(text, 1, int(n_chars - third)), ending)"))
-    edited = edited.withColumn("edited_sha256", F.sha2(F.col("edited"), 256))
-    both = [_marked(pieces("text"), 0), _marked(pieces("edited"), 1)]
-    by = ["id", "th", "row", "edited_sha256", "e"]
-    exploded = edited.select(*by[:4], F.explode(F.concat(*both)).alias("p")).select(*by[:4], "p.e", "p.piece")
-    vectors = summed(exploded, by).groupBy(*by[:4]).agg(F.max(F.when(F.col("e") == 0, F.col("vector"))).alias("own"), F.max(F.when(F.col("e") == 1, F.col("vector"))).alias("other"))
-    vectors = materialize(spark, vectors, "fingerprints")
-    own = vectors.groupBy("id", "th").agg(F.max("own").alias("next")).select(F.col("id").alias("next_id"), F.col("th").alias("next_th"), "next")
-    rows = links.select("row", "doc_id", "n_chars", "next_id", "next_th").join(vectors.drop("id", "th"), "row")
-    return rows.join(own, ["next_id", "next_th"]).select(
+    key = ["id", "th"]
+    once = F.row_number().over(Window.partitionBy(*key).orderBy("id"))
+    texts = keyed.select(*key, "text").withColumn("copy", once).where("copy = 1").drop("copy")
+    wanted = links.select(F.col("next_id").alias("id"), F.col("next_th").alias("th"), F.col("id").alias("to_id"), F.col("th").alias("to_th"), "doc_id", "n_chars", "copies")
+    to = [F.col("to_id").alias("id"), F.col("to_th").alias("th")]
+    third = F.floor(F.col("n_chars") / F.lit(3)).cast("int").alias("third")
+    ends = texts.join(wanted, key).withColumn("third", third).select(*to, "n_chars", "third", "copies", F.expr("substring(text, 1, third)").alias("ending"))
+    nexts = fingerprints(texts, key).join(wanted, key).select(*to, "doc_id", "n_chars", "copies", F.col("vector").alias("next"))
+    begin = "substring(text, 1, int(n_chars - third))"
+    edited = texts.join(ends, key).withColumn("edited", F.expr(f"concat({begin}, ending)"))
+    edited = edited.withColumn("again", F.expr(f"if(copies > 1, concat({begin}, substring(text, 1, third)), null)"))
+    by = [*key, "edited_sha256", "again_sha256"]
+    edited = edited.withColumns({"edited_sha256": F.sha2("edited", 256), "again_sha256": F.sha2("again", 256)})
+    marked = F.concat(_marked(pieces("text"), 0), _marked(pieces("edited"), 1))
+    marked = F.when(F.col("copies") > 1, F.concat(marked, _marked(pieces("again"), 2))).otherwise(marked)
+    exploded = edited.select(*by, F.explode(marked).alias("p")).select(*by, "p.e", "p.piece")
+    vectors = summed(exploded, [*by, "e"]).groupBy(*by).agg(*(F.max(F.when(F.col("e") == e, F.col("vector"))).alias(name) for e, name in enumerate(("own", "other", "like"))))
+    last = F.struct(F.lit(1).cast("long").alias("times"), F.col("edited_sha256").alias("sha"), F.col("other"), F.col("next"))
+    before = F.struct((F.col("copies") - F.lit(1)).alias("times"), F.col("again_sha256").alias("sha"), F.col("like").alias("other"), F.col("own").alias("next"))
+    cases = F.when(F.col("copies") > 1, F.array(last, before)).otherwise(F.array(last))
+    rows = vectors.join(nexts, key).select("doc_id", "n_chars", "own", F.explode(cases).alias("r"))
+    rows = rows.select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
+        F.col("r.sha").alias("edited_sha256"),
         hexadecimal(F.col("own")).alias("fingerprint"),
-        hexadecimal(F.col("other")).alias("edited_fingerprint"),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"),
+        hexadecimal(F.col("r.other")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("r.other")).alias("near_edited"),
+        likeness(F.col("own"), F.col("r.next")).alias("near_next"),
+        F.col("r.times").alias("times"),
     )
+    return rows.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).drop("times", "col")

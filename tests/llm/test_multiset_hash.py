@@ -119,3 +119,32 @@ def test_phrases_equal_brute_force(spark):
 def test_no_python_in_the_plan(docs):
     plan = H.edited_fingerprints(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_texts_and_vectors_are_moved_once(spark, rows, no_docs, monkeypatch):
+    """Disk: a text, its beginning and its vector go through one shuffle each; only ids are written between stages."""
+    written = []
+    plain = H.materialize
+    monkeypatch.setattr(H, "materialize", lambda spark, df, name: written.append(df.schema) or plain(spark, df, name))
+    set_back = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(set_back, ("false", "-1")):
+            spark.conf.set(k, v)
+        docs = spark.createDataFrame(rows, no_docs.schema)
+        plan = H.edited_fingerprints(docs)._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        for k, v in set_back.items():
+            spark.conf.set(k, v)
+    assert {f.dataType.simpleString() for schema in written for f in schema.fields} <= {"bigint", "int"}
+    moved = [re.findall(r"(\w+)#", m[1]) for m in re.finditer(r"^\(\d+\) Exchange[^\n]*\nInput \[\d+\]: \[([^\n]*)\]\n", plan, re.M)]
+    wide = sorted(set(columns) & {"text", "ending", "next", "vector", "own", "other"} for columns in moved)
+    assert sorted(next(iter(w)) for w in wide if w) == ["ending", "next", "text"], moved
+
+
+def test_many_equal_rows(spark, no_docs):
+    """Equal rows are followed by their like, the last of them by the next text."""
+    rows = [(5, "one two three four five six\nseven eight nine ten", "en", "s", 0)] * 500 + [(4, "eleven twelve thirteen", "en", "s", 0), (None, "null id", "en", "s", 0), (None, "null id", "en", "s", 0)]
+    got = H.edited_fingerprints(spark.createDataFrame(rows, no_docs.schema)).collect()
+    assert sorted(map(str, ((r[0], r[1], r[2]) for r in got))) == sorted(map(str, _edited(rows)))
+    assert sum(r["near_next"] == 1.0 for r in got if r["doc_id"] == 5) == 499
+    assert sum(r["near_next"] == 1.0 for r in got if r["doc_id"] is None) == 1

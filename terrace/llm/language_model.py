@@ -47,6 +47,8 @@ CLASS_ROWS = 1 << 14  # hashed features of the class softmax
 TOKEN_ROWS = 1 << 15  # hashed features of the softmax within a class
 ROUNDS = 2
 MINIBATCH = 8192
+CACHED = 1024  # rows of a matrix worked on together, so that they stay in the processor's cache
+FEW = 8  # sums of up to this many rows are built row by row
 TOKENS_OF_TASK = 5_000_000  # of a round, at least, where there are more tasks than cores
 RATE = 0.15
 END = b"\n"  # no token holds white space
@@ -122,12 +124,11 @@ class Model(NamedTuple):
         for begin in range(0, len(klass), MINIBATCH):
             part = slice(begin, begin + MINIBATCH)
             k = klass[part]
-            logits = _log_softmax(self.class_bias, self.class_rows, self.class_features(one[part], two[part]))
-            log_p = logits[np.arange(len(k)), k] / np.log(10)
+            log_p = _log_softmax_at(self.class_bias, self.class_rows, self.class_features(one[part], two[part]), k) / np.log(10)
             head = np.flatnonzero(inside[part] >= 0)
             hk = k[head]
-            logits = _log_softmax(self.token_bias[hk], self.token_rows, self.token_features(hk, one[part][head], two[part][head]))
-            log_p[head] += logits[np.arange(len(hk)), inside[part][head]] / np.log(10)
+            features = self.token_features(hk, one[part][head], two[part][head])
+            log_p[head] += _log_softmax_at(self.token_bias, self.token_rows, features, inside[part][head], hk) / np.log(10)
             rare = np.flatnonzero(inside[part] < 0)
             log_p[rare] -= self.tail_log[k[rare] - HEADS // CLASS]
             out[part] = log_p
@@ -142,16 +143,57 @@ def _feature(rows: int, kind: int, *parts: np.ndarray) -> np.ndarray:
 
 
 def _logits(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
-    out = rows[features[0]] + bias
+    out = rows.take(features[0], axis=0)
+    out += bias
     for f in features[1:]:
-        out += rows[f]
+        out += rows.take(f, axis=0)
     out -= out.max(axis=1, keepdims=True)
     return out
 
 
-def _log_softmax(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
-    out = _logits(bias, rows, features)
-    return out - np.log(np.exp(out).sum(axis=1, keepdims=True))
+def _parts(bias: np.ndarray, features: list[np.ndarray], which: np.ndarray | None):
+    """(slice, bias, features) of ``CACHED`` rows at a time; ``which``: the row of ``bias`` that each row takes."""
+    for begin in range(0, len(features[0]), CACHED):
+        part = slice(begin, begin + CACHED)
+        yield part, bias if which is None else bias.take(which[part], axis=0), [f[part] for f in features]
+
+
+def _log_softmax_at(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray], label: np.ndarray, which: np.ndarray | None = None) -> np.ndarray:
+    """The log of each row's softmax at its label."""
+    found = np.empty(len(label), rows.dtype)
+    for part, b, f in _parts(bias, features, which):
+        out = _logits(b, rows, f)
+        at_label = out[np.arange(len(out)), label[part]]
+        found[part] = at_label - np.log(np.exp(out, out=out).sum(axis=1))
+    return found
+
+
+def _row_sums(values: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group, rows in it, sum of its rows of ``values``) of each different group, in no order.
+
+    Most groups have few rows. Those are added up row by row for all groups
+    together, in the order in which ``reduceat`` adds, which does the others.
+    """
+    order = np.argsort(group.astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
+    in_order = group[order]
+    first = np.flatnonzero(np.r_[True, in_order[1:] != in_order[:-1]])
+    times = np.diff(np.r_[first, len(order)])
+    falling = np.argsort(-np.minimum(times, FEW + 1).astype(np.int8), kind="stable")
+    first, times = first[falling], times[falling]
+    more = [int(np.count_nonzero(times > k)) for k in range(FEW + 1)]  # groups of more than k rows: the first ones
+    many = more[FEW]
+    sums = values.take(order[first], axis=0)
+    if many:
+        length = times[:many]
+        begin = np.cumsum(length) - length
+        at = np.arange(begin[-1] + length[-1]) + np.repeat(first[:many] - begin, length)
+        sums[:many] = np.add.reduceat(values.take(order[at], axis=0), begin, axis=0)
+    if more[1] > many:
+        rest = values.take(order[first[many : more[1]] + 1], axis=0)
+        for k in range(2, FEW):
+            rest[: more[k] - many] += values.take(order[first[many : more[k]] + k], axis=0)
+        sums[many : more[1]] += rest
+    return in_order[first], times, sums
 
 
 class _Trainer:
@@ -172,21 +214,28 @@ class _Trainer:
             head = np.flatnonzero(inside[part] >= 0)
             if len(head):
                 hk = k[head]
-                self._step(1, self.model.token_bias[hk], self.model.token_rows, self.model.token_features(hk, o[head], w[head]), inside[part][head])
-
-    def _step(self, table: int, bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray], label: np.ndarray) -> None:
-        slope = np.exp(_logits(bias, rows, features))
-        slope /= slope.sum(axis=1, keepdims=True)
-        slope[np.arange(len(label)), label] -= 1
+                self._step(1, self.model.token_bias, self.model.token_rows, self.model.token_features(hk, o[head], w[head]), inside[part][head], hk)
+
+    def _step(self, table: int, bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray], label: np.ndarray, which: np.ndarray | None = None) -> None:
+        slope = np.empty((len(label), rows.shape[1]), rows.dtype)
+        for part, b, f in _parts(bias, features, which):
+            out = np.exp(_logits(b, rows, f), out=slope[part])
+            out /= out.sum(axis=1, keepdims=True)
+            out[np.arange(len(out)), label[part]] -= 1
+        squares, met = self.squares[table], self.met[table]
         for feature in features:
-            order = np.argsort(feature.astype(np.uint16), kind="stable")  # 16 bits are sorted by radix
-            in_order = feature[order]
-            first = np.flatnonzero(np.r_[True, in_order[1:] != in_order[:-1]])
-            row, times = in_order[first], np.diff(np.r_[first, len(in_order)])
-            sums = np.add.reduceat(slope[order], first, axis=0)
-            self.squares[table][row] += sums * sums
-            rows[row] -= RATE * sums / np.sqrt(self.squares[table][row])
-            self.met[table][row] += times
+            row, times, sums = _row_sums(slope, feature)
+            met[row] += times
+            for begin in range(0, len(row), CACHED):
+                r, change = row[begin : begin + CACHED], sums[begin : begin + CACHED]
+                square = squares.take(r, axis=0)
+                square += change * change
+                squares[r] = square
+                change *= RATE
+                change /= np.sqrt(square, out=square)
+                weights = rows.take(r, axis=0)
+                weights -= change
+                rows[r] = weights
 
     def changes(self):
         """(table, block, weighted change and weights as bytes) of the blocks that were met."""

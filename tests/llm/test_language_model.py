@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -110,3 +111,67 @@ def test_features_and_index_are_deterministic():
     one = M._feature(1 << 14, 3, np.array([1, 2, 1]), np.array([5, 5, 5]))
     assert one[0] == one[2] != one[1]
     assert HashIndex(np.array([0], np.uint64)).find(np.array([0], np.uint64)).tolist() == [0]
+
+
+class _PlainTrainer(M._Trainer):
+    """Each step in whole matrices, with one sum per feature row by ``reduceat``."""
+
+    def _step(self, table, bias, rows, features, label, which=None):
+        slope = rows[features[0]] + (bias if which is None else bias[which])
+        for f in features[1:]:
+            slope += rows[f]
+        slope = np.exp(slope - slope.max(axis=1, keepdims=True))
+        slope /= slope.sum(axis=1, keepdims=True)
+        slope[np.arange(len(label)), label] -= 1
+        for feature in features:
+            order = np.argsort(feature.astype(np.uint16), kind="stable")
+            first = np.flatnonzero(np.r_[True, np.diff(feature[order]) != 0])
+            row = feature[order][first]
+            sums = np.add.reduceat(slope[order], first, axis=0)
+            self.squares[table][row] += sums * sums
+            rows[row] -= M.RATE * sums / np.sqrt(self.squares[table][row])
+            self.met[table][row] += np.diff(np.r_[first, len(order)])
+
+
+def _zipf_model(texts):
+    rng = np.random.default_rng(2)
+    words = [b"w%d" % i for i in range(5000)]
+    raw = [b" ".join(words[i] for i in np.minimum(rng.zipf(1.2, 400), 5000) - 1) for _ in range(texts)]
+    count = 1_000_000 // np.arange(1, 5002)
+    heads = count[: M.HEADS].reshape(-1, M.CLASS)
+    bias = np.log(np.r_[heads.sum(axis=1), np.full(M.TAILS, 1000)])
+    model = M.Model(
+        HashIndex(np.array([0, *M._hash_all(words)], np.uint64)), count, int(count.sum()), 5001, np.ones(M.TAILS), bias.astype(np.float32), np.log(heads).astype(np.float32),
+        np.zeros((M.CLASS_ROWS, M.CLASSES), np.float32), np.zeros((M.TOKEN_ROWS, M.CLASS), np.float32),
+    )
+    return model, M.tokens(np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(r) for r in raw])], model.index)
+
+
+def test_steps_equal_the_plain_ones_in_less_time():
+    model, t = _zipf_model(600)
+    took = {M._Trainer: math.inf, _PlainTrainer: math.inf}
+    for _ in range(3):
+        made = []
+        for kind in took:
+            trainer, began = kind(model), time.process_time()
+            trainer.learn(t)
+            took[kind] = min(took[kind], time.process_time() - began)
+            made.append(list(trainer.changes()))
+        assert made[0] == made[1] and made[0]
+    assert took[M._Trainer] < 0.85 * took[_PlainTrainer]
+
+
+@pytest.mark.parametrize("groups", [1, 7, 300, 4000, 30000])
+def test_row_sums(groups):
+    rng = np.random.default_rng(groups)
+    values, group = rng.normal(size=(5000, 32)).astype(np.float32), rng.integers(0, groups, 5000)
+    row, times, sums = M._row_sums(values, group)
+    want = np.zeros((groups, 32))
+    np.add.at(want, group, values)
+    assert sorted(row.tolist()) == np.unique(group).tolist() and times.tolist() == np.bincount(group)[row].tolist()
+    assert np.allclose(sums, want[row], atol=1e-3)
+    for limit in (1, 8191):  # equal bits, in whatever order the groups come
+        one = M._row_sums(values[:limit], group[:limit])
+        order = np.argsort(group[:limit], kind="stable")
+        first = np.flatnonzero(np.r_[True, np.diff(group[order]) != 0])
+        assert np.array_equal(one[2][np.argsort(one[0])], np.add.reduceat(values[order], first, axis=0))

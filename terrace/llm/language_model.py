@@ -120,15 +120,23 @@ class Model(NamedTuple):
     def log_probabilities(self, t: Tokens) -> np.ndarray:
         """log10 p of each token; in a tail class without the count, so (c + 1) is still to be multiplied."""
         klass, inside, one, two = self.contexts(t)
+        # The class depends on the two contexts only, so its softmax is made once for each different pair.
+        pairs, pair = _places(one * (_BEFORE_TEXT + 1) + two, (_BEFORE_TEXT + 1) ** 2)
+        features = self.class_features(*np.divmod(pairs, _BEFORE_TEXT + 1))
+        top, log_sum = _tops(self.class_bias, self.class_rows, features)
         out = np.empty(len(klass))
         for begin in range(0, len(klass), MINIBATCH):
             part = slice(begin, begin + MINIBATCH)
-            k = klass[part]
-            log_p = _log_softmax_at(self.class_bias, self.class_rows, self.class_features(one[part], two[part]), k) / np.log(10)
+            k, p = klass[part], pair[part]
+            at = [f.take(p) * CLASSES + k for f in features]
+            logit = self.class_rows.take(at[0]) + self.class_bias.take(k)
+            for a in at[1:]:
+                logit += self.class_rows.take(a)
+            log_p = (logit - top.take(p) - log_sum.take(p)) / np.log(10)
             head = np.flatnonzero(inside[part] >= 0)
             hk = k[head]
-            features = self.token_features(hk, one[part][head], two[part][head])
-            log_p[head] += _log_softmax_at(self.token_bias, self.token_rows, features, inside[part][head], hk) / np.log(10)
+            tokens_at = self.token_features(hk, one[part][head], two[part][head])
+            log_p[head] += _log_softmax_at(self.token_bias, self.token_rows, tokens_at, inside[part][head], hk) / np.log(10)
             rare = np.flatnonzero(inside[part] < 0)
             log_p[rare] -= self.tail_log[k[rare] - HEADS // CLASS]
             out[part] = log_p
@@ -142,13 +150,25 @@ def _feature(rows: int, kind: int, *parts: np.ndarray) -> np.ndarray:
     return (mix(key) % np.uint64(rows)).astype(np.int64)
 
 
-def _logits(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray]) -> np.ndarray:
+def _places(numbers: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different ``numbers`` (from 0, under ``below``), and each one's place among them."""
+    seen = np.zeros(below, bool)
+    seen[numbers] = True
+    different = np.flatnonzero(seen)
+    place = np.empty(below, np.int32)
+    place[different] = np.arange(len(different), dtype=np.int32)
+    return different, place[numbers]
+
+
+def _logits(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Logits less the largest one of their row, and those."""
     out = rows.take(features[0], axis=0)
     out += bias
     for f in features[1:]:
         out += rows.take(f, axis=0)
-    out -= out.max(axis=1, keepdims=True)
-    return out
+    top = out.max(axis=1)
+    out -= top[:, None]
+    return out, top
 
 
 def _parts(bias: np.ndarray, features: list[np.ndarray], which: np.ndarray | None):
@@ -158,11 +178,20 @@ def _parts(bias: np.ndarray, features: list[np.ndarray], which: np.ndarray | Non
         yield part, bias if which is None else bias.take(which[part], axis=0), [f[part] for f in features]
 
 
+def _tops(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The largest logit of each row, and the log of the sum of the exponentials of those less it."""
+    top, log_sum = np.empty(len(features[0]), rows.dtype), np.empty(len(features[0]), rows.dtype)
+    for part, b, f in _parts(bias, features, None):
+        out, top[part] = _logits(b, rows, f)
+        log_sum[part] = np.log(np.exp(out, out=out).sum(axis=1))
+    return top, log_sum
+
+
 def _log_softmax_at(bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray], label: np.ndarray, which: np.ndarray | None = None) -> np.ndarray:
     """The log of each row's softmax at its label."""
     found = np.empty(len(label), rows.dtype)
     for part, b, f in _parts(bias, features, which):
-        out = _logits(b, rows, f)
+        out, _ = _logits(b, rows, f)
         at_label = out[np.arange(len(out)), label[part]]
         found[part] = at_label - np.log(np.exp(out, out=out).sum(axis=1))
     return found
@@ -219,7 +248,7 @@ class _Trainer:
     def _step(self, table: int, bias: np.ndarray, rows: np.ndarray, features: list[np.ndarray], label: np.ndarray, which: np.ndarray | None = None) -> None:
         slope = np.empty((len(label), rows.shape[1]), rows.dtype)
         for part, b, f in _parts(bias, features, which):
-            out = np.exp(_logits(b, rows, f), out=slope[part])
+            out = np.exp(_logits(b, rows, f)[0], out=slope[part])
             out /= out.sum(axis=1, keepdims=True)
             out[np.arange(len(out)), label[part]] -= 1
         squares, met = self.squares[table], self.met[table]

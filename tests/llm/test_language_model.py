@@ -175,3 +175,27 @@ def test_row_sums(groups):
         order = np.argsort(group[:limit], kind="stable")
         first = np.flatnonzero(np.r_[True, np.diff(group[order]) != 0])
         assert np.array_equal(one[2][np.argsort(one[0])], np.add.reduceat(values[order], first, axis=0))
+
+
+def test_log_probabilities_equal_whole_softmaxes():
+    model, t = _zipf_model(60)
+    trainer = M._Trainer(model)
+    trainer.learn(t)
+    model = trainer.model
+    klass, inside, one, two = model.contexts(t)
+
+    def whole(bias, rows, features):
+        out = rows[features[0]] + bias
+        for f in features[1:]:
+            out += rows[f]
+        out -= out.max(axis=1, keepdims=True)
+        return out - np.log(np.exp(out).sum(axis=1, keepdims=True))
+
+    want = whole(model.class_bias, model.class_rows, model.class_features(one, two))[np.arange(len(klass)), klass] / np.log(10)
+    head = np.flatnonzero(inside >= 0)
+    k = klass[head]
+    want[head] += whole(model.token_bias[k], model.token_rows, model.token_features(k, one[head], two[head]))[np.arange(len(k)), inside[head]] / np.log(10)
+    rare = np.flatnonzero(inside < 0)
+    want[rare] -= model.tail_log[klass[rare] - M.HEADS // M.CLASS]
+    assert len(head) and len(rare) and np.array_equal(model.log_probabilities(t), want)
+    assert len(model.log_probabilities(M.tokens(np.empty(0, np.uint8), np.zeros(1, np.int64), model.index))) == 0
